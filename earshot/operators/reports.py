@@ -47,3 +47,11 @@ def most_skipped_tracks(fact: DataFrame, dim_tracks: DataFrame, dim_date: DataFr
                    .alias("avg_sec_before_skip"),
                    F.count_distinct("user_key").alias("unique_skippers")))
     return report.orderBy(F.desc("skip_count"), F.asc("title"), F.asc("artist")).limit(top)
+
+
+def last_month(fact: DataFrame, dim_date: DataFrame,
+               as_of: dt.date | str | Column | None = None) -> DataFrame:
+    """Fact rows whose day lies on or after ``as_of`` minus one month, with the day."""
+    cutoff = months_back(as_of_column(as_of), 1)
+    days = dim_date_side(dim_date.where(F.col("full_date") >= cutoff), ["date_key", "full_date"])
+    return fact.where(F.col("date_key") >= date_key(cutoff)).join(days, "date_key")

@@ -40,8 +40,19 @@ LISTEN_KEY = key60(
         + [f"coalesce(CAST(listen_duration_ms AS VARCHAR), {NULLS})",
            f"coalesce(CAST(epoch_us(event_timestamp) AS VARCHAR), {NULLS})",
            "CAST(event_id AS VARCHAR)"]) + ")")
+LISTEN_KEY_NO_ARRIVAL = LISTEN_KEY.replace(", CAST(event_id AS VARCHAR)", "")
 
-STAR = OVERLAY + """,
+def dims_sql(src: str, suffix: str = "", arrival: bool = True) -> str:
+    """CTEs dim_date{suffix}, dim_tracks{suffix}, dim_users{suffix}, fact{suffix} over ``src``."""
+    return STAR_TEMPLATE.replace("FROM ev", "FROM " + src).replace(
+        "dim_date AS", f"dim_date{suffix} AS").replace(
+        "dim_tracks AS", f"dim_tracks{suffix} AS").replace(
+        "dim_users AS", f"dim_users{suffix} AS").replace(
+        "fact AS", f"fact{suffix} AS").replace(
+        "LISTEN_KEY_EXPR", LISTEN_KEY if arrival else LISTEN_KEY_NO_ARRIVAL)
+
+
+STAR_TEMPLATE = """
 dim_date AS (
   SELECT full_date,
          CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_key,
@@ -70,7 +81,7 @@ dim_users AS (
   FROM ev WHERE user_id IS NOT NULL GROUP BY user_id
 ),
 fact AS (
-  SELECT """ + LISTEN_KEY + """ AS listen_key,
+  SELECT LISTEN_KEY_EXPR AS listen_key,
          """ + key60("user_id") + """ AS user_key,
          """ + key60("track_id") + """ AS track_key,
          CAST(strftime(event_timestamp, '%Y%m%d') AS INTEGER) AS date_key,
@@ -78,6 +89,8 @@ fact AS (
   FROM ev
 )"""
 
+STAR = OVERLAY + ",\n" + dims_sql("ev").strip()
+
 
 def with_(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip() + "\n" + body.strip()
@@ -135,3 +148,166 @@ def sql() -> dict[str, str]:
                                     FROM dim_users"""),
         "fact_listens": with_(STAR, "SELECT * FROM fact"),
     }
+
+
+# ---- overlay variants ------------------------------------------------------------------
+DAY_EVENTS = """
+ev_day AS (
+  SELECT * REPLACE (CAST(CAST(event_timestamp AS DATE) AS TIMESTAMP) AS event_timestamp) FROM ev
+)"""
+FLAWED_EVENTS = """
+ev_flawed AS (
+  SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN NULL
+                         WHEN event_id % 89 = 0 THEN 'REWIND' ELSE action END AS action) FROM ev
+)"""
+EARLY_EVENTS = """
+ev_early AS (SELECT * FROM ev WHERE event_timestamp < TIMESTAMP '2024-01-02 00:00:00')"""
+HALVES = """
+ev_h1 AS (SELECT * FROM ev WHERE event_timestamp < TIMESTAMP '2024-01-15 00:00:00'),
+ev_h2 AS (SELECT * FROM ev WHERE event_timestamp >= TIMESTAMP '2024-01-15 00:00:00')"""
+
+
+def _cte(*parts: str) -> str:
+    return ",\n".join(p.strip() for p in parts)
+
+
+def _fact_contract_checks(rel: str) -> str:
+    from ..schemas import FACT_LISTENS
+    sel = []
+    for c in FACT_LISTENS.columns:
+        if c.name == "loaded_at":
+            continue
+        if not c.nullable:
+            sel.append(f"SELECT 'fact_listens' AS table_name, '{c.name}' AS column_name, "
+                       f"'not_null' AS check_name, count_if({c.name} IS NULL) AS violations "
+                       f"FROM {rel}")
+        if c.max_len is not None:
+            sel.append(f"SELECT 'fact_listens', '{c.name}', 'max_len_{c.max_len}', "
+                       f"count_if(length({c.name}) > {c.max_len}) FROM {rel}")
+    return "\nUNION ALL\n".join(sel)
+
+
+PK_SQL = """
+SELECT '{t}' AS table_name, '{k}' AS key_column,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS total_rows,
+       CAST(coalesce(sum(CASE WHEN k IS NULL THEN n END), 0) AS BIGINT) AS null_keys,
+       count_if(k IS NOT NULL AND n > 1) AS duplicate_keys,
+       CAST(coalesce(sum(CASE WHEN k IS NOT NULL AND n > 1 THEN n - 1 END), 0) AS BIGINT) AS duplicate_rows
+FROM (SELECT {k} AS k, count(*) AS n FROM {rel} GROUP BY {k}) g"""
+
+FK_SQL = """
+SELECT '{fk}' AS fk_column, '{ref}' AS ref_table,
+       CAST(coalesce(sum(CASE WHEN g.k IS NULL THEN g.n END), 0) AS BIGINT) AS null_rows,
+       count_if(g.k IS NOT NULL AND d.k IS NULL) AS orphan_keys,
+       CAST(coalesce(sum(CASE WHEN g.k IS NOT NULL AND d.k IS NULL THEN g.n END), 0) AS BIGINT) AS orphan_rows
+FROM (SELECT {fk} AS k, count(*) AS n FROM {fact} GROUP BY {fk}) g
+LEFT JOIN (SELECT DISTINCT {pk} AS k FROM {ref}{suffix} WHERE {pk} IS NOT NULL) d ON g.k = d.k"""
+
+
+def more_sql() -> dict[str, str]:
+    star = STAR
+    q = {}
+    q["scan_events"] = with_(OVERLAY, "SELECT * FROM ev")
+    q["source_count"] = with_(OVERLAY, "SELECT count(*) AS rows FROM ev")
+    q["project_events"] = with_(OVERLAY, """
+        SELECT event_id, user_id, track_id, action, listen_duration_ms AS duration_ms,
+               event_timestamp AS played_at FROM ev""")
+    q["filter_action"] = with_(OVERLAY, """
+        SELECT event_id, user_id, track_id, listen_duration_ms FROM ev WHERE action = 'SKIP'""")
+    q["filter_last_month"] = with_(star, """
+        SELECT f.listen_key, f.date_key, d.full_date FROM fact f JOIN dim_date d ON f.date_key = d.date_key
+        WHERE d.full_date >= DATE '2024-02-10' - INTERVAL 1 MONTH""")
+    q["action_counts"] = with_(star, """
+        SELECT date_key, count(*) AS total_events,
+               count_if(action = 'PLAY') AS plays, count_if(action = 'SKIP') AS skips,
+               count_if(action = 'COMPLETE') AS completes
+        FROM fact GROUP BY date_key""")
+    q["listening_minutes"] = with_(star, """
+        SELECT user_key, CAST(sum(duration_ms) AS DOUBLE) / 1000.0 / 60.0 AS total_minutes
+        FROM fact GROUP BY user_key""")
+    q["avg_listen_seconds"] = with_(star, """
+        SELECT track_key, avg(duration_ms) / 1000.0 AS avg_listen_seconds FROM fact GROUP BY track_key""")
+    q["distinct_counts"] = with_(star, """
+        SELECT date_key, count(DISTINCT user_key) AS unique_users,
+               count(DISTINCT track_key) AS unique_tracks, count(DISTINCT session_id) AS sessions
+        FROM fact GROUP BY date_key""")
+    q["skip_rate"] = with_(star, """
+        SELECT track_key, count(*) AS total_events, count_if(action = 'SKIP') AS skips,
+               round(100.0 * count_if(action = 'SKIP')::DOUBLE / NULLIF(count(*), 0), 2) AS skip_rate
+        FROM fact GROUP BY track_key""")
+    q["distinct_dates"] = with_(OVERLAY, """
+        SELECT DISTINCT CAST(event_timestamp AS DATE) AS full_date FROM ev""")
+    q["latest_track_record"] = with_(OVERLAY, """
+        SELECT track_id, track_title, artist, event_timestamp, event_id FROM (
+          SELECT *, row_number() OVER (PARTITION BY track_id
+                    ORDER BY event_timestamp DESC NULLS LAST, event_id DESC) AS rn FROM ev) t
+        WHERE rn = 1""")
+    q["user_first_seen"] = with_(OVERLAY, """
+        SELECT user_id, min(event_timestamp) AS first_seen FROM ev GROUP BY user_id""")
+    q["user_last_seen"] = with_(OVERLAY, """
+        SELECT user_id, max(event_timestamp) AS last_seen FROM ev GROUP BY user_id""")
+    q["user_primary_device"] = with_(OVERLAY, """
+        SELECT user_id, arg_max(device_type, (event_timestamp, event_id)) AS primary_device
+        FROM ev GROUP BY user_id""")
+    early = _cte(OVERLAY, EARLY_EVENTS, dims_sql("ev_early", "_e"))
+    q["lookup_user_key"] = with_(early, """
+        SELECT ev.event_id, ev.user_id, u.user_key FROM ev LEFT JOIN dim_users_e u ON ev.user_id = u.user_id""")
+    q["lookup_track_key"] = with_(early, """
+        SELECT ev.event_id, ev.track_id, t.track_key FROM ev LEFT JOIN dim_tracks_e t ON ev.track_id = t.track_id""")
+    q["conform_users"] = with_(star, """
+        SELECT user_key, user_id, subscription_tier, CAST(NULL AS DATE) AS signup_date,
+               CAST(NULL AS VARCHAR) AS region, first_seen, last_seen, primary_device,
+               TIMESTAMP '2024-02-01 00:00:00' AS created_at, TIMESTAMP '2024-02-01 00:00:00' AS updated_at
+        FROM dim_users""")
+    halves = _cte(OVERLAY, HALVES, dims_sql("ev_h1", "_1"), dims_sql("ev_h2", "_2"))
+    q["upsert_dimension"] = with_(halves, """
+        SELECT coalesce(s.user_key, t.user_key) AS user_key,
+               coalesce(s.user_id, t.user_id) AS user_id,
+               coalesce(t.subscription_tier, 'FREE') AS subscription_tier,
+               CAST(NULL AS DATE) AS signup_date, CAST(NULL AS VARCHAR) AS region,
+               CASE WHEN s.user_key IS NOT NULL AND t.user_key IS NOT NULL THEN least(t.first_seen, s.first_seen)
+                    WHEN s.user_key IS NOT NULL THEN s.first_seen ELSE t.first_seen END AS first_seen,
+               CASE WHEN s.user_key IS NOT NULL AND t.user_key IS NOT NULL THEN greatest(t.last_seen, s.last_seen)
+                    WHEN s.user_key IS NOT NULL THEN s.last_seen ELSE t.last_seen END AS last_seen,
+               CASE WHEN s.user_key IS NULL THEN t.primary_device
+                    WHEN t.user_key IS NULL THEN s.primary_device
+                    WHEN t.last_seen IS NULL OR (s.last_seen IS NOT NULL AND s.last_seen >= t.last_seen)
+                         THEN s.primary_device ELSE t.primary_device END AS primary_device,
+               CASE WHEN t.user_key IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00'
+                    ELSE TIMESTAMP '2024-02-02 00:00:00' END AS created_at,
+               CASE WHEN s.user_key IS NOT NULL THEN TIMESTAMP '2024-02-02 00:00:00'
+                    ELSE TIMESTAMP '2024-02-01 00:00:00' END AS updated_at
+        FROM dim_users_1 t FULL OUTER JOIN dim_users_2 s ON t.user_key = s.user_key""")
+    day_halves = _cte(OVERLAY, DAY_EVENTS,
+                      "ev_h1 AS (SELECT * FROM ev_day WHERE event_timestamp < TIMESTAMP '2024-01-15 00:00:00')",
+                      "ev_h2 AS (SELECT * FROM ev_day WHERE event_timestamp >= TIMESTAMP '2024-01-15 00:00:00')",
+                      dims_sql("ev_h1", "_1", arrival=False), dims_sql("ev_h2", "_2", arrival=False),
+                      """app_date AS (SELECT * FROM dim_date_1 UNION ALL SELECT * FROM dim_date_2),
+                         app_tracks AS (SELECT * FROM dim_tracks_1 UNION ALL SELECT * FROM dim_tracks_2),
+                         app_users AS (SELECT * FROM dim_users_1 UNION ALL SELECT * FROM dim_users_2),
+                         app_fact AS (SELECT * FROM fact_1 UNION ALL SELECT * FROM fact_2)""")
+    q["check_pk"] = with_(day_halves, "\nUNION ALL\n".join(
+        PK_SQL.format(t=t, k=k, rel=r) for t, k, r in
+        [("dim_date", "date_key", "app_date"), ("dim_tracks", "track_key", "app_tracks"),
+         ("dim_users", "user_key", "app_users"), ("fact_listens", "listen_key", "app_fact")]))
+    fk = _cte(OVERLAY, EARLY_EVENTS, dims_sql("ev_early", "_e"), dims_sql("ev"))
+    q["check_fk"] = with_(fk, "\nUNION ALL\n".join(
+        FK_SQL.format(fk=f, ref=r, pk=p, fact="fact", suffix="_e") for f, r, p in
+        [("user_key", "dim_users", "user_key"), ("track_key", "dim_tracks", "track_key"),
+         ("date_key", "dim_date", "date_key")]))
+    flawed = _cte(OVERLAY, FLAWED_EVENTS, dims_sql("ev_flawed", "_f"))
+    q["check_columns"] = with_(flawed, _fact_contract_checks("fact_f"))
+    q["check_action_domain"] = with_(flawed, """
+        SELECT 'action' AS column_name, action AS value, count(*) AS rows FROM fact_f
+        WHERE action IS NOT NULL AND action NOT IN ('PLAY', 'PAUSE', 'SKIP', 'COMPLETE')
+        GROUP BY action""")
+    return q
+
+
+_base_sql = sql
+
+
+def sql() -> dict[str, str]:  # noqa: F811 — extends the first block
+    out = _base_sql()
+    out.update(more_sql())
+    return out

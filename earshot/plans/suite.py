@@ -75,3 +75,196 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_users": dim_users,
         "fact_listens": fact_listens,
     }
+
+
+# ---- overlay variants ------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import latest, merge, quality  # noqa: E402
+from ..schemas import ACTIONS, FACT_LISTENS  # noqa: E402
+
+HALF = dt.datetime(2024, 1, 15)
+EARLY = dt.datetime(2024, 1, 2)
+MERGED_AT = dt.datetime(2024, 2, 2)
+
+
+def _before(ev: DataFrame, t: dt.datetime) -> DataFrame:
+    return ev.where(F.col("event_timestamp") < F.lit(t).cast("timestamp_ntz"))
+
+
+def _from(ev: DataFrame, t: dt.datetime) -> DataFrame:
+    return ev.where(F.col("event_timestamp") >= F.lit(t).cast("timestamp_ntz"))
+
+
+def day_events(ev: DataFrame) -> DataFrame:
+    """Event time truncated to the day: keys of the same user and day collide."""
+    return ev.withColumn("event_timestamp", F.to_date("event_timestamp").cast("timestamp_ntz"))
+
+
+def flawed_events(ev: DataFrame) -> DataFrame:
+    """NULL action where event_id % 97 = 0, out-of-domain 'REWIND' where % 89 = 0."""
+    return ev.withColumn("action", F.when(F.col("event_id") % 97 == 0, F.lit(None).cast("string"))
+                         .when(F.col("event_id") % 89 == 0, F.lit("REWIND"))
+                         .otherwise(F.col("action")))
+
+
+def _fact(spark, sf_dir):
+    return facts.fact_listens(_events(spark, sf_dir), arrival="event_id")
+
+
+def scan_events(spark, sf_dir):
+    return _events(spark, sf_dir)
+
+
+def source_count(spark, sf_dir):
+    return _events(spark, sf_dir).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def project_events(spark, sf_dir):
+    return _events(spark, sf_dir).select(
+        "event_id", "user_id", "track_id", "action",
+        F.col("listen_duration_ms").alias("duration_ms"), F.col("event_timestamp").alias("played_at"))
+
+
+def filter_action(spark, sf_dir):
+    return (_events(spark, sf_dir).where(F.col("action") == F.lit("SKIP"))
+            .select("event_id", "user_id", "track_id", "listen_duration_ms"))
+
+
+def filter_last_month(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return reports.last_month(facts.fact_listens(ev, arrival="event_id"), dims.dim_date(ev), AS_OF) \
+        .select("listen_key", "date_key", "full_date")
+
+
+def action_counts(spark, sf_dir):
+    return _fact(spark, sf_dir).groupBy("date_key").agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.count_if(marts.action_is("PLAY")).alias("plays"),
+        F.count_if(marts.action_is("SKIP")).alias("skips"),
+        F.count_if(marts.action_is("COMPLETE")).alias("completes"))
+
+
+def listening_minutes(spark, sf_dir):
+    return _fact(spark, sf_dir).groupBy("user_key").agg(
+        marts.minutes(F.sum("duration_ms")).alias("total_minutes"))
+
+
+def avg_listen_seconds(spark, sf_dir):
+    return _fact(spark, sf_dir).groupBy("track_key").agg(
+        (F.avg("duration_ms") / F.lit(1000.0)).alias("avg_listen_seconds"))
+
+
+def distinct_counts(spark, sf_dir):
+    return _fact(spark, sf_dir).groupBy("date_key").agg(
+        F.count_distinct("user_key").alias("unique_users"),
+        F.count_distinct("track_key").alias("unique_tracks"),
+        F.count_distinct("session_id").alias("sessions"))
+
+
+def skip_rate(spark, sf_dir):
+    n, s = F.count(F.lit(1)), F.count_if(marts.action_is("SKIP"))
+    return _fact(spark, sf_dir).groupBy("track_key").agg(
+        n.alias("total_events"), s.alias("skips"),
+        F.round(marts.safe_ratio(F.lit(100.0) * s, n), 2).alias("skip_rate"))
+
+
+def distinct_dates(spark, sf_dir):
+    return _events(spark, sf_dir).select(F.to_date("event_timestamp").alias("full_date")).distinct()
+
+
+def latest_track_record(spark, sf_dir):
+    return latest.latest_per_key(_events(spark, sf_dir), ["track_id"], ["event_timestamp"],
+                                 tie=["event_id"],
+                                 cols=["track_title", "artist", "event_timestamp", "event_id"])
+
+
+def user_first_seen(spark, sf_dir):
+    return _events(spark, sf_dir).groupBy("user_id").agg(F.min("event_timestamp").alias("first_seen"))
+
+
+def user_last_seen(spark, sf_dir):
+    return _events(spark, sf_dir).groupBy("user_id").agg(F.max("event_timestamp").alias("last_seen"))
+
+
+def user_primary_device(spark, sf_dir):
+    return _events(spark, sf_dir).groupBy("user_id").agg(
+        F.max_by("device_type", F.struct("event_timestamp", "event_id")).alias("primary_device"))
+
+
+def lookup_user_key(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    du = dims.dim_users(_before(ev, EARLY), tie=["event_id"])
+    return facts.lookup_key(ev.select("event_id", "user_id"), du, "user_id", "user_key")
+
+
+def lookup_track_key(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    dtr = dims.dim_tracks(_before(ev, EARLY), tie=["event_id"])
+    return facts.lookup_key(ev.select("event_id", "track_id"), dtr, "track_id", "track_key")
+
+
+def conform_users(spark, sf_dir):
+    return conform(dims.dim_users(_events(spark, sf_dir), tie=["event_id"]), DIM_USERS,
+                   loaded_at=LOADED_AT)
+
+
+def upsert_dimension(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    target = conform(dims.dim_users(_before(ev, HALF), tie=["event_id"]), DIM_USERS, loaded_at=LOADED_AT)
+    source = dims.dim_users(_from(ev, HALF), tie=["event_id"])
+    return merge.upsert(target, source, DIM_USERS, merge.user_rules_with_device(), loaded_at=MERGED_AT)
+
+
+def check_pk(spark, sf_dir):
+    """Dimensions appended per batch (as a plain append load does) repeat their keys."""
+    ev = day_events(_events(spark, sf_dir))
+    h1, h2 = _before(ev, HALF), _from(ev, HALF)
+    tie = ["event_id"]
+    return quality.check_pk({
+        "dim_date": (dims.dim_date(h1).unionByName(dims.dim_date(h2)), "date_key"),
+        "dim_tracks": (dims.dim_tracks(h1, tie=tie).unionByName(dims.dim_tracks(h2, tie=tie)), "track_key"),
+        "dim_users": (dims.dim_users(h1, tie=tie).unionByName(dims.dim_users(h2, tie=tie)), "user_key"),
+        "fact_listens": (facts.fact_listens(h1).unionByName(facts.fact_listens(h2)), "listen_key"),
+    })
+
+
+def check_fk(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    early = _before(ev, EARLY)
+    return quality.check_fk(facts.fact_listens(ev, arrival="event_id"), {
+        "user_key": (dims.dim_users(early, tie=["event_id"]), "user_key", "dim_users"),
+        "track_key": (dims.dim_tracks(early, tie=["event_id"]), "track_key", "dim_tracks"),
+        "date_key": (dims.dim_date(early), "date_key", "dim_date"),
+    })
+
+
+def check_columns(spark, sf_dir):
+    f = facts.fact_listens(flawed_events(_events(spark, sf_dir)), arrival="event_id")
+    return quality.check_columns(f, FACT_LISTENS)
+
+
+def check_action_domain(spark, sf_dir):
+    f = facts.fact_listens(flawed_events(_events(spark, sf_dir)), arrival="event_id")
+    return quality.check_domain(f, "action", ACTIONS)
+
+
+_base_queries = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    out = _base_queries()
+    out.update({
+        "scan_events": scan_events, "source_count": source_count,
+        "project_events": project_events, "filter_action": filter_action,
+        "filter_last_month": filter_last_month, "action_counts": action_counts,
+        "listening_minutes": listening_minutes, "avg_listen_seconds": avg_listen_seconds,
+        "distinct_counts": distinct_counts, "skip_rate": skip_rate,
+        "distinct_dates": distinct_dates, "latest_track_record": latest_track_record,
+        "user_first_seen": user_first_seen, "user_last_seen": user_last_seen,
+        "user_primary_device": user_primary_device, "lookup_user_key": lookup_user_key,
+        "lookup_track_key": lookup_track_key, "conform_users": conform_users,
+        "upsert_dimension": upsert_dimension, "check_pk": check_pk, "check_fk": check_fk,
+        "check_columns": check_columns, "check_action_domain": check_action_domain,
+    })
+    return out
