@@ -310,4 +310,66 @@ _base_sql = sql
 def sql() -> dict[str, str]:  # noqa: F811 — extends the first block
     out = _base_sql()
     out.update(more_sql())
+    out.update(ingest_sql())
     return out
+
+
+# ---- ingest: expected outcome of every test record --------------------------------------
+ISO_Z = ("strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(event_timestamp) % 1000000 <> 0 "
+         "THEN '.' || strftime(event_timestamp, '%f') ELSE '' END || 'Z'")
+ISO_P2 = ("strftime(event_timestamp + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') || "
+          "CASE WHEN epoch_us(event_timestamp) % 1000000 <> 0 "
+          "THEN '.' || strftime(event_timestamp + INTERVAL 2 HOUR, '%f') ELSE '' END || '+02:00'")
+RECORDS = """
+rec AS (
+  SELECT event_id, c,
+         c <> 2 AS decoded,
+         c NOT IN (1, 2, 3, 9, 14, 18) AS parsed,
+         CASE WHEN c = 8 THEN NULL ELSE user_id END AS j_user_id,
+         CASE WHEN c = 4 THEN 'session_id' END AS missing_field,
+         CASE WHEN c = 5 THEN NULL WHEN c = 17 THEN CAST(CAST(event_timestamp AS DATE) AS TIMESTAMP)
+              ELSE event_timestamp END AS event_time,
+         CASE WHEN c = 15 THEN """ + ISO_P2 + """
+              WHEN c = 17 THEN strftime(event_timestamp, '%Y-%m-%d')
+              WHEN c = 5 THEN 'junk'
+              ELSE """ + ISO_Z + """ END AS ts_text,
+         CASE WHEN c = 4 THEN NULL ELSE session_id END AS j_session_id,
+         track_id, track_title,
+         CASE WHEN c = 7 THEN 'Unknown' WHEN c = 11 THEN NULL ELSE artist END AS j_artist,
+         action,
+         CASE WHEN c = 7 THEN 'UNKNOWN' ELSE device_type END AS j_device_type,
+         CASE WHEN c = 12 THEN CAST(0 AS DECIMAL(38, 9)) WHEN c = 6 THEN NULL
+              ELSE CAST(listen_duration_ms AS DECIMAL(38, 9)) END AS j_duration,
+         CASE c WHEN 1 THEN 'bad_json' WHEN 2 THEN 'bad_base64' WHEN 3 THEN 'bad_json'
+                WHEN 4 THEN 'missing:session_id' WHEN 5 THEN 'bad_timestamp'
+                WHEN 6 THEN 'bad_duration' WHEN 8 THEN 'null_key' WHEN 9 THEN 'bad_json'
+                WHEN 14 THEN 'bad_utf8' WHEN 18 THEN 'not_object' END AS error
+  FROM (SELECT *, event_id % 47 AS c FROM ev) x
+),
+rec_t AS (
+  SELECT *, CAST(epoch_us(event_time) // 1000000 AS BIGINT) + 86400 AS ttl FROM rec
+)"""
+
+STATE_SELECT = """
+SELECT j_user_id AS user_id, ts_text AS timestamp, j_session_id AS session_id, track_id, track_title,
+       j_artist AS artist, action, j_device_type AS device_type, j_duration AS listen_duration_ms, ttl"""
+
+
+def ingest_sql() -> dict[str, str]:
+    base = _cte(OVERLAY, RECORDS)
+    q = {
+        "decode_payload": "SELECT event_id, decoded FROM rec_t",
+        "parse_payload": "SELECT event_id, parsed, CASE WHEN parsed THEN j_user_id END AS user_id FROM rec_t",
+        "validate_required": "SELECT event_id, missing_field FROM rec_t WHERE parsed",
+        "parse_event_time": "SELECT event_id, epoch_us(event_time) AS event_time_us FROM rec_t WHERE parsed",
+        "event_ttl": "SELECT event_id, ttl FROM rec_t WHERE parsed AND event_time IS NOT NULL",
+        "apply_defaults": """SELECT event_id, track_title, j_artist AS artist, j_device_type AS device_type
+                             FROM rec_t WHERE parsed""",
+        "duration_decimal": "SELECT event_id, j_duration AS listen_duration_ms FROM rec_t WHERE parsed",
+        "split_rejects": "SELECT event_id, error FROM rec_t WHERE error IS NOT NULL",
+        "ingest_summary": """SELECT count_if(error IS NULL) AS records_processed,
+                                    count_if(error IS NOT NULL) AS records_failed FROM rec_t""",
+        "state_items": STATE_SELECT + " FROM rec_t WHERE error IS NULL",
+    }
+    return {k: with_(base, v) for k, v in q.items()}
+

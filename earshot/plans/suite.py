@@ -268,3 +268,71 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
         "check_columns": check_columns, "check_action_domain": check_action_domain,
     })
     return out
+
+
+# ---- ingest -------------------------------------------------------------------------------
+from ..operators import ingest  # noqa: E402
+from ..sources.records import test_records  # noqa: E402
+
+
+def _parsed(spark, sf_dir):
+    return ingest.parse_records(test_records(_events(spark, sf_dir)))
+
+
+def decode_payload(spark, sf_dir):
+    return _parsed(spark, sf_dir).select("event_id", "decoded")
+
+
+def parse_payload(spark, sf_dir):
+    return _parsed(spark, sf_dir).select(
+        "event_id", "parsed", F.when(F.col("parsed"), F.col("user_id")).alias("user_id"))
+
+
+def validate_required(spark, sf_dir):
+    return _parsed(spark, sf_dir).where("parsed").select("event_id", "missing_field")
+
+
+def parse_event_time(spark, sf_dir):
+    return _parsed(spark, sf_dir).where("parsed").select(
+        "event_id", F.unix_micros("event_time").alias("event_time_us"))
+
+
+def event_ttl(spark, sf_dir):
+    return _parsed(spark, sf_dir).where(F.col("parsed") & F.col("event_time").isNotNull()) \
+        .select("event_id", "ttl")
+
+
+def apply_defaults(spark, sf_dir):
+    return _parsed(spark, sf_dir).where("parsed").select("event_id", "track_title", "artist",
+                                                         "device_type")
+
+
+def duration_decimal(spark, sf_dir):
+    return _parsed(spark, sf_dir).where("parsed").select("event_id", "listen_duration_ms")
+
+
+def split_rejects(spark, sf_dir):
+    return ingest.rejected(_parsed(spark, sf_dir)).select("event_id", "error")
+
+
+def ingest_summary(spark, sf_dir):
+    return ingest.summary(_parsed(spark, sf_dir))
+
+
+def state_items(spark, sf_dir):
+    return ingest.state_items(_parsed(spark, sf_dir))
+
+
+_base_queries2 = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    out = _base_queries2()
+    out.update({
+        "decode_payload": decode_payload, "parse_payload": parse_payload,
+        "validate_required": validate_required, "parse_event_time": parse_event_time,
+        "event_ttl": event_ttl, "apply_defaults": apply_defaults,
+        "duration_decimal": duration_decimal, "split_rejects": split_rejects,
+        "ingest_summary": ingest_summary, "state_items": state_items,
+    })
+    return out

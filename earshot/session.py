@@ -42,6 +42,7 @@ def build_session(master: str | None = None, app: str = "earshot",
     if master:
         b = b.master(master)
     conf = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "8g",
             **REQUIRED_CONF, **SCALE_CONF}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
