@@ -373,3 +373,53 @@ def ingest_sql() -> dict[str, str]:
     }
     return {k: with_(base, v) for k, v in q.items()}
 
+
+
+def io_sql() -> dict[str, str]:
+    q = {}
+    q["explode_envelopes"] = with_(OVERLAY, "SELECT event_id, CAST(event_id % 100 AS INTEGER) AS pos, "
+                                            "true AS has_data FROM ev")
+    q["read_jsonl"] = with_(OVERLAY, "SELECT " + ", ".join(
+        ["user_id", "session_id", "track_id", "track_title", "artist", "action", "device_type",
+         "CAST(listen_duration_ms AS BIGINT) AS listen_duration_ms", "event_timestamp"]) + " FROM ev")
+    q["read_json_array"] = q["read_jsonl"]
+    q["write_jsonl"] = with_(OVERLAY, "SELECT user_id, track_id, " + ISO_Z + " AS event_timestamp FROM ev")
+    q["publish_keyed"] = with_(OVERLAY, "SELECT user_id AS key, user_id, track_id, action, "
+                                        "CAST(listen_duration_ms AS BIGINT) AS listen_duration_ms, "
+                                        + ISO_Z + " AS event_timestamp FROM ev")
+    q["incremental_scan"] = with_(OVERLAY, "SELECT * FROM ev")
+    q["stream_ingest"] = ingest_sql()["state_items"]
+    day_state = with_(OVERLAY, """
+        SELECT user_id, timestamp, session_id, track_id, track_title, artist, action, device_type,
+               CAST(listen_duration_ms AS DECIMAL(38, 9)) AS listen_duration_ms, ttl
+        FROM (SELECT *, strftime(event_timestamp, '%Y-%m-%d') AS timestamp,
+                     CAST(epoch(CAST(CAST(event_timestamp AS DATE) AS TIMESTAMP)) AS BIGINT) + 86400 AS ttl,
+                     row_number() OVER (PARTITION BY user_id, CAST(event_timestamp AS DATE)
+                                        ORDER BY event_id DESC) AS rn
+              FROM ev) s WHERE rn = 1""")
+    q["latest_state"] = day_state
+    q["live_state"] = "SELECT * FROM (" + day_state + ") l WHERE ttl > " + \
+        "CAST(epoch(TIMESTAMP '2024-01-20 00:00:00') AS BIGINT)"
+    q["late_events_kept"] = with_(OVERLAY, "SELECT user_id, " + ISO_Z + " AS timestamp, "
+                                  "CAST(epoch_us(event_timestamp) // 1000000 AS BIGINT) + 86400 AS ttl, "
+                                  "CAST(1 AS BIGINT) AS batch_id FROM ev "
+                                  "WHERE event_timestamp < TIMESTAMP '2024-01-15 00:00:00'")
+    q["append_table"] = with_(STAR, "SELECT * FROM fact")
+    q["fact_layout"] = q["append_table"]
+    q["star_load"] = q["append_table"]
+    q["load_summary"] = with_(STAR, """
+        SELECT 'dim_date' AS table_name, count(*) AS rows FROM dim_date
+        UNION ALL SELECT 'dim_tracks', count(*) FROM dim_tracks
+        UNION ALL SELECT 'dim_users', count(*) FROM dim_users
+        UNION ALL SELECT 'fact_listens', count(*) FROM fact""")
+    q["refresh_daily_by_date"] = DAILY_USER_SUMMARY
+    return q
+
+
+_sql_ingest = sql
+
+
+def sql() -> dict[str, str]:  # noqa: F811
+    out = _sql_ingest()
+    out.update(io_sql())
+    return out

@@ -336,3 +336,195 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
         "ingest_summary": ingest_summary, "state_items": state_items,
     })
     return out
+
+
+# ---- files, streams, loads -------------------------------------------------------------------
+from ..plans import load as L  # noqa: E402
+from ..session import shared_dir  # noqa: E402
+from ..sinks import files as W  # noqa: E402
+from ..sinks.publish import keyed_records  # noqa: E402
+from ..sources import files as R  # noqa: E402
+from ..sources.records import clean_records, envelopes, event_json  # noqa: E402
+from ..streaming import ingest_stream as S  # noqa: E402
+from ..streaming import state as ST  # noqa: E402
+
+LIVE_AS_OF = dt.datetime(2024, 1, 20)
+
+
+def _run_dir(spark, name):
+    return shared_dir(spark, "runs", name, unique=True)
+
+
+def _ntz(df, col="event_timestamp"):
+    return df.withColumn(col, F.col(col).cast("timestamp_ntz"))
+
+
+def explode_envelopes(spark, sf_dir):
+    root = _run_dir(spark, "envelopes")
+    ev = _events(spark, sf_dir)
+    W.write_jsonl(envelopes(test_records(ev)), root)
+    return R.explode_envelopes(R.read_envelopes(spark, root)).select(
+        F.col("seq").cast("bigint").alias("event_id"), "pos", F.col("data").isNotNull().alias("has_data"))
+
+
+def read_jsonl(spark, sf_dir):
+    root = _run_dir(spark, "jsonl")
+    ev = _events(spark, sf_dir)
+    W.write_jsonl(ev.select(event_json(ev).alias("value")), root)
+    return _ntz(R.read_json_lines(spark, root))
+
+
+def read_json_array(spark, sf_dir):
+    root = _run_dir(spark, "jsonarray")
+    ev = _events(spark, sf_dir)
+    arrays = (ev.groupBy(F.floor(F.col("event_id") / 100).alias("chunk"))
+              .agg(F.to_json(F.collect_list(F.from_json(event_json(ev), R.EVENT_JSON_SCHEMA)))
+                   .alias("value")))
+    arrays.write.mode("overwrite").partitionBy("chunk").text(root)
+    return _ntz(R.read_json_array(spark, root + "/chunk=*"))
+
+
+def write_jsonl(spark, sf_dir):
+    root = _run_dir(spark, "jsonl-out")
+    ev = _events(spark, sf_dir)
+    W.write_jsonl(keyed_records(ev), root)
+    return spark.read.text(root).select(
+        F.get_json_object("value", "$.user_id").alias("user_id"),
+        F.get_json_object("value", "$.track_id").alias("track_id"),
+        F.get_json_object("value", "$.event_timestamp").alias("event_timestamp"))
+
+
+def publish_keyed(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    rec = keyed_records(ev)
+    parsed = F.from_json("value", R.EVENT_JSON_SCHEMA)
+    return rec.select("key", parsed.alias("e")).select(
+        "key", "e.user_id", "e.track_id", "e.action", "e.listen_duration_ms",
+        F.col("e.event_timestamp").alias("event_timestamp"))
+
+
+def _halves(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return _before(ev, HALF), _from(ev, HALF)
+
+
+def _write_source(df, root, part):
+    df.write.mode("overwrite").parquet(f"{root}/src/part={part}")
+
+
+def incremental_scan(spark, sf_dir):
+    """Three runs of one incremental scan over a folder that gains files: each run
+    sees only new files; the sink ends with every row exactly once."""
+    root = _run_dir(spark, "incremental")
+    h1, h2 = _halves(spark, sf_dir)
+    schema = h1.schema
+    sink = f"{root}/sink"
+
+    def run():
+        q = (spark.readStream.schema(schema).parquet(f"{root}/src/*")
+             .writeStream.format("parquet").option("path", sink)
+             .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    _write_source(h1, root, 1)
+    run()
+    _write_source(h2, root, 2)
+    run()
+    run()
+    return spark.read.schema(schema).parquet(sink)
+
+
+def _ingest_runs(spark, parts, name):
+    """Envelope files written part after part, one availableNow run after each."""
+    root = _run_dir(spark, name)
+    for i, recs in enumerate(parts):
+        W.write_jsonl(envelopes(recs), f"{root}/in/part={i}")
+        S.start_ingest(spark, f"{root}/in/*", root, f"{root}/ckpt").awaitTermination()
+    return root
+
+
+def stream_ingest(spark, sf_dir):
+    h1, h2 = _halves(spark, sf_dir)
+    root = _ingest_runs(spark, [test_records(h1), test_records(h2)], "stream")
+    return ST.latest_state(S.read_log(spark, root))
+
+
+def _day_records(ev):
+    return clean_records(ev, F.date_format("event_timestamp", "yyyy-MM-dd"))
+
+
+def latest_state(spark, sf_dir):
+    h1, h2 = _halves(spark, sf_dir)
+    root = _ingest_runs(spark, [_day_records(h1), _day_records(h2)], "latest")
+    return ST.latest_state(S.read_log(spark, root))
+
+
+def live_state(spark, sf_dir):
+    return ST.live_state(latest_state(spark, sf_dir), LIVE_AS_OF)
+
+
+def late_events_kept(spark, sf_dir):
+    """Newer events first, older ones in a later batch: all are written."""
+    h1, h2 = _halves(spark, sf_dir)
+    root = _ingest_runs(spark, [clean_records(h2), clean_records(h1)], "late")
+    log = S.read_log(spark, root)
+    return log.where(F.col("batch_id") == 1).select("user_id", "timestamp", "ttl",
+                                                    F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+def append_table(spark, sf_dir):
+    root = _run_dir(spark, "append")
+    ev = _events(spark, sf_dir)
+    path = f"{root}/fact_listens"
+    for half in (_before(ev, HALF), _from(ev, HALF)):
+        W.append_table(facts.fact_listens(half, arrival="event_id"), path, mode="append")
+    return spark.read.parquet(path)
+
+
+def fact_layout(spark, sf_dir):
+    root = _run_dir(spark, "layout")
+    path = f"{root}/fact_listens"
+    W.write_fact(_fact(spark, sf_dir), path)
+    return spark.read.parquet(path).select(*facts.FACT_COLUMNS)
+
+
+def _loaded_star(spark, sf_dir, refresh=False):
+    root = _run_dir(spark, "star")
+    h1, h2 = _halves(spark, sf_dir)
+    schema = h1.schema
+    wh = f"{root}/warehouse"
+    for i, half in enumerate((h1, h2)):
+        _write_source(half, root, i)
+        L.start_star_load(spark, f"{root}/src/*", schema, wh, f"{root}/ckpt", arrival="event_id",
+                          loaded_at=LOADED_AT, tie=["event_id"], refresh_daily=refresh).awaitTermination()
+    return wh
+
+
+def star_load(spark, sf_dir):
+    wh = _loaded_star(spark, sf_dir)
+    return L.read_star(spark, wh)["fact_listens"].select(*facts.FACT_COLUMNS)
+
+
+def load_summary(spark, sf_dir):
+    return L.load_summary(spark, _loaded_star(spark, sf_dir))
+
+
+def refresh_daily_by_date(spark, sf_dir):
+    return L.read_daily_mart(spark, _loaded_star(spark, sf_dir, refresh=True))
+
+
+_base_queries3 = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    out = _base_queries3()
+    out.update({
+        "explode_envelopes": explode_envelopes, "read_jsonl": read_jsonl,
+        "read_json_array": read_json_array, "write_jsonl": write_jsonl,
+        "publish_keyed": publish_keyed, "incremental_scan": incremental_scan,
+        "stream_ingest": stream_ingest, "latest_state": latest_state, "live_state": live_state,
+        "late_events_kept": late_events_kept, "append_table": append_table,
+        "fact_layout": fact_layout, "star_load": star_load, "load_summary": load_summary,
+        "refresh_daily_by_date": refresh_daily_by_date,
+    })
+    return out

@@ -102,3 +102,20 @@ def test_records(ev: DataFrame) -> DataFrame:
     return (ev.withColumn("_j", j).withColumn("_t", text).withColumn("_raw", raw)
             .withColumn("_b64", b64)
             .select("event_id", F.col("event_id").cast("string").alias("seq"), data.alias("data")))
+
+
+def clean_records(ev: DataFrame, ts_text: Column | None = None) -> DataFrame:
+    """(event_id, seq, data) without flaws; ``ts_text`` overrides the time text."""
+    return ev.select("event_id", F.col("event_id").cast("string").alias("seq"),
+                     F.base64(F.encode(event_json(ev, ts_text), "UTF-8")).alias("data"))
+
+
+def envelopes(records: DataFrame, per_envelope: int = 100) -> DataFrame:
+    """Group records into ``{"Records": [...]}`` batches of ``per_envelope`` consecutive
+    event ids (a fixed bound on every group), as one JSON text per batch."""
+    rec = F.struct(F.struct(F.col("data"), F.col("seq").alias("sequenceNumber")).alias("kinesis"))
+    grouped = (records.groupBy(F.floor(F.col("event_id") / per_envelope).alias("envelope_id"))
+               .agg(F.sort_array(F.collect_list(F.struct(F.col("event_id").alias("o"), rec.alias("r"))))
+                    .alias("items")))
+    return grouped.select("envelope_id", F.to_json(F.struct(
+        F.transform("items", lambda x: x["r"]).alias("Records"))).alias("value"))
