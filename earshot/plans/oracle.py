@@ -388,7 +388,9 @@ def io_sql() -> dict[str, str]:
                                         "CAST(listen_duration_ms AS BIGINT) AS listen_duration_ms, "
                                         + ISO_Z + " AS event_timestamp FROM ev")
     q["incremental_scan"] = with_(OVERLAY, "SELECT * FROM ev")
-    q["stream_ingest"] = ingest_sql()["state_items"]
+    q["stream_ingest"] = with_(_cte(OVERLAY, RECORDS), STATE_SELECT + """
+        FROM (SELECT *, row_number() OVER (PARTITION BY j_user_id, ts_text ORDER BY event_id DESC) AS rn
+              FROM rec_t WHERE error IS NULL) s WHERE rn = 1""")
     day_state = with_(OVERLAY, """
         SELECT user_id, timestamp, session_id, track_id, track_title, artist, action, device_type,
                CAST(listen_duration_ms AS DECIMAL(38, 9)) AS listen_duration_ms, ttl
