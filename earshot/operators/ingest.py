@@ -17,53 +17,72 @@ PARSED_COLUMNS = ["decoded", "parsed", "missing_field", "user_id", "timestamp",
                   "listen_duration_ms", "event_time", "ttl", "error"]
 
 
-def parse_records(records: DataFrame, data: str = "data") -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks when it has fewer.
+
+    Parsing is CPU work per record; a batch that arrives as one split (one small
+    file, one stream shard) would otherwise parse on one core.
+    """
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        return df.repartition(int(min_partitions))
+    return df
+
+
+def parse_records(records: DataFrame, data: str = "data",
+                  min_partitions: int | None = None) -> DataFrame:
     """Decode and validate every record; the input columns are kept.
 
-    Plan shape: one projection decodes base64, checks UTF-8 and parses the JSON
-    once into a variant; the typed fields and the error code are then produced by
-    a one-element ``inline``. The generator is an optimizer boundary: a later
-    filter on ``error`` or any parsed field stays above it instead of being pushed
-    down with the whole decode chain substituted into it (which would parse every
-    record twice and inflate the plan).
+    Plan shape: a chain of projections computes each costly step once (cleaned
+    base64, bytes, text, wrapped parse, variant, object test, typed fields); a
+    value read by several later expressions is its own column, so the optimizer
+    keeps it as one evaluation. The result comes out of a one-element ``inline``:
+    the generator is an optimizer boundary, so a later filter on ``error`` or a
+    field stays above it instead of being pushed down with the whole decode chain
+    substituted into it (which would parse every record twice).
     """
-    raw = F.col(data)
-    step = records.withColumn("_payload", X.decode_base64(raw))
-    step = step.withColumn("_text", X.payload_text(F.col("_payload")))
-    step = step.withColumn("_v", X.parse_json_strict(F.col("_text")))
-    v = F.col("_v")
-    obj = X.is_object(v)
-    missing = F.when(obj, X.first_missing(v))
-    event_time = X.parse_event_time(X.text_field(v, "event_timestamp"))
-    dur, dur_ok = X.duration_decimal(v)
-    user_id = X.text_field(v, "user_id")
-    error = (F.when(raw.isNull(), F.lit("bad_record"))
+    df = spread(records, min_partitions)
+    df = df.withColumn("_c", X.b64_clean(F.col(data)))
+    df = df.withColumn("_payload", X.decode_clean_base64(F.col("_c")))
+    df = df.withColumn("_s", F.col("_payload").cast("string"))
+    df = df.withColumn("_text", X.valid_text(F.col("_s")))
+    df = df.withColumn("_w", X.wrap_parse(F.col("_text")))
+    df = df.withColumn("_v", X.unwrap(F.col("_w")))
+    df = df.withColumn("_obj", X.is_object(F.col("_v")))
+    v, obj = F.col("_v"), F.col("_obj")
+    df = df.withColumns({
+        "_missing": F.when(obj, X.first_missing(v)),
+        "_user_id": X.text_field(v, "user_id"),
+        "_ts_text": X.text_field(v, "event_timestamp"),
+    })
+    dur, _ = X.duration_decimal(v)
+    df = df.withColumns({"_event_time": X.parse_event_time(F.col("_ts_text")), "_dur": dur})
+    error = (F.when(F.col(data).isNull(), F.lit("bad_record"))
              .when(F.col("_payload").isNull(), F.lit("bad_base64"))
              .when(F.col("_text").isNull(), F.lit("bad_utf8"))
              .when(v.isNull(), F.lit("bad_json"))
              .when(~obj, F.lit("not_object"))
-             .when(missing.isNotNull(), F.concat(F.lit("missing:"), missing))
-             .when(event_time.isNull(), F.lit("bad_timestamp"))
-             .when(~dur_ok, F.lit("bad_duration"))
-             .when(user_id.isNull(), F.lit("null_key")))
+             .when(F.col("_missing").isNotNull(), F.concat(F.lit("missing:"), F.col("_missing")))
+             .when(F.col("_event_time").isNull(), F.lit("bad_timestamp"))
+             .when(F.col("_dur").isNull(), F.lit("bad_duration"))
+             .when(F.col("_user_id").isNull(), F.lit("null_key")))
     fields = F.struct(
         F.col("_payload").isNotNull().alias("decoded"),
         obj.alias("parsed"),
-        missing.alias("missing_field"),
-        user_id.alias("user_id"),
-        X.text_field(v, "event_timestamp").alias("timestamp"),
+        F.col("_missing").alias("missing_field"),
+        F.col("_user_id").alias("user_id"),
+        F.col("_ts_text").alias("timestamp"),
         X.text_field(v, "session_id").alias("session_id"),
         X.text_field(v, "track_id").alias("track_id"),
         X.with_default(v, "track_title").alias("track_title"),
         X.with_default(v, "artist").alias("artist"),
         X.text_field(v, "action").alias("action"),
         X.with_default(v, "device_type").alias("device_type"),
-        dur.alias("listen_duration_ms"),
-        event_time.alias("event_time"),
-        X.ttl_epoch(event_time).alias("ttl"),
+        F.col("_dur").alias("listen_duration_ms"),
+        F.col("_event_time").alias("event_time"),
+        X.ttl_epoch(F.col("_event_time")).alias("ttl"),
         error.alias("error"),
     )
-    return step.select(*[F.col(c) for c in records.columns], F.inline(F.array(fields)))
+    return df.select(*[F.col(c) for c in records.columns], F.inline(F.array(fields)))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

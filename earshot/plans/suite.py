@@ -276,7 +276,8 @@ from ..sources.records import test_records  # noqa: E402
 
 
 def _parsed(spark, sf_dir):
-    return ingest.parse_records(test_records(_events(spark, sf_dir)))
+    return ingest.parse_records(test_records(_events(spark, sf_dir)),
+                                min_partitions=spark.sparkContext.defaultParallelism)
 
 
 def decode_payload(spark, sf_dir):

@@ -37,6 +37,11 @@ FLAWS = {
 # -------------------------------------------------------------------------------------------
 
 
+def unwrapped_base64(b: Column) -> Column:
+    """Base64 on one line, as stream producers send it (Spark wraps at 76 chars)."""
+    return F.replace(F.base64(b), F.lit("\r\n"), F.lit(""))
+
+
 def iso_z(ts: Column) -> Column:
     """``YYYY-MM-DDTHH:MM:SS[.ffffff]Z`` of a UTC wall-clock time."""
     frac = F.date_format(ts, "SSSSSS")
@@ -93,7 +98,7 @@ def test_records(ev: DataFrame) -> DataFrame:
             .otherwise(F.col("_j")))
     raw = F.when(c == 14, F.concat(F.unhex(F.lit("FF")), F.encode(F.col("_t"), "UTF-8"))) \
         .otherwise(F.encode(F.col("_t"), "UTF-8"))
-    b64 = F.base64(F.col("_raw"))
+    b64 = unwrapped_base64(F.col("_raw"))
     data = (F.when(c == 1, F.lit("!!!"))
             .when(c == 2, F.expr("substring(_b64, 1, length(_b64) - 1)"))
             .when(c == 13, F.concat(F.substring(F.col("_b64"), 1, 8), F.lit("!"),
@@ -107,7 +112,7 @@ def test_records(ev: DataFrame) -> DataFrame:
 def clean_records(ev: DataFrame, ts_text: Column | None = None) -> DataFrame:
     """(event_id, seq, data) without flaws; ``ts_text`` overrides the time text."""
     return ev.select("event_id", F.col("event_id").cast("string").alias("seq"),
-                     F.base64(F.encode(event_json(ev, ts_text), "UTF-8")).alias("data"))
+                     unwrapped_base64(F.encode(event_json(ev, ts_text), "UTF-8")).alias("data"))
 
 
 def envelopes(records: DataFrame, per_envelope: int = 100) -> DataFrame:

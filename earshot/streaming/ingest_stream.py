@@ -28,7 +28,8 @@ def state_paths(root: str) -> dict[str, str]:
 def process_batch(records: DataFrame, batch_id: int, root: str) -> None:
     """Parse one micro-batch of records and write its three outputs."""
     paths = state_paths(root)
-    parsed = (ingest.parse_records(records)
+    parallelism = records.sparkSession.sparkContext.defaultParallelism
+    parsed = (ingest.parse_records(records, min_partitions=parallelism)
               .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
               .withColumns(write_order(F.col("seq"), F.col("source_file"), F.col("pos")))
               .persist())
