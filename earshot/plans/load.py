@@ -44,10 +44,10 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
                loaded_at: dt.datetime | None = None, tie: list[str] | None = None,
                refresh_daily: bool = False) -> dict[str, int] | None:
     spark = events.sparkSession
-    if events.isEmpty():
-        return None
-    ev = events.persist()
+    ev = events.persist()           # one read of the batch feeds the test, 3 dims and the fact
     try:
+        if ev.isEmpty():
+            return None
         counts = {}
         new_date = C.conform(dims.dim_date(ev), DIM_DATE)
         new_tracks = dims.dim_tracks(ev, tie=tie, arrival=arrival)

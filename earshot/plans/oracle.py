@@ -425,3 +425,12 @@ def sql() -> dict[str, str]:  # noqa: F811
     out = _sql_ingest()
     out.update(io_sql())
     return out
+
+
+_sql_io = sql
+
+
+def sql() -> dict[str, str]:  # noqa: F811
+    out = _sql_io()
+    out["compact_state"] = out["live_state"]
+    return out

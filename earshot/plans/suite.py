@@ -529,3 +529,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
         "refresh_daily_by_date": refresh_daily_by_date,
     })
     return out
+
+
+def compact_state(spark, sf_dir):
+    """Log rewritten without overwritten and expired items; latest state unchanged for
+    everything still live."""
+    h1, h2 = _halves(spark, sf_dir)
+    root = _ingest_runs(spark, [_day_records(h1), _day_records(h2)], "compact")
+    path = f"{root}/state_log_compacted"
+    ST.write_compacted(spark, S.read_log(spark, root), path, LIVE_AS_OF)
+    return ST.latest_state(spark.read.parquet(path))
+
+
+_base_queries4 = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    out = _base_queries4()
+    out["compact_state"] = compact_state
+    return out
