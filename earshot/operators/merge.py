@@ -1,6 +1,6 @@
 """SCD type 1 upsert of a dimension by key (MERGE ... UPDATE SET * / INSERT *).
 
-Expressed as one full outer join on the key. On a match the source's columns
+Expressed as joins on the key. On a match the source's columns
 replace the target's, columns the source lacks keep the target's value, and
 ``created_at`` is kept; ``updated_at`` is the load time for touched rows. New rows
 get the contract's defaults for the columns the source lacks. ``combine`` gives
@@ -26,7 +26,31 @@ def upsert(target: DataFrame, source: DataFrame, contract: TableContract,
            combine: dict[str, Combine] | None = None,
            loaded_at: dt.datetime | None = None) -> DataFrame:
     """Merged table in the contract's column order. ``source`` must be unique on the
-    key (check with ``quality.check_pk`` first)."""
+    key (check with ``quality.check_pk`` first).
+
+    Plan: the target is split by the source's keys — rows the batch does not touch
+    pass through a left anti join, the touched rows (left semi join) meet the
+    source in a full outer join of two small sides. With a batch much smaller than
+    the dimension, AQE broadcasts the batch's keys to both, so the dimension is
+    scanned but never shuffled (a full outer join could not broadcast either side).
+    """
+    key = contract.key
+    keys = source.select(key).where(F.col(key).isNotNull())
+    untouched = conform_like(target.join(keys, key, "left_anti"), contract)
+    touched = target.join(keys, key, "left_semi")
+    return untouched.unionByName(_merge_rows(touched, source, contract, combine, loaded_at))
+
+
+def conform_like(df: DataFrame, contract: TableContract) -> DataFrame:
+    """Contract columns (missing ones NULL / default) without touching audit values."""
+    from .conform import conform
+    return conform(df, contract)
+
+
+def _merge_rows(target: DataFrame, source: DataFrame, contract: TableContract,
+                combine: dict[str, Combine] | None,
+                loaded_at: dt.datetime | None) -> DataFrame:
+    """Full outer join form of the merge (used on the touched part only)."""
     key = contract.key
     combine = combine or {}
     now = load_time(loaded_at)

@@ -87,10 +87,22 @@ def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, ch
 def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     out = {name: current_dim(spark, warehouse, name, c)
            for name, c in (("dim_date", DIM_DATE), ("dim_tracks", DIM_TRACKS), ("dim_users", DIM_USERS))}
-    out["fact_listens"] = spark.read.parquet(table_path(warehouse, "fact_listens")).drop("batch_id")
+    out["fact_listens"] = read_fact(spark, table_path(warehouse, "fact_listens"))
     return out
 
 
+def fact_schema(spark: SparkSession):
+    """The fact's contract plus its ``batch_id`` folder column, so folder values are
+    read with the contract's types instead of inferred ones."""
+    from pyspark.sql import types as T
+    base = C.conform(spark.range(0), FACT_LISTENS).schema
+    return T.StructType(base.fields + [T.StructField("batch_id", T.LongType())])
+
+
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(fact_schema(spark)).parquet(path).drop("batch_id")
+
+
 def load_summary(spark: SparkSession, warehouse: str) -> DataFrame:
     """Rows per table as stored now (dimensions: latest version; fact: all batches)."""
     star = read_star(spark, warehouse)
