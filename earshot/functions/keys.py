@@ -23,12 +23,12 @@ def key60(col: Column | str) -> Column:
     return F.conv(F.substring(F.md5(c.cast("string")), 1, 15), 16, 10).cast("bigint")
 
 
-def epoch_micros(df: DataFrame, name: str) -> Column:
+def epoch_micros(df: DataFrame, name: str, dtype: T.DataType | None = None) -> Column:
     """Microseconds since the epoch, independent of the session time zone.
 
     A ``timestamp_ntz`` is wall-clock time read as UTC; a ``timestamp`` is an instant.
     """
-    dtype = df.schema[name].dataType
+    dtype = dtype if dtype is not None else df.schema[name].dataType
     if isinstance(dtype, T.TimestampNTZType):
         return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                                 F.col(name))
@@ -44,10 +44,11 @@ def composite_text(parts: list[Column]) -> Column:
 
 def content_parts(df: DataFrame, fields: list[str]) -> list[Column]:
     out = []
+    types = {f.name: f.dataType for f in df.schema.fields}
     for f in fields:
-        dtype = df.schema[f].dataType
+        dtype = types[f]
         if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            out.append(epoch_micros(df, f))
+            out.append(epoch_micros(df, f, dtype))
         else:
             out.append(F.col(f))
     return out

@@ -33,16 +33,16 @@ def fact_listens(events: DataFrame, arrival: str | None = None,
     ``listen_key`` hashes the nine event fields plus the arrival id; without an
     arrival id exact copies share a key and the primary-key check reports them.
     """
-    ev = events.withColumn("date_key", date_key("event_timestamp"))
-    ev = ev.withColumn("listen_key", content_key(events, EVENT_FIELDS, arrival))
-    if dim_users is not None:
-        ev = lookup_key(ev, dim_users, "user_id", "user_key")
-    else:
-        ev = ev.withColumn("user_key", key60("user_id"))
-    if dim_tracks is not None:
-        ev = lookup_key(ev, dim_tracks, "track_id", "track_key")
-    else:
-        ev = ev.withColumn("track_key", key60("track_id"))
-    return ev.select("listen_key", "user_key", "track_key", "date_key", "session_id", "action",
-                     F.col("listen_duration_ms").alias("duration_ms"), "device_type",
-                     "event_timestamp")
+    listen_key = content_key(events, EVENT_FIELDS, arrival).alias("listen_key")
+    dkey = date_key("event_timestamp").alias("date_key")
+    rest = [F.col("session_id"), F.col("action"), F.col("listen_duration_ms").alias("duration_ms"),
+            F.col("device_type"), F.col("event_timestamp")]
+    if dim_users is None and dim_tracks is None:
+        return events.select(listen_key, key60("user_id").alias("user_key"),
+                             key60("track_id").alias("track_key"), dkey, *rest)
+    ev = events.select("user_id", "track_id", listen_key, dkey, *rest)
+    ev = (lookup_key(ev, dim_users, "user_id", "user_key") if dim_users is not None
+          else ev.withColumn("user_key", key60("user_id")))
+    ev = (lookup_key(ev, dim_tracks, "track_id", "track_key") if dim_tracks is not None
+          else ev.withColumn("track_key", key60("track_id")))
+    return ev.select(*FACT_COLUMNS)

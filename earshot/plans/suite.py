@@ -26,27 +26,27 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listening_events(spark, sf_dir)
 
 
-def _star(spark: SparkSession, sf_dir: str):
-    ev = _events(spark, sf_dir)
-    tie = ["event_id"]
-    return (ev, dims.dim_date(ev), dims.dim_tracks(ev, tie=tie),
-            conform(dims.dim_users(ev, tie=tie), DIM_USERS, loaded_at=LOADED_AT),
-            facts.fact_listens(ev, arrival="event_id"))
+def _dim_users(ev):
+    return conform(dims.dim_users(ev, tie=["event_id"]), DIM_USERS, loaded_at=LOADED_AT)
 
 
 def most_skipped_tracks(spark, sf_dir):
-    _, dd, dt_, _, f = _star(spark, sf_dir)
-    return reports.most_skipped_tracks(f, dt_, dd, as_of=AS_OF, top=10)
+    ev = _events(spark, sf_dir)
+    return reports.most_skipped_tracks(facts.fact_listens(ev, arrival="event_id"),
+                                       dims.dim_tracks(ev, tie=["event_id"]), dims.dim_date(ev),
+                                       as_of=AS_OF, top=10)
 
 
 def mv_daily_user_summary(spark, sf_dir):
-    _, dd, _, du, f = _star(spark, sf_dir)
-    return marts.daily_user_summary(f, du, dd)
+    ev = _events(spark, sf_dir)
+    return marts.daily_user_summary(facts.fact_listens(ev, arrival="event_id"), _dim_users(ev),
+                                    dims.dim_date(ev))
 
 
 def mv_track_performance(spark, sf_dir):
-    _, _, dt_, _, f = _star(spark, sf_dir)
-    return marts.track_performance(f, dt_)
+    ev = _events(spark, sf_dir)
+    return marts.track_performance(facts.fact_listens(ev, arrival="event_id"),
+                                   dims.dim_tracks(ev, tie=["event_id"]))
 
 
 def dim_date(spark, sf_dir):

@@ -20,8 +20,17 @@ PART_STRIDE = 100
 # -------------------------------------------------------------------------------------
 
 
+_READ: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver test table; the read (file listing, footer) is reused per session —
+    the tables are read-only."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark._jsparkSession.hashCode(), path)
+    if key not in _READ:
+        _READ[key] = spark.read.parquet(path)
+    return _READ[key]
 
 
 def _action(event_type: Column) -> Column:
