@@ -13,8 +13,15 @@ def load_time(loaded_at: dt.datetime | None) -> Column:
     """Audit time: the given instant, else the session-local current time."""
     if loaded_at is None:
         return F.localtimestamp()
-    return F.lit(loaded_at).cast("timestamp_ntz") if loaded_at.tzinfo is None else \
-        F.lit(loaded_at).cast("timestamp").cast("timestamp_ntz")
+    return ntz_literal(loaded_at)
+
+
+def ntz_literal(t: dt.datetime) -> Column:
+    """A wall-clock literal built from text: independent of the Python process's and
+    the session's time zones (an aware value is first converted to UTC)."""
+    if t.tzinfo is not None:
+        t = t.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def conform(df: DataFrame, contract: TableContract,

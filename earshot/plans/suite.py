@@ -81,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 from pyspark.sql import functions as F  # noqa: E402
 
 from ..operators import latest, merge, quality  # noqa: E402
+from ..operators.conform import ntz_literal  # noqa: E402
 from ..schemas import ACTIONS, FACT_LISTENS  # noqa: E402
 
 HALF = dt.datetime(2024, 1, 15)
@@ -89,11 +90,11 @@ MERGED_AT = dt.datetime(2024, 2, 2)
 
 
 def _before(ev: DataFrame, t: dt.datetime) -> DataFrame:
-    return ev.where(F.col("event_timestamp") < F.lit(t).cast("timestamp_ntz"))
+    return ev.where(F.col("event_timestamp") < ntz_literal(t))
 
 
 def _from(ev: DataFrame, t: dt.datetime) -> DataFrame:
-    return ev.where(F.col("event_timestamp") >= F.lit(t).cast("timestamp_ntz"))
+    return ev.where(F.col("event_timestamp") >= ntz_literal(t))
 
 
 def day_events(ev: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..sources.records import event_json
 
@@ -18,10 +18,15 @@ def keyed_records(events: DataFrame, key: str = "user_id") -> DataFrame:
 
 
 def publish(records: DataFrame, fmt: str, options: dict[str, str] | None = None,
-            path: str | None = None, mode: str = "append") -> None:
-    """Write (key, value) records with any batch sink (kafka, json, parquet ...)."""
-    w = records.write.format(fmt).mode(mode).options(**(options or {}))
+            path: str | None = None, mode: str = "append") -> int:
+    """Write (key, value) records with any batch sink (kafka, json, parquet ...) and
+    return how many were sent. A failed task fails the write (Spark retries it), so
+    there is no separate failed-record count to report."""
+    obs = Observation()
+    w = records.observe(obs, F.count(F.lit(1)).alias("sent")).write.format(fmt).mode(mode) \
+        .options(**(options or {}))
     if path is None:
         w.save()
     else:
         w.save(path)
+    return int(obs.get["sent"])

@@ -80,3 +80,29 @@ def test_quality_on_clean_star_is_clean(spark):
     f = facts.fact_listens(ev, arrival="event_id")
     out = quality.check_pk({"fact_listens": (f, "listen_key")}).collect()[0]
     assert out.duplicate_keys == 0 and out.null_keys == 0
+
+
+def test_empty_batch_loads_nothing(spark, tmp_path):
+    from earshot.plans import load as L
+    ev = suite._events(spark, SF_SMALL).limit(0)
+    assert L.load_batch(ev, 0, str(tmp_path / "wh"), arrival="event_id") is None
+    import os
+    assert not os.path.exists(tmp_path / "wh")
+
+
+def test_load_batch_rerun_is_idempotent(spark, tmp_path):
+    from earshot.plans import load as L
+    ev = suite._events(spark, SF_SMALL)
+    wh = str(tmp_path / "wh")
+    first = L.load_batch(ev, 0, wh, arrival="event_id", tie=["event_id"])
+    again = L.load_batch(ev, 0, wh, arrival="event_id", tie=["event_id"])
+    assert first == again
+    star = L.read_star(spark, wh)
+    assert star["fact_listens"].count() == ev.count()
+    assert star["dim_users"].count() == first["dim_users"]
+
+
+def test_publish_counts_records(spark, tmp_path):
+    from earshot.sinks.publish import keyed_records, publish
+    ev = suite._events(spark, SF_SMALL)
+    assert publish(keyed_records(ev), "json", path=str(tmp_path / "out")) == ev.count()
