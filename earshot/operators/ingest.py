@@ -29,7 +29,7 @@ def spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
 
 
 def parse_records(records: DataFrame, data: str = "data",
-                  min_partitions: int | None = None) -> DataFrame:
+                  min_partitions: int | None = None, payload: str | None = None) -> DataFrame:
     """Decode and validate every record; the input columns are kept.
 
     Plan shape: a chain of projections computes each costly step once (cleaned
@@ -39,10 +39,17 @@ def parse_records(records: DataFrame, data: str = "data",
     the generator is an optimizer boundary, so a later filter on ``error`` or a
     field stays above it instead of being pushed down with the whole decode chain
     substituted into it (which would parse every record twice).
+
+    ``payload`` names a binary column of raw bytes instead (sources such as Kafka
+    deliver the JSON bytes themselves); the base64 step is then skipped.
     """
     df = spread(records, min_partitions)
-    df = df.withColumn("_c", X.b64_clean(F.col(data)))
-    df = df.withColumn("_payload", X.decode_clean_base64(F.col("_c")))
+    if payload is None:
+        df = df.withColumn("_c", X.b64_clean(F.col(data)))
+        df = df.withColumn("_payload", X.decode_clean_base64(F.col("_c")))
+    else:
+        data = payload
+        df = df.withColumn("_payload", F.col(payload).cast("binary"))
     df = df.withColumn("_s", F.col("_payload").cast("string"))
     df = df.withColumn("_text", X.valid_text(F.col("_s")))
     df = df.withColumn("_w", X.wrap_parse(F.col("_text")))

@@ -25,11 +25,17 @@ def state_paths(root: str) -> dict[str, str]:
             "summary": f"{root}/batch_summary"}
 
 
-def process_batch(records: DataFrame, batch_id: int, root: str) -> None:
-    """Parse one micro-batch of records and write its three outputs."""
+def process_batch(records: DataFrame, batch_id: int, root: str, payload: str | None = None) -> None:
+    """Parse one micro-batch of records and write its three outputs.
+
+    ``records`` has ``seq``, ``source_file``, ``pos`` and either base64 ``data`` or a
+    binary ``payload`` column (named by ``payload``).
+    """
     paths = state_paths(root)
     parallelism = records.sparkSession.sparkContext.defaultParallelism
-    parsed = (ingest.parse_records(records, min_partitions=parallelism)
+    if payload is not None and "data" not in records.columns:
+        records = records.withColumn("data", F.base64(F.col(payload)))   # kept for dead letters
+    parsed = (ingest.parse_records(records, min_partitions=parallelism, payload=payload)
               .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
               .withColumns(write_order(F.col("seq"), F.col("source_file"), F.col("pos")))
               .persist())
@@ -46,17 +52,32 @@ def process_batch(records: DataFrame, batch_id: int, root: str) -> None:
         parsed.unpersist()
 
 
-def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
-                 available_now: bool = True, max_files_per_trigger: int | None = None,
-                 processing_time: str | None = None):
-    """Start the ingest stream over envelope files under ``source``."""
+def envelope_records(spark: SparkSession, source: str,
+                     max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming records from files of envelopes (one ``{"Records": [...]}`` per line)."""
     reader = spark.readStream.schema(ENVELOPE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     envelopes = reader.json(source).withColumn("source_file", F.col("_metadata.file_path"))
-    records = explode_envelopes(envelopes)
+    return explode_envelopes(envelopes)
+
+
+def keyed_log_records(messages: DataFrame) -> DataFrame:
+    """Records from a keyed log source with Kafka's columns (topic, partition, offset,
+    value): the offset orders writes within a partition, and a user's records share a
+    partition, so (partition, offset) is the per-user arrival order."""
+    return messages.select(
+        F.col("offset").cast("string").alias("seq"),
+        F.concat_ws(":", F.col("topic"), F.col("partition").cast("string")).alias("source_file"),
+        F.lit(0).alias("pos"),
+        F.col("value").cast("binary").alias("payload"))
+
+
+def run_ingest(records: DataFrame, root: str, checkpoint: str, available_now: bool = True,
+               processing_time: str | None = None, payload: str | None = None):
+    """Start the ingest stream over any streaming DataFrame of records."""
     writer = (records.writeStream
-              .foreachBatch(lambda df, bid: process_batch(df, bid, root))
+              .foreachBatch(lambda df, bid: process_batch(df, bid, root, payload))
               .option("checkpointLocation", checkpoint))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
@@ -65,5 +86,13 @@ def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
     return writer.start()
 
 
+def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
+                 available_now: bool = True, max_files_per_trigger: int | None = None,
+                 processing_time: str | None = None):
+    """Start the ingest stream over envelope files under ``source``."""
+    return run_ingest(envelope_records(spark, source, max_files_per_trigger), root, checkpoint,
+                      available_now, processing_time)
+
+
 def read_log(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(state_paths(root)["log"])
