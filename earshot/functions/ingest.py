@@ -49,11 +49,6 @@ def decode_clean_base64(clean: Column) -> Column:
     return F.when(shape_ok, F.try_to_binary(clean, F.lit("base64")))
 
 
-def decode_base64(data: Column) -> Column:
-    """One-expression form of ``decode_clean_base64(b64_clean(data))`` (for small inputs)."""
-    return decode_clean_base64(b64_clean(data))
-
-
 def valid_text(s: Column) -> Column:
     """UTF-8 text with a leading BOM removed; NULL when the bytes are not valid UTF-8.
     ``s`` is the bytes cast to string, as a column."""
@@ -61,12 +56,6 @@ def valid_text(s: Column) -> Column:
                   F.when(s.startswith(BOM), F.substring(s, 2, 1 << 30)).otherwise(s))
 
 
-def payload_text(payload: Column) -> Column:
-    s = payload.cast("string")
-    return F.when(F.is_valid_utf8(s),
-                  F.when(s.startswith(BOM), F.substring(s, 2, 1 << 30)).otherwise(s))
-
-
 def wrap_parse(text: Column) -> Column:
     """The payload parsed inside ``[payload, SENTINEL]`` (variant or NULL)."""
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"' + SENTINEL + '"]')))
@@ -128,14 +117,14 @@ def ttl_epoch(event_time: Column, hours: int = TTL_HOURS) -> Column:
     return F.unix_seconds(event_time + F.expr(f"INTERVAL {int(hours)} HOURS"))
 
 
-def duration_decimal(v: Column) -> tuple[Column, Column]:
-    """(value, ok): absent -> 0; a number or numeric string -> DECIMAL(38,9) through its
-    text (so ``true`` is not read as 1); anything else -> not ok."""
+def duration_decimal(v: Column) -> Column:
+    """Absent -> 0; a number or numeric string -> DECIMAL(38,9) through its text (so
+    ``true`` is not read as 1); anything else -> NULL (the record is refused)."""
     raw = text_field(v, "listen_duration_ms")
     val = F.when(~present(v, "listen_duration_ms"),
                  F.lit(OPTIONAL_DEFAULTS["listen_duration_ms"]).cast("decimal(38,9)")) \
         .otherwise(raw.try_cast("decimal(38,9)"))
-    return val, val.isNotNull()
+    return val
 
 
 def with_default(v: Column, field: str) -> Column:

@@ -61,8 +61,8 @@ def parse_records(records: DataFrame, data: str = "data",
         "_user_id": X.text_field(v, "user_id"),
         "_ts_text": X.text_field(v, "event_timestamp"),
     })
-    dur, _ = X.duration_decimal(v)
-    df = df.withColumns({"_event_time": X.parse_event_time(F.col("_ts_text")), "_dur": dur})
+    df = df.withColumns({"_event_time": X.parse_event_time(F.col("_ts_text")),
+                         "_dur": X.duration_decimal(v)})
     error = (F.when(F.col(data).isNull(), F.lit("bad_record"))
              .when(F.col("_payload").isNull(), F.lit("bad_base64"))
              .when(F.col("_text").isNull(), F.lit("bad_utf8"))

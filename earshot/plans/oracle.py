@@ -137,7 +137,7 @@ JOIN dim_tracks t ON f.track_key = t.track_key
 GROUP BY t.track_id, t.title, t.artist""")
 
 
-def sql() -> dict[str, str]:
+def base_sql() -> dict[str, str]:
     return {
         "most_skipped_tracks": MOST_SKIPPED,
         "mv_daily_user_summary": DAILY_USER_SUMMARY,
@@ -304,16 +304,6 @@ def more_sql() -> dict[str, str]:
     return q
 
 
-_base_sql = sql
-
-
-def sql() -> dict[str, str]:  # noqa: F811 — extends the first block
-    out = _base_sql()
-    out.update(more_sql())
-    out.update(ingest_sql())
-    return out
-
-
 # ---- ingest: expected outcome of every test record --------------------------------------
 ISO_Z = ("strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(event_timestamp) % 1000000 <> 0 "
          "THEN '.' || strftime(event_timestamp, '%f') ELSE '' END || 'Z'")
@@ -374,7 +364,6 @@ def ingest_sql() -> dict[str, str]:
     return {k: with_(base, v) for k, v in q.items()}
 
 
-
 def io_sql() -> dict[str, str]:
     q = {}
     q["explode_envelopes"] = with_(OVERLAY, "SELECT event_id, CAST(event_id % 100 AS INTEGER) AS pos, "
@@ -415,22 +404,12 @@ def io_sql() -> dict[str, str]:
         UNION ALL SELECT 'dim_users', count(*) FROM dim_users
         UNION ALL SELECT 'fact_listens', count(*) FROM fact""")
     q["refresh_daily_by_date"] = DAILY_USER_SUMMARY
+    q["compact_state"] = q["live_state"]
     return q
 
 
-_sql_ingest = sql
-
-
-def sql() -> dict[str, str]:  # noqa: F811
-    out = _sql_ingest()
-    out.update(io_sql())
-    return out
-
-
-_sql_io = sql
-
-
-def sql() -> dict[str, str]:  # noqa: F811
-    out = _sql_io()
-    out["compact_state"] = out["live_state"]
+def sql() -> dict[str, str]:
+    out = base_sql()
+    for part in (more_sql(), ingest_sql(), io_sql()):
+        out.update(part)
     return out

@@ -9,13 +9,20 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from ..operators import dims, facts, marts, reports
-from ..operators.conform import conform
-from ..schemas import DIM_USERS
-from ..session import ensure_conf
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..operators import dims, facts, ingest, latest, marts, merge, quality, reports
+from ..operators.conform import conform, ntz_literal
+from ..plans import load as L
+from ..schemas import ACTIONS, DIM_USERS, FACT_LISTENS
+from ..session import ensure_conf, shared_dir
+from ..sinks import files as W
+from ..sinks.publish import keyed_records
+from ..sources import files as R
 from ..sources.overlay import listening_events
+from ..sources.records import clean_records, envelopes, event_json, test_records
+from ..streaming import ingest_stream as S
+from ..streaming import state as ST
 
 AS_OF = dt.date(2024, 2, 10)          # report date inside the test data
 LOADED_AT = dt.datetime(2024, 2, 1)   # fixed load time for audit columns
@@ -65,24 +72,8 @@ def fact_listens(spark, sf_dir):
     return facts.fact_listens(_events(spark, sf_dir), arrival="event_id")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "most_skipped_tracks": most_skipped_tracks,
-        "mv_daily_user_summary": mv_daily_user_summary,
-        "mv_track_performance": mv_track_performance,
-        "dim_date": dim_date,
-        "dim_tracks": dim_tracks,
-        "dim_users": dim_users,
-        "fact_listens": fact_listens,
-    }
-
-
 # ---- overlay variants ------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from ..operators import latest, merge, quality  # noqa: E402
-from ..operators.conform import ntz_literal  # noqa: E402
-from ..schemas import ACTIONS, FACT_LISTENS  # noqa: E402
 
 HALF = dt.datetime(2024, 1, 15)
 EARLY = dt.datetime(2024, 1, 2)
@@ -250,30 +241,7 @@ def check_action_domain(spark, sf_dir):
     return quality.check_domain(f, "action", ACTIONS)
 
 
-_base_queries = queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    out = _base_queries()
-    out.update({
-        "scan_events": scan_events, "source_count": source_count,
-        "project_events": project_events, "filter_action": filter_action,
-        "filter_last_month": filter_last_month, "action_counts": action_counts,
-        "listening_minutes": listening_minutes, "avg_listen_seconds": avg_listen_seconds,
-        "distinct_counts": distinct_counts, "skip_rate": skip_rate,
-        "distinct_dates": distinct_dates, "latest_track_record": latest_track_record,
-        "user_first_seen": user_first_seen, "user_last_seen": user_last_seen,
-        "user_primary_device": user_primary_device, "lookup_user_key": lookup_user_key,
-        "lookup_track_key": lookup_track_key, "conform_users": conform_users,
-        "upsert_dimension": upsert_dimension, "check_pk": check_pk, "check_fk": check_fk,
-        "check_columns": check_columns, "check_action_domain": check_action_domain,
-    })
-    return out
-
-
 # ---- ingest -------------------------------------------------------------------------------
-from ..operators import ingest  # noqa: E402
-from ..sources.records import test_records  # noqa: E402
 
 
 def _parsed(spark, sf_dir):
@@ -325,30 +293,7 @@ def state_items(spark, sf_dir):
     return ingest.state_items(_parsed(spark, sf_dir))
 
 
-_base_queries2 = queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    out = _base_queries2()
-    out.update({
-        "decode_payload": decode_payload, "parse_payload": parse_payload,
-        "validate_required": validate_required, "parse_event_time": parse_event_time,
-        "event_ttl": event_ttl, "apply_defaults": apply_defaults,
-        "duration_decimal": duration_decimal, "split_rejects": split_rejects,
-        "ingest_summary": ingest_summary, "state_items": state_items,
-    })
-    return out
-
-
 # ---- files, streams, loads -------------------------------------------------------------------
-from ..plans import load as L  # noqa: E402
-from ..session import shared_dir  # noqa: E402
-from ..sinks import files as W  # noqa: E402
-from ..sinks.publish import keyed_records  # noqa: E402
-from ..sources import files as R  # noqa: E402
-from ..sources.records import clean_records, envelopes, event_json  # noqa: E402
-from ..streaming import ingest_stream as S  # noqa: E402
-from ..streaming import state as ST  # noqa: E402
 
 LIVE_AS_OF = dt.datetime(2024, 1, 20)
 
@@ -515,23 +460,6 @@ def refresh_daily_by_date(spark, sf_dir):
     return L.read_daily_mart(spark, _loaded_star(spark, sf_dir, refresh=True))
 
 
-_base_queries3 = queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    out = _base_queries3()
-    out.update({
-        "explode_envelopes": explode_envelopes, "read_jsonl": read_jsonl,
-        "read_json_array": read_json_array, "write_jsonl": write_jsonl,
-        "publish_keyed": publish_keyed, "incremental_scan": incremental_scan,
-        "stream_ingest": stream_ingest, "latest_state": latest_state, "live_state": live_state,
-        "late_events_kept": late_events_kept, "append_table": append_table,
-        "fact_layout": fact_layout, "star_load": star_load, "load_summary": load_summary,
-        "refresh_daily_by_date": refresh_daily_by_date,
-    })
-    return out
-
-
 def compact_state(spark, sf_dir):
     """Log rewritten without overwritten and expired items; latest state unchanged for
     everything still live."""
@@ -542,10 +470,41 @@ def compact_state(spark, sf_dir):
     return ST.latest_state(spark.read.parquet(path))
 
 
-_base_queries4 = queries
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    # sources and scans
+    "scan_events": scan_events, "source_count": source_count, "incremental_scan": incremental_scan,
+    "explode_envelopes": explode_envelopes, "read_jsonl": read_jsonl,
+    "read_json_array": read_json_array,
+    # ingest
+    "decode_payload": decode_payload, "parse_payload": parse_payload,
+    "validate_required": validate_required, "parse_event_time": parse_event_time,
+    "event_ttl": event_ttl, "apply_defaults": apply_defaults, "duration_decimal": duration_decimal,
+    "split_rejects": split_rejects, "ingest_summary": ingest_summary, "state_items": state_items,
+    # projections, filters, joins, aggregates, windows
+    "project_events": project_events, "filter_action": filter_action,
+    "filter_last_month": filter_last_month, "action_counts": action_counts,
+    "lookup_user_key": lookup_user_key, "lookup_track_key": lookup_track_key,
+    "listening_minutes": listening_minutes, "avg_listen_seconds": avg_listen_seconds,
+    "distinct_counts": distinct_counts, "skip_rate": skip_rate, "distinct_dates": distinct_dates,
+    "latest_track_record": latest_track_record, "user_first_seen": user_first_seen,
+    "user_last_seen": user_last_seen, "user_primary_device": user_primary_device,
+    # star, marts, report
+    "dim_date": dim_date, "dim_tracks": dim_tracks, "dim_users": dim_users,
+    "fact_listens": fact_listens, "mv_daily_user_summary": mv_daily_user_summary,
+    "mv_track_performance": mv_track_performance, "most_skipped_tracks": most_skipped_tracks,
+    # stream and state
+    "stream_ingest": stream_ingest, "latest_state": latest_state, "live_state": live_state,
+    "compact_state": compact_state, "late_events_kept": late_events_kept,
+    # loads, sinks, maintenance
+    "star_load": star_load, "load_summary": load_summary,
+    "refresh_daily_by_date": refresh_daily_by_date, "append_table": append_table,
+    "upsert_dimension": upsert_dimension, "conform_users": conform_users,
+    "publish_keyed": publish_keyed, "write_jsonl": write_jsonl, "fact_layout": fact_layout,
+    # quality
+    "check_pk": check_pk, "check_fk": check_fk, "check_columns": check_columns,
+    "check_action_domain": check_action_domain,
+}
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    out = _base_queries4()
-    out["compact_state"] = compact_state
-    return out
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
