@@ -40,14 +40,67 @@ def current_dim(spark: SparkSession, warehouse: str, name: str, contract, below:
     return read_snapshot(spark, table_path(warehouse, name), empty_schema, below)
 
 
+def drop_redelivered(events: DataFrame, batch_id: int, warehouse: str,
+                     arrival: str | None = None) -> DataFrame:
+    """Events whose content (the nine fields, arrival ignored) was not loaded before.
+
+    Copies inside the batch collapse to one (an aggregate on the content key,
+    combined map side, so a large group of copies is no hot spot); earlier loads
+    are found in ``seen_events`` (content keys by ``batch_id`` and ``date_key``),
+    read only for the batch's days (dynamic partition pruning on the broadcast day
+    set, one row per day) and excluding this batch's own folder (so a retry gives
+    the same answer). With an ``arrival`` id the earliest copy is the one kept, so a
+    retry also keeps the same copy (and the same ``listen_key``).
+    """
+    from ..functions.dates import date_key
+    from ..functions.keys import content_key
+    from ..schemas import EVENT_FIELDS
+    keyed = events.withColumns({"_ck": content_key(events, EVENT_FIELDS),
+                                "_dk": date_key("event_timestamp")})
+    if arrival:
+        cols = [c for c in keyed.columns if c != "_ck"]
+        first = (keyed.groupBy("_ck")
+                 .agg(F.min_by(F.struct(*cols), F.col(arrival)).alias("_e"))
+                 .select("_ck", *[F.col("_e." + c).alias(c) for c in cols]))
+    else:
+        first = keyed.dropDuplicates(["_ck"])
+    seen_path = table_path(warehouse, "seen_events")
+    spark = events.sparkSession
+    from ..session import path_exists
+    if path_exists(spark, seen_path):
+        days = F.broadcast(first.select(F.col("_dk").alias("date_key")).distinct())
+        seen = (spark.read.schema("content_key bigint, batch_id bigint, date_key int").parquet(seen_path)
+                .where(F.col("batch_id") != F.lit(int(batch_id)))
+                .join(days, "date_key", "left_semi")
+                .select(F.col("content_key").alias("_ck")))
+        first = first.join(seen, "_ck", "left_anti")
+    return first
+
+
+def record_seen(events: DataFrame, batch_id: int, warehouse: str) -> None:
+    from ..functions.dates import date_key
+    from ..functions.keys import content_key
+    from ..schemas import EVENT_FIELDS
+    keys = events.select(content_key(events, EVENT_FIELDS).alias("content_key"),
+                         F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
+                         date_key("event_timestamp").alias("date_key"))
+    write_batch_partitions(keys, table_path(warehouse, "seen_events"), ["batch_id", "date_key"])
+
+
 def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str | None = None,
                loaded_at: dt.datetime | None = None, tie: list[str] | None = None,
-               refresh_daily: bool = False) -> dict[str, int] | None:
+               refresh_daily: bool = False, dedupe: bool = False) -> dict[str, int] | None:
+    """Load one batch (see the module notes). With ``dedupe`` an event already
+    loaded (same content) is dropped instead of appended again."""
     spark = events.sparkSession
+    if dedupe:
+        events = drop_redelivered(events, batch_id, warehouse, arrival).drop("_ck", "_dk")
     ev = events.persist()           # one read of the batch feeds the test, 3 dims and the fact
     try:
         if ev.isEmpty():
             return None
+        if dedupe:
+            record_seen(ev, batch_id, warehouse)
         counts = {}
         new_date = C.conform(dims.dim_date(ev), DIM_DATE)
         new_tracks = dims.dim_tracks(ev, tie=tie, arrival=arrival)

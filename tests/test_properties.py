@@ -106,3 +106,24 @@ def test_publish_counts_records(spark, tmp_path):
     from earshot.sinks.publish import keyed_records, publish
     ev = suite._events(spark, SF_SMALL)
     assert publish(keyed_records(ev), "json", path=str(tmp_path / "out")) == ev.count()
+
+
+def test_dedupe_drops_redelivered_events(spark, tmp_path):
+    from earshot.plans import load as L
+    ev = suite._events(spark, SF_SMALL)
+    wh = str(tmp_path / "wh")
+    h1 = suite._before(ev, suite.HALF)
+    L.load_batch(h1, 0, wh, arrival="event_id", tie=["event_id"], dedupe=True)
+    # batch 1 redelivers all of h1 (new arrival ids) plus a copy of it inside the batch
+    again = h1.withColumn("event_id", F.col("event_id") + 10**9)
+    more = suite._from(ev, suite.HALF)
+    L.load_batch(again.unionByName(again).unionByName(more), 1, wh, arrival="event_id",
+                 tie=["event_id"], dedupe=True)
+    fact = L.read_star(spark, wh)["fact_listens"]
+    assert fact.count() == ev.count()
+    keys = sorted(r.listen_key for r in fact.select("listen_key").collect())
+    # a retry of batch 1 gives the same fact, keys included
+    L.load_batch(again.unionByName(again).unionByName(more), 1, wh, arrival="event_id",
+                 tie=["event_id"], dedupe=True)
+    fact = L.read_star(spark, wh)["fact_listens"]
+    assert sorted(r.listen_key for r in fact.select("listen_key").collect()) == keys
