@@ -17,10 +17,11 @@ B64_FOREIGN = r"[^A-Za-z0-9+/=]"
 # Shape: alphabet characters, at most two '=' at the end, length a multiple of 4. (Same
 # language as ^([A-Za-z0-9+/]{4})*([A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$ but without a
 # repeated group, which Java matches recursively: slow, and a stack overflow on long text.)
-B64_SHAPE = r"^[A-Za-z0-9+/]*={0,2}$"
+# (\z, not $: in Java $ also matches before a final line break.)
+B64_SHAPE = r"^[A-Za-z0-9+/]*={0,2}\z"
 # ISO-8601 date or date-time, optional fraction and zone.
 ISO_SHAPE = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-             r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$")
+             r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?\z")
 # End marker appended after the payload: text after a complete JSON value is refused.
 SENTINEL = "earshot:end-of-payload:4d9b2f7e1a6c"
 BOM = "\ufeff"
@@ -102,9 +103,9 @@ def first_missing(v: Column) -> Column:
 
 def iso_normalised(s: Column) -> Column:
     """Date-only -> midnight; HH:MM -> HH:MM:00; no zone -> UTC ('Z')."""
-    t = F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.concat(s, F.lit("T00:00:00"))).otherwise(s)
-    t = F.regexp_replace(t, r"^(.{10}[T ][0-9]{2}:[0-9]{2})(Z?|[+-][0-9]{2}:[0-9]{2})$", "$1:00$2")
-    return F.when(t.rlike(r"(Z|[+-][0-9]{2}:[0-9]{2})$"), t).otherwise(F.concat(t, F.lit("Z")))
+    t = F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), F.concat(s, F.lit("T00:00:00"))).otherwise(s)
+    t = F.regexp_replace(t, r"^(.{10}[T ][0-9]{2}:[0-9]{2})(Z?|[+-][0-9]{2}:[0-9]{2})\z", "$1:00$2")
+    return F.when(t.rlike(r"(Z|[+-][0-9]{2}:[0-9]{2})\z"), t).otherwise(F.concat(t, F.lit("Z")))
 
 
 def parse_event_time(s: Column) -> Column:

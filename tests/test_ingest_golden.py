@@ -41,6 +41,8 @@ CASES = [
     ("trailing_comma", b64(OKJ[:-1] + ",}"), "bad_json"),
     ("raw_tab", b64(OKJ.replace("sess_abc", "sess\tabc")), "bad_json"),
     ("newline_after", b64(OKJ + "\n"), None),
+    ("base64_then_newline", b64(OKJ) + "\n", None),
+    ("ts_then_newline", b64(with_(event_timestamp="2024-01-15\n")), "bad_timestamp"),
     ("bom", b64("\ufeff" + OKJ), None),
     ("nan", b64(OKJ.replace("45000", "NaN")), "bad_json"),
     ("true_duration", b64(OKJ.replace("45000", "true")), "bad_duration"),
