@@ -2,6 +2,7 @@
 rules are easy to get subtly wrong: lenient base64 and ISO-8601 event times."""
 
 import base64
+import json
 import binascii
 import datetime as dt
 import random
@@ -80,3 +81,45 @@ def test_event_time_agrees_with_stdlib(spark):
     got = df.select("s", X.ttl_epoch(X.parse_event_time(F.col("s"))).alias("ttl")).collect()
     for r in got:
         assert r.ttl == py_ttl(r.s), (r.s, r.ttl, py_ttl(r.s))
+
+
+def json_cases(rnd):
+    out = []
+    for _ in range(400):
+        obj = {f"k{i}": rnd.choice([1, -2.5, "x y", None, True, [1, 2], {"a": "b"}])
+               for i in range(rnd.randrange(0, 5))}
+        s = json.dumps(obj, separators=rnd.choice([(",", ":"), (", ", ": ")]))
+        kind = rnd.randrange(10)
+        if kind == 1 and len(s) > 1:
+            s = s[:rnd.randrange(1, len(s))]                  # cut
+        elif kind == 2:
+            s = s + rnd.choice([" x", "}", ",", "{}", " 1", "\n", " ", "\t"])   # after the value
+        elif kind == 3:
+            s = rnd.choice([" ", "\n", "\t"]) + s               # before the value
+        elif kind == 4:
+            s = s.replace('"', "'", 2)                           # single quotes
+        elif kind == 5 and '"x y"' in s:
+            s = s.replace('"x y"', '"x\ty"')                     # raw control character
+        elif kind == 6 and ":1" in s.replace(" ", ""):
+            s = s.replace("1", "01", 1)                          # leading zero
+        elif kind == 7:
+            s = s.replace("}", ",}", 1) if len(obj) else s       # trailing comma
+        elif kind == 8:
+            s = "/*c*/" + s                                      # comment
+        out.append(s)
+    return out
+
+
+def py_is_object(s):
+    try:
+        return isinstance(json.loads(s), dict)
+    except ValueError:
+        return False
+
+
+def test_strict_json_agrees_with_stdlib(spark):
+    cases = json_cases(random.Random(5))
+    df = spark.createDataFrame([(s,) for s in cases], "s string")
+    got = df.select("s", X.is_object(X.parse_json_strict(F.col("s"))).alias("ok")).collect()
+    for r in got:
+        assert r.ok == py_is_object(r.s), (r.s, r.ok)
