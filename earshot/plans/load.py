@@ -126,15 +126,20 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
 
 def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, checkpoint: str,
                     arrival: str | None = None, loaded_at: dt.datetime | None = None,
-                    tie: list[str] | None = None, refresh_daily: bool = False):
-    """Incremental load of every Parquet file under ``source`` not yet processed."""
+                    tie: list[str] | None = None, refresh_daily: bool = False,
+                    dedupe: bool = False, every: str | None = None):
+    """Incremental load of every Parquet file under ``source`` not yet processed.
+
+    By default one run takes what is new and stops (``availableNow``: a scheduled
+    job); ``every="1 hour"`` keeps the query running with that trigger instead.
+    """
     stream = spark.readStream.schema(schema).parquet(source)
-    return (stream.writeStream
-            .foreachBatch(lambda df, bid: load_batch(df, bid, warehouse, arrival, loaded_at, tie,
-                                                     refresh_daily))
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start())
+    writer = (stream.writeStream
+              .foreachBatch(lambda df, bid: load_batch(df, bid, warehouse, arrival, loaded_at, tie,
+                                                       refresh_daily, dedupe))
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:

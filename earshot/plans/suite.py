@@ -390,6 +390,11 @@ def _ingest_runs(spark, parts, name):
     return root
 
 
+def _ingest_more(spark, root, recs, part):
+    W.write_jsonl(envelopes(recs), f"{root}/in/part={part}")
+    S.start_ingest(spark, f"{root}/in/*", root, f"{root}/ckpt").awaitTermination()
+
+
 def stream_ingest(spark, sf_dir):
     h1, h2 = _halves(spark, sf_dir)
     root = _ingest_runs(spark, [test_records(h1), test_records(h2)], "stream")
@@ -464,10 +469,10 @@ def compact_state(spark, sf_dir):
     """Log rewritten without overwritten and expired items; latest state unchanged for
     everything still live."""
     h1, h2 = _halves(spark, sf_dir)
-    root = _ingest_runs(spark, [_day_records(h1), _day_records(h2)], "compact")
-    path = f"{root}/state_log_compacted"
-    ST.write_compacted(spark, S.read_log(spark, root), path, LIVE_AS_OF)
-    return ST.latest_state(spark.read.parquet(path))
+    root = _ingest_runs(spark, [_day_records(h1)], "compact")
+    S.compact(spark, root, LIVE_AS_OF)
+    _ingest_more(spark, root, _day_records(h2), 1)
+    return ST.live_state(ST.latest_state(S.read_log(spark, root)), LIVE_AS_OF)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -22,7 +22,7 @@ from .state import ITEM_COLUMNS, write_order
 
 def state_paths(root: str) -> dict[str, str]:
     return {"log": f"{root}/state_log", "dead": f"{root}/dead_letters",
-            "summary": f"{root}/batch_summary"}
+            "summary": f"{root}/batch_summary", "compacted": f"{root}/state_compacted"}
 
 
 def process_batch(records: DataFrame, batch_id: int, root: str, payload: str | None = None) -> None:
@@ -95,4 +95,28 @@ def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(state_paths(root)["log"])
+    """The state log to read: the newest committed compaction (covering batches up to
+    its version) plus only the log batches after it (pruned by ``batch_id``)."""
+    from ..sinks.files import committed_versions
+    log = spark.read.parquet(state_paths(root)["log"])
+    versions = committed_versions(spark, state_paths(root)["compacted"])
+    if not versions:
+        return log
+    upto = versions[-1]
+    compacted = spark.read.parquet(f"{state_paths(root)['compacted']}/v={upto}")
+    return compacted.unionByName(log.where(F.col("batch_id") > F.lit(upto)), allowMissingColumns=True)
+
+
+def compact(spark: SparkSession, root: str, as_of) -> int:
+    """Write the live latest items of everything logged so far as compaction version
+    ``v=<last batch>``; later reads skip the log up to that batch. Returns rows kept."""
+    from ..sinks.files import write_snapshot
+    from .state import compact_state, ITEM_COLUMNS as ITEMS
+    current = read_log(spark, root)
+    upto = current.agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        return 0
+    kept = compact_state(current, as_of).select(
+        *ITEMS, F.lit(-1).cast("bigint").alias("batch_id"), F.lit(0).alias("seq_len"),
+        F.lit("").alias("seq"), F.lit("").alias("source_file"), F.lit(0).alias("pos"))
+    return write_snapshot(kept, state_paths(root)["compacted"], int(upto))

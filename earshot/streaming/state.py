@@ -55,18 +55,3 @@ def compact_state(log: DataFrame, as_of: dt.datetime | dt.date | int) -> DataFra
     """Log rows that still matter: the latest per key and not expired."""
     return live_state(latest_state(log), as_of)
 
-
-def write_compacted(spark, log: DataFrame, path: str, as_of: dt.datetime | dt.date | int) -> int:
-    """Rewrite the log as one batch holding only the live latest items.
-
-    The compacted log keeps the log's columns (batch ``-1``, order columns of the
-    kept write), so ``latest_state`` over it, or over it plus newer batches,
-    gives the same answer as over the full log.
-    """
-    from ..sinks.files import write_batch_partitions
-    keep = live_state(latest_per_key(log, STATE_KEY, ORDER_COLUMNS, tie=[],
-                                     cols=[c for c in log.columns
-                                           if c not in STATE_KEY and c not in ORDER_COLUMNS]
-                                     + [c for c in ORDER_COLUMNS if c != "batch_id"]), as_of)
-    compacted = keep.withColumn("batch_id", F.lit(-1).cast("bigint"))
-    return write_batch_partitions(compacted, path, ["batch_id"])

@@ -108,3 +108,18 @@ def test_parquet_scan_arrival_is_unique(spark, tmp_path):
     ev.write.parquet(str(tmp_path / "ev"))
     scanned = R.read_events(spark, str(tmp_path / "ev"), arrival=True)
     assert scanned.select("_arrival").distinct().count() == ev.count()
+
+
+def test_compaction_then_newer_batch(spark):
+    import datetime as dt
+    root = tempfile.mkdtemp(prefix="earshot-test-")
+    run(spark, root, [[json.dumps({"Records": [rec(1, action="PLAY"), rec(2, user_id="u2")]})]])
+    kept = S.compact(spark, root, dt.datetime(2024, 1, 15))
+    assert kept == 2
+    # after compaction the old batch is not read again
+    plan = S.read_log(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "state_compacted" in plan
+    write_lines(f"{root}/in/part=9", "e.json", [json.dumps({"Records": [rec(5, action="SKIP")]})])
+    S.start_ingest(spark, f"{root}/in/*", root, f"{root}/ckpt").awaitTermination()
+    latest = {(r.user_id, r.action) for r in ST.latest_state(S.read_log(spark, root)).collect()}
+    assert latest == {("u1", "SKIP"), ("u2", "PLAY")}
