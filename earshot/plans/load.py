@@ -89,9 +89,11 @@ def record_seen(events: DataFrame, batch_id: int, warehouse: str) -> None:
 
 def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str | None = None,
                loaded_at: dt.datetime | None = None, tie: list[str] | None = None,
-               refresh_daily: bool = False, dedupe: bool = False) -> dict[str, int] | None:
+               refresh_daily: bool = False, dedupe: bool = False,
+               cluster_partitions: int | None = None) -> dict[str, int] | None:
     """Load one batch (see the module notes). With ``dedupe`` an event already
-    loaded (same content) is dropped instead of appended again."""
+    loaded (same content) is dropped instead of appended again;
+    ``cluster_partitions`` clusters the fact write by day (backfills)."""
     spark = events.sparkSession
     if dedupe:
         events = drop_redelivered(events, batch_id, warehouse, arrival).drop("_ck", "_dk")
@@ -113,7 +115,8 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
             merged = merge.upsert(cur, new, contract, rules, loaded_at=loaded_at)
             counts[name] = write_snapshot(merged, table_path(warehouse, name), batch_id)
         fact = C.conform(facts.fact_listens(ev, arrival=arrival), FACT_LISTENS, loaded_at=loaded_at)
-        counts["fact_listens"] = write_fact(fact, table_path(warehouse, "fact_listens"), batch_id)
+        counts["fact_listens"] = write_fact(fact, table_path(warehouse, "fact_listens"), batch_id,
+                                            cluster_partitions=cluster_partitions)
         summary = spark.createDataFrame([(int(batch_id), k, int(v)) for k, v in counts.items()],
                                         "batch_id bigint, table_name string, rows bigint")
         write_batch_partitions(summary, table_path(warehouse, "load_summary"), ["batch_id"])

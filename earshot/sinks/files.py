@@ -39,7 +39,8 @@ def write_batch_partitions(df: DataFrame, path: str, partition_by: list[str],
     return int(obs.get["rows"])
 
 
-def write_fact(fact: DataFrame, path: str, batch_id: int | None = None) -> int:
+def write_fact(fact: DataFrame, path: str, batch_id: int | None = None,
+               cluster_partitions: int | None = None, salt: int = 64) -> int:
     """Fact layout: partitioned by ``date_key`` (report filters on the date prune
     whole folders), rows sorted by (event_timestamp, user_key, action) inside each
     file so Parquet min/max statistics skip row groups on time ranges.

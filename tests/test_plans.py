@@ -39,3 +39,12 @@ def test_stored_fact_prunes_partitions(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "fact")).where(F.col("date_key") >= 20240125)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_key" in p and "20240125" in p
+
+
+def test_clustered_fact_write_same_rows(spark, tmp_path):
+    from earshot.sinks.files import write_fact
+    f = suite._fact(spark, SF_SMALL)
+    n = write_fact(f, str(tmp_path / "fact"), cluster_partitions=4)
+    back = spark.read.parquet(str(tmp_path / "fact"))
+    assert n == f.count() == back.count()
+    assert back.select("listen_key").distinct().count() == n
