@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import conform as C
 from ..operators import dims, facts, marts, merge
 from ..schemas import DIM_DATE, DIM_TRACKS, DIM_USERS, FACT_LISTENS
+from ..session import ensure_conf
 from ..sinks.files import read_snapshot, write_batch_partitions, write_fact, write_snapshot
 
 TABLES = ["dim_date", "dim_tracks", "dim_users", "fact_listens"]
@@ -95,6 +96,7 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
     loaded (same content) is dropped instead of appended again;
     ``cluster_partitions`` clusters the fact write by day (backfills)."""
     spark = events.sparkSession
+    ensure_conf(spark)              # UTC: instants become wall-clock days and keys in UTC
     if dedupe:
         events = drop_redelivered(events, batch_id, warehouse, arrival).drop("_ck", "_dk")
     ev = events.persist()           # one read of the batch feeds the test, 3 dims and the fact
@@ -136,6 +138,7 @@ def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, ch
     By default one run takes what is new and stops (``availableNow``: a scheduled
     job); ``every="1 hour"`` keeps the query running with that trigger instead.
     """
+    ensure_conf(spark)
     stream = spark.readStream.schema(schema).parquet(source)
     writer = (stream.writeStream
               .foreachBatch(lambda df, bid: load_batch(df, bid, warehouse, arrival, loaded_at, tie,

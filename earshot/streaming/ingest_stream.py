@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import ingest
 from ..schemas import ENVELOPE_SCHEMA
+from ..session import ensure_conf
 from ..sinks.files import write_batch_partitions
 from ..sources.files import explode_envelopes
 from .state import ITEM_COLUMNS, write_order
@@ -32,6 +33,7 @@ def process_batch(records: DataFrame, batch_id: int, root: str, payload: str | N
     binary ``payload`` column (named by ``payload``).
     """
     paths = state_paths(root)
+    ensure_conf(records.sparkSession)
     parallelism = records.sparkSession.sparkContext.defaultParallelism
     if payload is not None and "data" not in records.columns:
         records = records.withColumn("data", F.base64(F.col(payload)))   # kept for dead letters
@@ -76,6 +78,7 @@ def keyed_log_records(messages: DataFrame) -> DataFrame:
 def run_ingest(records: DataFrame, root: str, checkpoint: str, available_now: bool = True,
                processing_time: str | None = None, payload: str | None = None):
     """Start the ingest stream over any streaming DataFrame of records."""
+    ensure_conf(records.sparkSession)
     writer = (records.writeStream
               .foreachBatch(lambda df, bid: process_batch(df, bid, root, payload))
               .option("checkpointLocation", checkpoint))
