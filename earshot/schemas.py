@@ -38,6 +38,8 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 # A stream record batch: {"Records": [{"kinesis": {"data": <base64>, "sequenceNumber": ..}}]}
+# (fixed values: the field names Records, kinesis, data, sequenceNumber, partitionKey belong to
+# the record format the stream delivers)
 RECORD_SCHEMA = T.StructType([
     T.StructField("kinesis", T.StructType([
         T.StructField("data", T.StringType()),
