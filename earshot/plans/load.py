@@ -132,7 +132,8 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
 def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, checkpoint: str,
                     arrival: str | None = None, loaded_at: dt.datetime | None = None,
                     tie: list[str] | None = None, refresh_daily: bool = False,
-                    dedupe: bool = False, every: str | None = None):
+                    dedupe: bool = False, every: str | None = None,
+                    cluster_partitions: int | None = None):
     """Incremental load of every Parquet file under ``source`` not yet processed.
 
     By default one run takes what is new and stops (``availableNow``: a scheduled
@@ -142,7 +143,7 @@ def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, ch
     stream = spark.readStream.schema(schema).parquet(source)
     writer = (stream.writeStream
               .foreachBatch(lambda df, bid: load_batch(df, bid, warehouse, arrival, loaded_at, tie,
-                                                       refresh_daily, dedupe))
+                                                       refresh_daily, dedupe, cluster_partitions))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
