@@ -4,6 +4,11 @@ Written as one aggregate, ``max_by(struct(payload), struct(order..., tie...))``.
 The aggregate combines on the map side, so a key that holds a third of all rows
 still sends one partial row per input partition through the shuffle; the window
 form would sort all of that key's rows in one task.
+
+A struct-valued ``max_by`` has no fixed-width buffer, so Spark runs it as a
+sort-based aggregate: each task sorts its own split (spilling if needed) and emits
+one row per key. The hash-only alternative — ``max(t)`` per key, then a join back
+to the rows at that time — would shuffle every row a second time.
 """
 
 from __future__ import annotations
