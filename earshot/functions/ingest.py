@@ -79,7 +79,10 @@ def parse_json_strict(text: Column) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    """The value is a JSON object. Extracting it as a struct with no fields succeeds only
+    for objects and reads no field (``schema_of_variant`` would walk the whole value;
+    about 4 times slower)."""
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
 def present(v: Column, field: str) -> Column:
