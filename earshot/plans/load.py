@@ -19,6 +19,7 @@ nothing. Per batch:
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -105,20 +106,28 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
             return None
         if dedupe:
             record_seen(ev, batch_id, warehouse)
-        counts = {}
         new_date = C.conform(dims.dim_date(ev), DIM_DATE)
         new_tracks = dims.dim_tracks(ev, tie=tie, arrival=arrival)
         new_users = dims.dim_users(ev, tie=tie, arrival=arrival)
         plan = [("dim_date", DIM_DATE, new_date, None),
                 ("dim_tracks", DIM_TRACKS, new_tracks, None),
                 ("dim_users", DIM_USERS, new_users, merge.user_rules_with_device())]
-        for name, contract, new, rules in plan:
+
+        def write_dim(name, contract, new, rules):
             cur = current_dim(spark, warehouse, name, contract, below=batch_id)
             merged = merge.upsert(cur, new, contract, rules, loaded_at=loaded_at)
-            counts[name] = write_snapshot(merged, table_path(warehouse, name), batch_id)
-        fact = C.conform(facts.fact_listens(ev, arrival=arrival), FACT_LISTENS, loaded_at=loaded_at)
-        counts["fact_listens"] = write_fact(fact, table_path(warehouse, "fact_listens"), batch_id,
-                                            cluster_partitions=cluster_partitions)
+            return name, write_snapshot(merged, table_path(warehouse, name), batch_id)
+
+        def write_facts():
+            fact = C.conform(facts.fact_listens(ev, arrival=arrival), FACT_LISTENS, loaded_at=loaded_at)
+            return "fact_listens", write_fact(fact, table_path(warehouse, "fact_listens"), batch_id,
+                                              cluster_partitions=cluster_partitions)
+
+        # The four writes are independent jobs over the cached batch: submitted together
+        # they share the executors instead of queueing one after another.
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            futures = [pool.submit(write_dim, *p) for p in plan] + [pool.submit(write_facts)]
+            counts = dict(f.result() for f in futures)
         summary = spark.createDataFrame([(int(batch_id), k, int(v)) for k, v in counts.items()],
                                         "batch_id bigint, table_name string, rows bigint")
         write_batch_partitions(summary, table_path(warehouse, "load_summary"), ["batch_id"])
