@@ -11,6 +11,8 @@ late events are always written (their expiry is handled by ``live_state``).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import ingest
@@ -44,12 +46,16 @@ def process_batch(records: DataFrame, batch_id: int, root: str, payload: str | N
     try:
         items = parsed.where(F.col("error").isNull()).select(
             *ITEM_COLUMNS, "seq_len", "seq", "source_file", "pos", "batch_id")
-        write_batch_partitions(items, paths["log"], ["batch_id"])
         dead = parsed.where(F.col("error").isNotNull()).select(
             "batch_id", "source_file", "pos", "seq", "data", "error")
-        write_batch_partitions(dead, paths["dead"], ["batch_id"])
         summary = ingest.summary(parsed).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        write_batch_partitions(summary, paths["summary"], ["batch_id"])
+        # independent jobs over the cached parse, submitted together (a cached block is
+        # computed once; a concurrent reader waits for it)
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            for f in [pool.submit(write_batch_partitions, items, paths["log"], ["batch_id"]),
+                      pool.submit(write_batch_partitions, dead, paths["dead"], ["batch_id"]),
+                      pool.submit(write_batch_partitions, summary, paths["summary"], ["batch_id"])]:
+                f.result()
     finally:
         parsed.unpersist()
 
