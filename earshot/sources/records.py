@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..schemas import EVENT_FIELDS
+from ..schemas import EVENT_FIELDS, PUBLISH_BATCH_SIZE
 
 # ---- fixed values: flaw classes of the test records (event_id % FLAW_MOD) ---------------
 FLAW_MOD = 47
@@ -115,7 +115,7 @@ def clean_records(ev: DataFrame, ts_text: Column | None = None) -> DataFrame:
                      unwrapped_base64(F.encode(event_json(ev, ts_text), "UTF-8")).alias("data"))
 
 
-def envelopes(records: DataFrame, per_envelope: int = 100) -> DataFrame:
+def envelopes(records: DataFrame, per_envelope: int = PUBLISH_BATCH_SIZE) -> DataFrame:
     """Group records into ``{"Records": [...]}`` batches of ``per_envelope`` consecutive
     event ids (a fixed bound on every group), as one JSON text per batch."""
     rec = F.struct(F.struct(F.col("data"), F.col("seq").alias("sequenceNumber")).alias("kinesis"))
