@@ -40,19 +40,26 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
                            .json(path)).select(*EVENT_FIELDS)
 
 
+def with_line_order(envelopes: DataFrame) -> DataFrame:
+    """``line``: grows with the envelope's position inside its file (a file's splits
+    are read in offset order), the order of envelopes without sequence numbers.
+    Batch DataFrames only (streaming plans refuse the id; ingest adds it per batch)."""
+    return envelopes.withColumn("line", F.monotonically_increasing_id())
+
+
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     """Record batches ``{"Records": [...]}``, one per line."""
-    return spark.read.schema(ENVELOPE_SCHEMA).json(path) \
-        .withColumn("source_file", F.col("_metadata.file_path"))
+    return with_line_order(spark.read.schema(ENVELOPE_SCHEMA).json(path)
+                           .withColumn("source_file", F.col("_metadata.file_path")))
 
 
 def explode_envelopes(envelopes: DataFrame) -> DataFrame:
-    """One row per record: (source_file, pos, seq, data).
+    """One row per record: (source_file, line, pos, seq, data).
 
     A missing or empty ``Records`` yields no rows; a record without ``kinesis``
     yields NULL data and is counted as failed by ingest.
     """
-    keep = [c for c in ("source_file", "batch_id") if c in envelopes.columns]
+    keep = [c for c in ("source_file", "line", "batch_id") if c in envelopes.columns]
     return envelopes.select(*keep, F.posexplode("Records").alias("pos", "rec")).select(
         *keep, "pos", F.col("rec.kinesis.sequenceNumber").alias("seq"),
         F.col("rec.kinesis.data").alias("data"))

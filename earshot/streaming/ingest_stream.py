@@ -19,7 +19,7 @@ from ..operators import ingest
 from ..schemas import ENVELOPE_SCHEMA
 from ..session import ensure_conf
 from ..sinks.files import write_batch_partitions
-from ..sources.files import explode_envelopes
+from ..sources.files import explode_envelopes, with_line_order
 from .state import ITEM_COLUMNS, write_order
 
 
@@ -32,20 +32,24 @@ def process_batch(records: DataFrame, batch_id: int, root: str, payload: str | N
     """Parse one micro-batch of records and write its three outputs.
 
     ``records`` has ``seq``, ``source_file``, ``pos`` and either base64 ``data`` or a
-    binary ``payload`` column (named by ``payload``).
+    binary ``payload`` column (named by ``payload``); or it is a batch of envelopes
+    (a ``Records`` column), which is exploded here.
     """
     paths = state_paths(root)
     ensure_conf(records.sparkSession)
+    if "Records" in records.columns:          # envelopes: number lines, then explode
+        records = explode_envelopes(with_line_order(records))
     parallelism = records.sparkSession.sparkContext.defaultParallelism
     if payload is not None and "data" not in records.columns:
         records = records.withColumn("data", F.base64(F.col(payload)))   # kept for dead letters
     parsed = (ingest.parse_records(records, min_partitions=parallelism, payload=payload)
               .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-              .withColumns(write_order(F.col("seq"), F.col("source_file"), F.col("pos")))
+              .withColumns(write_order(F.col("seq"), F.col("source_file"), F.col("pos"),
+                                       F.col("line") if "line" in records.columns else F.lit(0)))
               .persist())
     try:
         items = parsed.where(F.col("error").isNull()).select(
-            *ITEM_COLUMNS, "seq_len", "seq", "source_file", "pos", "batch_id")
+            *ITEM_COLUMNS, "seq_len", "seq", "source_file", "line", "pos", "batch_id")
         dead = parsed.where(F.col("error").isNotNull()).select(
             "batch_id", "source_file", "pos", "seq", "data", "error")
         summary = ingest.summary(parsed).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
@@ -62,12 +66,12 @@ def process_batch(records: DataFrame, batch_id: int, root: str, payload: str | N
 
 def envelope_records(spark: SparkSession, source: str,
                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming records from files of envelopes (one ``{"Records": [...]}`` per line)."""
+    """Streaming envelopes from files (one ``{"Records": [...]}`` per line); each
+    micro-batch is exploded into records by ``process_batch``."""
     reader = spark.readStream.schema(ENVELOPE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    envelopes = reader.json(source).withColumn("source_file", F.col("_metadata.file_path"))
-    return explode_envelopes(envelopes)
+    return reader.json(source).withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def keyed_log_records(messages: DataFrame) -> DataFrame:
@@ -83,7 +87,7 @@ def keyed_log_records(messages: DataFrame) -> DataFrame:
 
 def run_ingest(records: DataFrame, root: str, checkpoint: str, available_now: bool = True,
                processing_time: str | None = None, payload: str | None = None):
-    """Start the ingest stream over any streaming DataFrame of records."""
+    """Start the ingest stream over any streaming DataFrame of records (or envelopes)."""
     ensure_conf(records.sparkSession)
     writer = (records.writeStream
               .foreachBatch(lambda df, bid: process_batch(df, bid, root, payload))
@@ -127,5 +131,6 @@ def compact(spark: SparkSession, root: str, as_of) -> int:
         return 0
     kept = compact_state(current, as_of).select(
         *ITEMS, F.lit(-1).cast("bigint").alias("batch_id"), F.lit(0).alias("seq_len"),
-        F.lit("").alias("seq"), F.lit("").alias("source_file"), F.lit(0).alias("pos"))
+        F.lit("").alias("seq"), F.lit("").alias("source_file"), F.lit(0).cast("bigint").alias("line"),
+        F.lit(0).alias("pos"))
     return write_snapshot(kept, state_paths(root)["compacted"], int(upto))

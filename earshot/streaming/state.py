@@ -21,13 +21,16 @@ from ..operators.latest import latest_per_key
 from ..schemas import STATE_KEY, STATE_SCHEMA
 
 ITEM_COLUMNS = [f.name for f in STATE_SCHEMA.fields]
-ORDER_COLUMNS = ["batch_id", "seq_len", "seq", "source_file", "pos"]
+ORDER_COLUMNS = ["batch_id", "seq_len", "seq", "source_file", "line", "pos"]
 
 
-def write_order(seq: Column, source_file: Column, pos: Column) -> dict[str, Column]:
+def write_order(seq: Column, source_file: Column, pos: Column,
+                line: Column | None = None) -> dict[str, Column]:
     """Columns that order writes inside a batch: a stream's sequence numbers are
-    decimal strings of growing length, so (length, text) orders them numerically."""
-    return {"seq_len": F.length(seq), "seq": seq, "source_file": source_file, "pos": pos}
+    decimal strings of growing length, so (length, text) orders them numerically;
+    without them, the envelope's line in its file, then the position in the envelope."""
+    return {"seq_len": F.length(seq), "seq": seq, "source_file": source_file,
+            "line": (line if line is not None else F.lit(0)).cast("bigint"), "pos": pos}
 
 
 def latest_state(log: DataFrame) -> DataFrame:

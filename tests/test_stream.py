@@ -123,3 +123,16 @@ def test_compaction_then_newer_batch(spark):
     S.start_ingest(spark, f"{root}/in/*", root, f"{root}/ckpt").awaitTermination()
     latest = {(r.user_id, r.action) for r in ST.latest_state(S.read_log(spark, root)).collect()}
     assert latest == {("u1", "SKIP"), ("u2", "PLAY")}
+
+
+def test_envelopes_without_sequence_numbers_follow_line_order(spark):
+    root = tempfile.mkdtemp(prefix="earshot-test-")
+
+    def bare(**kw):
+        return {"kinesis": {"data": base64.b64encode(json.dumps({**EV, **kw}).encode()).decode()}}
+    lines = [json.dumps({"Records": [bare(action="PLAY"), bare(action="PAUSE")]}),
+             json.dumps({"Records": [bare(action="SKIP")]}),
+             json.dumps({"Records": [bare(action="COMPLETE", user_id="u2")]})]
+    run(spark, root, [lines])
+    latest = {r.user_id: r.action for r in ST.latest_state(S.read_log(spark, root)).collect()}
+    assert latest == {"u1": "SKIP", "u2": "COMPLETE"}
