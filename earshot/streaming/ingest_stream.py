@@ -44,6 +44,8 @@ def process_batch(records: DataFrame, batch_id: int, root: str, payload: str | N
         records = records.withColumn("data", F.base64(F.col(payload)))   # kept for dead letters
     parsed = (ingest.parse_records(records, min_partitions=parallelism, payload=payload)
               .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+              # the raw payload is kept only where it is needed: dead letters
+              .withColumn("data", F.when(F.col("error").isNotNull(), F.col("data")))
               .withColumns(write_order(F.col("seq"), F.col("source_file"), F.col("pos"),
                                        F.col("line") if "line" in records.columns else F.lit(0)))
               .persist())
