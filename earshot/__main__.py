@@ -36,7 +36,8 @@ def _parser() -> argparse.ArgumentParser:
     ld.add_argument("--warehouse", required=True)
     ld.add_argument("--checkpoint", required=True)
     ld.add_argument("--every", default=None, help='e.g. "1 hour"; default: one run')
-    ld.add_argument("--arrival", default=None, help="column that identifies an event's arrival")
+    ld.add_argument("--arrival", default=None,
+                    help="column that identifies an event's arrival, or _file_row (file + row index)")
     ld.add_argument("--dedupe", action="store_true")
     ld.add_argument("--refresh-daily", action="store_true")
 
@@ -61,7 +62,7 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _event_schema(arrival: str | None) -> T.StructType:
-    if not arrival:
+    if not arrival or arrival == L.FILE_ROW:
         return EVENT_SCHEMA
     return T.StructType(EVENT_SCHEMA.fields + [T.StructField(arrival, T.StringType())])
 

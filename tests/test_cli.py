@@ -16,3 +16,16 @@ def test_load_report_marts(spark, tmp_path):
     assert 0 < len(rep["rows"]) <= 10
     m = main(["marts", "--warehouse", wh])
     assert m["mv_daily_user_summary"] > 0 and m["mv_track_performance"] > 0
+
+
+def test_file_row_arrival_separates_copies(spark, tmp_path):
+    from earshot.plans import load as L
+    ev = suite._events(spark, SF_SMALL).drop("event_id")
+    src = tmp_path / "src"
+    ev.unionByName(ev).write.parquet(str(src / "part=0"))      # every event twice
+    wh, ck = str(tmp_path / "wh"), str(tmp_path / "ck")
+    out = main(["load", "--source", f"{src}/*", "--warehouse", wh, "--checkpoint", ck,
+                "--arrival", L.FILE_ROW])
+    fact = L.read_star(spark, wh)["fact_listens"]
+    assert out["tables"]["fact_listens"] == 2 * ev.count()
+    assert fact.select("listen_key").distinct().count() == 2 * ev.count()
