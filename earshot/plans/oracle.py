@@ -366,8 +366,12 @@ def ingest_sql() -> dict[str, str]:
 
 def io_sql() -> dict[str, str]:
     q = {}
-    q["explode_envelopes"] = with_(OVERLAY, "SELECT event_id, CAST(event_id % 100 AS INTEGER) AS pos, "
-                                            "true AS has_data FROM ev")
+    q["explode_envelopes"] = with_(OVERLAY, """
+        SELECT event_id, CAST(row_number() OVER (PARTITION BY event_id // 100 ORDER BY event_id) - 1
+                              AS INTEGER) AS pos, true AS has_data FROM ev
+        UNION ALL
+        SELECT CAST(NULL AS BIGINT), CAST(count(*) AS INTEGER), false FROM ev
+        GROUP BY event_id // 100 HAVING (event_id // 100) % 7 = 3""")
     q["read_jsonl"] = with_(OVERLAY, "SELECT " + ", ".join(
         ["user_id", "session_id", "track_id", "track_title", "artist", "action", "device_type",
          "CAST(listen_duration_ms AS BIGINT) AS listen_duration_ms", "event_timestamp"]) + " FROM ev")

@@ -309,7 +309,7 @@ def _ntz(df, col="event_timestamp"):
 def explode_envelopes(spark, sf_dir):
     root = _run_dir(spark, "envelopes")
     ev = _events(spark, sf_dir)
-    W.write_jsonl(envelopes(test_records(ev)), root)
+    W.write_jsonl(envelopes(test_records(ev), bare_every=7), root)
     return R.explode_envelopes(R.read_envelopes(spark, root)).select(
         F.col("seq").cast("bigint").alias("event_id"), "pos", F.col("data").isNotNull().alias("has_data"))
 

@@ -115,12 +115,22 @@ def clean_records(ev: DataFrame, ts_text: Column | None = None) -> DataFrame:
                      unwrapped_base64(F.encode(event_json(ev, ts_text), "UTF-8")).alias("data"))
 
 
-def envelopes(records: DataFrame, per_envelope: int = PUBLISH_BATCH_SIZE) -> DataFrame:
+def envelopes(records: DataFrame, per_envelope: int = PUBLISH_BATCH_SIZE,
+              bare_every: int | None = None) -> DataFrame:
     """Group records into ``{"Records": [...]}`` batches of ``per_envelope`` consecutive
-    event ids (a fixed bound on every group), as one JSON text per batch."""
+    event ids (a fixed bound on every group), as one JSON text per batch. With
+    ``bare_every`` = n, envelopes whose id is 3 modulo n end with one extra record
+    that has no ``kinesis`` part (a malformed record)."""
     rec = F.struct(F.struct(F.col("data"), F.col("seq").alias("sequenceNumber")).alias("kinesis"))
     grouped = (records.groupBy(F.floor(F.col("event_id") / per_envelope).alias("envelope_id"))
                .agg(F.sort_array(F.collect_list(F.struct(F.col("event_id").alias("o"), rec.alias("r"))))
                     .alias("items")))
-    return grouped.select("envelope_id", F.to_json(F.struct(
-        F.transform("items", lambda x: x["r"]).alias("Records"))).alias("value"))
+    recs = F.transform("items", lambda x: x["r"])
+    if bare_every:
+        bare = F.array(F.struct(F.lit(None).cast(rec_type()).alias("kinesis")))
+        recs = F.when(F.col("envelope_id") % bare_every == 3, F.concat(recs, bare)).otherwise(recs)
+    return grouped.select("envelope_id", F.to_json(F.struct(recs.alias("Records"))).alias("value"))
+
+
+def rec_type() -> str:
+    return "struct<data: string, sequenceNumber: string>"
