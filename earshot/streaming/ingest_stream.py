@@ -123,16 +123,22 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, root: str, as_of) -> int:
-    """Write the live latest items of everything logged so far as compaction version
-    ``v=<last batch>``; later reads skip the log up to that batch. Returns rows kept."""
-    from ..sinks.files import write_snapshot
+    """Fold the log batches written since the last compaction into a new compaction
+    version ``v=<last batch>`` holding only the live latest items; later reads skip the
+    log up to that batch. Returns the rows kept. With no new batch since the last
+    compaction nothing is rewritten (expired items are already hidden when read) and
+    the live rows of the current version are counted."""
+    from ..sinks.files import committed_versions, write_snapshot
     from .state import compact_state, ITEM_COLUMNS as ITEMS
-    current = read_log(spark, root)
-    upto = current.agg(F.max("batch_id")).first()[0]
+    paths = state_paths(root)
+    upto = spark.read.parquet(paths["log"]).agg(F.max("batch_id")).first()[0]
     if upto is None:
         return 0
-    kept = compact_state(current, as_of).select(
+    kept = compact_state(read_log(spark, root), as_of).select(
         *ITEMS, F.lit(-1).cast("bigint").alias("batch_id"), F.lit(0).alias("seq_len"),
         F.lit("").alias("seq"), F.lit("").alias("source_file"), F.lit(0).cast("bigint").alias("line"),
         F.lit(0).alias("pos"))
-    return write_snapshot(kept, state_paths(root)["compacted"], int(upto))
+    versions = committed_versions(spark, paths["compacted"])
+    if versions and versions[-1] >= int(upto):
+        return kept.count()
+    return write_snapshot(kept, paths["compacted"], int(upto))
