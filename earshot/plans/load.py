@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import conform as C
 from ..operators import dims, facts, marts, merge
 from ..schemas import DIM_DATE, DIM_TRACKS, DIM_USERS, FACT_LISTENS
-from ..session import ensure_conf
+from ..session import ensure_conf, guard_checkpoint
 from ..sinks.files import read_snapshot, write_batch_partitions, write_fact, write_snapshot
 
 TABLES = ["dim_date", "dim_tracks", "dim_users", "fact_listens"]
@@ -152,6 +152,7 @@ def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, ch
     copies still get distinct fact keys when the events carry no arrival id.
     """
     ensure_conf(spark)
+    guard_checkpoint(spark, checkpoint, [table_path(warehouse, t) for t in TABLES])
     stream = spark.readStream.schema(schema).parquet(source)
     if arrival == FILE_ROW:
         # the row's place in its (immutable) file: unique and stable across retries

@@ -103,6 +103,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def guard_checkpoint(spark: SparkSession, checkpoint: str, outputs: list[str]) -> None:
+    """Refuse to start a stream without its checkpoint when its outputs already hold
+    data: batch ids would restart at 0 and overwrite committed batches."""
+    if path_exists(spark, checkpoint):
+        return
+    existing = [o for o in outputs if path_exists(spark, o)]
+    if existing:
+        raise RuntimeError(
+            f"checkpoint {checkpoint} is missing but {existing} already exist; batch ids "
+            "would restart and overwrite committed batches. Restore the checkpoint or use "
+            "new output folders.")
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (empty when it does not exist)."""
     fs, p = hadoop_fs(spark, path)
@@ -112,4 +125,4 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 __all__ = ["build_session", "ensure_conf", "shared_dir", "local_path", "path_exists",
-           "list_dirs", "REQUIRED_CONF", "SCALE_CONF"]
+           "list_dirs", "guard_checkpoint", "REQUIRED_CONF", "SCALE_CONF"]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import ingest
 from ..schemas import ENVELOPE_SCHEMA
-from ..session import ensure_conf
+from ..session import ensure_conf, guard_checkpoint
 from ..sinks.files import write_batch_partitions
 from ..sources.files import explode_envelopes, with_line_order
 from .state import ITEM_COLUMNS, write_order
@@ -91,6 +91,7 @@ def run_ingest(records: DataFrame, root: str, checkpoint: str, available_now: bo
                processing_time: str | None = None, payload: str | None = None):
     """Start the ingest stream over any streaming DataFrame of records (or envelopes)."""
     ensure_conf(records.sparkSession)
+    guard_checkpoint(records.sparkSession, checkpoint, [state_paths(root)["log"]])
     writer = (records.writeStream
               .foreachBatch(lambda df, bid: process_batch(df, bid, root, payload))
               .option("checkpointLocation", checkpoint))

@@ -67,3 +67,14 @@ def test_compaction_versions_advance(spark, tmp_path):
         main(["compact", "--root", root, "--as-of", "2024-01-16T00:00:00"])
     assert committed_versions(spark, S.state_paths(root)["compacted"]) == [0, 1]
     assert {r.user_id for r in ST.latest_state(S.read_log(spark, root)).collect()} == {"u1", "u2"}
+
+
+def test_missing_checkpoint_with_existing_tables_is_refused(spark, tmp_path):
+    import pytest
+    ev = suite._events(spark, SF_SMALL)
+    src = tmp_path / "src"
+    ev.drop("event_id").write.parquet(str(src / "part=0"))
+    wh = str(tmp_path / "wh")
+    main(["load", "--source", f"{src}/*", "--warehouse", wh, "--checkpoint", str(tmp_path / "ck")])
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        main(["load", "--source", f"{src}/*", "--warehouse", wh, "--checkpoint", str(tmp_path / "other")])
