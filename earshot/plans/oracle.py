@@ -171,20 +171,37 @@ def _cte(*parts: str) -> str:
     return ",\n".join(p.strip() for p in parts)
 
 
-def _fact_contract_checks(rel: str) -> str:
-    from ..schemas import FACT_LISTENS
+def _contract_checks(contract, rel: str, present: set[str] | None = None) -> list[str]:
+    """One SELECT per (column, check) of ``contract`` over ``rel``; a column the
+    relation does not have is all NULL (0 violations)."""
     sel = []
-    for c in FACT_LISTENS.columns:
-        if c.name == "loaded_at":
-            continue
+    for c in contract.columns:
+        has = present is None or c.name in present
         if not c.nullable:
-            sel.append(f"SELECT 'fact_listens' AS table_name, '{c.name}' AS column_name, "
-                       f"'not_null' AS check_name, count_if({c.name} IS NULL) AS violations "
-                       f"FROM {rel}")
+            v = f"count_if({c.name} IS NULL)" if has else "count(*)"
+            sel.append(f"SELECT '{contract.name}' AS table_name, '{c.name}' AS column_name, "
+                       f"'not_null' AS check_name, {v} AS violations FROM {rel}")
         if c.max_len is not None:
-            sel.append(f"SELECT 'fact_listens', '{c.name}', 'max_len_{c.max_len}', "
-                       f"count_if(length({c.name}) > {c.max_len}) FROM {rel}")
-    return "\nUNION ALL\n".join(sel)
+            v = f"count_if(length({c.name}) > {c.max_len})" if has else "count_if(false)"
+            sel.append(f"SELECT '{contract.name}', '{c.name}', 'max_len_{c.max_len}', {v} FROM {rel}")
+    return sel
+
+
+def _fact_contract_checks(rel: str) -> str:
+    from ..schemas import FACT_LISTENS
+    cols = {c.name for c in FACT_LISTENS.columns if c.name != "loaded_at"}
+    return "\nUNION ALL\n".join(_contract_checks(FACT_LISTENS, rel, cols))
+
+
+def _star_contract_checks(fact_rel: str, suffix: str) -> str:
+    from ..schemas import DIM_DATE, DIM_TRACKS, DIM_USERS
+    parts = _contract_checks(DIM_DATE, "dim_date" + suffix)
+    parts += _contract_checks(DIM_TRACKS, "dim_tracks" + suffix,
+                              {"track_key", "track_id", "title", "artist"})
+    parts += _contract_checks(DIM_USERS, "dim_users" + suffix,
+                              {"user_key", "user_id", "subscription_tier", "first_seen", "last_seen",
+                               "primary_device"})
+    return _fact_contract_checks(fact_rel) + "\nUNION ALL\n" + "\nUNION ALL\n".join(parts)
 
 
 PK_SQL = """
@@ -296,7 +313,7 @@ def more_sql() -> dict[str, str]:
         [("user_key", "dim_users", "user_key"), ("track_key", "dim_tracks", "track_key"),
          ("date_key", "dim_date", "date_key")]))
     flawed = _cte(OVERLAY, FLAWED_EVENTS, dims_sql("ev_flawed", "_f"))
-    q["check_columns"] = with_(flawed, _fact_contract_checks("fact_f"))
+    q["check_columns"] = with_(flawed, _star_contract_checks("fact_f", "_f"))
     q["check_action_domain"] = with_(flawed, """
         SELECT 'action' AS column_name, action AS value, count(*) AS rows FROM fact_f
         WHERE action IS NOT NULL AND action NOT IN ('PLAY', 'PAUSE', 'SKIP', 'COMPLETE')

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import dims, facts, ingest, latest, marts, merge, quality, reports
 from ..operators.conform import conform, ntz_literal
 from ..plans import load as L
-from ..schemas import ACTIONS, DIM_USERS, FACT_LISTENS
+from ..schemas import ACTIONS, DIM_DATE, DIM_TRACKS, DIM_USERS, FACT_LISTENS
 from ..session import ensure_conf, shared_dir
 from ..sinks import files as W
 from ..sinks.publish import keyed_records
@@ -232,8 +232,17 @@ def check_fk(spark, sf_dir):
 
 
 def check_columns(spark, sf_dir):
-    f = facts.fact_listens(flawed_events(_events(spark, sf_dir)), arrival="event_id")
-    return quality.check_columns(f, FACT_LISTENS)
+    """NOT NULL and length checks of all four star tables (the fact with flawed actions)."""
+    ev = flawed_events(_events(spark, sf_dir))
+    tie = ["event_id"]
+    checks = [quality.check_columns(facts.fact_listens(ev, arrival="event_id"), FACT_LISTENS),
+              quality.check_columns(conform(dims.dim_date(ev), DIM_DATE), DIM_DATE),
+              quality.check_columns(conform(dims.dim_tracks(ev, tie=tie), DIM_TRACKS), DIM_TRACKS),
+              quality.check_columns(conform(dims.dim_users(ev, tie=tie), DIM_USERS), DIM_USERS)]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out
 
 
 def check_action_domain(spark, sf_dir):
