@@ -6,10 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import secret_scan, simhash
+from . import decontam, langid, packing, secret_scan, simhash, token_files
 from .common import table
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -21,7 +37,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_simhash": op8_simhash, "op10_secrets": op10_secrets}
+    return {
+        "op3_packing": op3_packing,
+        "op4_decontamination": op4_decontamination,
+        "op5_language_id": op5_language_id,
+        "op7_token_files": op7_token_files,
+        "op8_simhash": op8_simhash,
+        "op10_secrets": op10_secrets,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
