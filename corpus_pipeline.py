@@ -10,23 +10,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.llm import secret_scan, simhash
+from earshot.llm import decontam, langid, packing, secret_scan, simhash
 from earshot.llm.common import table, written
 
 
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose text is null, has no letter, or is foreign to every learned language."""
+    return langid.accepted(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays, the one with the smallest doc_id."""
     return simhash.deduplicated(docs)
 
 
+def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go of whose words at least one in twenty stands in a benchmark passage."""
+    return decontam.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by a mark; no document goes."""
     return secret_scan.redact(docs, length="n_chars")
 
 
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every text's token pieces with their places in training sequences."""
+    return packing.packed(docs)
+
+
 STAGES = [
+    ("language_id", languages),
     ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", benchmarks),
     ("secret_scan", secrets),
+    ("best_fit_packing", sequences),
 ]
 
 #: Language models, XXH64 and the tokenizer can't be expressed in DuckDB's SQL.
