@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -72,34 +72,25 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
-def ranked(df: DataFrame, order: list[Column], name: str = "rank", stats: dict[str, Column] | None = None) -> DataFrame:
+def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """Rows of ``df`` with their global 0-based position ``name`` in ``order``.
 
     One range partitioning (which splits any hot value that ``order`` can tell apart), a
-    sort in each partition and one row of offsets per partition; no task sees all rows.
-    ``stats`` (name -> long column) adds for each the sum over all earlier rows' partitions
-    as ``<name>_before``.
+    sort in each partition and one row of offsets per partition; no task sees all rows. The
+    sorted rows are written, so that offsets and positions come from one and the same layout.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     mid = free_name(df, "_mid")
     placed = written(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                      .withColumn(mid, F.monotonically_increasing_id()), "ranked")
-    pid = F.shiftright(F.col(mid), 33)
-    offsets = placed.groupBy(pid.alias("_pid")).agg(
-        F.count(F.lit(1)).alias("_n"), *(F.sum(c).alias(f"_s_{k}") for k, c in (stats or {}).items()))
-    rows = offsets.orderBy("_pid").collect()      # one row per partition
-    at, sums, made = 0, dict.fromkeys(stats or {}, 0), []
-    for r in rows:
-        made.append((r["_pid"], at, *sums.values()))
-        at += r["_n"]
-        for k in sums:
-            sums[k] += r[f"_s_{k}"] or 0
-    schema = "_pid long, _at long" + "".join(f", {k}_before long" for k in sums)
-    starts = spark.createDataFrame(made, schema)
+    pid = F.shiftright(F.col(mid), 33)                       # partition, then row in the partition
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (placed.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))      # a row per partition
+              .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_at")))
     return (placed.join(F.broadcast(starts), pid == F.col("_pid"))
             .withColumn(name, F.col("_at") + F.col(mid).bitwiseAND((1 << 33) - 1))
-            .drop("_pid", "_at", mid))
+            .drop("_pid", "_at", "_n", mid))
 
 
 def spans_text(spans: list[tuple[str, int, int]], kinds: list[str]) -> str:

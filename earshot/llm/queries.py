@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, langid, packing, secret_scan, simhash, token_files
+from . import decontam, hilbert, langid, licenses, packing, pii, secret_scan, simhash, token_files, winnow
 from .common import table
 
 
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edited(table(spark, sf_dir, "documents"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -22,6 +30,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
 
 
+def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shards(table(spark, sf_dir, "documents"), ["source", "lang", "text"])
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
@@ -32,19 +44,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no paths: a document is the file <source>/<lang>/<doc_id>."""
+    return licenses.scan(table(spark, sf_dir, "documents"), F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op3_packing": op3_packing,
-        "op4_decontamination": op4_decontamination,
-        "op5_language_id": op5_language_id,
-        "op7_token_files": op7_token_files,
-        "op8_simhash": op8_simhash,
-        "op10_secrets": op10_secrets,
-    }
+    return {f.__name__: f for f in (op1_winnowing, op2_pii, op3_packing, op4_decontamination, op5_language_id,
+                                    op6_hilbert_shards, op7_token_files, op8_simhash, op9_licenses, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
