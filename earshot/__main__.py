@@ -21,7 +21,7 @@ from .operators import marts, reports
 from .plans import load as L
 from .schemas import EVENT_SCHEMA
 from .session import build_session
-from .sinks.files import append_table
+from .sinks.files import drop_versions, next_snapshot
 from .streaming import ingest_stream as S
 
 
@@ -36,8 +36,10 @@ def _parser() -> argparse.ArgumentParser:
     ld.add_argument("--warehouse", required=True)
     ld.add_argument("--checkpoint", required=True)
     ld.add_argument("--every", default=None, help='e.g. "1 hour"; default: one run')
-    ld.add_argument("--arrival", default=None,
-                    help="column that identifies an event's arrival, or _file_row (file + row index)")
+    ld.add_argument("--arrival", default=L.FILE_ROW,
+                    help="column that identifies an event's arrival; default: file and row index")
+    ld.add_argument("--max-bytes", default="64g", help="input of a micro-batch at most")
+    ld.add_argument("--cluster-partitions", type=int, default=None, help="cluster the fact by day (backfills)")
     ld.add_argument("--dedupe", action="store_true")
     ld.add_argument("--refresh-daily", action="store_true")
 
@@ -46,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--root", required=True)
     ing.add_argument("--checkpoint", required=True)
     ing.add_argument("--every", default=None)
+    ing.add_argument("--max-bytes", default="64g", help="input of a micro-batch at most")
 
     mt = sub.add_parser("marts")
     mt.add_argument("--warehouse", required=True)
@@ -74,21 +77,21 @@ def main(argv: list[str] | None = None) -> dict:
     if a.cmd == "load":
         q = L.start_star_load(spark, a.source, _event_schema(a.arrival), a.warehouse, a.checkpoint,
                               arrival=a.arrival, refresh_daily=a.refresh_daily, dedupe=a.dedupe,
-                              every=a.every)
+                              every=a.every, max_bytes=a.max_bytes, cluster_partitions=a.cluster_partitions)
         q.awaitTermination()
         out["tables"] = {r.table_name: r.rows for r in L.load_summary(spark, a.warehouse).collect()}
     elif a.cmd == "ingest":
-        q = S.start_ingest(spark, a.source, a.root, a.checkpoint, processing_time=a.every)
+        q = S.start_ingest(spark, a.source, a.root, a.checkpoint, processing_time=a.every, max_bytes_per_trigger=a.max_bytes)
         q.awaitTermination()
     elif a.cmd == "marts":
         star = L.read_star(spark, a.warehouse)
-        out["mv_daily_user_summary"] = append_table(
-            marts.daily_user_summary(star["fact_listens"], star["dim_users"], star["dim_date"]),
-            L.table_path(a.warehouse, "mv_daily_user_summary"), mode="overwrite",
-            partition_by=["full_date"])
-        out["mv_track_performance"] = append_table(
-            marts.track_performance(star["fact_listens"], star["dim_tracks"]),
-            L.table_path(a.warehouse, "mv_track_performance"), mode="overwrite")
+        # each a new version beside the old one, which readers keep until the new one is committed
+        for name, mart in (
+                ("mv_daily_user_summary", marts.daily_user_summary(star["fact_listens"], star["dim_users"], star["dim_date"])),
+                ("mv_track_performance", marts.track_performance(star["fact_listens"], star["dim_tracks"]))):
+            path = L.table_path(a.warehouse, f"{name}_full")
+            out[name] = next_snapshot(mart, path)
+            drop_versions(spark, path)
     elif a.cmd == "report":
         star = L.read_star(spark, a.warehouse)
         rows = reports.most_skipped_tracks(star["fact_listens"], star["dim_tracks"], star["dim_date"],

@@ -11,7 +11,8 @@ def _c(col: Column | str) -> Column:
 
 def date_key(col: Column | str) -> Column:
     """yyyyMMdd as an int; order-preserving, so range filters on it equal ones on the date."""
-    return F.date_format(_c(col), "yyyyMMdd").cast("int")
+    day = F.to_date(_c(col))
+    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def day_of_week(col: Column | str) -> Column:

@@ -19,9 +19,15 @@ B64_FOREIGN = r"[^A-Za-z0-9+/=]"
 # repeated group, which Java matches recursively: slow, and a stack overflow on long text.)
 # (\z, not $: in Java $ also matches before a final line break.)
 B64_SHAPE = r"^[A-Za-z0-9+/]*={0,2}\z"
-# ISO-8601 date or date-time, optional fraction and zone.
-ISO_SHAPE = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-             r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?\z")
+# Any text the lenient decoder accepts: '=' counts only where it completes a group of four, and
+# what follows such padding is ignored. (Possessive repeats: Java matches them without recursion.)
+B64_GROUPS = r"^=*+((?:C=*+C=?CC=*+)*+(?:C=*+C(?:==|=?C=))?+)".replace("C", "[A-Za-z0-9+/]")
+B64_LENIENT = r"^=*+(?:C=*+C=?CC=*+)*+(?:\z|C=*+C(?:==|=?C=))".replace("C", "[A-Za-z0-9+/]")
+# ISO-8601 date or date-time in the extended or the basic form; minutes, seconds, fraction (after a
+# point or a comma) and zone are optional.
+ISO_SHAPE = (r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{8})"
+             r"(?:[T ][0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?|[0-9]{2}(?:[0-9]{2}(?:[.,][0-9]+)?)?)?"
+             r"(?:Z|[+-][0-9]{2}(?::?[0-9]{2})?)?)?\z")
 # End marker appended after the payload: text after a complete JSON value is refused.
 SENTINEL = "earshot:end-of-payload:4d9b2f7e1a6c"
 BOM = "\ufeff"
@@ -45,16 +51,20 @@ def b64_clean(data: Column) -> Column:
 
 def decode_clean_base64(clean: Column) -> Column:
     """Bytes of cleaned base64 text, or NULL when the padding or length is wrong.
-    ``clean`` should be a column (it is read three times)."""
+    ``clean`` should be a column (it is read several times). Text in plain shape is decoded as it
+    is; only other text is searched for misplaced padding and what comes after padding."""
     shape_ok = clean.rlike(B64_SHAPE) & (F.length(clean) % 4 == 0)
-    return F.when(shape_ok, F.try_to_binary(clean, F.lit("base64")))
+    groups = F.replace(F.regexp_extract(clean, B64_GROUPS, 1), F.lit("="), F.lit(""))
+    padded = F.concat(groups, F.repeat(F.lit("="), F.pmod(-F.length(groups), F.lit(4))))
+    return F.when(shape_ok, F.try_to_binary(clean, F.lit("base64"))) \
+        .when(clean.rlike(B64_LENIENT), F.try_to_binary(padded, F.lit("base64")))
 
 
 def valid_text(s: Column) -> Column:
     """UTF-8 text with a leading BOM removed; NULL when the bytes are not valid UTF-8.
     ``s`` is the bytes cast to string, as a column."""
     return F.when(F.is_valid_utf8(s),
-                  F.when(s.startswith(BOM), F.substring(s, 2, 1 << 30)).otherwise(s))
+                  F.when(s.startswith(BOM), F.substring(s, F.lit(2), F.length(s))).otherwise(s))
 
 
 def wrap_parse(text: Column) -> Column:
@@ -105,8 +115,15 @@ def first_missing(v: Column) -> Column:
 
 
 def iso_normalised(s: Column) -> Column:
-    """Date-only -> midnight; HH:MM -> HH:MM:00; no zone -> UTC ('Z')."""
-    t = F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), F.concat(s, F.lit("T00:00:00"))).otherwise(s)
+    """Basic form -> extended; date-only -> midnight; HH, HH:MM -> HH:MM:00; no zone -> UTC ('Z')."""
+    t = F.regexp_replace(s, r"^([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3")
+    t = F.regexp_replace(t, r"^(.{10}[T ][0-9]{2})([0-9]{2})([0-9]{2}(?:[.,][0-9]+)?)?", "$1:$2:$3")
+    t = F.regexp_replace(t, r"^(.{10}[T ][0-9]{2}:[0-9]{2}):(?![0-9])", "$1")
+    t = F.replace(t, F.lit(","), F.lit("."))
+    t = F.regexp_replace(t, r"^(.{10}[T ].*[+-][0-9]{2})([0-9]{2})\z", "$1:$2")
+    t = F.regexp_replace(t, r"^(.{10}[T ].*[+-][0-9]{2})\z", "$1:00")
+    t = F.regexp_replace(t, r"^(.{10}[T ][0-9]{2})(Z?|[+-][0-9]{2}:[0-9]{2})\z", "$1:00$2")
+    t = F.when(t.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), F.concat(t, F.lit("T00:00:00"))).otherwise(t)
     t = F.regexp_replace(t, r"^(.{10}[T ][0-9]{2}:[0-9]{2})(Z?|[+-][0-9]{2}:[0-9]{2})\z", "$1:00$2")
     return F.when(t.rlike(r"(Z|[+-][0-9]{2}:[0-9]{2})\z"), t).otherwise(F.concat(t, F.lit("Z")))
 

@@ -38,8 +38,15 @@ def epoch_micros(df: DataFrame, name: str, dtype: T.DataType | None = None) -> C
 
 
 def composite_text(parts: list[Column]) -> Column:
-    """Join values with '|'; NULL becomes a marker (concat_ws alone would skip it)."""
-    return F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit(NULL_MARK)) for p in parts])
+    """Join values with '|'; NULL becomes a marker (concat_ws alone would skip it).
+
+    Backslash and '|' inside a value are escaped, so different lists of values never give
+    one text (the marker is a backslash that no escape produces).
+    """
+    def text(p: Column) -> Column:
+        escaped = F.replace(F.replace(p.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        return F.coalesce(escaped, F.lit(NULL_MARK))
+    return F.concat_ws("|", *map(text, parts))
 
 
 def content_parts(df: DataFrame, fields: list[str]) -> list[Column]:

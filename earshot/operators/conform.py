@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,6 +25,11 @@ def ntz_literal(t: dt.datetime) -> Column:
     return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def with_columns(contract: TableContract, extra: list) -> TableContract:
+    """The contract with further columns behind its own."""
+    return replace(contract, columns=[*contract.columns, *extra])
+
+
 def conform(df: DataFrame, contract: TableContract,
             loaded_at: dt.datetime | None = None) -> DataFrame:
     """Select the contract's columns in order, cast to its types; a missing column

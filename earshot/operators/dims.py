@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.dates import calendar_columns
 from ..functions.keys import key60
 from .latest import first_last_per_key, latest_per_key
+from .merge import LAST_EVENT
 
 DIM_DATE_COLUMNS = ["full_date", "date_key", "day_of_week", "day_name", "month", "month_name",
                     "quarter", "year", "is_weekend"]
@@ -32,13 +33,15 @@ def dim_date(events: DataFrame, ts: str = "event_timestamp") -> DataFrame:
 
 
 def dim_tracks(events: DataFrame, tie: list[str] | None = None,
-               arrival: str | None = None) -> DataFrame:
-    """Latest title and artist per track id, with the content-derived ``track_key``."""
+               arrival: str | None = None, with_time: bool = False) -> DataFrame:
+    """Latest title and artist per track id, with the content-derived ``track_key``;
+    ``with_time`` adds the time of the event they come from."""
     tie = tie if tie is not None else default_tie(events, arrival)
     latest = latest_per_key(events.where(F.col("track_id").isNotNull()), ["track_id"],
-                            ["event_timestamp"], tie, cols=["track_title", "artist"])
+                            ["event_timestamp"], tie, cols=["track_title", "artist", "event_timestamp"])
+    time = [F.col("event_timestamp").alias(LAST_EVENT)] if with_time else []
     return latest.select(key60("track_id").alias("track_key"), "track_id",
-                         F.col("track_title").alias("title"), "artist")
+                         F.col("track_title").alias("title"), "artist", *time)
 
 
 def dim_users(events: DataFrame, tie: list[str] | None = None,

@@ -17,19 +17,8 @@ PARSED_COLUMNS = ["decoded", "parsed", "missing_field", "user_id", "timestamp",
                   "listen_duration_ms", "event_time", "ttl", "error"]
 
 
-def spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks when it has fewer.
-
-    Parsing is CPU work per record; a batch that arrives as one split (one small
-    file, one stream shard) would otherwise parse on one core.
-    """
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        return df.repartition(int(min_partitions))
-    return df
-
-
 def parse_records(records: DataFrame, data: str = "data",
-                  min_partitions: int | None = None, payload: str | None = None) -> DataFrame:
+                  partitions: int | None = None, payload: str | None = None) -> DataFrame:
     """Decode and validate every record; the input columns are kept.
 
     Plan shape: a chain of projections computes each costly step once (cleaned
@@ -40,10 +29,13 @@ def parse_records(records: DataFrame, data: str = "data",
     field stays above it instead of being pushed down with the whole decode chain
     substituted into it (which would parse every record twice).
 
+    ``partitions`` deals the records out over so many tasks first (parsing is CPU work per
+    record, and a small batch may arrive as one split); without it they stay where they are.
+
     ``payload`` names a binary column of raw bytes instead (sources such as Kafka
     deliver the JSON bytes themselves); the base64 step is then skipped.
     """
-    df = spread(records, min_partitions)
+    df = records.repartition(int(partitions)) if partitions else records
     if payload is None:
         df = df.withColumn("_c", X.b64_clean(F.col(data)))
         df = df.withColumn("_payload", X.decode_clean_base64(F.col("_c")))

@@ -28,29 +28,15 @@ def upsert(target: DataFrame, source: DataFrame, contract: TableContract,
     """Merged table in the contract's column order. ``source`` must be unique on the
     key (check with ``quality.check_pk`` first).
 
-    Plan: the target is split by the source's keys — rows the batch does not touch
-    pass through a left anti join, the touched rows (left semi join) meet the
-    source in a full outer join of two small sides. With a batch much smaller than
-    the dimension, AQE broadcasts the batch's keys to both, so the dimension is
-    scanned but never shuffled (a full outer join could not broadcast either side).
+    One full outer join on the key: the source (an aggregate) is planned once and the target read
+    once. With sides of very different size the smaller one is shuffled with the larger.
     """
-    key = contract.key
-    keys = source.select(key).where(F.col(key).isNotNull())
-    untouched = conform_like(target.join(keys, key, "left_anti"), contract)
-    touched = target.join(keys, key, "left_semi")
-    return untouched.unionByName(_merge_rows(touched, source, contract, combine, loaded_at))
-
-
-def conform_like(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Contract columns (missing ones NULL / default) without touching audit values."""
-    from .conform import conform
-    return conform(df, contract)
+    return _merge_rows(target, source, contract, combine, loaded_at)
 
 
 def _merge_rows(target: DataFrame, source: DataFrame, contract: TableContract,
                 combine: dict[str, Combine] | None,
                 loaded_at: dt.datetime | None) -> DataFrame:
-    """Full outer join form of the merge (used on the touched part only)."""
     key = contract.key
     combine = combine or {}
     now = load_time(loaded_at)
@@ -85,6 +71,18 @@ def _merge_rows(target: DataFrame, source: DataFrame, contract: TableContract,
     return j.select(*cols)
 
 
+LAST_EVENT = "last_event"      # stored beside a track: time of the event its values come from
+
+
+def track_rules() -> dict[str, Combine]:
+    """A track's values follow its latest event (the source on equal times), in whatever order
+    batches arrive."""
+    def newer(t: Column, s: Column, *_: Column) -> Column:
+        t_last, s_last = F.col("t__" + LAST_EVENT), F.col("s__" + LAST_EVENT)
+        return F.when(t_last.isNull() | (s_last.isNotNull() & (s_last >= t_last)), s).otherwise(t)
+    return {"title": newer, "artist": newer, LAST_EVENT: keep_latest}
+
+
 def keep_earliest(t: Column, s: Column, *_: Column) -> Column:
     return F.least(t, s)
 

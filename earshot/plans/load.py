@@ -6,14 +6,16 @@ micro-batch is loaded by ``load_batch``, and a run with no new files commits
 nothing. Per batch:
 
 1. empty batch -> return (the checkpoint still advances);
-2. persist the events (they feed three dimensions and the fact);
-3. each dimension: upsert the batch's rows into the latest committed version and
-   write version ``v=<batch_id>`` (a retry rewrites the same version; readers
-   take the highest committed one);
+2. persist the events (they feed three dimensions and the fact) and read them once; events
+   that a column's type can't hold go to ``load_rejects/batch_id=<n>`` with the reason;
+3. each dimension: upsert the batch's rows into the version of the last committed batch and
+   write version ``v=<batch_id>``, sorted by the table's sort key (a retry rewrites it);
 4. fact: conformed rows into ``batch_id=<n>/date_key=<d>`` (overwrite of that
    batch's folders only: an idempotent append);
-5. row counts per table -> ``load_summary/batch_id=<n>``;
-6. optionally refresh the daily mart for the dates this batch touched.
+5. row counts per table -> ``load_commits/v=<n>``: the commit. Readers take dimension versions and
+   fact batches up to the newest committed batch, so a batch that fails half way shows nothing;
+6. versions of the dimensions beyond the newest few are removed;
+7. optionally refresh the daily mart for the dates this batch touched.
 """
 
 from __future__ import annotations
@@ -21,139 +23,191 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
+from ..functions.dates import date_key
+from ..functions.keys import content_key
 from ..operators import conform as C
 from ..operators import dims, facts, marts, merge
-from ..schemas import DIM_DATE, DIM_TRACKS, DIM_USERS, FACT_LISTENS
-from ..session import ensure_conf, guard_checkpoint
-from ..sinks.files import read_snapshot, write_batch_partitions, write_fact, write_snapshot
+from ..schemas import DIM_DATE, DIM_TRACKS, DIM_USERS, EVENT_FIELDS, FACT_LISTENS
+from ..schemas import Column as ContractColumn
+from ..session import ensure_conf, guard_checkpoint, path_exists
+from ..sinks.files import (drop_versions, latest_version, read_snapshot, write_batch_partitions, write_fact,
+                           write_snapshot)
 
 TABLES = ["dim_date", "dim_tracks", "dim_users", "fact_listens"]
+COMMITS, REJECTS = "load_commits", "load_rejects"
 FILE_ROW = "_file_row"        # arrival id taken from the Parquet file path and row index
+# event field -> fact column whose type it must fit
+FACT_SOURCES = {"listen_duration_ms": "duration_ms"}
+# sort key of each dimension's files
+SORT_KEYS = {"dim_date": "date_key", "dim_tracks": "track_key", "dim_users": "user_key"}
+# stored beside the contract's columns: the time of the event that gave a track its values
+EXTRA = {"dim_tracks": [ContractColumn(merge.LAST_EVENT, T.TimestampNTZType())]}
 
 
 def table_path(warehouse: str, name: str) -> str:
     return f"{warehouse.rstrip('/')}/{name}"
 
 
+def committed_batch(spark: SparkSession, warehouse: str, below: int | None = None) -> int | None:
+    """The newest batch whose load committed: its marker is written after all of its tables."""
+    return latest_version(spark, table_path(warehouse, COMMITS), below)
+
+
 def current_dim(spark: SparkSession, warehouse: str, name: str, contract, below: int | None = None):
-    from ..operators.conform import conform
-    empty_schema = conform(spark.range(0), contract).schema
-    return read_snapshot(spark, table_path(warehouse, name), empty_schema, below)
+    """The dimension as of the newest committed batch (under ``below``)."""
+    last = committed_batch(spark, warehouse, below)
+    empty_schema = C.conform(spark.range(0), contract).schema
+    return read_snapshot(spark, table_path(warehouse, name), empty_schema, 0 if last is None else last + 1)
 
 
 def drop_redelivered(events: DataFrame, batch_id: int, warehouse: str,
                      arrival: str | None = None) -> DataFrame:
     """Events whose content (the nine fields, arrival ignored) was not loaded before.
 
-    Copies inside the batch collapse to one (an aggregate on the content key,
-    combined map side, so a large group of copies is no hot spot); earlier loads
-    are found in ``seen_events`` (content keys by ``batch_id`` and ``date_key``),
-    read only for the batch's days (dynamic partition pruning on the broadcast day
-    set, one row per day) and excluding this batch's own folder (so a retry gives
-    the same answer). With an ``arrival`` id the earliest copy is the one kept, so a
-    retry also keeps the same copy (and the same ``listen_key``).
+    Contents are compared field by field, NULL equal to NULL; a key over them only brings
+    equal ones together. Copies inside the batch collapse to one (an aggregate on the nine
+    fields, combined map side, so a large group of copies is no hot spot); earlier loads are
+    found in ``seen_events`` (by ``batch_id`` and day; day 0: events without a time), read
+    only for the batch's days and without this batch's own folder (so a retry gives the same
+    answer). With an ``arrival`` id the earliest copy is the one kept, so a retry also keeps
+    the same copy (and the same ``listen_key``).
     """
-    from ..functions.dates import date_key
-    from ..functions.keys import content_key
-    from ..schemas import EVENT_FIELDS
-    keyed = events.withColumns({"_ck": content_key(events, EVENT_FIELDS),
-                                "_dk": date_key("event_timestamp")})
-    if arrival:
-        cols = [c for c in keyed.columns if c != "_ck"]
-        first = (keyed.groupBy("_ck")
-                 .agg(F.min_by(F.struct(*cols), F.col(arrival)).alias("_e"))
-                 .select("_ck", *[F.col("_e." + c).alias(c) for c in cols]))
+    spark = events.sparkSession
+    rest = [c for c in events.columns if c not in EVENT_FIELDS]
+    if rest:
+        first = F.min_by(F.struct(*rest), F.col(arrival)) if arrival else F.min(F.struct(*rest))
+        once = events.groupBy(*EVENT_FIELDS).agg(first.alias("_rest")).select(
+            *EVENT_FIELDS, *[F.col(f"_rest.{c}").alias(c) for c in rest]).select(*events.columns)
     else:
-        first = keyed.dropDuplicates(["_ck"])
+        once = events.distinct()
     seen_path = table_path(warehouse, "seen_events")
-    spark = events.sparkSession
-    from ..session import path_exists
-    if path_exists(spark, seen_path):
-        days = F.broadcast(first.select(F.col("_dk").alias("date_key")).distinct())
-        seen = (spark.read.schema("content_key bigint, batch_id bigint, date_key int").parquet(seen_path)
-                .where(F.col("batch_id") != F.lit(int(batch_id)))
-                .join(days, "date_key", "left_semi")
-                .select(F.col("content_key").alias("_ck")))
-        first = first.join(seen, "_ck", "left_anti")
-    return first
+    if not path_exists(spark, seen_path):
+        return once
+    # one row per calendar day, from the batch itself (not from its deduplicated form)
+    days = F.broadcast(events.select(_day().alias("day")).distinct())
+    seen = (spark.read.schema(_seen_schema(events)).parquet(seen_path)
+            .where(F.col("batch_id") != F.lit(int(batch_id)))
+            .join(days, "day", "left_semi"))
+    seen = seen.select(F.col("content_key").alias("_key"), *[F.col(c).alias(f"_s_{c}") for c in EVENT_FIELDS])
+    same = F.col("_ck") == F.col("_key")
+    for c in EVENT_FIELDS:
+        same = same & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    keyed = once.withColumn("_ck", content_key(once, EVENT_FIELDS))
+    return keyed.join(seen, same, "left_anti").drop("_ck")
+
+
+def _day():
+    return F.coalesce(date_key("event_timestamp"), F.lit(0))
+
+
+def _seen_schema(events: DataFrame) -> T.StructType:
+    return T.StructType([T.StructField("content_key", T.LongType()), *[events.schema[c] for c in EVENT_FIELDS],
+                         T.StructField("batch_id", T.LongType()), T.StructField("day", T.IntegerType())])
 
 
 def record_seen(events: DataFrame, batch_id: int, warehouse: str) -> None:
-    from ..functions.dates import date_key
-    from ..functions.keys import content_key
-    from ..schemas import EVENT_FIELDS
-    keys = events.select(content_key(events, EVENT_FIELDS).alias("content_key"),
-                         F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
-                         date_key("event_timestamp").alias("date_key"))
-    write_batch_partitions(keys, table_path(warehouse, "seen_events"), ["batch_id", "date_key"])
+    keys = events.select(content_key(events, EVENT_FIELDS).alias("content_key"), *EVENT_FIELDS,
+                         F.lit(int(batch_id)).cast("bigint").alias("batch_id"), _day().alias("day"))
+    write_batch_partitions(keys, table_path(warehouse, "seen_events"), ["batch_id", "day"])
+
+
+def reject_reason(events: DataFrame):
+    """Why the star can't hold an event, or NULL: a value that its column's type can't."""
+    reason = F.lit(None).cast("string")
+    for source, target in FACT_SOURCES.items():
+        value, kind = F.col(source), FACT_LISTENS.column(target).dtype
+        if events.schema[source].dataType != kind:
+            bad = value.isNotNull() & value.try_cast(kind).isNull()
+            reason = F.coalesce(reason, F.when(bad, F.lit(f"bad_{source}")))
+    return reason
 
 
 def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str | None = None,
                loaded_at: dt.datetime | None = None, tie: list[str] | None = None,
                refresh_daily: bool = False, dedupe: bool = False,
-               cluster_partitions: int | None = None) -> dict[str, int] | None:
+               cluster_partitions: int | None = None, keep_versions: int | None = 3) -> dict[str, int] | None:
     """Load one batch (see the module notes). With ``dedupe`` an event already
     loaded (same content) is dropped instead of appended again;
-    ``cluster_partitions`` clusters the fact write by day (backfills)."""
+    ``cluster_partitions`` clusters the fact write by day (backfills);
+    ``keep_versions`` older versions of a dimension stay (None: all)."""
     spark = events.sparkSession
     ensure_conf(spark)              # UTC: instants become wall-clock days and keys in UTC
     if dedupe:
-        events = drop_redelivered(events, batch_id, warehouse, arrival).drop("_ck", "_dk")
-    ev = events.persist()           # one read of the batch feeds the test, 3 dims and the fact
+        events = drop_redelivered(events, batch_id, warehouse, arrival)
+    every = events.withColumn("_reject", reject_reason(events)).persist()
     try:
-        if ev.isEmpty():
+        if every.count() == 0:      # reads the batch once, before several jobs share it
             return None
-        if dedupe:
-            record_seen(ev, batch_id, warehouse)
+        ev = every.where(F.col("_reject").isNull()).drop("_reject")
+        bad = every.where(F.col("_reject").isNotNull()).select(
+            *[F.col(c).cast("string").alias(c) for c in EVENT_FIELDS], F.col("_reject").alias("reason"),
+            F.lit(int(batch_id)).cast("bigint").alias("batch_id"))
         new_date = C.conform(dims.dim_date(ev), DIM_DATE)
-        new_tracks = dims.dim_tracks(ev, tie=tie, arrival=arrival)
-        new_users = dims.dim_users(ev, tie=tie, arrival=arrival)
         plan = [("dim_date", DIM_DATE, new_date, None),
-                ("dim_tracks", DIM_TRACKS, new_tracks, None),
-                ("dim_users", DIM_USERS, new_users, merge.user_rules_with_device())]
+                ("dim_tracks", DIM_TRACKS, dims.dim_tracks(ev, tie=tie, arrival=arrival, with_time=True),
+                 merge.track_rules()),
+                ("dim_users", DIM_USERS, dims.dim_users(ev, tie=tie, arrival=arrival),
+                 merge.user_rules_with_device())]
 
         def write_dim(name, contract, new, rules):
-            cur = current_dim(spark, warehouse, name, contract, below=batch_id)
-            merged = merge.upsert(cur, new, contract, rules, loaded_at=loaded_at)
-            return name, write_snapshot(merged, table_path(warehouse, name), batch_id)
+            stored = C.with_columns(contract, EXTRA.get(name, []))
+            cur = current_dim(spark, warehouse, name, stored, below=batch_id)
+            merged = merge.upsert(cur, new, stored, rules, loaded_at=loaded_at)
+            return name, write_snapshot(merged, table_path(warehouse, name), batch_id, SORT_KEYS[name])
 
         def write_facts():
             fact = C.conform(facts.fact_listens(ev, arrival=arrival), FACT_LISTENS, loaded_at=loaded_at)
             return "fact_listens", write_fact(fact, table_path(warehouse, "fact_listens"), batch_id,
                                               cluster_partitions=cluster_partitions)
 
-        # The four writes are independent jobs over the cached batch: submitted together
-        # they share the executors instead of queueing one after another.
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            futures = [pool.submit(write_dim, *p) for p in plan] + [pool.submit(write_facts)]
+        def write_rejects():
+            return REJECTS, write_batch_partitions(bad, table_path(warehouse, REJECTS), ["batch_id"])
+
+        # Independent jobs over the cached batch: submitted together they share the executors
+        # instead of queueing one after another. The threads keep the query's job group.
+        with ThreadPoolExecutor(max_workers=5) as pool:
+            run = lambda f, *a: pool.submit(inheritable_thread_target(spark)(f), *a)
+            futures = [run(write_dim, *p) for p in plan] + [run(write_facts), run(write_rejects)]
             counts = dict(f.result() for f in futures)
+        if dedupe:
+            record_seen(ev, batch_id, warehouse)
         summary = spark.createDataFrame([(int(batch_id), k, int(v)) for k, v in counts.items()],
                                         "batch_id bigint, table_name string, rows bigint")
-        write_batch_partitions(summary, table_path(warehouse, "load_summary"), ["batch_id"])
+        # the commit: readers see the batch's tables from here on, all of them
+        write_snapshot(summary, table_path(warehouse, COMMITS), batch_id)
+        if keep_versions:
+            for name in SORT_KEYS:
+                drop_versions(spark, table_path(warehouse, name), keep_versions)
         if refresh_daily:
             refresh_daily_by_date(spark, warehouse, new_date.select("date_key"))
         return counts
     finally:
-        ev.unpersist()
+        every.unpersist()
 
 
 def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, checkpoint: str,
-                    arrival: str | None = None, loaded_at: dt.datetime | None = None,
+                    arrival: str | None = FILE_ROW, loaded_at: dt.datetime | None = None,
                     tie: list[str] | None = None, refresh_daily: bool = False,
                     dedupe: bool = False, every: str | None = None,
-                    cluster_partitions: int | None = None):
+                    cluster_partitions: int | None = None, max_files: int | None = None,
+                    max_bytes: str | None = None):
     """Incremental load of every Parquet file under ``source`` not yet processed.
 
     By default one run takes what is new and stops (``availableNow``: a scheduled
     job); ``every="1 hour"`` keeps the query running with that trigger instead.
-    ``arrival=FILE_ROW`` identifies each event by its file and row index, so exact
-    copies still get distinct fact keys when the events carry no arrival id.
+    ``arrival`` names the column that identifies an event's arrival; by default
+    (``FILE_ROW``) that is its file and row index, so exact copies have distinct fact keys.
+    ``max_files`` and ``max_bytes`` bound a micro-batch (a backlog is then loaded in many).
     """
     ensure_conf(spark)
     guard_checkpoint(spark, checkpoint, [table_path(warehouse, t) for t in TABLES])
-    stream = spark.readStream.schema(schema).parquet(source)
+    limits = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
+    stream = (spark.readStream.schema(schema).options(**{k: v for k, v in limits.items() if v is not None})
+              .parquet(source))
     if arrival == FILE_ROW:
         # the row's place in its (immutable) file: unique and stable across retries
         stream = stream.withColumn(FILE_ROW, F.concat_ws(
@@ -169,7 +223,8 @@ def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, ch
 def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     out = {name: current_dim(spark, warehouse, name, c)
            for name, c in (("dim_date", DIM_DATE), ("dim_tracks", DIM_TRACKS), ("dim_users", DIM_USERS))}
-    out["fact_listens"] = read_fact(spark, table_path(warehouse, "fact_listens"))
+    out["fact_listens"] = read_fact(spark, table_path(warehouse, "fact_listens"),
+                                    committed_batch(spark, warehouse))
     return out
 
 
@@ -181,8 +236,23 @@ def fact_schema(spark: SparkSession):
     return T.StructType(base.fields + [T.StructField("batch_id", T.LongType())])
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(fact_schema(spark)).parquet(path).drop("batch_id")
+def read_fact(spark: SparkSession, path: str, last: int | None) -> DataFrame:
+    """The fact up to batch ``last`` (None: nothing has committed). Batches load in order, so every
+    batch up to the last committed one is complete."""
+    if last is None:
+        return spark.createDataFrame([], fact_schema(spark)).drop("batch_id")
+    return (spark.read.schema(fact_schema(spark)).parquet(path)
+            .where(F.col("batch_id") <= F.lit(int(last))).drop("batch_id"))
+
+
+def read_rejects(spark: SparkSession, warehouse: str) -> DataFrame:
+    """Events that the star couldn't hold, as text, with the reason and the batch."""
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in EVENT_FIELDS],
+                           T.StructField("reason", T.StringType()), T.StructField("batch_id", T.LongType())])
+    path, last = table_path(warehouse, REJECTS), committed_batch(spark, warehouse)
+    if last is None or not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).where(F.col("batch_id") <= F.lit(int(last)))
 
 
 def load_summary(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -202,7 +272,7 @@ def refresh_daily_by_date(spark: SparkSession, warehouse: str, touched: DataFram
     always recomputed from the whole fact of that day, never merged."""
     star = read_star(spark, warehouse)
     days = F.broadcast(touched.select("date_key").distinct())   # at most a batch's days
-    fact = star["fact_listens"].join(days, "date_key", "left_semi")
+    fact = star["fact_listens"].join(days, "date_key", "left_semi")    # prunes the fact's folders
     mart = marts.daily_user_summary(fact, star["dim_users"], star["dim_date"])
     return write_batch_partitions(mart, table_path(warehouse, "mv_daily_user_summary"), ["full_date"])
 

@@ -35,7 +35,7 @@ ev AS (
 NULLS = "'\\N'"
 LISTEN_KEY = key60(
     "concat_ws('|', " + ", ".join(
-        [f"coalesce({c}, {NULLS})" for c in
+        [f"coalesce(replace(replace({c}, '\\', '\\\\'), '|', '\\|'), {NULLS})" for c in
          ("user_id", "session_id", "track_id", "track_title", "artist", "action", "device_type")]
         + [f"coalesce(CAST(listen_duration_ms AS VARCHAR), {NULLS})",
            f"coalesce(CAST(epoch_us(event_timestamp) AS VARCHAR), {NULLS})",
@@ -160,8 +160,9 @@ ev_flawed AS (
   SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN NULL
                          WHEN event_id % 89 = 0 THEN 'REWIND' ELSE action END AS action) FROM ev
 )"""
-EARLY_EVENTS = """
-ev_early AS (SELECT * FROM ev WHERE event_timestamp < TIMESTAMP '2024-01-02 00:00:00')"""
+KNOWN_USERS = "ev_ku AS (SELECT * FROM ev WHERE NOT ends_with(user_id, '7'))"
+KNOWN_TRACKS = "ev_kt AS (SELECT * FROM ev WHERE NOT ends_with(track_id, '7'))"
+KNOWN_DAYS = "ev_kd AS (SELECT * FROM ev WHERE NOT ends_with(strftime(event_timestamp, '%Y%m%d'), '7'))"
 HALVES = """
 ev_h1 AS (SELECT * FROM ev WHERE event_timestamp < TIMESTAMP '2024-01-15 00:00:00'),
 ev_h2 AS (SELECT * FROM ev WHERE event_timestamp >= TIMESTAMP '2024-01-15 00:00:00')"""
@@ -266,11 +267,12 @@ def more_sql() -> dict[str, str]:
     q["user_primary_device"] = with_(OVERLAY, """
         SELECT user_id, arg_max(device_type, (event_timestamp, event_id)) AS primary_device
         FROM ev GROUP BY user_id""")
-    early = _cte(OVERLAY, EARLY_EVENTS, dims_sql("ev_early", "_e"))
-    q["lookup_user_key"] = with_(early, """
-        SELECT ev.event_id, ev.user_id, u.user_key FROM ev LEFT JOIN dim_users_e u ON ev.user_id = u.user_id""")
-    q["lookup_track_key"] = with_(early, """
-        SELECT ev.event_id, ev.track_id, t.track_key FROM ev LEFT JOIN dim_tracks_e t ON ev.track_id = t.track_id""")
+    known = _cte(OVERLAY, KNOWN_USERS, KNOWN_TRACKS, KNOWN_DAYS, dims_sql("ev_ku", "_u"), dims_sql("ev_kt", "_t"),
+                 dims_sql("ev_kd", "_d"), dims_sql("ev"))
+    q["lookup_user_key"] = with_(known, """
+        SELECT ev.event_id, ev.user_id, u.user_key FROM ev LEFT JOIN dim_users_u u ON ev.user_id = u.user_id""")
+    q["lookup_track_key"] = with_(known, """
+        SELECT ev.event_id, ev.track_id, t.track_key FROM ev LEFT JOIN dim_tracks_t t ON ev.track_id = t.track_id""")
     q["conform_users"] = with_(star, """
         SELECT user_key, user_id, subscription_tier, CAST(NULL AS DATE) AS signup_date,
                CAST(NULL AS VARCHAR) AS region, first_seen, last_seen, primary_device,
@@ -307,11 +309,10 @@ def more_sql() -> dict[str, str]:
         PK_SQL.format(t=t, k=k, rel=r) for t, k, r in
         [("dim_date", "date_key", "app_date"), ("dim_tracks", "track_key", "app_tracks"),
          ("dim_users", "user_key", "app_users"), ("fact_listens", "listen_key", "app_fact")]))
-    fk = _cte(OVERLAY, EARLY_EVENTS, dims_sql("ev_early", "_e"), dims_sql("ev"))
-    q["check_fk"] = with_(fk, "\nUNION ALL\n".join(
-        FK_SQL.format(fk=f, ref=r, pk=p, fact="fact", suffix="_e") for f, r, p in
-        [("user_key", "dim_users", "user_key"), ("track_key", "dim_tracks", "track_key"),
-         ("date_key", "dim_date", "date_key")]))
+    q["check_fk"] = with_(known, "\nUNION ALL\n".join(
+        FK_SQL.format(fk=f, ref=r, pk=p, fact="fact", suffix=x) for f, r, p, x in
+        [("user_key", "dim_users", "user_key", "_u"), ("track_key", "dim_tracks", "track_key", "_t"),
+         ("date_key", "dim_date", "date_key", "_d")]))
     flawed = _cte(OVERLAY, FLAWED_EVENTS, dims_sql("ev_flawed", "_f"))
     q["check_columns"] = with_(flawed, _star_contract_checks("fact_f", "_f"))
     q["check_action_domain"] = with_(flawed, """
@@ -407,7 +408,7 @@ def io_sql() -> dict[str, str]:
         FROM (SELECT *, strftime(event_timestamp, '%Y-%m-%d') AS timestamp,
                      CAST(epoch(CAST(CAST(event_timestamp AS DATE) AS TIMESTAMP)) AS BIGINT) + 86400 AS ttl,
                      row_number() OVER (PARTITION BY user_id, CAST(event_timestamp AS DATE)
-                                        ORDER BY event_id DESC) AS rn
+                                        ORDER BY event_id % 2 DESC, event_id DESC) AS rn
               FROM ev) s WHERE rn = 1""")
     q["latest_state"] = day_state
     q["live_state"] = "SELECT * FROM (" + day_state + ") l WHERE ttl > " + \
@@ -424,6 +425,46 @@ def io_sql() -> dict[str, str]:
         UNION ALL SELECT 'dim_tracks', count(*) FROM dim_tracks
         UNION ALL SELECT 'dim_users', count(*) FROM dim_users
         UNION ALL SELECT 'fact_listens', count(*) FROM fact""")
+    time = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
+    q["star_load_dims"] = with_(STAR, f"""
+        SELECT 'dim_date' AS table_name, CAST(date_key AS BIGINT) AS key, CAST(full_date AS VARCHAR) AS v0, day_name AS v1,
+               month_name AS v2, CAST(quarter AS VARCHAR) AS v3 FROM dim_date
+        UNION ALL SELECT 'dim_tracks', track_key, track_id, title, artist, NULL FROM dim_tracks
+        UNION ALL SELECT 'dim_users', user_key, user_id, {time.format("first_seen")}, {time.format("last_seen")},
+               primary_device FROM dim_users""")
+    q["star_load_empty"] = with_(STAR, """
+        SELECT CAST(0 AS BIGINT) AS batch_id, 'dim_date' AS table_name, count(*) AS rows FROM dim_date
+        UNION ALL SELECT 0, 'dim_tracks', count(*) FROM dim_tracks
+        UNION ALL SELECT 0, 'dim_users', count(*) FROM dim_users
+        UNION ALL SELECT 0, 'fact_listens', count(*) FROM fact
+        UNION ALL SELECT 0, 'load_rejects', 0""")
+    q["check_pk_load"] = with_(OVERLAY, """
+        SELECT 'fact_listens' AS table_name, 'listen_key' AS key_column, 2 * count(*) AS total_rows,
+               CAST(0 AS BIGINT) AS null_keys, CAST(0 AS BIGINT) AS duplicate_keys, CAST(0 AS BIGINT) AS duplicate_rows
+        FROM ev""")
+    q["dedupe_load"] = with_(OVERLAY, f"""
+        SELECT {key60("user_id")} AS user_key, {key60("track_id")} AS track_key,
+               CAST(strftime(event_timestamp, '%Y%m%d') AS INTEGER) AS date_key, session_id, action,
+               listen_duration_ms AS duration_ms, device_type, event_timestamp
+        FROM (SELECT DISTINCT
+          CASE WHEN event_id % 43 IN (1, 2) THEN 'user_pair' ELSE user_id END AS user_id,
+          CASE WHEN event_id % 43 IN (1, 2) THEN 'sess_pair' ELSE session_id END AS session_id,
+          CASE WHEN event_id % 43 IN (1, 2) THEN 'tpair' ELSE track_id END AS track_id,
+          CASE event_id % 43 WHEN 1 THEN CAST(event_id - 1 AS VARCHAR) || 'A|B' WHEN 2 THEN CAST(event_id - 2 AS VARCHAR) || 'A'
+               ELSE track_title END AS track_title,
+          CASE event_id % 43 WHEN 1 THEN 'C' WHEN 2 THEN 'B|C' ELSE artist END AS artist,
+          CASE WHEN event_id % 43 IN (1, 2) THEN 'PLAY' ELSE action END AS action,
+          CASE WHEN event_id % 43 IN (1, 2) THEN 'MOBILE' ELSE device_type END AS device_type,
+          CASE WHEN event_id % 43 IN (1, 2) THEN 1000 ELSE listen_duration_ms END AS listen_duration_ms,
+          CASE WHEN event_id % 41 = 0 OR event_id % 43 IN (1, 2) THEN NULL ELSE event_timestamp END AS event_timestamp
+          FROM ev) d""")
+    q["load_rejects"] = with_(OVERLAY, """
+        SELECT user_id, session_id, '3000000000' AS listen_duration_ms, 'bad_listen_duration_ms' AS reason,
+               CAST(event_id % 2 AS BIGINT) AS batch_id FROM ev WHERE event_id % 101 = 0
+        UNION ALL SELECT NULL, NULL, CAST(count(*) AS VARCHAR), 'loaded', -1 FROM ev WHERE event_id % 101 <> 0""")
+    q["publish_counts"] = with_(OVERLAY, """
+        SELECT count_if(event_id % 53 <> 0) AS sent, count_if(event_id % 53 = 0) AS failed,
+               count_if(event_id % 53 <> 0) AS stored FROM ev""")
     q["refresh_daily_by_date"] = DAILY_USER_SUMMARY
     q["compact_state"] = q["live_state"]
     return q

@@ -17,7 +17,7 @@ from ..plans import load as L
 from ..schemas import ACTIONS, DIM_DATE, DIM_TRACKS, DIM_USERS, FACT_LISTENS
 from ..session import ensure_conf, shared_dir
 from ..sinks import files as W
-from ..sinks.publish import keyed_records
+from ..sinks.publish import keyed_records, publish
 from ..sources import files as R
 from ..sources.overlay import listening_events
 from ..sources.records import clean_records, envelopes, event_json, test_records
@@ -76,7 +76,6 @@ def fact_listens(spark, sf_dir):
 
 
 HALF = dt.datetime(2024, 1, 15)
-EARLY = dt.datetime(2024, 1, 2)
 MERGED_AT = dt.datetime(2024, 2, 2)
 
 
@@ -84,6 +83,11 @@ def _before(ev: DataFrame, t: dt.datetime) -> DataFrame:
     return ev.where(F.col("event_timestamp") < ntz_literal(t))
 
 
+def _parts(ev: DataFrame) -> list[DataFrame]:
+    """Even, then odd event ids: both have events of every day and of most users and tracks."""
+    return [ev.where(F.col("event_id") % 2 == r) for r in (0, 1)]
+
+
 def _from(ev: DataFrame, t: dt.datetime) -> DataFrame:
     return ev.where(F.col("event_timestamp") >= ntz_literal(t))
 
@@ -184,15 +188,28 @@ def user_primary_device(spark, sf_dir):
         F.max_by("device_type", F.struct("event_timestamp", "event_id")).alias("primary_device"))
 
 
+def _known(ev: DataFrame, name: str) -> DataFrame:
+    """Events whose ``name`` doesn't end in 7: what else refers to those has no dimension row."""
+    return ev.where(~F.col(name).cast("string").endswith("7"))
+
+
+def _stored(spark, dim: DataFrame, name: str) -> DataFrame:
+    """The dimension as a load would have stored it. A join reads it through an exchange of its own,
+    so the planner can split a hot key of the event side."""
+    path = _run_dir(spark, name)
+    W.append_table(dim, path)
+    return spark.read.schema(dim.schema).parquet(path)
+
+
 def lookup_user_key(spark, sf_dir):
     ev = _events(spark, sf_dir)
-    du = dims.dim_users(_before(ev, EARLY), tie=["event_id"])
+    du = _stored(spark, dims.dim_users(_known(ev, "user_id"), tie=["event_id"]), "dim-users")
     return facts.lookup_key(ev.select("event_id", "user_id"), du, "user_id", "user_key")
 
 
 def lookup_track_key(spark, sf_dir):
     ev = _events(spark, sf_dir)
-    dtr = dims.dim_tracks(_before(ev, EARLY), tie=["event_id"])
+    dtr = _stored(spark, dims.dim_tracks(_known(ev, "track_id"), tie=["event_id"]), "dim-tracks")
     return facts.lookup_key(ev.select("event_id", "track_id"), dtr, "track_id", "track_key")
 
 
@@ -223,11 +240,11 @@ def check_pk(spark, sf_dir):
 
 def check_fk(spark, sf_dir):
     ev = _events(spark, sf_dir)
-    early = _before(ev, EARLY)
+    days = _known(ev.withColumn("_day", F.date_format("event_timestamp", "yyyyMMdd")), "_day")
     return quality.check_fk(facts.fact_listens(ev, arrival="event_id"), {
-        "user_key": (dims.dim_users(early, tie=["event_id"]), "user_key", "dim_users"),
-        "track_key": (dims.dim_tracks(early, tie=["event_id"]), "track_key", "dim_tracks"),
-        "date_key": (dims.dim_date(early), "date_key", "dim_date"),
+        "user_key": (dims.dim_users(_known(ev, "user_id"), tie=["event_id"]), "user_key", "dim_users"),
+        "track_key": (dims.dim_tracks(_known(ev, "track_id"), tie=["event_id"]), "track_key", "dim_tracks"),
+        "date_key": (dims.dim_date(days), "date_key", "dim_date"),
     })
 
 
@@ -255,7 +272,7 @@ def check_action_domain(spark, sf_dir):
 
 def _parsed(spark, sf_dir):
     return ingest.parse_records(test_records(_events(spark, sf_dir)),
-                                min_partitions=spark.sparkContext.defaultParallelism)
+                                partitions=spark.sparkContext.defaultParallelism)
 
 
 def decode_payload(spark, sf_dir):
@@ -333,11 +350,11 @@ def read_jsonl(spark, sf_dir):
 def read_json_array(spark, sf_dir):
     root = _run_dir(spark, "jsonarray")
     ev = _events(spark, sf_dir)
-    arrays = (ev.groupBy(F.floor(F.col("event_id") / 100).alias("chunk"))
+    arrays = (ev.groupBy(F.floor(F.col("event_id") / 2000).alias("chunk"))      # records of one file
               .agg(F.to_json(F.collect_list(F.from_json(event_json(ev), R.EVENT_JSON_SCHEMA)))
                    .alias("value")))
-    arrays.write.mode("overwrite").partitionBy("chunk").text(root)
-    return _ntz(R.read_json_array(spark, root + "/chunk=*"))
+    arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(root)
+    return _ntz(R.read_json_array(spark, root))
 
 
 def write_jsonl(spark, sf_dir):
@@ -415,8 +432,9 @@ def _day_records(ev):
 
 
 def latest_state(spark, sf_dir):
-    h1, h2 = _halves(spark, sf_dir)
-    root = _ingest_runs(spark, [_day_records(h1), _day_records(h2)], "latest")
+    """The second batch overwrites keys (user and day) of the first."""
+    even, odd = _parts(_events(spark, sf_dir))
+    root = _ingest_runs(spark, [_day_records(even), _day_records(odd)], "latest")
     return ST.latest_state(S.read_log(spark, root))
 
 
@@ -449,18 +467,95 @@ def fact_layout(spark, sf_dir):
     return spark.read.parquet(path).select(*facts.FACT_COLUMNS)
 
 
-def _loaded_star(spark, sf_dir, refresh=False):
+def _load_parts(spark, parts, **options):
+    """The star after one load per part, each of a new folder of files."""
     root = _run_dir(spark, "star")
-    h1, h2 = _halves(spark, sf_dir)
-    schema = h1.schema
     wh = f"{root}/warehouse"
-    for i, half in enumerate((h1, h2)):
-        _write_source(half, root, i)
-        L.start_star_load(spark, f"{root}/src/*", schema, wh, f"{root}/ckpt", arrival="event_id",
-                          loaded_at=LOADED_AT, tie=["event_id"], refresh_daily=refresh).awaitTermination()
+    options = {"arrival": "event_id", "tie": ["event_id"]} | options
+    for i, part in enumerate(parts):
+        _write_source(part, root, i)
+        L.start_star_load(spark, f"{root}/src/*", parts[0].schema, wh, f"{root}/ckpt", loaded_at=LOADED_AT,
+                          **options).awaitTermination()
     return wh
 
 
+def _loaded_star(spark, sf_dir, refresh=False):
+    return _load_parts(spark, _parts(_events(spark, sf_dir)), refresh_daily=refresh)
+
+
+def star_load_dims(spark, sf_dir):
+    """The three stored dimensions when the newer half of the events arrives first."""
+    star = L.read_star(spark, _load_parts(spark, _halves(spark, sf_dir)[::-1]))
+    time = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    def rows(name, key, *texts):
+        return star[name].select(F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("key"),
+                                 *[F.col(t).cast("string").alias(f"v{i}") if isinstance(t, str) else t.alias(f"v{i}")
+                                   for i, t in enumerate(texts)])
+    return (rows("dim_date", "date_key", "full_date", "day_name", "month_name", "quarter")
+            .unionByName(rows("dim_tracks", "track_key", "track_id", "title", "artist", "album"))
+            .unionByName(rows("dim_users", "user_key", "user_id", time("first_seen"), time("last_seen"), "primary_device")))
+
+
+def star_load_empty(spark, sf_dir):
+    """A file without rows commits nothing: the row counts of all commits are the first batch's."""
+    ev = _events(spark, sf_dir)
+    wh = _load_parts(spark, [ev, ev.limit(0)])
+    return spark.read.parquet(f"{L.table_path(wh, L.COMMITS)}/v=*").select("batch_id", "table_name", "rows")
+
+
+def check_pk_load(spark, sf_dir):
+    """Events without an arrival id, every one twice: the default load gives each its own key."""
+    ev = _events(spark, sf_dir).drop("event_id")
+    wh = _load_parts(spark, [ev, ev], arrival=L.FILE_ROW, tie=None)
+    return quality.check_pk({"fact_listens": (L.read_star(spark, wh)["fact_listens"], "listen_key")})
+
+
+def odd_events(ev: DataFrame) -> DataFrame:
+    """NULL time where event_id % 41 = 0; where event_id % 43 is 1 or 2, one event each whose title and
+    artist differ but have the same text when joined by '|'."""
+    c, joint = F.col("event_id") % 43, F.col("event_id") - F.col("event_id") % 43
+    pair = c.isin(1, 2)
+    same = {name: F.when(pair, F.lit(text)).otherwise(F.col(name)) for name, text in
+            (("user_id", "user_pair"), ("session_id", "sess_pair"), ("track_id", "tpair"), ("action", "PLAY"), ("device_type", "MOBILE"))}
+    return ev.withColumns(same | {
+        "track_title": F.when(c == 1, F.concat(joint.cast("string"), F.lit("A|B"))).when(c == 2, F.concat(joint.cast("string"), F.lit("A"))).otherwise(F.col("track_title")),
+        "artist": F.when(c == 1, F.lit("C")).when(c == 2, F.lit("B|C")).otherwise(F.col("artist")),
+        "listen_duration_ms": F.when(pair, 1000).otherwise(F.col("listen_duration_ms")),
+        "event_timestamp": F.when((F.col("event_id") % 41 == 0) | pair, F.lit(None)).otherwise(F.col("event_timestamp"))})
+
+
+def dedupe_load(spark, sf_dir):
+    """Even events, then all events twice: each different event is loaded once."""
+    ev = odd_events(_events(spark, sf_dir))
+    wh = _load_parts(spark, [_parts(ev)[0], ev.unionByName(ev)], dedupe=True)
+    return L.read_star(spark, wh)["fact_listens"].select(
+        "user_key", "track_key", "date_key", "session_id", "action", "duration_ms", "device_type", "event_timestamp")
+
+
+def load_rejects(spark, sf_dir):
+    """A duration that the fact's type can't hold goes to the rejects; the rest of its batch is loaded."""
+    ev = _events(spark, sf_dir)
+    ev = ev.withColumn("listen_duration_ms", F.when(F.col("event_id") % 101 == 0, F.lit(3_000_000_000))
+                       .otherwise(F.col("listen_duration_ms")).cast("bigint"))
+    wh = _load_parts(spark, _parts(ev))
+    bad = L.read_rejects(spark, wh).select("user_id", "session_id", "listen_duration_ms", "reason", "batch_id")
+    loaded = L.read_star(spark, wh)["fact_listens"].agg(F.count(F.lit(1)).alias("n"))
+    return bad.unionByName(loaded.select(F.lit(None).cast("string").alias("user_id"), F.lit(None).cast("string").alias("session_id"),
+                                         F.col("n").cast("string").alias("listen_duration_ms"), F.lit("loaded").alias("reason"),
+                                         F.lit(-1).cast("bigint").alias("batch_id")))
+
+
+def publish_counts(spark, sf_dir):
+    """Counters of a publish in which every 53rd record has no value."""
+    ev = _events(spark, sf_dir)
+    records = ev.select("event_id", F.col("user_id").alias("key"), event_json(ev).alias("value")).withColumn(
+        "value", F.when(F.col("event_id") % 53 != 0, F.col("value"))).drop("event_id")
+    path = _run_dir(spark, "published")
+    counts = publish(records, "json", path=path)
+    sent = spark.read.schema("key string, value string").json(path).agg(F.count("value").alias("stored"))
+    return sent.select(F.lit(counts["sent"]).cast("bigint").alias("sent"), F.lit(counts["failed"]).cast("bigint").alias("failed"), "stored")
+
+
 def star_load(spark, sf_dir):
     wh = _loaded_star(spark, sf_dir)
     return L.read_star(spark, wh)["fact_listens"].select(*facts.FACT_COLUMNS)
@@ -476,11 +571,11 @@ def refresh_daily_by_date(spark, sf_dir):
 
 def compact_state(spark, sf_dir):
     """Log rewritten without overwritten and expired items; latest state unchanged for
-    everything still live."""
-    h1, h2 = _halves(spark, sf_dir)
-    root = _ingest_runs(spark, [_day_records(h1)], "compact")
+    everything still live. Live items stand on both sides of the compaction."""
+    even, odd = _parts(_events(spark, sf_dir))
+    root = _ingest_runs(spark, [_day_records(even)], "compact")
     S.compact(spark, root, LIVE_AS_OF)
-    _ingest_more(spark, root, _day_records(h2), 1)
+    _ingest_more(spark, root, _day_records(odd), 1)
     return ST.live_state(ST.latest_state(S.read_log(spark, root)), LIVE_AS_OF)
 
 
@@ -510,7 +605,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest": stream_ingest, "latest_state": latest_state, "live_state": live_state,
     "compact_state": compact_state, "late_events_kept": late_events_kept,
     # loads, sinks, maintenance
-    "star_load": star_load, "load_summary": load_summary,
+    "star_load": star_load, "load_summary": load_summary, "star_load_dims": star_load_dims,
+    "star_load_empty": star_load_empty, "check_pk_load": check_pk_load, "dedupe_load": dedupe_load,
+    "load_rejects": load_rejects, "publish_counts": publish_counts,
     "refresh_daily_by_date": refresh_daily_by_date, "append_table": append_table,
     "upsert_dimension": upsert_dimension, "conform_users": conform_users,
     "publish_keyed": publish_keyed, "write_jsonl": write_jsonl, "fact_layout": fact_layout,

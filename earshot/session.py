@@ -65,12 +65,15 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A folder under the cluster's shared checkpoint location.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
-    neither is set — local runs and tests — a fresh folder is created and
-    registered as the checkpoint dir, so later calls agree on it.
+    neither is set in local runs and tests, a fresh folder is created and registered
+    as the checkpoint dir, so later calls agree on it; on a cluster that is an error
+    (each node would write to its own disk).
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
         base = tempfile.mkdtemp(prefix="earshot-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
@@ -82,15 +85,6 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return path
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must open a path itself (tests only)."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 def hadoop_fs(spark: SparkSession, path: str):
     """(FileSystem, Path) for a location; works for any Hadoop-compatible store."""
     jvm = spark.sparkContext._jvm
@@ -124,5 +118,5 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
-__all__ = ["build_session", "ensure_conf", "shared_dir", "local_path", "path_exists",
+__all__ = ["build_session", "ensure_conf", "shared_dir", "path_exists",
            "list_dirs", "guard_checkpoint", "REQUIRED_CONF", "SCALE_CONF"]

@@ -45,10 +45,16 @@ def write_fact(fact: DataFrame, path: str, batch_id: int | None = None,
     whole folders), rows sorted by (event_timestamp, user_key, action) inside each
     file so Parquet min/max statistics skip row groups on time ranges.
 
-    No repartition by key: each task writes the dates it holds, so a user or a
-    day holding a third of all rows is still spread over all writer tasks. With a
-    ``batch_id`` the batch's folders are overwritten on retry (idempotent append).
+    By default there is no repartition: each task writes the dates it holds, so a user or
+    a day holding a third of all rows is still spread over all writer tasks. With
+    ``cluster_partitions`` the rows are range-partitioned by (date, salt) into so many
+    tasks first: a task holds few days (few files), and a hot day is cut by its ``salt``
+    values into several tasks. With a ``batch_id`` the batch's folders are overwritten on
+    retry (idempotent append).
     """
+    if cluster_partitions:
+        fact = (fact.withColumn("_salt", F.pmod(F.xxhash64("listen_key"), F.lit(salt)))
+                .repartitionByRange(int(cluster_partitions), "date_key", "_salt").drop("_salt"))
     parts = ["date_key"] if batch_id is None else ["batch_id", "date_key"]
     df = fact if batch_id is None else fact.withColumn("batch_id", F.lit(int(batch_id)))
     return write_batch_partitions(df, path, parts, ["event_timestamp", "user_key", "action"])
@@ -65,16 +71,47 @@ def committed_versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
+def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+    """The newest committed version (under ``below``), looked for from the newest folder on."""
+    found = sorted((int(n[2:]) for n in list_dirs(spark, root) if n.startswith("v=")), reverse=True)
+    for v in found:
+        if below is None or v < below:
+            fs, p = hadoop_fs(spark, f"{root}/v={v}/_SUCCESS")
+            if fs.exists(p):
+                return v
+    return None
+
+
 def latest_snapshot(spark: SparkSession, root: str, below: int | None = None) -> str | None:
-    versions = [v for v in committed_versions(spark, root) if below is None or v < below]
-    return f"{root}/v={versions[-1]}" if versions else None
+    v = latest_version(spark, root, below)
+    return None if v is None else f"{root}/v={v}"
 
 
-def write_snapshot(df: DataFrame, root: str, version: int) -> int:
-    """Write a full new version; a retry of the same version replaces it."""
+def write_snapshot(df: DataFrame, root: str, version: int, sort_by: str | None = None) -> int:
+    """Write a full new version; a retry of the same version replaces it. ``sort_by``: the
+    table's sort key; files then hold ranges of it, each sorted."""
+    if sort_by:
+        df = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
     return append_table(df, f"{root}/v={int(version)}", mode="overwrite")
 
 
+def next_snapshot(df: DataFrame, root: str) -> int:
+    """Write ``df`` as the version after the newest one; readers keep the old one until it is
+    committed."""
+    newest = latest_version(df.sparkSession, root)
+    return write_snapshot(df, root, 0 if newest is None else newest + 1)
+
+
+def drop_versions(spark: SparkSession, root: str, keep: int = 3) -> list[int]:
+    """Remove all but the newest ``keep`` committed versions (a reader that started before the
+    last ``keep - 1`` writes must have finished). Returns what was removed."""
+    old = committed_versions(spark, root)[:-keep]
+    for v in old:
+        fs, p = hadoop_fs(spark, f"{root}/v={v}")
+        fs.delete(p, True)
+    return old
+
+
 def read_snapshot(spark: SparkSession, root: str, schema=None, below: int | None = None):
     path = latest_snapshot(spark, root, below)
     if path is None:

@@ -18,15 +18,17 @@ def keyed_records(events: DataFrame, key: str = "user_id") -> DataFrame:
 
 
 def publish(records: DataFrame, fmt: str, options: dict[str, str] | None = None,
-            path: str | None = None, mode: str = "append") -> int:
+            path: str | None = None, mode: str = "append") -> dict[str, int]:
     """Write (key, value) records with any batch sink (kafka, json, parquet ...) and
-    return how many were sent. A failed task fails the write (Spark retries it), so
-    there is no separate failed-record count to report."""
+    return how many were sent and how many could not be (a record without a value). A failed
+    task fails the write, and Spark retries it; it doesn't count its records twice."""
     obs = Observation()
-    w = records.observe(obs, F.count(F.lit(1)).alias("sent")).write.format(fmt).mode(mode) \
+    counted = records.observe(obs, F.count_if(F.col("value").isNotNull()).alias("sent"),
+                              F.count_if(F.col("value").isNull()).alias("failed"))
+    w = counted.where(F.col("value").isNotNull()).write.format(fmt).mode(mode) \
         .options(**(options or {}))
     if path is None:
         w.save()
     else:
         w.save(path)
-    return int(obs.get["sent"])
+    return {k: int(v) for k, v in obs.get.items()}

@@ -13,14 +13,15 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import ingest
 from ..schemas import ENVELOPE_SCHEMA
-from ..session import ensure_conf, guard_checkpoint
+from ..session import ensure_conf, guard_checkpoint, hadoop_fs, list_dirs, path_exists
 from ..sinks.files import write_batch_partitions
 from ..sources.files import explode_envelopes, with_line_order
-from .state import ITEM_COLUMNS, write_order
+from .state import ITEM_COLUMNS, LOG_SCHEMA, write_order
 
 
 def state_paths(root: str) -> dict[str, str]:
@@ -39,41 +40,51 @@ def process_batch(records: DataFrame, batch_id: int, root: str, payload: str | N
     ensure_conf(records.sparkSession)
     if "Records" in records.columns:          # envelopes: number lines, then explode
         records = explode_envelopes(with_line_order(records))
-    parallelism = records.sparkSession.sparkContext.defaultParallelism
+    spark = records.sparkSession
+    own = records.columns
+    parallelism = spark.sparkContext.defaultParallelism
     if payload is not None and "data" not in records.columns:
         records = records.withColumn("data", F.base64(F.col(payload)))   # kept for dead letters
-    parsed = (ingest.parse_records(records, min_partitions=parallelism, payload=payload)
+    parsed = (ingest.parse_records(records, partitions=parallelism, payload=payload)
               .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
               # the raw payload is kept only where it is needed: dead letters
               .withColumn("data", F.when(F.col("error").isNotNull(), F.col("data")))
               .withColumns(write_order(F.col("seq"), F.col("source_file"), F.col("pos"),
-                                       F.col("line") if "line" in records.columns else F.lit(0)))
+                                       F.col("line") if "line" in own else F.lit(0),
+                                       F.col("file_time") if "file_time" in own else F.lit(0)))
               .persist())
     try:
+        parsed.count()              # parses the batch once, before several jobs share it
         items = parsed.where(F.col("error").isNull()).select(
-            *ITEM_COLUMNS, "seq_len", "seq", "source_file", "line", "pos", "batch_id")
+            *ITEM_COLUMNS, "seq_len", "seq", "file_time", "source_file", "line", "pos", "batch_id")
         dead = parsed.where(F.col("error").isNotNull()).select(
             "batch_id", "source_file", "pos", "seq", "data", "error")
         summary = ingest.summary(parsed).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        # independent jobs over the cached parse, submitted together (a cached block is
-        # computed once; a concurrent reader waits for it)
+        # independent jobs over the cached parse, submitted together
         with ThreadPoolExecutor(max_workers=3) as pool:
-            for f in [pool.submit(write_batch_partitions, items, paths["log"], ["batch_id"]),
-                      pool.submit(write_batch_partitions, dead, paths["dead"], ["batch_id"]),
-                      pool.submit(write_batch_partitions, summary, paths["summary"], ["batch_id"])]:
+            write = inheritable_thread_target(spark)(write_batch_partitions)
+            for f in [pool.submit(write, items, paths["log"], ["batch_id"]),
+                      pool.submit(write, dead, paths["dead"], ["batch_id"]),
+                      pool.submit(write, summary, paths["summary"], ["batch_id"])]:
                 f.result()
     finally:
         parsed.unpersist()
 
 
 def envelope_records(spark: SparkSession, source: str,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+                     max_files_per_trigger: int | None = None,
+                     max_bytes_per_trigger: str | None = None) -> DataFrame:
     """Streaming envelopes from files (one ``{"Records": [...]}`` per line); each
-    micro-batch is exploded into records by ``process_batch``."""
+    micro-batch is exploded into records by ``process_batch``. The limits bound a
+    micro-batch (a backlog is then read in many)."""
     reader = spark.readStream.schema(ENVELOPE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.json(source).withColumn("source_file", F.col("_metadata.file_path"))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return reader.json(source).withColumns({
+        "source_file": F.col("_metadata.file_path"),
+        "file_time": F.unix_micros("_metadata.file_modification_time")})
 
 
 def keyed_log_records(messages: DataFrame) -> DataFrame:
@@ -104,9 +115,9 @@ def run_ingest(records: DataFrame, root: str, checkpoint: str, available_now: bo
 
 def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
                  available_now: bool = True, max_files_per_trigger: int | None = None,
-                 processing_time: str | None = None):
+                 processing_time: str | None = None, max_bytes_per_trigger: str | None = None):
     """Start the ingest stream over envelope files under ``source``."""
-    return run_ingest(envelope_records(spark, source, max_files_per_trigger), root, checkpoint,
+    return run_ingest(envelope_records(spark, source, max_files_per_trigger, max_bytes_per_trigger), root, checkpoint,
                       available_now, processing_time)
 
 
@@ -114,32 +125,43 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
     """The state log to read: the newest committed compaction (covering batches up to
     its version) plus only the log batches after it (pruned by ``batch_id``)."""
     from ..sinks.files import committed_versions
-    log = spark.read.parquet(state_paths(root)["log"])
+    log = (spark.read.schema(LOG_SCHEMA).parquet(state_paths(root)["log"])
+           if path_exists(spark, state_paths(root)["log"]) else spark.createDataFrame([], LOG_SCHEMA))
     versions = committed_versions(spark, state_paths(root)["compacted"])
     if not versions:
         return log
     upto = versions[-1]
-    compacted = spark.read.parquet(f"{state_paths(root)['compacted']}/v={upto}")
+    compacted = spark.read.schema(LOG_SCHEMA).parquet(f"{state_paths(root)['compacted']}/v={upto}")
     return compacted.unionByName(log.where(F.col("batch_id") > F.lit(upto)), allowMissingColumns=True)
 
 
-def compact(spark: SparkSession, root: str, as_of) -> int:
+def compact(spark: SparkSession, root: str, as_of, trim: bool = True) -> int:
     """Fold the log batches written since the last compaction into a new compaction
     version ``v=<last batch>`` holding only the live latest items; later reads skip the
     log up to that batch. Returns the rows kept. With no new batch since the last
     compaction nothing is rewritten (expired items are already hidden when read) and
-    the live rows of the current version are counted."""
-    from ..sinks.files import committed_versions, write_snapshot
+    the live rows of the current version are counted. ``trim`` removes the log batches that
+    an earlier compaction covers, and all but the two newest compactions."""
+    from ..sinks.files import committed_versions, drop_versions, write_snapshot
     from .state import compact_state, ITEM_COLUMNS as ITEMS
     paths = state_paths(root)
-    upto = spark.read.parquet(paths["log"]).agg(F.max("batch_id")).first()[0]
+    batches = [int(n.split("=")[1]) for n in list_dirs(spark, paths["log"]) if n.startswith("batch_id=")]
+    upto = max(batches, default=None)
     if upto is None:
         return 0
     kept = compact_state(read_log(spark, root), as_of).select(
         *ITEMS, F.lit(-1).cast("bigint").alias("batch_id"), F.lit(0).alias("seq_len"),
-        F.lit("").alias("seq"), F.lit("").alias("source_file"), F.lit(0).cast("bigint").alias("line"),
-        F.lit(0).alias("pos"))
+        F.lit("").alias("seq"), F.lit(0).cast("bigint").alias("file_time"), F.lit("").alias("source_file"),
+        F.lit(0).cast("bigint").alias("line"), F.lit(0).alias("pos"))
     versions = committed_versions(spark, paths["compacted"])
     if versions and versions[-1] >= int(upto):
         return kept.count()
-    return write_snapshot(kept, paths["compacted"], int(upto))
+    rows = write_snapshot(kept, paths["compacted"], int(upto))
+    if trim:
+        done = versions[-1] if versions else -1
+        for b in batches:           # the version before this one has long replaced these batches
+            if b <= done:
+                fs, p = hadoop_fs(spark, f"{paths['log']}/batch_id={b}")
+                fs.delete(p, True)
+        drop_versions(spark, paths["compacted"], 2)
+    return rows

@@ -16,20 +16,28 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from ..operators.latest import latest_per_key
 from ..schemas import STATE_KEY, STATE_SCHEMA
 
 ITEM_COLUMNS = [f.name for f in STATE_SCHEMA.fields]
-ORDER_COLUMNS = ["batch_id", "seq_len", "seq", "source_file", "line", "pos"]
+ORDER_COLUMNS = ["batch_id", "seq_len", "seq", "file_time", "source_file", "line", "pos"]
+LOG_SCHEMA = T.StructType([
+    *STATE_SCHEMA.fields, T.StructField("seq_len", T.IntegerType()), T.StructField("seq", T.StringType()),
+    T.StructField("file_time", T.LongType()), T.StructField("source_file", T.StringType()),
+    T.StructField("line", T.LongType()), T.StructField("pos", T.IntegerType()),
+    T.StructField("batch_id", T.LongType())])
 
 
 def write_order(seq: Column, source_file: Column, pos: Column,
-                line: Column | None = None) -> dict[str, Column]:
+                line: Column | None = None, file_time: Column | None = None) -> dict[str, Column]:
     """Columns that order writes inside a batch: a stream's sequence numbers are
     decimal strings of growing length, so (length, text) orders them numerically;
-    without them, the envelope's line in its file, then the position in the envelope."""
+    without them, the time its file was written, the envelope's line in it, then the position
+    in the envelope."""
     return {"seq_len": F.length(seq), "seq": seq, "source_file": source_file,
+            "file_time": (file_time if file_time is not None else F.lit(0)).cast("bigint"),
             "line": (line if line is not None else F.lit(0)).cast("bigint"), "pos": pos}
 
 

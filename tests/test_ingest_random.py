@@ -27,7 +27,7 @@ def test_base64_agrees_with_stdlib(spark):
     for _ in range(400):
         raw = bytes(rnd.randrange(256) for _ in range(rnd.randrange(0, 60)))
         s = base64.b64encode(raw).decode()
-        kind = rnd.randrange(4)
+        kind = rnd.randrange(7)
         if kind == 1:           # foreign characters sprinkled in
             for _ in range(rnd.randrange(1, 4)):
                 i = rnd.randrange(len(s) + 1)
@@ -37,6 +37,12 @@ def test_base64_agrees_with_stdlib(spark):
         elif kind == 3 and len(s) > 2:        # a character lost
             i = rnd.randrange(len(s))
             s = s[:i] + s[i + 1:]
+        elif kind in (4, 5):                  # padding where it doesn't belong, data after padding
+            for _ in range(rnd.randrange(1, 4)):
+                i = rnd.randrange(len(s) + 1)
+                s = s[:i] + rnd.choice(["=", "==", "===", "Q=", "YQ=="]) + s[i:]
+        elif kind == 6:
+            s += rnd.choice(["=", "==", "x", "YQ==", "YWJj"])
         cases.append(s)
     df = spark.createDataFrame([(s,) for s in cases], "data string")
     got = df.select("data", X.decode_clean_base64(X.b64_clean(F.col("data"))).alias("b")).collect()
@@ -60,7 +66,16 @@ def iso_cases(rnd):
                 if rnd.random() < 0.5:
                     s += "." + "".join(rnd.choice("0123456789") for _ in range(rnd.choice([1, 3, 6])))
             if rnd.random() < 0.6:
-                s += rnd.choice(["Z", "+02:00", "-05:30", "+00:00"])
+                s += rnd.choice(["Z", "+02:00", "-05:30", "+00:00", "+0200", "-05"])
+        kind = rnd.randrange(6)
+        if kind == 0:
+            s = s[:10].replace("-", "") + s[10:]            # basic date
+        elif kind == 1:
+            s = s[:10] + s[10:].replace(":", "")            # basic time
+        elif kind == 2:
+            s = s.replace(".", ",")
+        elif kind == 3 and len(s) > 10:
+            s = s[:13] + rnd.choice(["", "Z", "+01:00"])    # hour only
         out.append(s)
     return out
 

@@ -105,7 +105,7 @@ def test_load_batch_rerun_is_idempotent(spark, tmp_path):
 def test_publish_counts_records(spark, tmp_path):
     from earshot.sinks.publish import keyed_records, publish
     ev = suite._events(spark, SF_SMALL)
-    assert publish(keyed_records(ev), "json", path=str(tmp_path / "out")) == ev.count()
+    assert publish(keyed_records(ev), "json", path=str(tmp_path / "out")) == {"sent": ev.count(), "failed": 0}
 
 
 def test_dedupe_drops_redelivered_events(spark, tmp_path):
