@@ -38,7 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     ld.add_argument("--every", default=None, help='e.g. "1 hour"; default: one run')
     ld.add_argument("--arrival", default=L.FILE_ROW,
                     help="column that identifies an event's arrival; default: file and row index")
-    ld.add_argument("--max-bytes", default="64g", help="input of a micro-batch at most")
+    ld.add_argument("--max-bytes", type=int, default=64 << 30, help="input of a micro-batch at most")
     ld.add_argument("--cluster-partitions", type=int, default=None, help="cluster the fact by day (backfills)")
     ld.add_argument("--dedupe", action="store_true")
     ld.add_argument("--refresh-daily", action="store_true")
@@ -48,7 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--root", required=True)
     ing.add_argument("--checkpoint", required=True)
     ing.add_argument("--every", default=None)
-    ing.add_argument("--max-bytes", default="64g", help="input of a micro-batch at most")
+    ing.add_argument("--max-bytes", type=int, default=64 << 30, help="input of a micro-batch at most")
 
     mt = sub.add_parser("marts")
     mt.add_argument("--warehouse", required=True)

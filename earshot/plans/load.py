@@ -194,7 +194,7 @@ def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, ch
                     tie: list[str] | None = None, refresh_daily: bool = False,
                     dedupe: bool = False, every: str | None = None,
                     cluster_partitions: int | None = None, max_files: int | None = None,
-                    max_bytes: str | None = None):
+                    max_bytes: int | None = None):
     """Incremental load of every Parquet file under ``source`` not yet processed.
 
     By default one run takes what is new and stops (``availableNow``: a scheduled

@@ -394,6 +394,11 @@ def io_sql() -> dict[str, str]:
         ["user_id", "session_id", "track_id", "track_title", "artist", "action", "device_type",
          "CAST(listen_duration_ms AS BIGINT) AS listen_duration_ms", "event_timestamp"]) + " FROM ev")
     q["read_json_array"] = q["read_jsonl"]
+    q["json_rejects"] = with_(OVERLAY, """
+        SELECT count_if(event_id % 59 <> 0) AS events,
+               CAST(CAST(sum(CASE WHEN event_id % 59 = 0 THEN 0 ELSE CAST(listen_duration_ms AS DECIMAL(20, 1)) + CASE
+                        WHEN event_id % 61 = 0 THEN 0.5 ELSE 0 END END) AS DECIMAL(20, 1)) AS VARCHAR) AS total,
+               count_if(event_id % 59 = 0) AS rejects, CAST(20 AS BIGINT) AS least FROM ev""")
     q["write_jsonl"] = with_(OVERLAY, "SELECT user_id, track_id, " + ISO_Z + " AS event_timestamp FROM ev")
     q["publish_keyed"] = with_(OVERLAY, "SELECT user_id AS key, user_id, track_id, action, "
                                         "CAST(listen_duration_ms AS BIGINT) AS listen_duration_ms, "

@@ -332,6 +332,22 @@ def _ntz(df, col="event_timestamp"):
     return df.withColumn(col, F.col(col).cast("timestamp_ntz"))
 
 
+def _whole_ms(df):
+    return df.withColumn("listen_duration_ms", F.col("listen_duration_ms").cast("bigint"))
+
+
+def json_rejects(spark, sf_dir):
+    """Every 59th line is cut short, every 61st has a fractional duration (which is kept)."""
+    root = _run_dir(spark, "jsonl-bad")
+    ev, i = _events(spark, sf_dir), F.col("event_id")
+    text = F.when(i % 59 == 0, F.substring(event_json(ev), 1, 20)).when(i % 61 == 0, F.regexp_replace(
+        event_json(ev), '"listen_duration_ms":([0-9]+)', '"listen_duration_ms":$1.5')).otherwise(event_json(ev))
+    W.write_jsonl(ev.select(text.alias("value")), root)
+    good = R.read_json_lines(spark, root).agg(F.count("user_id").alias("events"), F.sum("listen_duration_ms").cast("decimal(20,1)").cast("string").alias("total"))
+    bad = R.json_rejects(spark, root).agg(F.count("raw").alias("rejects"), F.min(F.length("raw")).cast("bigint").alias("least"))
+    return good.crossJoin(bad)              # one row each
+
+
 def explode_envelopes(spark, sf_dir):
     root = _run_dir(spark, "envelopes")
     ev = _events(spark, sf_dir)
@@ -344,7 +360,7 @@ def read_jsonl(spark, sf_dir):
     root = _run_dir(spark, "jsonl")
     ev = _events(spark, sf_dir)
     W.write_jsonl(ev.select(event_json(ev).alias("value")), root)
-    return _ntz(R.read_json_lines(spark, root))
+    return _whole_ms(_ntz(R.read_json_lines(spark, root)))
 
 
 def read_json_array(spark, sf_dir):
@@ -354,7 +370,7 @@ def read_json_array(spark, sf_dir):
               .agg(F.to_json(F.collect_list(F.from_json(event_json(ev), R.EVENT_JSON_SCHEMA)))
                    .alias("value")))
     arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(root)
-    return _ntz(R.read_json_array(spark, root))
+    return _whole_ms(_ntz(R.read_json_array(spark, root)))
 
 
 def write_jsonl(spark, sf_dir):
@@ -583,7 +599,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and scans
     "scan_events": scan_events, "source_count": source_count, "incremental_scan": incremental_scan,
     "explode_envelopes": explode_envelopes, "read_jsonl": read_jsonl,
-    "read_json_array": read_json_array,
+    "read_json_array": read_json_array, "json_rejects": json_rejects,
     # ingest
     "decode_payload": decode_payload, "parse_payload": parse_payload,
     "validate_required": validate_required, "parse_event_time": parse_event_time,

@@ -29,15 +29,39 @@ def with_event_time(df: DataFrame) -> DataFrame:
     return df.withColumn("event_timestamp", parse_event_time(F.col("event_timestamp")))
 
 
+RAW = "_raw"      # the text of a line or file that isn't an event
+_READ_SCHEMA = T.StructType(
+    [f if f.name != "listen_duration_ms" else T.StructField(f.name, T.DecimalType(38, 9))
+     for f in EVENT_JSON_SCHEMA.fields] + [T.StructField(RAW, T.StringType())])
+
+
+def _read_json(spark: SparkSession, path: str, whole_files: bool) -> DataFrame:
+    return (spark.read.schema(_READ_SCHEMA).option("multiLine", whole_files)
+            .option("columnNameOfCorruptRecord", RAW).json(path))
+
+
+def _events(read: DataFrame) -> DataFrame:
+    return with_event_time(read.where(F.col(RAW).isNull())).select(*EVENT_FIELDS)
+
+
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """JSON Lines of events (e.g. a redirected producer) with the event schema."""
-    return with_event_time(spark.read.schema(EVENT_JSON_SCHEMA).json(path)).select(*EVENT_FIELDS)
+    """JSON Lines of events (e.g. a redirected producer) with the event schema; durations are
+    decimal. Lines that aren't events are left out; ``json_rejects`` has them."""
+    return _events(_read_json(spark, path, False))
 
 
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
-    """Files that each hold one JSON array of events."""
-    return with_event_time(spark.read.schema(EVENT_JSON_SCHEMA).option("multiLine", True)
-                           .json(path)).select(*EVENT_FIELDS)
+    """Files that each hold one JSON array of events; see ``read_json_lines``."""
+    return _events(_read_json(spark, path, True))
+
+
+def json_rejects(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """(source_file, raw): text under ``path`` that ``read_json_lines`` (or, with ``whole_files``,
+    ``read_json_array``) can't read as an event."""
+    # every column is read, as the parser only notices a bad value in a column it parses
+    return (_read_json(spark, path, whole_files).withColumn("source_file", F.col("_metadata.file_path"))
+            .where(F.col(RAW).isNotNull() & F.coalesce(F.hash(*EVENT_FIELDS), F.lit(0)).isNotNull())
+            .select("source_file", F.col(RAW).alias("raw")))
 
 
 def with_line_order(envelopes: DataFrame) -> DataFrame:
@@ -59,7 +83,7 @@ def explode_envelopes(envelopes: DataFrame) -> DataFrame:
     A missing or empty ``Records`` yields no rows; a record without ``kinesis``
     yields NULL data and is counted as failed by ingest.
     """
-    keep = [c for c in ("source_file", "line", "batch_id") if c in envelopes.columns]
+    keep = [c for c in ("source_file", "file_time", "line", "batch_id") if c in envelopes.columns]
     return envelopes.select(*keep, F.posexplode("Records").alias("pos", "rec")).select(
         *keep, "pos", F.col("rec.kinesis.sequenceNumber").alias("seq"),
         F.col("rec.kinesis.data").alias("data"))

@@ -73,7 +73,7 @@ def process_batch(records: DataFrame, batch_id: int, root: str, payload: str | N
 
 def envelope_records(spark: SparkSession, source: str,
                      max_files_per_trigger: int | None = None,
-                     max_bytes_per_trigger: str | None = None) -> DataFrame:
+                     max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Streaming envelopes from files (one ``{"Records": [...]}`` per line); each
     micro-batch is exploded into records by ``process_batch``. The limits bound a
     micro-batch (a backlog is then read in many)."""
@@ -81,7 +81,7 @@ def envelope_records(spark: SparkSession, source: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     return reader.json(source).withColumns({
         "source_file": F.col("_metadata.file_path"),
         "file_time": F.unix_micros("_metadata.file_modification_time")})
@@ -115,7 +115,7 @@ def run_ingest(records: DataFrame, root: str, checkpoint: str, available_now: bo
 
 def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
                  available_now: bool = True, max_files_per_trigger: int | None = None,
-                 processing_time: str | None = None, max_bytes_per_trigger: str | None = None):
+                 processing_time: str | None = None, max_bytes_per_trigger: int | None = None):
     """Start the ingest stream over envelope files under ``source``."""
     return run_ingest(envelope_records(spark, source, max_files_per_trigger, max_bytes_per_trigger), root, checkpoint,
                       available_now, processing_time)

@@ -44,7 +44,34 @@ def test_stored_fact_prunes_partitions(spark, tmp_path):
 def test_clustered_fact_write_same_rows(spark, tmp_path):
     from earshot.sinks.files import write_fact
     f = suite._fact(spark, SF_SMALL)
+    f = f.repartition(16)
     n = write_fact(f, str(tmp_path / "fact"), cluster_partitions=4)
     back = spark.read.parquet(str(tmp_path / "fact"))
+    write_fact(f, str(tmp_path / "plain"))
+    files = lambda p: len(list((tmp_path / p).glob("date_key=*/*.parquet")))
+    days = back.select("date_key").distinct().count()
+    assert files("fact") <= days + 4 * 2 < files("plain")      # a task holds few days
     assert n == f.count() == back.count()
     assert back.select("listen_key").distinct().count() == n
+
+
+def test_clustered_write_cuts_a_hot_day(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from earshot.sinks.files import write_fact
+    f = suite._fact(spark, SF_SMALL).withColumn("date_key", F.lit(20240101))
+    write_fact(f, str(tmp_path / "fact"), cluster_partitions=4)
+    sizes = [spark.read.parquet(str(p)).count() for p in (tmp_path / "fact").glob("date_key=*/*.parquet")]
+    assert len(sizes) == 4 and max(sizes) < 0.5 * sum(sizes)
+    one = spark.read.parquet(str(next((tmp_path / "fact").glob("date_key=*/*.parquet")))).toPandas()
+    assert one.event_timestamp.is_monotonic_increasing
+
+
+def test_stored_dimensions_are_sorted(spark, tmp_path):
+    from earshot.plans import load as L
+    wh = str(tmp_path / "wh")
+    for b in range(5):
+        L.load_batch(suite._events(spark, SF_SMALL), b, wh, arrival="event_id", tie=["event_id"])
+    folders = sorted(p.name for p in (tmp_path / "wh" / "dim_users").glob("v=*"))
+    assert folders == ["v=2", "v=3", "v=4"]                     # older versions are gone
+    for p in (tmp_path / "wh" / "dim_users" / "v=4").glob("*.parquet"):
+        assert spark.read.parquet(str(p)).toPandas().user_key.is_monotonic_increasing
