@@ -42,27 +42,29 @@ def check_pk(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 def check_fk(fact: DataFrame, refs: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """Orphans per foreign key: fact keys absent from the referenced dimension.
 
-    ``refs``: fk column -> (dimension, its key column, table name). The fact is first
-    reduced to one row per key value (with its row count), so the anti join sees
-    distinct keys only, never the fact's rows (the dimension side is
-    deduplicated, so a key repeated in it cannot multiply counts).
+    ``refs``: fk column -> (dimension, its key column, table name). The fact is read once and
+    reduced to one row per (foreign key, value) with its row count, combined map side, so the
+    join sees distinct keys only, never the fact's rows (the dimension side is deduplicated,
+    so a key repeated in it cannot multiply counts).
     """
-    out = []
-    for fk, (dim, pk, ref_name) in refs.items():
-        per_key = fact.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        keys = (dim.select(F.col(pk).alias("_k")).where(F.col("_k").isNotNull())
-                .distinct().withColumn("_found", F.lit(True)))
-        marked = per_key.join(keys, "_k", "left")
-        orphan = F.col("_k").isNotNull() & F.col("_found").isNull()
-        out.append(marked.agg(
-            F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0))
-             .cast("bigint").alias("null_rows"),
-            F.count_if(orphan).alias("orphan_keys"),
-            F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).cast("bigint")
-             .alias("orphan_rows"),
-        ).select(F.lit(fk).alias("fk_column"), F.lit(ref_name).alias("ref_table"),
-                 "null_rows", "orphan_keys", "orphan_rows"))
-    return _union(out)
+    pairs = F.explode(F.array(*[F.struct(F.lit(fk).alias("fk_column"), F.col(fk).cast("bigint").alias("_k"))
+                                for fk in refs]))
+    per_key = (fact.select(pairs.alias("_p")).groupBy("_p.fk_column", "_p._k")
+               .agg(F.count(F.lit(1)).alias("_n")))
+    known = _union([dim.select(F.lit(fk).alias("fk_column"), F.col(pk).cast("bigint").alias("_k"))
+                    for fk, (dim, pk, _) in refs.items()])
+    known = known.where(F.col("_k").isNotNull()).distinct().withColumn("_found", F.lit(True))
+    orphan = F.col("_k").isNotNull() & F.col("_found").isNull()
+    counts = per_key.join(known, ["fk_column", "_k"], "left").groupBy("fk_column").agg(
+        F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).cast("bigint").alias("null_rows"),
+        F.count_if(orphan).alias("orphan_keys"),
+        F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).cast("bigint").alias("orphan_rows"))
+    # a row per reference, also for a fact without rows
+    names = F.explode(F.array(*[F.struct(F.lit(fk).alias("fk_column"), F.lit(ref).alias("ref_table"))
+                                for fk, (_, _, ref) in refs.items()]))
+    listed = fact.sparkSession.range(1).select(names.alias("_r")).select("_r.*")
+    zero = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("null_rows", "orphan_keys", "orphan_rows")]
+    return listed.join(counts, "fk_column", "left").select("fk_column", "ref_table", *zero)
 
 
 def check_columns(df: DataFrame, contract: TableContract) -> DataFrame:
