@@ -23,7 +23,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,5 +59,36 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                     op6_hilbert_shards, op7_token_files, op8_simhash, op9_licenses, op10_secrets)}
 
 
+#: Windows are compared as space-joined words; rowid keeps documents that share an id apart.
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
+  FROM (SELECT *, least(13, len(w)) AS n, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS i
+        FROM b WHERE len(w) > 0) x),
+dw AS (
+  SELECT r, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
+  FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+        FROM d, (SELECT DISTINCT n FROM bw) s WHERE len(w) >= n) x),
+hits AS (SELECT dw.r, dw.i, dw.n, bw.item FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
+marked AS (
+  SELECT r, count(DISTINCT p) AS n_hit
+  FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS p FROM (SELECT DISTINCT r, i, n FROM hits) h) x GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM hits) x GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN marked USING (r) LEFT JOIN found USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB twins. The other operators rest on XXH64, CRC-32, tokenizers, fitted models or automata,
+    which its SQL doesn't have; tests hold them against brute force."""
+    return {"op4_decontamination": DECONTAMINATION_SQL}
