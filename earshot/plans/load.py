@@ -140,7 +140,9 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
         events = drop_redelivered(events, batch_id, warehouse, arrival)
     every = events.withColumn("_reject", reject_reason(events)).persist()
     try:
-        if every.count() == 0:      # reads the batch once, before several jobs share it
+        # reads the batch once, before several jobs share it
+        rows, rejected = every.agg(F.count(F.lit(1)), F.count("_reject")).first()
+        if rows == 0:
             return None
         ev = every.where(F.col("_reject").isNull()).drop("_reject")
         bad = every.where(F.col("_reject").isNotNull()).select(
@@ -165,7 +167,9 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
                                               cluster_partitions=cluster_partitions)
 
         def write_rejects():
-            return REJECTS, write_batch_partitions(bad, table_path(warehouse, REJECTS), ["batch_id"])
+            if rejected:
+                write_batch_partitions(bad, table_path(warehouse, REJECTS), ["batch_id"])
+            return REJECTS, rejected
 
         # Independent jobs over the cached batch: submitted together they share the executors
         # instead of queueing one after another. The threads keep the query's job group.
