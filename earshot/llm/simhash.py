@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, small_batches, written
+from .common import free_name, map_arrow, small_batches, written
 from .graph import components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -182,11 +182,12 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", shing
     """One document of each group stays: the one with the smallest ``key`` (of rows that share
     it, one). Without a key in a group, one row of null key stays."""
     found = written(near_duplicates(docs, text, key, shingle, distance), "groups")
-    stay = found.where(F.col(key).eqNullSafe(F.col("component"))).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    stay = written(stay.select(F.col(key).alias("_key"), "_n"), "stay")
-    once, often = stay.where("_n = 1"), stay.where("_n > 1")
-    kept = docs.join(once, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    own, n = free_name(docs, "_key"), free_name(docs, "_n")
+    stay = found.where(F.col(key).eqNullSafe(F.col("component"))).groupBy(F.col(key).alias(own)).agg(F.count(F.lit(1)).alias(n))
+    stay = written(stay, "stay")
+    once, often = stay.where(F.col(n) == 1), stay.where(F.col(n) > 1)
+    kept = docs.join(once, F.col(key).eqNullSafe(F.col(own)), "left_semi")
     if often.isEmpty():
         return kept
-    several = docs.join(often, F.col(key).eqNullSafe(F.col("_key")), "left_semi").dropDuplicates([key])
+    several = docs.join(often, F.col(key).eqNullSafe(F.col(own)), "left_semi").dropDuplicates([key])
     return kept.unionByName(several)

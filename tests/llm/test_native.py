@@ -64,7 +64,7 @@ def test_match_guarantee_and_likeness(spark):
     assert {h for h, _ in brute_winnow(a)} & {h for h, _ in brute_winnow(b)}
     df = spark.createDataFrame([(1, a), (2, a), (3, word())], "doc_id long, text string")
     found = {r["doc_id"]: r for r in winnow.edited(df).collect()}
-    assert found[2]["near_next"] == 1.0 and found[2]["near_edited"] == 1.0 and found[1]["near_next"] == 0.0
+    assert found[2]["near_next"] == 1.0 and 0 < found[2]["near_edited"] < 1 and found[1]["near_next"] == 0.0
     assert found[1]["fingerprint"] == found[2]["fingerprint"]
 
 
