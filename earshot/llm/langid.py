@@ -236,7 +236,7 @@ class Models:
                 mean = float(np.average(x, weights=m))
                 foreign = float(np.average(ce[other, k], weights=n[other])) if other.any() else math.log(ALPHABET)
                 self.limits[lang] = (mean + FOREIGN * max(foreign - mean, 0.0),
-                                     DEVIATIONS * math.sqrt(float(np.mean((x - mean) ** 2 * np.minimum(m, 200)))))
+                                     DEVIATIONS * 1.4826 * float(np.median(np.abs(x - mean) * np.sqrt(np.minimum(m, 200)))))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool], list[float]]:
         """Language, score, rejected and cross-entropy of each text."""
@@ -267,7 +267,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     able = docs.where((F.coalesce(fold(key), F.lit(0)) != 2) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = able.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
     draw = (F.xxhash64(F.lit("sample"), F.col(key)).bitwiseAND((1 << 53) - 1) / float(1 << 53))
-    share = F.lit(float(train_docs + calibrate_docs)) / F.col("n")
+    share = F.least(F.lit(1.0), F.lit(float(train_docs + calibrate_docs)) / F.col("n"))
     sample = (able.select(F.col(lang).alias("lang"), F.col(text).alias("text"), draw.alias("draw"))
               .join(F.broadcast(sizes), "lang").where(F.col("draw") < share)
               .withColumn("fit", F.col("draw") < share * train_docs / (train_docs + calibrate_docs)))
