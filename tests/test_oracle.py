@@ -3,21 +3,23 @@
 import pytest
 
 import __spark_entry__ as E
+from earshot.plans import oracle, suite
 from harness import compare
 
-NAMES = sorted(E.queries())
+NAMES = sorted(suite.queries())
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(NAMES) - set(oracle.sql())
     assert not missing, missing
+    assert set(NAMES) <= set(E.queries()) and set(NAMES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_duckdb(spark, duck_small, name):
     from conftest import SF_SMALL
-    df = E.queries()[name](spark, SF_SMALL)
-    r = compare(spark, duck_small, name, df, E.oracle_sql()[name])
+    df = suite.queries()[name](spark, SF_SMALL)
+    r = compare(spark, duck_small, name, df, oracle.sql()[name])
     assert r["ok"], r
 
 
