@@ -36,32 +36,34 @@ _READ_SCHEMA = T.StructType(
 
 
 def _read_json(spark: SparkSession, path: str, whole_files: bool) -> DataFrame:
-    return (spark.read.schema(_READ_SCHEMA).option("multiLine", whole_files)
-            .option("columnNameOfCorruptRecord", RAW).json(path))
-
-
-def _events(read: DataFrame) -> DataFrame:
-    return with_event_time(read.where(F.col(RAW).isNull())).select(*EVENT_FIELDS)
+    """(source_file, value, e): each line (or file) of text and the event (or events) in it; e is NULL
+    where there is none. Blank lines are skipped."""
+    text = (spark.read.text(path, wholetext=whole_files)
+            .select(F.col("_metadata.file_path").alias("source_file"), "value").where(F.trim("value") != ""))
+    parsed = F.from_json("value", T.ArrayType(_READ_SCHEMA) if whole_files else _READ_SCHEMA,
+                         {"columnNameOfCorruptRecord": RAW})
+    read = text.withColumn("e", parsed)
+    return read if whole_files else read.withColumn("e", F.when(F.col(f"e.{RAW}").isNull(), F.col("e")))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """JSON Lines of events (e.g. a redirected producer) with the event schema; durations are
     decimal. Lines that aren't events are left out; ``json_rejects`` has them."""
-    return _events(_read_json(spark, path, False))
+    events = _read_json(spark, path, False).where(F.col("e").isNotNull()).select("e.*")
+    return with_event_time(events).select(*EVENT_FIELDS)
 
 
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array of events; see ``read_json_lines``."""
-    return _events(_read_json(spark, path, True))
+    events = _read_json(spark, path, True).select(F.inline("e"))
+    return with_event_time(events).select(*EVENT_FIELDS)
 
 
 def json_rejects(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """(source_file, raw): text under ``path`` that ``read_json_lines`` (or, with ``whole_files``,
     ``read_json_array``) can't read as an event."""
-    # every column is read, as the parser only notices a bad value in a column it parses
-    return (_read_json(spark, path, whole_files).withColumn("source_file", F.col("_metadata.file_path"))
-            .where(F.col(RAW).isNotNull() & F.coalesce(F.hash(*EVENT_FIELDS), F.lit(0)).isNotNull())
-            .select("source_file", F.col(RAW).alias("raw")))
+    return (_read_json(spark, path, whole_files).where(F.col("e").isNull())
+            .select("source_file", F.col("value").alias("raw")))
 
 
 def with_line_order(envelopes: DataFrame) -> DataFrame:

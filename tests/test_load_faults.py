@@ -100,3 +100,18 @@ def test_compaction_trims_the_log(spark, tmp_path):
         S.compact(spark, root, 0)
     assert sorted(p.name for p in (tmp_path / "state_log").glob("batch_id=*")) == ["batch_id=2"]
     assert {r.user_id for r in ST.latest_state(S.read_log(spark, root)).collect()} == {"u0", "u1", "u2"}
+
+
+def test_json_lines_and_arrays_keep_what_they_cannot_read(spark, tmp_path):
+    from earshot.sources import files as R
+    good = '{"user_id":"u","listen_duration_ms":45000.5,"event_timestamp":"2024-01-15T10:30:00Z"}'
+    (tmp_path / "lines.json").write_text(f'{good}\n{{"user_id": \n\nnull\n{{"listen_duration_ms":"x"}}\n')
+    path = str(tmp_path / "lines.json")
+    rows = R.read_json_lines(spark, path).collect()
+    assert [float(r.listen_duration_ms) for r in rows] == [45000.5] and R.read_json_lines(spark, path).count() == 1
+    assert R.json_rejects(spark, path).count() == 3
+    (tmp_path / "arrays").mkdir()
+    (tmp_path / "arrays" / "a.json").write_text(f"[{good},\n{good}]")
+    (tmp_path / "arrays" / "b.json").write_text("[{")
+    assert R.read_json_array(spark, str(tmp_path / "arrays")).count() == 2
+    assert [r.raw for r in R.json_rejects(spark, str(tmp_path / "arrays"), True).collect()] == ["[{"]
