@@ -11,7 +11,7 @@ A file is a sequence of zstandard frames, so any zstandard reader can read it wh
   decompressed size and the low 32 bits of the XXH64 of its content; then number of frames,
   descriptor, magic number; an empty skippable frame ends the file.
 
-Frames are compressed where the texts are read, range-partitioned by document key and written
+Texts are range-partitioned by document key, encoded and compressed in key order and written
 by Spark's text writer, whose line separator is the empty skippable frame. So any store that
 Spark knows will do, and a lost or repeated task leaves one committed copy.
 
@@ -31,10 +31,9 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql import types as T
 
 from ..session import shared_dir
-from .common import map_arrow, small_batches, written
+from .common import small_batches, written
 from .tokens import VOCABULARY, Encoder
 
 SEPARATOR = "P*M\x18\x00\x00\x00\x00"       # magic 0x184D2A50, size 0
@@ -93,37 +92,27 @@ class TokenFile:
 
 def write(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", vocabulary: str = VOCABULARY,
           file_text_bytes: int = FILE_TEXT_BYTES) -> None:
-    """Encode every whole text and write the ids in ascending ``key`` order, file by file."""
-    def make():
-        encoder = Encoder.shared(vocabulary)
-        width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
-
-        def f(texts):
-            rows = [[], [], []]
-            for t in texts.to_pylist():
-                content = encoder.ids(t).astype(f"<u{width}").tobytes()
-                for c, v in zip(rows, (frame(content), len(content), xxhash.xxh64_intdigest(content) & 0xFFFFFFFF),
-                                strict=True):
-                    c.append(v)
-            return *rows, [width] * len(texts)
-        return f
-    fields = [T.StructField("frame", T.BinaryType()), T.StructField("raw", T.LongType()),
-              T.StructField("digest", T.LongType()), T.StructField("width", T.IntegerType())]
+    """Encode every whole text and write the ids in ascending ``key`` order, file by file. Texts are
+    range-partitioned and sorted before they are encoded, so that nothing is encoded twice."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     files = max(1, math.ceil(size / file_text_bytes))
-    key_col = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    frames = map_arrow(key_col, ["text"], fields, make, keep=["key"])
-    placed = frames.repartitionByRange(files, "key", "digest").sortWithinPartitions("key", "digest")
+    order = ["key", "tie"]                      # rows of one key: by a hash of their text
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
+    placed = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).select("key", "text")
+    small_batches(docs.sparkSession)
 
     def lines(batches):
-        keys, entries, width = [], [], 4
+        encoder = Encoder.shared(vocabulary)
+        width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        keys, entries = [], []
         for b in batches:
-            part = b.to_pydict()
-            keys += part["key"]
-            entries += [(len(f) + len(SEPARATOR), raw, d) for f, raw, d in
-                        zip(part["frame"], part["raw"], part["digest"], strict=True)]
-            width = part["width"][0] if part["width"] else width
-            yield pa.RecordBatch.from_arrays([b.column(1)], names=["value"])
+            frames = []
+            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                content = encoder.ids(t).astype(f"<u{width}").tobytes()
+                frames.append(frame(content))
+                keys.append(k)
+                entries.append((len(frames[-1]) + len(SEPARATOR), len(content), xxhash.xxh64_intdigest(content) & 0xFFFFFFFF))
+            yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["value"])
         if entries:
             yield pa.RecordBatch.from_arrays([pa.array([trailer(keys, width, entries)], pa.binary())], names=["value"])
 
@@ -152,7 +141,8 @@ def read(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     rows = written(files.mapInArrow(frames, f"file string, frame long, {key} long, inside long, n_tokens long, ids_crc32 long"),
                    "token_rows")
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))      # one row per file
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.regexp_extract("file", "part-([0-9]+)", 1).cast("long")    # files are numbered in key order
+    before = Window.orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     return rows.join(starts, "file").select(key, (F.col("first") + F.col("inside")).alias("start"),
                                             "n_tokens", "ids_crc32", "file", "frame")
