@@ -185,7 +185,8 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", shing
     own, n = free_name(docs, "_key"), free_name(docs, "_n")
     stay = found.where(F.col(key).eqNullSafe(F.col("component"))).groupBy(F.col(key).alias(own)).agg(F.count(F.lit(1)).alias(n))
     stay = written(stay, "stay")
-    once, often = stay.where(F.col(n) == 1), stay.where(F.col(n) > 1)
+    # the ids that stay grow with the documents: joined by a shuffle at every size, never broadcast
+    once, often = (stay.where(c).hint("merge") for c in (F.col(n) == 1, F.col(n) > 1))
     kept = docs.join(once, F.col(key).eqNullSafe(F.col(own)), "left_semi")
     if often.isEmpty():
         return kept
