@@ -33,8 +33,9 @@ TRAIN_DOCS, CALIBRATE_DOCS = 500, 250
 #: Characters a model may give a probability to that it has never seen.
 ALPHABET = 4096
 #: A text is rejected if its best model takes it for foreign: beyond this share of the way from
-#: the entropy of own texts to that of texts in other languages, and these deviations more.
-FOREIGN, DEVIATIONS = 1.0, 3.0
+#: the entropy of own texts to that of the nearest other language's (``FAR`` times that of own
+#: texts at most), but not below this quantile of own texts, and these deviations more.
+FOREIGN, FAR, OWN, DEVIATIONS = 0.5, 2.0, 0.995, 3.0
 #: Languages in a block (a row of that many probabilities per n-gram).
 BLOCK = 8
 _CHUNK = 1 << 20
@@ -234,8 +235,10 @@ class Models:
             x, m, other = ce[own == k, k], n[own == k], own != k
             if len(x):
                 mean = float(np.average(x, weights=m))
-                foreign = float(np.average(ce[other, k], weights=n[other])) if other.any() else math.log(ALPHABET)
-                self.limits[lang] = (mean + FOREIGN * max(foreign - mean, 0.0),
+                # one that is not learned may be nearer than all that are
+                foreign = min([FAR * mean, *(float(np.median(ce[own == j, k])) for j in np.unique(own[other]))])
+                most = float(np.quantile(x, OWN))
+                self.limits[lang] = (max(mean + FOREIGN * (foreign - mean), most),
                                      DEVIATIONS * 1.4826 * float(np.median(np.abs(x - mean) * np.sqrt(np.minimum(m, 200)))))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool], list[float]]:

@@ -69,3 +69,27 @@ def test_held_out_accuracy_and_rejection(spark):
     assert rows[rows.doc_id >= 10 ** 6][n["rejected"]].all()
     assert rows[rows.doc_id < 10 ** 6][n["rejected"]].mean() <= 0.002
     assert (rows[rows.doc_id > 10 ** 6][n["lang_pred"]] == "und").all()
+
+
+def test_a_language_that_is_not_learned_is_rejected():
+    """Each language left out of fitting in turn; the held-out texts of the others stay."""
+    import zlib
+
+    import pyarrow.parquet as pq
+    by, held = {}, []
+    for r in pq.read_table(f"{SF}/documents.parquet").to_pylist():
+        if r["text"] and r["lang"]:
+            if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2:
+                held.append((r["lang"], r["text"]))
+            else:
+                by.setdefault(r["lang"], []).append(r["text"])
+    trained = {k: L.train(v[:len(v) * 2 // 3]) for k, v in by.items()}
+    for out in by:
+        models = L.Models({k: m for k, m in trained.items() if k != out})
+        rows = [(k, t) for k in models.langs for t in by[k][len(by[k]) * 2 // 3:]]
+        ce, n = models.entropies([t for _, t in rows])
+        models.calibrate([(k, int(c), e) for (k, _), c, e in zip(rows, n, ce.tolist(), strict=True)])
+        rejected = np.array(models.predict([t for _, t in held])[2])
+        own = np.array([k != out for k, _ in held])
+        assert rejected[own].mean() <= 0.02, out
+        assert rejected[~own].mean() >= 0.9, out
