@@ -20,8 +20,9 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints stays, the one with the smallest doc_id."""
-    return simhash.deduplicated(docs)
+    """One row of each group of linked fingerprints stays, the one with the smallest doc_id. Groups whose
+    row has no id, or the id of another group's, stay too."""
+    return simhash.deduplicated(docs, unique_keys=False)
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -162,33 +162,45 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return grouped.mapInArrow(_group_links(distance), "u long, v long")
 
 
+def _rooted(marked: DataFrame, first, distance: int) -> DataFrame:
+    """(fp, root, first) for every fingerprint of ``marked``: the root of its group, and the
+    aggregate ``first`` of its rows. Equal fingerprints are one row, so a hot one is no hot key."""
+    fps = written(marked.groupBy("fp").agg(first.alias("first")), "distinct")
+    roots = components(links(fps.select("fp"), distance))
+    linked = fps.join(roots, fps["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    return written(linked, "linked")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
                     distance: int = DISTANCE) -> DataFrame:
     """(key, fp, component): component is the smallest key among the documents that links of at
     most ``distance`` bits reach."""
     marked = written(fingerprints(docs, text, key, shingle), "fingerprints")
-    fps = written(marked.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
-    roots = components(links(fps.select("fp"), distance))
-    linked = fps.join(roots, fps["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
-    linked = written(linked, "linked")
+    linked = _rooted(marked, F.min(key), distance)
     least = linked.groupBy("root").agg(F.min("first").alias("component"))
     labels = written(linked.join(least, "root").select("fp", "component"), "labels")
     return marked.join(labels, "fp").select(key, "fp", "component")
 
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
-                 distance: int = DISTANCE) -> DataFrame:
-    """One document of each group stays: the one with the smallest ``key`` (of rows that share
-    it, one). Without a key in a group, one row of null key stays."""
-    found = written(near_duplicates(docs, text, key, shingle, distance), "groups")
-    own, n = free_name(docs, "_key"), free_name(docs, "_n")
-    stay = found.where(F.col(key).eqNullSafe(F.col("component"))).groupBy(F.col(key).alias(own)).agg(F.count(F.lit(1)).alias(n))
-    stay = written(stay, "stay")
-    # the ids that stay grow with the documents: joined by a shuffle at every size, never broadcast
-    once, often = (stay.where(c).hint("merge") for c in (F.col(n) == 1, F.col(n) > 1))
-    kept = docs.join(once, F.col(key).eqNullSafe(F.col(own)), "left_semi")
-    if often.isEmpty():
-        return kept
-    several = docs.join(often, F.col(key).eqNullSafe(F.col(own)), "left_semi").dropDuplicates([key])
-    return kept.unionByName(several)
+                 distance: int = DISTANCE, unique_keys: bool = True) -> DataFrame:
+    """One row of each group stays: the one with the smallest ``key`` (null behind all others), then
+    the smallest hash of the row. Rows are told apart by a number given in a written table, so groups
+    without a key stay apart. With ``unique_keys``, of the rows that stay and share a key that isn't
+    null only one does; without, groups that share a key keep a row each."""
+    row = free_name(docs, "_row")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    content = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()))
+    first = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), content.alias("tie"), F.col(row).alias("row"))
+    marked = written(fingerprints(rows.select(F.col(text).alias("text"), first.alias("first")), "text", "first", shingle),
+                     "fingerprints")
+    stay = _rooted(marked, F.min("first"), distance).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    if unique_keys:
+        stay = stay.groupBy("key", F.when(F.col("none"), F.col("row")).alias("none")).agg(
+            F.min(F.struct("tie", "row")).alias("first")).select("first.row")
+    stay = written(stay.select(F.col("row").alias("_stays")), "stay")
+    # the rows that stay grow with the documents: joined by a shuffle at every size, never broadcast
+    own = free_name(rows, "_stays")
+    stay = stay.withColumnRenamed("_stays", own).hint("merge")
+    return rows.join(stay, F.col(row) == F.col(own), "left_semi").select(*docs.columns)

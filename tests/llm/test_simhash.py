@@ -78,3 +78,16 @@ def test_masks_leave_no_close_pair_apart():
             for bit in rng.sample(range(64), 4):
                 b ^= 1 << bit
             assert any((a ^ b) & m & (1 << 64) - 1 == 0 for m in masks)
+
+
+def test_each_group_keeps_a_row(spark):
+    """Groups without an id, and groups that share one, lose no text; copies go whatever their ids."""
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(40)) for w in ("alpha", "beta", "gamma", "delta"))
+    rows = [(None, a, 1), (None, b, 2), (None, b, 2), (None, c, 3), (1, c, 4), (7, a.upper() + " ", 5), (9, d, 6), (9, d[::-1], 7), (9, d, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+    found = sorted(((r[0] or 0), r[1], r[2]) for r in simhash.deduplicated(docs, unique_keys=False).collect())
+    assert found == sorted([(0, b, 2), (1, c, 4), (7, a.upper() + " ", 5), (9, d, 6), (9, d[::-1], 7)])
+    once = sorted((r[0] or 0) for r in simhash.deduplicated(docs).collect())
+    assert once == [0, 1, 7, 9]
+    two = spark.createDataFrame([(None, a), (None, b), (None, a)], "doc_id long, text string")
+    assert sorted(r["text"] for r in simhash.deduplicated(two).collect()) == sorted([a, b])
