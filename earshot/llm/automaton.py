@@ -109,8 +109,8 @@ def compiled(patterns: list[str], *, anywhere: bool, backwards: bool = False, de
     """Minimal automaton of all ``patterns`` at once.
 
     ``anywhere``: it looks for matches from every position on; otherwise only for those that
-    begin where it begins. ``backwards``: it reads the text from its end. ``detect``: a match is
-    followed no further once it is accepted, which keeps the automaton small. Returns ``classes``
+    begin where it begins. ``backwards``: it reads the text from its end. ``detect``: where a pattern
+    is accepted, its matches are followed no further, which keeps the automaton small. Returns ``classes``
     (256 bytes: byte -> class), ``next`` (a row of target states per state), ``accept`` (bit
     mask of patterns per state); state 0 is the start.
     """
@@ -118,11 +118,13 @@ def compiled(patterns: list[str], *, anywhere: bool, backwards: bool = False, de
     root = nfa.state()
     if anywhere:
         nfa.move[root].append((ALL_BYTES, root))
+    owner = [0]                               # by state: the bit of its pattern
     for i, p in enumerate(patterns):
         parsed = re._parser.parse(p)
         start = nfa.state()
         nfa.eps[root].append(start)
         nfa.accept[nfa.add(parsed, start, parsed.state.flags, backwards)] = 1 << i
+        owner += [1 << i] * (len(nfa.eps) - len(owner))
     masks = sorted({m for moves in nfa.move for m, _ in moves})
     kinds: dict[tuple, int] = {}
     classes = bytes(kinds.setdefault(tuple(m >> b & 1 for m in masks), len(kinds)) for b in range(256))
@@ -136,7 +138,8 @@ def compiled(patterns: list[str], *, anywhere: bool, backwards: bool = False, de
                 if t not in seen:
                     seen.add(t)
                     todo.append(t)
-        return frozenset(s for s in seen if nfa.move[s] or s in nfa.accept)
+        over = sum({nfa.accept[s] for s in seen if s in nfa.accept}) if detect else 0
+        return frozenset(s for s in seen if s in nfa.accept or nfa.move[s] and not owner[s] & over)
 
     first = closed({root})
     number, rows, accept, todo = {first: 0}, [], [], [first]

@@ -18,6 +18,17 @@ from pyspark.sql import types as T
 from .automaton import RuleScanner
 from .common import free_name, map_arrow, spans_text
 
+_KEY = r"((RSA|DSA|EC|OPENSSH|PGP|ENCRYPTED) )?PRIVATE KEY( BLOCK)?-----"
+#: Lines of a key before its body, and what stands between base64 lines: line ends (also written as
+#: escapes), indents, quotes, comment signs.
+_KEY_HEADS = (r"([\x20\t\r\n\\>#*]+(r\\)?[rn]?(Proc-Type|DEK-Info|Content-Domain|Version|Comment|MessageID|Hash|Charset):"
+              r"[^\r\n\\-]*(-[^\r\n\\-]+)*)*")
+_KEY_BODY = r'''[A-Za-z0-9+/=\x20\t\r\n\\"'>#*,;]*'''
+_KEY_NEXT = r'''[\x20\t\r\n\\"'>#*,;]*([rn]\\[\x20\t\r\n\\"'>#*,;]*)*'''
+#: A private key to its END line; without one, to its last base64 line (lines of 16 characters and
+#: more, and a shorter one behind them).
+PRIVATE_KEY = (rf"-----BEGIN {_KEY}{_KEY_HEADS}({_KEY_BODY}-----END {_KEY}"
+               rf"|({_KEY_NEXT}[A-Za-z0-9+/=]{{16,}})+({_KEY_NEXT}[A-Za-z0-9+/=]+)?)?")
 #: name, rule, least length of a match (of group 2 for ``assign``). The first three are fixed by
 #: the contract; the others are published formats of common credentials. A match that is too
 #: short is dropped after it has been taken, so no shorter one is tried inside it.
@@ -30,7 +41,7 @@ RULES = [
     ("google", r"AIza[0-9A-Za-z_-]+", 39),
     ("stripe", r"[rs]k_(live|test)_[0-9A-Za-z]+", 24),
     ("jwt", r"eyJhbGciOi[A-Za-z0-9_.-]+", 40),
-    ("private_key", r"-----BEGIN ((RSA|DSA|EC|OPENSSH|PGP|ENCRYPTED) )?PRIVATE KEY( BLOCK)?-----", 27),
+    ("private_key", PRIVATE_KEY, 27),
 ]
 BASE = ("assign", "access", "hex")
 KINDS = [r[0] for r in RULES]

@@ -35,3 +35,29 @@ def test_automaton_is_minimal_and_agrees():
 def test_long_runs_stay_linear():
     scanner = automaton.RuleScanner(automaton.RuleScanner.tables([r[:2] for r in secret_scan.RULES]))
     assert secret_scan.find_spans(scanner, "a" * 300_000) == [("hex", 0, 300_000)]
+
+
+def test_private_keys_are_found_whole(spark):
+    rng = random.Random(4)
+    line = lambda n=64: "".join(rng.choices("ABCDEFXYZabcdefxyz0123456789+/", k=n))
+    body = [line(), line(), line(), line(17) + "=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    heads = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123ABCD", ""]
+    pgp = ["-----BEGIN PGP PRIVATE KEY BLOCK-----", "Version: GnuPG v2.0 (GNU/Linux)", "", *body, "=aB1c", "-----END PGP PRIVATE KEY BLOCK-----"]
+    whole = ["\n".join([begin, *body, end]), "\r\n".join([begin, *body, end]), "\\n".join([begin, *body, end]), "\\r\\n".join([begin, *body, end]),
+             "\n".join([begin, *heads, *body, end]), "\n    ".join([begin, *body, end]), " ".join([begin, *body, end]), "\n".join(pgp),
+             '\\n" +\n  "'.join([begin, *body, end]), "\n".join([begin, *body]), "\\n".join([begin, *heads, *body[:3]]), "\n".join([begin, *body[:2]]), begin]
+    scanner = automaton.RuleScanner(automaton.RuleScanner.tables([r[:2] for r in secret_scan.RULES]))
+    texts = []
+    for key in whole:
+        for before, after in (("", ""), ("é key:\n", "\n\n- é, words after it"), ("x ", ". It ends")):
+            text = before + key + after
+            spans = [s for s in secret_scan.find_spans(scanner, text) if s[0] == "private_key"]
+            assert spans == [("private_key", len(before), len(before) + len(key))], text
+            assert spans == [s for s in brute(text) if s[0] == "private_key"]
+            texts.append((text, before + "[SECRET]" + after))
+    twice = whole[0] + "\nand\n" + whole[4]
+    texts += [(twice, "[SECRET]\nand\n[SECRET]"), (begin + "\nis the first line of a key file", "[SECRET]\nis the first line of a key file")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == [w for _, w in texts]
