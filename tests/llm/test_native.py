@@ -7,6 +7,8 @@ import zlib
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from earshot.llm import hilbert, licenses, pii, winnow
 
 from . import fixtures as X
@@ -163,3 +165,20 @@ def test_cosine_equals_the_definition(spark):
     b = {"licensed": weights["licensed"], "under": weights["under"], "x": other}
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
     assert name == "A" and abs(score - sum(a[w] * b[w] for w in a if w in b) / norm(a) / norm(b)) < 1e-12
+
+
+PLANTED = [("ssn", "123-45-6789"), ("ssn", "536-22-8741"), ("iban", "DE89370400440532013000"), ("iban", "GB82 WEST 1234 5698 7654 32"),
+           ("iban", "NL91ABNA0417164300"), ("phone", "415-555-1234"), ("phone", "(212) 555-0187"), ("phone", "303.555.0142")]
+FALSE = ["000-12-3456", "987-65-4321", "DE88370400440532013000", "GB83 WEST 1234 5698 7654 32", "x415-555-1234y", "4711047"]
+
+
+@pytest.mark.parametrize("times", [1, 60])
+def test_trees_add_planted_identifiers(spark, times):
+    """What no base rule knows is found, be it rare or common; what fails its checks is not."""
+    rows = [(f"text {i} of {hit} and so on", kind, hit) for i in range(times) for kind, hit in [*PLANTED, *((None, x) for x in FALSE)]]
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.scan(docs).collect()}
+    for i, (text, kind, hit) in enumerate(rows):
+        at = text.index(hit)
+        want = f"{kind}:{at}:{at + len(hit)}" if kind else ""
+        assert found[i]["spans"] == want and found[i]["n_added"] == bool(kind), text
