@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, hilbert, langid, licenses, packing, pii, secret_scan, simhash, token_files, winnow
+from . import (alignment, decontam, filter_audit, hilbert, langid, licenses, packing, pii, secret_scan, simhash,
+               token_files, winnow)
 from .common import table
 
 
@@ -54,9 +55,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_winnowing, op2_pii, op3_packing, op4_decontamination, op5_language_id,
-                                    op6_hilbert_shards, op7_token_files, op8_simhash, op9_licenses, op10_secrets)}
+                                    op6_hilbert_shards, op7_token_files, op8_simhash, op9_licenses, op10_secrets,
+                                    op11_alignment, op13_filter_audit)}
 
 
 #: Windows are compared as space-joined words; rowid keeps documents that share an id apart.
@@ -88,7 +98,44 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN marked USING (r) LEFT JOIN found USING (r)"""
 
 
+FILTER_AUDIT_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (
+  SELECT w.part, coalesce(q.quality = 1, false) AS good, coalesce(q.toxic = 1, false) AS toxic,
+         [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+          100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t), regexp_matches(t, '[#$%&*|]'),
+          doc_id > min(doc_id) OVER (PARTITION BY t)] AS fails
+  FROM w LEFT JOIN labels q USING (doc_id)),
+m AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, step, ascii(filter_order[step]) - 64 AS own,
+         [ascii(filter_order[i]) - 64 for i in generate_series(1, step - 1)] AS earlier
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step) s),
+c AS (
+  SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS bad,
+         list_bool_or([false] || [fails[i] for i in earlier]) AS gone, len(list_filter(fails, lambda x: x)) = 1 AS alone
+  FROM m, steps),
+r AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT gone AND NOT bad), 0) AS kept,
+         coalesce(sum(n) FILTER (bad AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (bad AND gone), 0) AS redundant,
+         coalesce(sum(n) FILTER (bad AND alone), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (bad AND NOT gone AND good), 0) AS good_lost,
+         coalesce(sum(n) FILTER (bad AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM c GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB twins. The other operators rest on XXH64, CRC-32, tokenizers, fitted models or automata,
     which its SQL doesn't have; tests hold them against brute force."""
-    return {"op4_decontamination": DECONTAMINATION_SQL}
+    return {"op4_decontamination": DECONTAMINATION_SQL,
+            "op13_filter_audit": FILTER_AUDIT_SQL}
