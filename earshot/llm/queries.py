@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (alignment, decontam, filter_audit, hilbert, langid, licenses, packing, pii, secret_scan, simhash,
+from . import (alignment, decontam, filter_audit, hilbert, langid, licenses, minhash, packing, pii, secret_scan, simhash,
                token_files, winnow)
 from .common import table
 
@@ -59,6 +59,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -66,7 +70,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_winnowing, op2_pii, op3_packing, op4_decontamination, op5_language_id,
                                     op6_hilbert_shards, op7_token_files, op8_simhash, op9_licenses, op10_secrets,
-                                    op11_alignment, op13_filter_audit)}
+                                    op11_alignment, op12_minhash, op13_filter_audit)}
 
 
 #: Windows are compared as space-joined words; rowid keeps documents that share an id apart.
@@ -98,6 +102,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN marked USING (r) LEFT JOIN found USING (r)"""
 
 
+#: Copies of one set are one node; every pair of nodes that shares a shingle is compared.
+MINHASH_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct([array_to_string(list_slice(w, i, i + least(5, len(w)) - 1), ' ')
+         for i in generate_series(1, len(w) - least(5, len(w)) + 1) if len(w) > 0])) AS g FROM d),
+nodes AS (SELECT min(doc_id) AS node, g FROM s WHERE len(g) > 0 GROUP BY g),
+e AS (SELECT node, len(g) AS n, unnest(g) AS x FROM nodes),
+links AS (
+  SELECT a.node AS u, b.node AS v FROM e a JOIN e b ON a.x = b.x AND a.node <> b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT node AS u, node AS v FROM nodes UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+least_of AS (SELECT u, min(v) AS c FROM reach GROUP BY u),
+found AS (
+  SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, coalesce(m.c, s.doc_id) AS component_id
+  FROM s LEFT JOIN nodes USING (g) LEFT JOIN least_of m ON m.u = nodes.node)
+SELECT *, doc_id = component_id AS kept FROM found"""
+
 FILTER_AUDIT_SQL = r"""
 WITH w AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
@@ -137,5 +161,5 @@ FROM r"""
 def oracle_sql() -> dict[str, str]:
     """DuckDB twins. The other operators rest on XXH64, CRC-32, tokenizers, fitted models or automata,
     which its SQL doesn't have; tests hold them against brute force."""
-    return {"op4_decontamination": DECONTAMINATION_SQL,
+    return {"op4_decontamination": DECONTAMINATION_SQL, "op12_minhash": MINHASH_SQL,
             "op13_filter_audit": FILTER_AUDIT_SQL}
