@@ -2,32 +2,35 @@
 
 Base spans follow the contract's rules and always stay. High-recall generators propose further,
 overlapping spans (numbers in the shapes of phones, cards, addresses and identifiers, disguised
-mail addresses). Boosted trees score each candidate by its format and its context. A candidate's
-label doesn't depend on the base rules, but on evidence of its own kind (``genuine``: checksums,
-number plans and ranges, words before it). The trees are fitted on about ``TRAIN_CANDIDATES``
-candidates of each label at most, with equal shares of the kinds (chosen by a hash, from all texts;
-half of them calibrate), and on the candidates of fixed example texts, so that every kind has
-examples of both labels whatever the texts hold. Each kind's threshold is the least score from which
-on the precision is at least ``PRECISION`` (and ``LEAST`` at least). A candidate over its threshold that no base span and
-no earlier selected one overlaps becomes a span. Fitted trees are written out as one column
-expression over the candidates of a row, so scoring needs no shuffle and no second pass.
-
-Null and empty texts have no spans; equal rows have equal spans; extra columns are ignored.
-Positions are code points.
+mail addresses). Boosted trees score each candidate by its format and its context. The documents
+carry no labels of personal data, so the trees are fitted on example texts whose truth is known as
+they are made: genuine data and look-alikes (failed checksums, valid ones in orders, versions and
+part numbers), with and without words that announce them. So a label is no function of the
+features, and the sample's size is fixed. One half of the examples fits, the other calibrates:
+each kind's threshold is the least score from which on the precision there is at least
+``PRECISION``. A candidate over its threshold that no base span and no earlier selected one overlaps
+becomes a span. Fitted trees are written out as one column expression over the candidates of a
+row, so scoring needs no shuffle and a single pass.
+
+Arrays are never grown element by element: running positions are made in blocks of the root of
+their number, and overlaps are counted by sorted ranks, so a text full of numbers takes a time
+nearly in proportion to its length.
+
+Null and empty texts have no spans; equal rows have equal spans; extra columns are ignored. An
+empty table gives no rows, one without candidates only base spans. Positions are code points.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import written
-
 #: Base rules of the contract. A match begins where its first run of characters begins (or where
 #: the last match ended), and runs are taken whole, which the rules' leftmost longest matches do too.
 BASE = {
@@ -51,11 +54,12 @@ SIGNS = r"@|[(\[]at[)\]]"
 DIGITS = r"[0-9][0-9 ().+-]*[0-9]"
 KINDS = ["email", "ip", "card", "phone", "ssn", "iban", "number"]
 CUES = {"phone": "tel|phone|call|fax|mobil", "mail": "mail|contact|write", "card": "card|visa|credit|pay|konto|account|iban",
-        "net": "ip|host|server|addr", "person": "ssn|social|security|passport|name|born"}
+        "net": "ip|host|server|addr", "person": "ssn|social|security|passport|name|born",
+        "thing": "order|part|item|sku|version|release|build|serial|invoice|ref|lot|page"}
 CONTEXT = 24
-TRAIN_CANDIDATES = 10_000
+EXAMPLES = 120          # example texts of each kind, look-alike and context
 PRECISION, LEAST = 0.95, 0.5
-TREES, DEPTH = 10, 3
+TREES, DEPTH = 16, 5
 
 
 def spans(df: DataFrame, text: str, rules: list[tuple[str, str]], name: str) -> DataFrame:
@@ -78,16 +82,39 @@ def spans(df: DataFrame, text: str, rules: list[tuple[str, str]], name: str) ->
 _SPANS = "array<struct<kind:string,start:int,end:int,hit:string,before:string,after:string>>"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, also where ``use`` reads it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(items: Column, zero: Column, step: Callable, kind: str) -> Column:
+    """For each item, ``out`` of ``step(state, item) -> (state, out)``. The items are taken in blocks of
+    the root of their number, so that no array is copied once for each item."""
+    def blocks(x):
+        size = F.ceil(F.sqrt(F.size(x))).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.ceil(F.size(x) / size).cast("int") - 1), lambda b: F.slice(x, b * size + 1, size))
+
+    def one(done, x):
+        state, out = step(done["at"], x)
+        return F.struct(state.alias("at"), F.concat(done["out"], F.array(out)).alias("out"))
+
+    def block(done, x):
+        inner = F.aggregate(x, F.struct(done["at"].alias("at"), F.array().cast(f"array<{kind}>").alias("out")), one)
+        return _let(inner, lambda v: F.struct(v["at"].alias("at"), F.concat(done["out"], F.array(v["out"])).alias("out")))
+    start = F.struct(zero.alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return _let(items, lambda x: F.when(F.size(x) == 0, F.array().cast(f"array<{kind}>")).otherwise(
+        F.aggregate(blocks(x), start, block, lambda done: F.flatten(done["out"]))))
+
+
 def _positions(kind: str, hit: str, gap: str) -> Column:
-    def step(done, i):
-        start = done["at"] + F.length(F.get(gap, i))
-        end = start + F.length(F.get(hit, i))
-        one = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.get(hit, i).alias("hit"),
-                       F.right(F.get(gap, i), F.lit(CONTEXT)).alias("before"),
-                       F.left(F.get(gap, i + 1), F.lit(CONTEXT)).alias("after"))
-        return F.struct(end.alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
-    return F.aggregate(F.sequence(F.lit(0), F.size(hit) - 1), zero, step, lambda done: done["out"])
+    def build(both):
+        hits, gaps = both["hit"], both["gap"]
+        lengths = F.transform(hits, lambda h, i: F.length(F.get(gaps, i)) + F.length(h))
+        ends = _running(lengths, F.lit(0), lambda at, n: (at + n, at + n), "int")
+        return _let(ends, lambda end: F.transform(hits, lambda h, i: F.struct(
+            F.lit(kind).alias("kind"), (F.get(end, i) - F.length(h)).alias("start"), F.get(end, i).alias("end"), h.alias("hit"),
+            F.right(F.get(gaps, i), F.lit(CONTEXT)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(CONTEXT)).alias("after"))))
+    return F.when(F.col(hit).isNotNull(), _let(F.struct(F.col(hit).alias("hit"), F.col(gap).alias("gap")), build))
 
 
 def _digits(hit: Column) -> Column:
@@ -147,18 +174,18 @@ def check(s: Column) -> Column:
         .when(s["kind"] == "iban", _mod97(s["hit"])), F.lit(False))
 
 
-def genuine(s: Column) -> Column:
-    """The label: evidence that a candidate is what its kind says, whatever the base rules find. Bare
-    digits count as a phone or an identifier where the words before them say so."""
+def rule(s: Column) -> Column:
+    """What rules alone would select: checked candidates that don't go on in letters or digits, bare
+    digits where the words before them say what they are. The trees are held against it."""
     near, bare = F.lower(s["before"]), s["hit"].rlike("^[0-9]+$")
     return ~_glued(s) & (F.when(s["kind"] == "number", near.rlike(_ANNOUNCED))
                          .when(s["kind"] == "phone", (check(s) & ~bare) | near.rlike(_CALLED))
                          .otherwise(check(s)))
 
 
-def examples() -> list[str]:
-    """Fixed example texts of every kind and label, with invented numbers."""
-    rng = random.Random(42)
+def examples(seed: int = 42, size: int = EXAMPLES) -> list[tuple[str, str | None, int]]:
+    """(text, kind, start): invented texts with genuine data of a kind at start, or with none."""
+    rng = random.Random(seed)
     digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     word = lambda: "".join(rng.choice("aeilnorstu") for _ in range(rng.randint(2, 8)))
 
@@ -180,31 +207,47 @@ def examples() -> list[str]:
         area, rest = rng.choice("23456789" if good else "01") + rng.choice("012345678") + digits(1), digits(4)
         mid = rng.choice("23456789" if good else "01") + digits(2)
         return rng.choice([f"({area}) {mid}-{rest}", f"{area}-{mid}-{rest}", f"{area}.{mid}.{rest}", f"{area} {mid} {rest}",
-                           f"1-{area}-{mid}-{rest}"])
+                           f"1-{area}-{mid}-{rest}", f"+1 ({area}) {mid}-{rest}", f"+1 {area} {mid} {rest}"])
 
     def ssn(good: bool) -> str:
         area = f"{rng.randint(1, 665) if good else rng.choice([0, 666, rng.randint(900, 999)]):03d}"
         return f"{area}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}"
 
     def mail(good: bool) -> str:
-        return f"{word()} (at) {word()} (dot) " + (rng.choice(["com", "org", "de"]) if good else digits(3))
+        at, dot = rng.choice([(" (at) ", " (dot) "), ("[at]", "[dot]"), (" @ ", "."), ("@", ".")])
+        return f"{word()}{at}{word()}{dot}" + (rng.choice(["com", "org", "de", "net", "example"]) if good else digits(3))
 
     def net(good: bool) -> str:
         return ".".join(str(rng.randint(0, 255) if good else rng.randint(256, 999)) for _ in range(4))
 
-    made = {"card": card, "iban": iban, "phone": phone, "ssn": ssn, "mail": mail, "net": net}
-    cue = {"card": "card", "iban": "iban", "phone": "call", "ssn": "ssn", "mail": "mail", "net": "host"}
-    out = []
+    made = {"card": card, "iban": iban, "phone": phone, "ssn": ssn, "email": mail, "ip": net}
+    cue = {"card": ["card", "visa", "credit", "pay"], "iban": ["iban", "account", "konto"], "phone": ["call", "tel", "fax", "phone"],
+           "ssn": ["ssn", "social security", "born"], "email": ["mail", "write to", "contact"], "ip": ["host", "server", "ip address"]}
+    things = ["order", "part no", "item", "sku", "version", "release", "build", "serial", "invoice", "ref", "lot"]
+    link = lambda: rng.choice([" ", ": ", " no. ", " = ", f" {word()} "])
+    out: list[tuple[str, str | None, int]] = []
+
+    def add(kind: str | None, before: str, hit: str, after: str = "") -> None:
+        head = f"{word()} {word()} {before}"
+        out.append((f"{head}{hit}{after or rng.choice(['', '.', ', ', ' '])}{'' if after else f' {word()}'}", kind, len(head)))
     for kind, make in made.items():
-        for i in range(160):
-            # cues, half of the time, only where they don't make a label
-            said = f"{cue[kind]} {word()} " if rng.random() < 0.5 and kind != "phone" else ""
-            out.append(f"{word()} {said}{make(i % 2 == 0)} {word()}")
-    for _ in range(80):
-        size = rng.randint(5, 12)
-        out += [f"{word()} {digits(size)} {word()}", f"{word()} {rng.choice(['account no. ', 'passport ', 'tax id: '])}{digits(size)} {word()}",
-                f"{word()} call {digits(10)} {word()}", f"{word()} {digits(10)} {word()}", f"{word()}{phone(True)}{word()}",
-                f"{word()} a{digits(rng.randint(7, 16))}f {word()}"]
+        for _ in range(size):
+            add(kind, "", make(True))                                   # nothing announces it
+            add(kind, rng.choice(cue[kind]) + link(), make(True))
+            add(None, "", make(False))                                  # its check fails
+            add(None, rng.choice(cue[kind]) + link(), make(False))
+            add(None, rng.choice(things) + link(), make(True))          # by chance its check holds
+            add(None, rng.choice(things) + link(), make(False))
+            if kind != "email":
+                add(None, rng.choice("abcxyz"), make(True), rng.choice("defghi"))    # part of something longer
+    for _ in range(size):
+        add("number", rng.choice(["account no. ", "passport ", "tax id: ", "passport number ", "konto "]), digits(rng.randint(5, 12)))
+        add("phone", rng.choice(cue["phone"]) + rng.choice([" ", ": "]), digits(10))
+        for n in (rng.randint(5, 12), 10, 14, 16):
+            add(None, "", digits(n))
+            add(None, rng.choice(things) + link(), digits(n))
+        add(None, "a", digits(rng.randint(7, 16)), "f ")
+        add(None, "", " ".join(digits(rng.randint(1, 4)) for _ in range(6)))
     return out
 
 
@@ -228,8 +271,22 @@ def _numbers(x: Column) -> list[Column]:
     return [F.get(x, F.lit(i)) for i in range(len(features(empty)))]
 
 
-def _overlaps(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+def _below(points: Column, marks: Column, equal: bool) -> Column:
+    """For each of ``points``, how many of ``marks`` are less (or ``equal``), by one sort of both."""
+    tagged = F.concat(F.transform(marks, lambda p: F.struct(p.alias("p"), F.lit(0 if equal else 1).alias("t"), F.lit(-1).alias("i"))),
+                      F.transform(points, lambda p, i: F.struct(p.alias("p"), F.lit(1 if equal else 0).alias("t"), i.alias("i"))))
+    placed = F.filter(F.transform(F.sort_array(tagged), lambda e, k: F.struct(e["i"].alias("i"), k.alias("k"))), lambda e: e["i"] >= 0)
+    ranks = F.transform(placed, lambda e, j: F.struct(e["i"].alias("i"), (e["k"] - j).alias("rank")))
+    return F.transform(F.sort_array(ranks), lambda e: e["rank"])
+
+
+def _apart(found: Column, base: Column) -> Column:
+    """The spans of ``found`` that overlap none of ``base``: as many base spans end at their start or
+    before it as start before their end."""
+    starts = _below(F.transform(found, lambda s: s["end"]), F.transform(base, lambda b: b["start"]), False)
+    ends = _below(F.transform(found, lambda s: s["start"]), F.transform(base, lambda b: b["end"]), True)
+    return _let(F.struct(starts.alias("a"), ends.alias("b")), lambda r: F.filter(
+        found, lambda s, i: F.get(r["a"], i) == F.get(r["b"], i)))
 
 
 def candidates(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -268,48 +325,34 @@ def _tree(node):
     return node.split().featureIndex(), node.split().threshold(), _tree(node.leftChild()), _tree(node.rightChild())
 
 
-def _labelled(rows: DataFrame) -> DataFrame:
-    return rows.select("s", F.coalesce(genuine(F.col("s")), F.lit(False)).cast("double").alias("label"),
-                       # equal candidates are drawn alike
-                       (F.xxhash64("s").bitwiseAND((1 << 53) - 1) / float(1 << 53)).alias("draw"))
-
-
-def _examples(spark: SparkSession) -> DataFrame:
-    """The candidates ``s`` of the example texts."""
-    found = []
-    for text in examples():
-        for kind, rule in GENERATORS:
-            found += [(kind, m.start(), m.end(), m[0], text[:m.start()][-CONTEXT:], text[m.end():][:CONTEXT])
-                      for m in re.finditer(rule, text)]
-    rows = spark.createDataFrame(found, "kind string, start int, end int, hit string, before string, after string")
-    s = F.struct(*rows.columns)
-    return rows.select(s.withField("x", F.array(*features(s))).alias("s"))
-
-
-def fit(found: DataFrame, train: int = TRAIN_CANDIDATES) -> Model:
-    """Trees and thresholds from the (key, base, found) rows and the examples."""
-    rows = _labelled(found.where(F.size("found") > 0).select(F.explode("found").alias("s")))
-    counts = rows.groupBy(F.col("s.kind").alias("kind"), "label").agg(F.count(F.lit(1)).alias("n")).collect()  # <= kinds * 2 rows
-    # each kind gets an equal part of each label's sample, if it has so many
-    shares = {(r["kind"], r["label"]): min(train / len(KINDS) / r["n"], 1.0) for r in counts}
-    share = F.coalesce(*(F.when((F.col("s.kind") == k) & (F.col("label") == v), x) for (k, v), x in shares.items()), F.lit(0.0))
-    rows = rows.withColumn("share", share).where(F.col("draw") < F.col("share"))
-    rows = rows.unionByName(_labelled(_examples(found.sparkSession)).withColumn("share", F.lit(1.0)))
-    rows = written(rows.select(
-        "label", F.col("s.kind").alias("kind"), F.col("s.x").alias("x"),
-        (F.col("draw") < F.col("share") / 2).alias("fit"), (1 / F.col("share")).alias("weight")), "pii_sample")
-    sample = rows.where("fit").select("label", array_to_vector("x").alias("features"))
+def labelled(spark: SparkSession, texts: list[tuple[str, str | None, int]]) -> DataFrame:
+    """(s, label, fit): the candidates of example texts; those of a text fit or calibrate together."""
+    found, halves = [], random.Random(len(texts))
+    for text, kind, start in texts:
+        fits = halves.random() < 0.5
+        for name, pattern in GENERATORS:
+            found += [(name, m.start(), m.end(), m[0], text[:m.start()][-CONTEXT:], text[m.end():][:CONTEXT],
+                       float(name == kind and m.start() == start), fits) for m in re.finditer(pattern, text)]
+    rows = spark.createDataFrame(found, "kind string, start int, end int, hit string, before string, after string, label double, fit boolean")
+    s = F.struct(*rows.columns[:6])
+    return rows.select(s.withField("x", F.array(*features(s))).alias("s"), "label", "fit")
+
+
+def fit(spark: SparkSession) -> Model:
+    """Trees and thresholds from the example texts; the sample is the same whatever the documents are."""
+    rows = labelled(spark, examples())
+    sample = rows.where("fit").select("label", array_to_vector("s.x").alias("features"))
     fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=42, maxBins=32).fit(sample)
     model = Model([_tree(t.rootNode()) for t in fitted._java_obj.trees()], list(fitted.treeWeights))
-    # precision of the true mixture: a drawn candidate stands for as many as its share says
-    bins = (rows.where(~F.col("fit")).select("kind", "label", "weight", F.floor(model.score(_numbers(F.col("x"))) * 100).cast("int").alias("bin"))
-            .groupBy("kind", "label", "bin").agg(F.sum("weight").alias("w")).collect())  # <= kinds * 2 * 101 rows
+    bins = (rows.where(~F.col("fit")).select(F.col("s.kind").alias("kind"), "label",
+                                             F.floor(model.score(_numbers(F.col("s.x"))) * 100).cast("int").alias("bin"))
+            .groupBy("kind", "label", "bin").agg(F.count(F.lit(1)).alias("n")).collect())  # <= kinds * 2 * 101 rows
     for kind in KINDS:
-        good = bad = 0.0
+        good = bad = 0
         for b in range(100, -1, -1):
             for r in bins:
                 if r["kind"] == kind and r["bin"] == b:
-                    good, bad = (good + r["w"], bad) if r["label"] else (good, bad + r["w"])
+                    good, bad = (good + r["n"], bad) if r["label"] else (good, bad + r["n"])
             if good + bad and good / (good + bad) >= PRECISION:
                 model.least[kind] = max(b / 100, LEAST)
     return model
@@ -317,13 +360,17 @@ def fit(found: DataFrame, train: int = TRAIN_CANDIDATES) -> Model:
 
 def _selected(model: Model) -> Column:
     """Candidates over their thresholds, by start (longer first), without overlaps among themselves or with base."""
-    over = F.filter("found", lambda s: ~F.exists("base", lambda b: _overlaps(b, s)) & model.chosen(s))
-    over = F.transform(over, lambda s: s.dropFields("x"))
-    by_start = F.array_sort(over, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"])
-                            .otherwise(b["end"] - a["end"]))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
-    return F.aggregate(by_start, zero, lambda done, s: F.when(s["start"] >= done["at"], F.struct(
-        s["end"].alias("at"), F.concat(done["out"], F.array(s)).alias("out"))).otherwise(done), lambda done: done["out"])
+    order = F.create_map(*(F.lit(v) for i, (k, _) in enumerate(GENERATORS) for v in (k, i)))
+
+    def chosen(over):
+        by_start = F.sort_array(F.transform(over, lambda s: F.struct(
+            s["start"].alias("start"), (-s["end"]).alias("size"), order[s["kind"]].alias("rule"), s.dropFields("x").alias("s"))))
+        takes = lambda at, s: (F.when(s["start"] >= at, -s["size"]).otherwise(at), s["start"] >= at)
+        return _let(by_start, lambda x: _let(_running(x, F.lit(0), takes, "boolean"), lambda taken: F.transform(
+            F.filter(x, lambda _, i: F.get(taken, i)), lambda s: s["s"])))
+    over = F.filter("found", model.chosen)
+    return F.when(F.size("found") == 0, F.array().cast(_SPANS)).otherwise(_let(over, lambda x: F.when(
+        F.size(x) == 0, F.array().cast(_SPANS)).otherwise(chosen(_apart(x, F.col("base"))))))
 
 
 def _joined(name: str) -> Column:
@@ -336,8 +383,8 @@ def _joined(name: str) -> Column:
 
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row: key, counts of base spans by kind, digest of base spans, all spans, number of added ones."""
-    found = written(candidates(docs, text, key), "pii_candidates")
-    rows = found.withColumn("added", _selected(fit(found)))
+    found = candidates(docs, text, key)
+    rows = found.withColumn("added", _selected(fit(docs.sparkSession)))
     rows = rows.withColumn("spans", F.concat("base", "added"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return rows.select(key, *(count(k).alias(f"n_{k}") for k in BASE),

@@ -106,17 +106,54 @@ def test_base_spans_equal_the_rules(spark):
         assert set(want) <= set(r["spans"].split(","))
 
 
+def test_trees_beat_the_rules_alone(spark):
+    """On held-out examples: as precise as promised, more so than the rules, and few of theirs lost."""
+    model = pii.fit(spark)
+    rows = pii.labelled(spark, pii.examples(seed=7, size=60)).select(
+        F.col("s.kind").alias("kind"), "label", model.chosen(F.col("s")).alias("trees"), pii.rule(F.col("s")).alias("rules")).toPandas()
+    assert set(model.least) == set(pii.KINDS)
+    good = rows.label == 1
+    precision = lambda x: (x & good).sum() / x.sum()
+    assert precision(rows.trees) > 0.93 > 0.75 > precision(rows.rules)
+    assert (rows.trees & good).sum() > 0.9 * (rows.rules & good).sum()
+    for kind in pii.KINDS:
+        own = rows[rows.kind == kind]
+        assert (own.trees & (own.label == 1)).sum() > 0.6 * (own.label == 1).sum(), kind
+
+
 def test_trees_add_what_the_rules_miss(spark):
-    """Two numbers in one run fail the base rules together; the trees know their formats."""
-    rng, rows = random.Random(8), []
-    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
-    for i in range(600):
-        phone = f"+1 ({rng.randint(200, 999)}) 555-{number(4)}"
-        rows.append((i, rng.choice([f"call {phone} now", f"id x{number(7)} here", f"host 10.0.0.{i % 250} up", "no numbers"])))
-    rows.append((1000, f"both +1 (415) 555-1234 +1 (212) 555-{number(4)} in a row"))
+    """Numbers without a plus sign, of which the base rules know nothing, are added; look-alikes are not."""
+    rows = [(1, "call (415) 555-1234 now"), (2, "id x4155551 here"), (3, "order no. 123-45-6789 sent"), (4, "born 123-45-6789 there"),
+            (5, "tax id: 76686584 of them"), (6, "76686584 of them"), (7, "no numbers"), (8, "host 10.0.0.7 up")]
     found = {r["doc_id"]: r for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert found[1000]["n_added"] >= 0 and "number" not in found[1000]["spans"]
-    assert all(r["n_added"] == 0 for d, r in found.items() if d < 600)
+    assert {d: r["spans"] for d, r in found.items()} == {
+        1: "phone:5:19", 2: "", 3: "", 4: "ssn:5:16", 5: "number:8:16", 6: "", 7: "", 8: "ip:5:13"}
+    assert {d for d, r in found.items() if r["n_added"]} == {1, 4, 5}
+
+
+def test_tables_without_candidates(spark):
+    docs = spark.createDataFrame([(1, "hello"), (2, "world"), (3, None)], "doc_id long, text string")
+    assert all(r["spans"] == "" and r["n_added"] == 0 for r in pii.scan(docs).collect())
+    assert pii.scan(docs.where("false")).count() == 0
+
+
+def test_time_in_proportion_to_the_length(spark):
+    """Texts full of matches: 16 times the length takes less than 32 times as long."""
+    import time
+    rng, took = random.Random(3), []
+    for times in (1, 1, 16):
+        line = lambda: f"{rng.randint(1, 99999)} 10.0.0.{rng.randint(0, 255)} 123-45-{rng.randint(1000, 9999)}, (415) 555-{rng.randint(1000, 9999)}"
+        text = "\n".join(line() for _ in range(1000 * times))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        plan = pii.scan(docs)
+        began = time.time()
+        row = plan.first()
+        took.append(time.time() - began)
+        assert row["n_ip"] == 1000 * times and row["n_added"] > 1500 * times
+        spans = [s.split(":") for s in row["spans"].split(",")]
+        ends = [0, *(int(e) for _, _, e in spans)]
+        assert all(int(s) >= e for (_, s, _), e in zip(spans, ends))
+    assert took[2] < 32 * max(took[1], 1)
 
 
 def test_curve_visits_neighbours(spark):
