@@ -8,13 +8,14 @@ nothing. Per batch:
 1. empty batch -> return (the checkpoint still advances);
 2. persist the events (they feed three dimensions and the fact) and read them once; events
    that a column's type can't hold go to ``load_rejects/batch_id=<n>`` with the reason;
-3. each dimension: upsert the batch's rows into the version of the last committed batch and
-   write version ``v=<batch_id>``, sorted by the table's sort key (a retry rewrites it);
+3. each dimension is kept in hash buckets of its key (``sinks.parts``): the buckets that the batch's
+   keys fall into are read, merged with the batch's rows and written as version ``v=<batch_id>``,
+   sorted by the key (a retry rewrites them); the other buckets' files stay;
 4. fact: conformed rows into ``batch_id=<n>/date_key=<d>`` (overwrite of that
    batch's folders only: an idempotent append);
 5. row counts per table -> ``load_commits/v=<n>``: the commit. Readers take dimension versions and
    fact batches up to the newest committed batch, so a batch that fails half way shows nothing;
-6. versions of the dimensions beyond the newest few are removed;
+6. bucket files that none of the newest few versions of a dimension uses are removed;
 7. optionally refresh the daily mart for the dates this batch touched.
 """
 
@@ -34,8 +35,8 @@ from ..operators import dims, facts, marts, merge
 from ..schemas import DIM_DATE, DIM_TRACKS, DIM_USERS, EVENT_FIELDS, FACT_LISTENS
 from ..schemas import Column as ContractColumn
 from ..session import ensure_conf, guard_checkpoint, path_exists
-from ..sinks.files import (drop_versions, latest_version, read_snapshot, write_batch_partitions, write_fact,
-                           write_snapshot)
+from ..sinks import parts
+from ..sinks.files import latest_version, write_batch_partitions, write_fact, write_snapshot
 
 TABLES = ["dim_date", "dim_tracks", "dim_users", "fact_listens"]
 COMMITS, REJECTS = "load_commits", "load_rejects"
@@ -44,6 +45,8 @@ FILE_ROW = "_file_row"        # arrival id taken from the Parquet file path and
 FACT_SOURCES = {"listen_duration_ms": "duration_ms"}
 # sort key of each dimension's files
 SORT_KEYS = {"dim_date": "date_key", "dim_tracks": "track_key", "dim_users": "user_key"}
+# hash buckets of each dimension: fixed once a table has been written
+DIM_BUCKETS = {"dim_date": 1, "dim_tracks": 16, "dim_users": 16}
 # stored beside the contract's columns: the time of the event that gave a track its values
 EXTRA = {"dim_tracks": [ContractColumn(merge.LAST_EVENT, T.TimestampNTZType())]}
 
@@ -57,11 +60,20 @@ def committed_batch(spark: SparkSession, warehouse: str, below: int | None = Non
     return latest_version(spark, table_path(warehouse, COMMITS), below)
 
 
-def current_dim(spark: SparkSession, warehouse: str, name: str, contract, below: int | None = None):
-    """The dimension as of the newest committed batch (under ``below``)."""
+def current_dim(spark: SparkSession, warehouse: str, name: str, contract, below: int | None = None,
+                only: list[int] | None = None):
+    """The dimension (or its buckets ``only``) as of the newest committed batch (under ``below``)."""
     last = committed_batch(spark, warehouse, below)
-    empty_schema = C.conform(spark.range(0), contract).schema
-    return read_snapshot(spark, table_path(warehouse, name), empty_schema, 0 if last is None else last + 1)
+    schema = C.conform(spark.range(0), contract).schema
+    return parts.read_parts(spark, table_path(warehouse, name), schema, 0 if last is None else last + 1, only)
+
+
+def buckets_of(spark: SparkSession, warehouse: str, name: str, default: int) -> int:
+    """How many hash buckets a dimension has: written beside it by its first load."""
+    path = f"{table_path(warehouse, name)}/buckets"
+    if latest_version(spark, path) is None:
+        write_snapshot(spark.createDataFrame([(int(default),)], "buckets int").coalesce(1), path, 0)
+    return spark.read.schema("buckets int").parquet(f"{path}/v=0").first()[0]
 
 
 def drop_redelivered(events: DataFrame, batch_id: int, warehouse: str,
@@ -129,11 +141,13 @@ def reject_reason(events: DataFrame):
 def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str | None = None,
                loaded_at: dt.datetime | None = None, tie: list[str] | None = None,
                refresh_daily: bool = False, dedupe: bool = False,
-               cluster_partitions: int | None = None, keep_versions: int | None = 3) -> dict[str, int] | None:
+               cluster_partitions: int | None = None, keep_versions: int | None = 3,
+               dim_buckets: dict[str, int] | None = None) -> dict[str, int] | None:
     """Load one batch (see the module notes). With ``dedupe`` an event already
     loaded (same content) is dropped instead of appended again;
     ``cluster_partitions`` clusters the fact write by day (backfills);
-    ``keep_versions`` older versions of a dimension stay (None: all)."""
+    ``keep_versions`` older versions of a dimension stay (None: all); ``dim_buckets``: hash buckets
+    of each dimension, for its first load (more for more keys: a load rewrites whole buckets)."""
     spark = events.sparkSession
     ensure_conf(spark)              # UTC: instants become wall-clock days and keys in UTC
     if dedupe:
@@ -156,10 +170,12 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
                  merge.user_rules_with_device())]
 
         def write_dim(name, contract, new, rules):
-            stored = C.with_columns(contract, EXTRA.get(name, []))
-            cur = current_dim(spark, warehouse, name, stored, below=batch_id)
+            stored, key = C.with_columns(contract, EXTRA.get(name, [])), SORT_KEYS[name]
+            place = parts.bucket(key, buckets_of(spark, warehouse, name, (dim_buckets or DIM_BUCKETS)[name]))
+            touched = [r[0] for r in new.select(place).distinct().collect()]        # a row per bucket at most
+            cur = current_dim(spark, warehouse, name, stored, below=batch_id, only=touched)
             merged = merge.upsert(cur, new, stored, rules, loaded_at=loaded_at)
-            return name, write_snapshot(merged, table_path(warehouse, name), batch_id, SORT_KEYS[name])
+            return name, parts.replace_parts(merged, place, touched, table_path(warehouse, name), batch_id, [key])
 
         def write_facts():
             fact = C.conform(facts.fact_listens(ev, arrival=arrival), FACT_LISTENS, loaded_at=loaded_at)
@@ -185,7 +201,7 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
         write_snapshot(summary, table_path(warehouse, COMMITS), batch_id)
         if keep_versions:
             for name in SORT_KEYS:
-                drop_versions(spark, table_path(warehouse, name), keep_versions)
+                parts.drop_unused(spark, table_path(warehouse, name), keep_versions)
         if refresh_daily:
             refresh_daily_by_date(spark, warehouse, new_date.select("date_key"))
         return counts

@@ -71,7 +71,8 @@ def test_stored_dimensions_are_sorted(spark, tmp_path):
     wh = str(tmp_path / "wh")
     for b in range(5):
         L.load_batch(suite._events(spark, SF_SMALL), b, wh, arrival="event_id", tie=["event_id"])
-    folders = sorted(p.name for p in (tmp_path / "wh" / "dim_users").glob("v=*"))
-    assert folders == ["v=2", "v=3", "v=4"]                     # older versions are gone
-    for p in (tmp_path / "wh" / "dim_users" / "v=4").glob("*.parquet"):
+    root = tmp_path / "wh" / "dim_users"
+    assert sorted(p.name for p in (root / "manifest").glob("v=*")) == ["v=2", "v=3", "v=4"]    # older versions are gone
+    assert sorted(p.name for p in (root / "data").glob("v=*")) == ["v=2", "v=3", "v=4"]
+    for p in (root / "data" / "v=4").glob("part=*/*.parquet"):
         assert spark.read.parquet(str(p)).toPandas().user_key.is_monotonic_increasing

@@ -63,10 +63,12 @@ def test_track_mart_total_equals_fact(spark):
 
 
 def test_fk_orphans_match_fixture(spark):
-    # FIXTURES.md §3: dims from events before 2024-01-02 leave 0 user / 71 track orphans at sf0.001
+    # FIXTURES.md §3: the dimensions lack what ends in 7 (user, track, day)
     df = {r.fk_column: r for r in suite.check_fk(spark, SF_SMALL).collect()}
-    assert df["user_key"].orphan_keys == 0
-    assert df["track_key"].orphan_keys == 71
+    ev = suite._events(spark, SF_SMALL).withColumn("day", F.date_format("event_timestamp", "yyyyMMdd"))
+    for key, name in (("user_key", "user_id"), ("track_key", "track_id"), ("date_key", "day")):
+        lost = ev.where(F.col(name).endswith("7")).agg(F.count_distinct(name).alias("keys"), F.count(F.lit(1)).alias("rows")).first()
+        assert (df[key].orphan_keys, df[key].orphan_rows) == (lost["keys"], lost["rows"]) and lost["keys"] > 0
 
 
 def test_pk_check_flags_appended_dimensions(spark):
