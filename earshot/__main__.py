@@ -2,7 +2,8 @@
 
   load     new event files -> star schema (incremental; once, or on a schedule)
   ingest   envelope files -> keyed state log (incremental; once, or on a schedule)
-  marts    rebuild both marts from the stored star
+  marts    bring both marts up to the stored star (what newer batches change)
+  compact-fact  merge the small files of past loads
   report   most-skipped tracks of the month before a date, from the stored star
   compact  rewrite the state log as its live latest items
 
@@ -17,11 +18,12 @@ import json
 
 from pyspark.sql import types as T
 
-from .operators import marts, reports
+from .operators import reports
+from .plans import compaction as CO
 from .plans import load as L
+from .plans import refresh as RF
 from .schemas import EVENT_SCHEMA
 from .session import build_session
-from .sinks.files import drop_versions, next_snapshot
 from .streaming import ingest_stream as S
 
 
@@ -41,7 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     ld.add_argument("--max-bytes", type=int, default=64 << 30, help="input of a micro-batch at most")
     ld.add_argument("--cluster-partitions", type=int, default=None, help="cluster the fact by day (backfills)")
     ld.add_argument("--dedupe", action="store_true")
-    ld.add_argument("--refresh-daily", action="store_true")
+    ld.add_argument("--refresh-marts", action="store_true", help="bring both marts up to each batch")
 
     ing = sub.add_parser("ingest")
     ing.add_argument("--source", required=True)
@@ -53,6 +55,10 @@ def _parser() -> argparse.ArgumentParser:
     mt = sub.add_parser("marts")
     mt.add_argument("--warehouse", required=True)
 
+    cf = sub.add_parser("compact-fact")
+    cf.add_argument("--warehouse", required=True)
+    cf.add_argument("--target-bytes", type=int, default=CO.TARGET, help="size of a file")
+
     rp = sub.add_parser("report")
     rp.add_argument("--warehouse", required=True)
     rp.add_argument("--as-of", default=None, help="YYYY-MM-DD; default today")
@@ -76,7 +82,7 @@ def main(argv: list[str] | None = None) -> dict:
     out: dict = {"command": a.cmd}
     if a.cmd == "load":
         q = L.start_star_load(spark, a.source, _event_schema(a.arrival), a.warehouse, a.checkpoint,
-                              arrival=a.arrival, refresh_daily=a.refresh_daily, dedupe=a.dedupe,
+                              arrival=a.arrival, refreshes=[RF.refresh_daily, RF.refresh_tracks] if a.refresh_marts else [], dedupe=a.dedupe,
                               every=a.every, max_bytes=a.max_bytes, cluster_partitions=a.cluster_partitions)
         q.awaitTermination()
         out["tables"] = {r.table_name: r.rows for r in L.load_summary(spark, a.warehouse).collect()}
@@ -84,14 +90,11 @@ def main(argv: list[str] | None = None) -> dict:
         q = S.start_ingest(spark, a.source, a.root, a.checkpoint, processing_time=a.every, max_bytes_per_trigger=a.max_bytes)
         q.awaitTermination()
     elif a.cmd == "marts":
-        star = L.read_star(spark, a.warehouse)
-        # each a new version beside the old one, which readers keep until the new one is committed
-        for name, mart in (
-                ("mv_daily_user_summary", marts.daily_user_summary(star["fact_listens"], star["dim_users"], star["dim_date"])),
-                ("mv_track_performance", marts.track_performance(star["fact_listens"], star["dim_tracks"]))):
-            path = L.table_path(a.warehouse, f"{name}_full")
-            out[name] = next_snapshot(mart, path)
-            drop_versions(spark, path)
+        # what the batches since the last refresh change; readers keep the versions before until it commits
+        out["mv_daily_user_summary"] = RF.refresh_daily(spark, a.warehouse)
+        out["mv_track_performance"] = RF.refresh_tracks(spark, a.warehouse)
+    elif a.cmd == "compact-fact":
+        out["merged"] = CO.compact_fact(spark, a.warehouse, a.target_bytes)
     elif a.cmd == "report":
         star = L.read_star(spark, a.warehouse)
         rows = reports.most_skipped_tracks(star["fact_listens"], star["dim_tracks"], star["dim_date"],

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .distinct import distinct_totals
+
 DAILY_COLUMNS = ["full_date", "user_id", "subscription_tier", "total_events", "plays", "skips",
                  "completes", "total_minutes", "unique_tracks", "sessions"]
 TRACK_COLUMNS = ["track_id", "title", "artist", "total_events", "completions", "skips",
@@ -43,35 +45,58 @@ def dim_date_side(dim_date: DataFrame, cols: list[str]) -> DataFrame:
     return F.broadcast(dim_date.select(*cols))
 
 
-def daily_user_summary(fact: DataFrame, dim_users: DataFrame, dim_date: DataFrame) -> DataFrame:
-    per = fact.groupBy("date_key", "user_key").agg(
-        *action_counts(),
-        F.sum("duration_ms").alias("_duration"),
-        F.count_distinct("track_key").alias("unique_tracks"),
-        F.count_distinct("session_id").alias("sessions"),
-    )
+def daily_totals(fact: DataFrame) -> DataFrame:
+    """Per (date_key, user_key): what the daily mart holds, without the dimensions' attributes."""
+    rows = fact.select("date_key", "user_key", "track_key", "session_id", "action", "duration_ms")
+    return distinct_totals(rows, ["date_key", "user_key"], {"unique_tracks": "track_key", "sessions": "session_id"},
+                           {"total_events": F.count(F.lit(1)), "plays": F.count_if(action_is("PLAY")),
+                            "skips": F.count_if(action_is("SKIP")), "completes": F.count_if(action_is("COMPLETE")),
+                            "duration": F.sum("duration_ms")})
+
+
+def daily_rows(per: DataFrame, dim_users: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The daily mart from its totals."""
     users = dim_users.select("user_key", "user_id", "subscription_tier")
     return (per.join(users, "user_key")
             .join(dim_date_side(dim_date, ["date_key", "full_date"]), "date_key")
             .select("full_date", "user_id", "subscription_tier", "total_events", "plays", "skips",
-                    "completes", minutes(F.col("_duration")).alias("total_minutes"),
+                    "completes", minutes(F.col("duration")).alias("total_minutes"),
                     "unique_tracks", "sessions"))
 
 
-def track_performance(fact: DataFrame, dim_tracks: DataFrame) -> DataFrame:
-    per = fact.groupBy("track_key").agg(
+def daily_user_summary(fact: DataFrame, dim_users: DataFrame, dim_date: DataFrame) -> DataFrame:
+    return daily_rows(daily_totals(fact), dim_users, dim_date)
+
+
+def track_totals(fact: DataFrame) -> DataFrame:
+    """Per track_key: the additive part of the track mart."""
+    return fact.where(F.col("track_key").isNotNull()).groupBy("track_key").agg(
         F.count(F.lit(1)).alias("total_events"),
         F.count_if(action_is("COMPLETE")).alias("completions"),
         F.count_if(action_is("SKIP")).alias("skips"),
-        F.sum("duration_ms").alias("_duration"),
-        F.count("duration_ms").alias("_n_duration"),
-        F.count_distinct("user_key").alias("unique_listeners"),
-    )
+        F.sum("duration_ms").alias("duration"),
+        F.count("duration_ms").alias("n_duration"))
+
+
+def track_rows(per: DataFrame, dim_tracks: DataFrame) -> DataFrame:
+    """The track mart from its totals and listeners."""
     tracks = dim_tracks.select("track_key", "track_id", "title", "artist")
     return (per.join(tracks, "track_key")
             .select("track_id", "title", "artist", "total_events", "completions", "skips",
                     F.round(safe_ratio(F.lit(100.0) * F.col("skips"), F.col("total_events")), 2)
                     .alias("skip_rate"),
-                    (safe_ratio(F.col("_duration"), F.col("_n_duration")) / F.lit(1000.0))
+                    (safe_ratio(F.col("duration"), F.col("n_duration")) / F.lit(1000.0))
                     .alias("avg_listen_seconds"),
                     "unique_listeners"))
+
+
+def track_performance(fact: DataFrame, dim_tracks: DataFrame) -> DataFrame:
+    per = fact.groupBy("track_key").agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.count_if(action_is("COMPLETE")).alias("completions"),
+        F.count_if(action_is("SKIP")).alias("skips"),
+        F.sum("duration_ms").alias("duration"),
+        F.count("duration_ms").alias("n_duration"),
+        F.count_distinct("user_key").alias("unique_listeners"),
+    )
+    return track_rows(per, dim_tracks)

@@ -16,12 +16,13 @@ nothing. Per batch:
 5. row counts per table -> ``load_commits/v=<n>``: the commit. Readers take dimension versions and
    fact batches up to the newest committed batch, so a batch that fails half way shows nothing;
 6. bucket files that none of the newest few versions of a dimension uses are removed;
-7. optionally refresh the daily mart for the dates this batch touched.
+7. optionally bring the marts up to this batch (``plans.refresh``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -31,12 +32,13 @@ from pyspark.sql import types as T
 from ..functions.dates import date_key
 from ..functions.keys import content_key
 from ..operators import conform as C
-from ..operators import dims, facts, marts, merge
+from ..operators import dims, facts, merge
 from ..schemas import DIM_DATE, DIM_TRACKS, DIM_USERS, EVENT_FIELDS, FACT_LISTENS
 from ..schemas import Column as ContractColumn
 from ..session import ensure_conf, guard_checkpoint, path_exists
 from ..sinks import parts
 from ..sinks.files import latest_version, write_batch_partitions, write_fact, write_snapshot
+from .fact import read_fact
 
 TABLES = ["dim_date", "dim_tracks", "dim_users", "fact_listens"]
 COMMITS, REJECTS = "load_commits", "load_rejects"
@@ -140,11 +142,11 @@ def reject_reason(events: DataFrame):
 
 def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str | None = None,
                loaded_at: dt.datetime | None = None, tie: list[str] | None = None,
-               refresh_daily: bool = False, dedupe: bool = False,
+               refreshes: Sequence[Callable[[SparkSession, str], object]] = (), dedupe: bool = False,
                cluster_partitions: int | None = None, keep_versions: int | None = 3,
                dim_buckets: dict[str, int] | None = None) -> dict[str, int] | None:
     """Load one batch (see the module notes). With ``dedupe`` an event already
-    loaded (same content) is dropped instead of appended again;
+    loaded (same content) is dropped instead of appended again; ``refreshes`` run after the commit;
     ``cluster_partitions`` clusters the fact write by day (backfills);
     ``keep_versions`` older versions of a dimension stay (None: all); ``dim_buckets``: hash buckets
     of each dimension, for its first load (more for more keys: a load rewrites whole buckets)."""
@@ -202,8 +204,8 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
         if keep_versions:
             for name in SORT_KEYS:
                 parts.drop_unused(spark, table_path(warehouse, name), keep_versions)
-        if refresh_daily:
-            refresh_daily_by_date(spark, warehouse, new_date.select("date_key"))
+        for refresh in refreshes:
+            refresh(spark, warehouse)
         return counts
     finally:
         every.unpersist()
@@ -211,7 +213,8 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
 
 def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, checkpoint: str,
                     arrival: str | None = FILE_ROW, loaded_at: dt.datetime | None = None,
-                    tie: list[str] | None = None, refresh_daily: bool = False,
+                    tie: list[str] | None = None,
+                    refreshes: Sequence[Callable[[SparkSession, str], object]] = (),
                     dedupe: bool = False, every: str | None = None,
                     cluster_partitions: int | None = None, max_files: int | None = None,
                     max_bytes: int | None = None):
@@ -234,7 +237,7 @@ def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, ch
             ":", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")))
     writer = (stream.writeStream
               .foreachBatch(lambda df, bid: load_batch(df, bid, warehouse, arrival, loaded_at, tie,
-                                                       refresh_daily, dedupe, cluster_partitions))
+                                                       refreshes, dedupe, cluster_partitions))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
@@ -243,28 +246,10 @@ def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, ch
 def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     out = {name: current_dim(spark, warehouse, name, c)
            for name, c in (("dim_date", DIM_DATE), ("dim_tracks", DIM_TRACKS), ("dim_users", DIM_USERS))}
-    out["fact_listens"] = read_fact(spark, table_path(warehouse, "fact_listens"),
-                                    committed_batch(spark, warehouse))
+    out["fact_listens"] = read_fact(spark, warehouse, committed_batch(spark, warehouse))
     return out
 
 
-def fact_schema(spark: SparkSession):
-    """The fact's contract plus its ``batch_id`` folder column, so folder values are
-    read with the contract's types instead of inferred ones."""
-    from pyspark.sql import types as T
-    base = C.conform(spark.range(0), FACT_LISTENS).schema
-    return T.StructType(base.fields + [T.StructField("batch_id", T.LongType())])
-
-
-def read_fact(spark: SparkSession, path: str, last: int | None) -> DataFrame:
-    """The fact up to batch ``last`` (None: nothing has committed). Batches load in order, so every
-    batch up to the last committed one is complete."""
-    if last is None:
-        return spark.createDataFrame([], fact_schema(spark)).drop("batch_id")
-    return (spark.read.schema(fact_schema(spark)).parquet(path)
-            .where(F.col("batch_id") <= F.lit(int(last))).drop("batch_id"))
-
-
 def read_rejects(spark: SparkSession, warehouse: str) -> DataFrame:
     """Events that the star couldn't hold, as text, with the reason and the batch."""
     schema = T.StructType([*[T.StructField(c, T.StringType()) for c in EVENT_FIELDS],
@@ -284,18 +269,3 @@ def load_summary(spark: SparkSession, warehouse: str) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
-
-
-def refresh_daily_by_date(spark: SparkSession, warehouse: str, touched: DataFrame) -> int:
-    """Recompute the daily user mart for the touched days only and overwrite just
-    those ``full_date`` partitions. Distinct counts are not additive, so a day is
-    always recomputed from the whole fact of that day, never merged."""
-    star = read_star(spark, warehouse)
-    days = F.broadcast(touched.select("date_key").distinct())   # at most a batch's days
-    fact = star["fact_listens"].join(days, "date_key", "left_semi")    # prunes the fact's folders
-    mart = marts.daily_user_summary(fact, star["dim_users"], star["dim_date"])
-    return write_batch_partitions(mart, table_path(warehouse, "mv_daily_user_summary"), ["full_date"])
-
-
-def read_daily_mart(spark: SparkSession, warehouse: str) -> DataFrame:
-    return spark.read.parquet(table_path(warehouse, "mv_daily_user_summary")).select(*marts.DAILY_COLUMNS)

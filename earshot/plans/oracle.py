@@ -425,6 +425,7 @@ def io_sql() -> dict[str, str]:
     q["append_table"] = with_(STAR, "SELECT * FROM fact")
     q["fact_layout"] = q["append_table"]
     q["star_load"] = q["append_table"]
+    q["compact_fact"] = q["append_table"]
     q["load_summary"] = with_(STAR, """
         SELECT 'dim_date' AS table_name, count(*) AS rows FROM dim_date
         UNION ALL SELECT 'dim_tracks', count(*) FROM dim_tracks
@@ -471,6 +472,7 @@ def io_sql() -> dict[str, str]:
         SELECT count_if(event_id % 53 <> 0) AS sent, count_if(event_id % 53 = 0) AS failed,
                count_if(event_id % 53 <> 0) AS stored FROM ev""")
     q["refresh_daily_by_date"] = DAILY_USER_SUMMARY
+    q["refresh_track_performance"] = TRACK_PERFORMANCE
     q["compact_state"] = q["live_state"]
     return q
 

@@ -12,8 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import dims, facts, ingest, latest, marts, merge, quality, reports
+from ..operators.distinct import distinct_totals
 from ..operators.conform import conform, ntz_literal
+from ..plans import compaction as CO
 from ..plans import load as L
+from ..plans import refresh as RF
 from ..schemas import ACTIONS, DIM_DATE, DIM_TRACKS, DIM_USERS, FACT_LISTENS
 from ..session import ensure_conf, shared_dir
 from ..sinks import files as W
@@ -152,10 +155,8 @@ def avg_listen_seconds(spark, sf_dir):
 
 
 def distinct_counts(spark, sf_dir):
-    return _fact(spark, sf_dir).groupBy("date_key").agg(
-        F.count_distinct("user_key").alias("unique_users"),
-        F.count_distinct("track_key").alias("unique_tracks"),
-        F.count_distinct("session_id").alias("sessions"))
+    return distinct_totals(_fact(spark, sf_dir).select("date_key", "user_key", "track_key", "session_id"), ["date_key"],
+                           {"unique_users": "user_key", "unique_tracks": "track_key", "sessions": "session_id"}, {})
 
 
 def skip_rate(spark, sf_dir):
@@ -495,8 +496,8 @@ def _load_parts(spark, parts, **options):
     return wh
 
 
-def _loaded_star(spark, sf_dir, refresh=False):
-    return _load_parts(spark, _parts(_events(spark, sf_dir)), refresh_daily=refresh)
+def _loaded_star(spark, sf_dir, **options):
+    return _load_parts(spark, _parts(_events(spark, sf_dir)), **options)
 
 
 def star_load_dims(spark, sf_dir):
@@ -582,7 +583,29 @@ def load_summary(spark, sf_dir):
 
 
 def refresh_daily_by_date(spark, sf_dir):
-    return L.read_daily_mart(spark, _loaded_star(spark, sf_dir, refresh=True))
+    """The daily mart, brought up to date after each of two loads."""
+    return RF.read_daily(spark, _loaded_star(spark, sf_dir, refreshes=[RF.refresh_daily]))
+
+
+def refresh_track_performance(spark, sf_dir):
+    """The track mart after three loads: refreshed by the first, and for the other two together."""
+    ev = _events(spark, sf_dir)
+    wh = _load_parts(spark, [ev.where(F.col("event_id") % 3 == 0)], refreshes=[RF.refresh_tracks])
+    for batch in (1, 2):
+        L.load_batch(ev.where(F.col("event_id") % 3 == batch), batch, wh, arrival="event_id", tie=["event_id"], loaded_at=LOADED_AT)
+    RF.refresh_tracks(spark, wh)
+    return RF.read_tracks(spark, wh)
+
+
+def compact_fact(spark, sf_dir):
+    """Five loads, compacted after the third and the last: the fact as it was."""
+    ev = _events(spark, sf_dir)
+    root = _run_dir(spark, "compact-fact")
+    for batch in range(5):
+        L.load_batch(ev.where(F.col("event_id") % 5 == batch), batch, root, arrival="event_id", tie=["event_id"], loaded_at=LOADED_AT)
+        if batch in (2, 4):
+            CO.compact_fact(spark, root)
+    return L.read_star(spark, root)["fact_listens"].select(*facts.FACT_COLUMNS)
 
 
 def compact_state(spark, sf_dir):
@@ -624,9 +647,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_load": star_load, "load_summary": load_summary, "star_load_dims": star_load_dims,
     "star_load_empty": star_load_empty, "check_pk_load": check_pk_load, "dedupe_load": dedupe_load,
     "load_rejects": load_rejects, "publish_counts": publish_counts,
-    "refresh_daily_by_date": refresh_daily_by_date, "append_table": append_table,
+    "refresh_daily_by_date": refresh_daily_by_date,
+    "refresh_track_performance": refresh_track_performance, "append_table": append_table,
     "upsert_dimension": upsert_dimension, "conform_users": conform_users,
-    "publish_keyed": publish_keyed, "write_jsonl": write_jsonl, "fact_layout": fact_layout,
+    "publish_keyed": publish_keyed, "write_jsonl": write_jsonl, "fact_layout": fact_layout, "compact_fact": compact_fact,
     # quality
     "check_pk": check_pk, "check_fk": check_fk, "check_columns": check_columns,
     "check_action_domain": check_action_domain,

@@ -17,7 +17,7 @@ def test_flagship_is_top_k_with_broadcast_dates(spark):
 def test_no_python_in_any_query(spark):
     for name, fn in suite.queries().items():
         if name in {"incremental_scan", "stream_ingest", "latest_state", "live_state",
-                    "late_events_kept", "star_load", "load_summary", "refresh_daily_by_date",
+                    "late_events_kept", "star_load", "load_summary", "refresh_daily_by_date", "refresh_track_performance", "compact_fact",
                     "append_table", "fact_layout", "explode_envelopes", "read_jsonl",
                     "read_json_array", "write_jsonl", "json_rejects", "compact_state", "star_load_dims",
                     "star_load_empty", "check_pk_load", "dedupe_load", "load_rejects", "publish_counts"}:
