@@ -7,6 +7,10 @@ frequent, is known after a first pass only. So a first pass writes each document
 the pairs of its chunk (a bounded batch of texts); a chunk's pairs, not each document's, are then
 joined with the corpus counts and meet the chunk's documents again.
 
+Most text is words between single spaces. No token of either vocabulary reaches from one such
+word into the next (the vocabularies are looked at for that), so both end a token there: words are
+aligned one by one, and a worker remembers a bounded number of them.
+
 Skew: a pair found in every document is one row per chunk, and the aggregate combines map side;
 the join with the counts reads shuffled sides, which the adaptive planner splits. The highest count
 of each B id is broadcast: one row per id of a vocabulary. A chunk is bounded by rows and bytes
@@ -20,6 +24,9 @@ rows. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -32,12 +39,21 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import small_batches, written
-from .tokens import vocabulary
+from .tokens import kept, vocabulary
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK_ROWS, CHUNK_BYTES = 512, 1 << 20
 _A_BITS = 32                                       # a pair of ids is a * 2^32 + b
 
+WORD, MEMORY = 64, 400_000                         # longest remembered part of a text, and how many (twice)
+#: A single space between two characters that are surely no white space.
+_BETWEEN = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
+#: Words of printable ASCII and Latin letters, which every version of Unicode cuts alike, and the
+#: cut that a byte-level vocabulary stands for.
+_PLAIN = re.compile("[ !-~À-ÖØ-öø-ÿ]{1,64}").fullmatch
+_CUT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_NO_TOKENS = 0, 0, 0, "", np.zeros(0, np.int64)
+
 Groups = list[tuple[tuple[int, ...], tuple[int, ...]]]
 
 
@@ -63,8 +79,21 @@ class ByteTokens:
         for token, i in vocab.items():
             if token not in special:
                 self.tokens[i] = bytes(chars[c] for c in token)
+        how = json.loads(self.tokenizer.to_str())
+        cut = how["pre_tokenizer"] or {}
+        #: A space between words begins a piece, and pieces are encoded one by one.
+        self.by_word = how["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex") is True
+        self.plain_ids = None
+        merged = [vocab["".join(m)] for m in how["model"]["merges"]]
+        if self.by_word and merged == sorted(merged) and len({*merged}) == len(merged):
+            # ids rank the merges, so the same vocabulary can be read as ranks, which is faster
+            import tiktoken
+            ranks = {t: i for i, t in enumerate(self.tokens) if t}
+            self.plain_ids = tiktoken.Encoding("own", pat_str=_CUT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def ids(self, text: str) -> list[int]:
+        if self.plain_ids and _PLAIN(text):
+            return self.plain_ids(text)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -74,9 +103,12 @@ class PieceTokens:
     def __init__(self, path: str) -> None:
         import sentencepiece
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.tokens = [bytes([int(model.id_to_piece(i)[1:-1], 16)]) if model.is_byte(i) else
-                       b"" if model.is_control(i) or model.is_unknown(i) else
-                       model.id_to_piece(i).replace("▁", " ").encode() for i in range(model.get_piece_size())]
+        pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        self.tokens = [bytes([int(p[1:-1], 16)]) if model.is_byte(i) else
+                       b"" if model.is_control(i) or model.is_unknown(i) else p.replace("▁", " ").encode()
+                       for i, p in enumerate(pieces)]
+        #: Spaces stand at the beginning of a piece alone, so no merge reaches over one.
+        self.by_word = not any("▁" in p.lstrip("▁") for p in pieces)
 
     def ids(self, text: str) -> list[int]:
         return self.model.encode(text, num_threads=1)
@@ -85,7 +117,10 @@ class PieceTokens:
 def grouped(a: list[int], b: list[int], tokens_a: list[bytes], tokens_b: list[bytes]) -> tuple[Groups, list[int]]:
     """Groups of ids between the byte offsets where both lists end a token, and the linked pairs
     (a * 2^32 + b), one for each two token occurrences whose bytes overlap."""
-    ends_a, ends_b = (list(accumulate(map(len, map(t.__getitem__, ids)))) for t, ids in ((tokens_a, a), (tokens_b, b)))
+    ends_a = [*accumulate([len(tokens_a[i]) for i in a])]
+    ends_b = [*accumulate([len(tokens_b[i]) for i in b])]
+    if ends_a == ends_b:
+        return [((x,), (y,)) for x, y in zip(a, b)], [x << _A_BITS | y for x, y in zip(a, b)]
     at_a, at_b = dict(zip(ends_a, range(1, len(a) + 1))), dict(zip(ends_b, range(1, len(b) + 1)))
     groups, pairs = [], []
     i = j = 0
@@ -109,31 +144,58 @@ def grouped(a: list[int], b: list[int], tokens_a: list[bytes], tokens_b: list[by
     return groups, pairs
 
 
-def digest(groups: Groups) -> str:
-    text = ";".join([f"{a[0]}|{b[0]}" if len(a) == len(b) == 1 else f"{','.join(map(str, a))}|{','.join(map(str, b))}"
+def groups_text(groups: Groups) -> str:
+    """``a1,a2|b1;a3|b2,b3``"""
+    return ";".join([f"{a[0]}|{b[0]}" if len(a) == len(b) == 1 else f"{','.join(map(str, a))}|{','.join(map(str, b))}"
                      for a, b in groups])
-    return hashlib.sha256(text.encode()).hexdigest() if groups else ""
+
+
+class _Words(dict):
+    """(n_a, n_b, n_groups, groups, packed pairs) of a part of a text with a space before it; None if
+    a tokenizer doesn't give it back. Parts not met since the memory was last full are forgotten."""
+
+    def __init__(self, a: ByteTokens, b: PieceTokens) -> None:
+        super().__init__()
+        self.a, self.b, self.before = a, b, {}
+
+    def __missing__(self, part: str):
+        found = self.before[part] if part in self.before else self.aligned(part)
+        if len(part) <= WORD:
+            if len(self) >= MEMORY:
+                self.before = dict(self)
+                self.clear()
+            self[part] = found
+        return found
+
+    def aligned(self, part: str):
+        a, b = self.a.ids(" " + part), self.b.ids(part)
+        raw = f" {part}".encode()
+        if b"".join(map(self.a.tokens.__getitem__, a)) != raw or b"".join(map(self.b.tokens.__getitem__, b)) != raw:
+            return None
+        groups, pairs = grouped(a, b, self.a.tokens, self.b.tokens)
+        return len(a), len(b), len(groups), groups_text(groups), array("q", pairs).tobytes()
 
 
 class Aligner:
-    """(n_a, n_b, n_groups, digest, pairs) of a text."""
+    """(n_a, n_b, n_groups, digest of the groups, pairs) of a text."""
 
     def __init__(self, byte_path: str, piece_path: str) -> None:
-        self.a, self.b = ByteTokens(byte_path), PieceTokens(piece_path)
+        self.words = _Words(ByteTokens(byte_path), PieceTokens(piece_path))
+        self.by_word = self.words.a.by_word and self.words.b.by_word
 
     def __call__(self, text: str | None):
-        if text:
-            spaced = " " + text
-            try:
-                raw = spaced.encode()
-            except UnicodeEncodeError:             # no UTF-8, so no bytes to give back
-                return 0, 0, 0, "", []
-            a, b = self.a.ids(spaced), self.b.ids(text)
-            if (b"".join(map(self.a.tokens.__getitem__, a)) == raw
-                    and b"".join(map(self.b.tokens.__getitem__, b)) == raw):
-                groups, pairs = grouped(a, b, self.a.tokens, self.b.tokens)
-                return len(a), len(b), len(groups), digest(groups), pairs
-        return 0, 0, 0, "", []
+        if not text:
+            return _NO_TOKENS
+        try:
+            parts = [self.words[p] for p in (_BETWEEN.split(text) if self.by_word else [text])]
+        except UnicodeEncodeError:                 # no UTF-8, so no bytes to give back
+            return _NO_TOKENS
+        if None in parts:
+            return _NO_TOKENS
+        n_a, n_b, n_groups, groups, pairs = zip(*parts, strict=True)
+        text = ";".join(groups)
+        return (sum(n_a), sum(n_b), sum(n_groups), hashlib.sha256(text.encode()).hexdigest(),
+                np.frombuffer(b"".join(pairs), np.int64))
 
 
 # A row of the first pass is either a document (pair and n null) or a pair of its chunk (id null).
@@ -164,11 +226,12 @@ def first_pass(docs: DataFrame, text: str, key: str, byte_vocabulary: str, piece
                 yield b.column(0).slice(start), texts[start:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align = Aligner(vocabulary(byte_vocabulary), vocabulary(piece_vocabulary))
+        align = kept(f"aligner {byte_vocabulary} {piece_vocabulary}",
+                     lambda: Aligner(vocabulary(byte_vocabulary), vocabulary(piece_vocabulary)))
         chunk = TaskContext.get().partitionId() << 32
         for ids, texts in chunks(batches):
             found = [align(t) for t in texts]
-            links = [np.array(f[4], np.int64) for f in found]
+            links = [f[4] for f in found]
             pairs, places, n = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
             at, times, begin = [], [], 0
             for own in links:

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import json
 import re
-from itertools import chain
+import sys
+from collections.abc import Callable
+from types import ModuleType
 
 import numpy as np
 
 END_ID = 1
-MEMORY = 400_000        # pieces of words that a task remembers
+MEMORY = 300_000        # words that a worker remembers (twice)
+WORD = 64               # longest one
 
-#: Texts whose normal form and pieces are plain: printable ASCII and Latin letters with marks.
-_PLAIN = re.compile("[ \n!-~À-ÖØ-öø-ÿ]*").fullmatch
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \na-z0-9ß-öø-ÿ]+").findall
+#: Words whose normal form and pieces are plain: printable ASCII and Latin letters with marks.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*").fullmatch
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
+_SPACES = re.compile("[ \n]+").split
 #: Such vocabularies write the bytes of a character as these characters.
 _AS_BYTES = {c: "".join(chr(b) if b >= 161 and b != 173 else chr(256 + (b - 127 + 33 if b < 161 else 67))
                         for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+#: The normal form and the cut into pieces that the above stands for, as a vocabulary file states them.
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 VOCABULARY = "word_bpe_49k.json"
@@ -27,56 +35,81 @@ def vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class _Pieces(dict):
-    """Ids of a plain lower-case piece, by the vocabulary's merges."""
+def kept(name: str, make: Callable):
+    """``make()`` once in a worker process: what later tasks of the worker find again. This package
+    travels to workers by value, so it is held by a module made for that."""
+    memory = vars(sys.modules.setdefault("earshot_worker_memory", ModuleType("earshot_worker_memory")))
+    if name not in memory:
+        memory[name] = make()
+    return memory[name]
 
-    def __init__(self, tokenizer) -> None:
-        super().__init__()
-        self.merge = tokenizer.model.tokenize
 
-    def __missing__(self, piece: str) -> list[int]:
-        if len(self) >= MEMORY:
-            self.clear()
-        word = piece if piece.isascii() else piece.translate(_AS_BYTES)
-        self[piece] = ids = [t.id for t in self.merge(word)]
+class _Words(dict):
+    """Packed ids (little-endian uint32) of a word between spaces. Words not met since the memory was
+    last full are forgotten."""
+
+    def __init__(self, encoder: Encoder) -> None:
+        super().__init__()
+        self.encoder, self.before = encoder, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before[word] if word in self.before else self.encoder.word(word)
+        if len(word) <= WORD:
+            if len(self) >= MEMORY:
+                self.before = dict(self)
+                self.clear()
+            self[word] = ids
         return ids
 
 
 class Encoder:
     """``ids(text)``: the ids of ``Tokenizer.encode(text, add_special_tokens=False)`` and the end id.
 
-    The vocabulary drops white space and no token reaches over it, so a text's ids are those of
-    its words between spaces and line ends, one after the other. A plain text is cut into pieces,
-    each merged once; words of other texts that are not plain go through the whole tokenizer.
+    Where a vocabulary file's own settings say that it drops white space and no token reaches over
+    it, a text's ids are those of its words between spaces and line ends, one after the other: a
+    plain word is cut into pieces, each merged alone, other words go through the whole tokenizer,
+    and their ids are remembered. With any other vocabulary the whole text is encoded at once.
     """
 
     def __init__(self, path: str) -> None:
         import tokenizers
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.pieces = _Pieces(self.tokenizer)
+        self.by_word = _drops_spaces(json.loads(self.tokenizer.to_str()))
+        self.merge = self.tokenizer.model.tokenize
+        self.words = _Words(self)
 
     @classmethod
     def shared(cls, name: str) -> Encoder:
-        """One encoder per worker process: it outlives a task on the imported library, so that
-        later tasks of the worker find the pieces that earlier ones have merged."""
-        import tokenizers
-        path, kept = vocabulary(name), vars(tokenizers).setdefault("_kept_encoders", {})
-        if path not in kept:
-            kept[path] = cls(path)
-        return kept[path]
+        """One encoder per worker process."""
+        path = vocabulary(name)
+        return kept(f"encoder {path}", lambda: cls(path))
+
+    def word(self, word: str) -> bytes:
+        if _PLAIN(word) and "<|" not in word:
+            pieces = _PIECES(word.lower())
+            ids = [t.id for p in pieces for t in self.merge(p if p.isascii() else p.translate(_AS_BYTES))]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a whole text (null: like an empty one) as little-endian uint32."""
+        text = text or ""
+        if self.by_word:
+            return b"".join(map(self.words.__getitem__, _SPACES(text))) + _END
+        return np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, END_ID], "<u4").tobytes()
 
     def ids(self, text: str | None) -> np.ndarray:
-        """uint32 ids of a whole text (null: like an empty one)."""
-        text = text or ""
-        ids: list[int] = []
-        for part in [text] if _plain(text) else re.split("[ \n]+", text):
-            if _plain(part):
-                ids += chain.from_iterable(map(self.pieces.__getitem__, _PIECES(part.lower())))
-            else:
-                ids += self.tokenizer.encode(part, add_special_tokens=False).ids
-        ids.append(END_ID)
-        return np.array(ids, np.uint32)
-
-
-def _plain(text: str) -> bool:
-    return "<|" not in text and _PLAIN(text) is not None
+        return np.frombuffer(self.packed(text), "<u4")
+
+
+_END = np.array([END_ID], "<u4").tobytes()
+
+
+def _drops_spaces(how: dict) -> bool:
+    """Do a vocabulary's settings (normal form, cut into pieces) equal those known here?"""
+    normal, cut = how["normalizer"] or {}, how["pre_tokenizer"] or {}
+    steps, cuts = normal.get("normalizers"), cut.get("pretokenizers") or [{}]
+    return (steps == _NORMAL and cuts[0].get("type") == "Split" and cuts[0].get("pattern") == {"Regex": _CUT}
+            and cuts[0].get("behavior") == "Removed" and cuts[0].get("invert") is True
+            and [c.get("type") for c in cuts[1:]] == ["ByteLevel"] and cuts[1].get("add_prefix_space") is False)

@@ -81,6 +81,33 @@ def test_registered_query_on_prose(spark):
     assert [found[r[0]] for r in rows] == brute([r[1] for r in rows])
 
 
+def test_words_align_like_whole_texts(monkeypatch):
+    """Texts of words and odd spaces, cut into words (with a memory of few) and taken whole."""
+    monkeypatch.setattr(alignment, "MEMORY", 20)
+    rng, paths = random.Random(6), [vocabulary(v) for v in (alignment.BYTE_VOCABULARY, alignment.PIECE_VOCABULARY)]
+    words, whole = alignment.Aligner(*paths), alignment.Aligner(*paths)
+    whole.by_word = False
+    assert words.by_word
+    parts = ["a", "Word", "é", " ", " ", " ", "  ", "\n", "\t", "\xa0", "'s", "'", "12", "½", "漢字", "<s>", "<|endoftext|>", "😂", "_", ".",
+             "́", "x" * 70, "İ", "️"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 14)))
+        x, y = words(text), whole(text)
+        assert x[:4] == y[:4] and x[4].tolist() == y[4].tolist(), repr(text)
+    assert len(words.words) <= 20
+
+
+def test_ids_as_ranks_equal_the_tokenizer():
+    a = alignment.ByteTokens(vocabulary(alignment.BYTE_VOCABULARY))
+    rng = random.Random(9)
+    common = [t.decode() for t in a.tokens if t.isascii() and t.strip().isalnum()]
+    chars = [chr(c) for c in range(32, 127)] + list("éÈßñöÀ")
+    for _ in range(30_000):
+        parts = [rng.choice(common) if rng.random() < 0.5 else rng.choice(chars) for _ in range(rng.randint(1, 8))]
+        text = " " + "".join(parts)[:60]
+        assert a.ids(text) == a.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_texts_not_given_back_have_no_tokens(spark):
     docs = spark.createDataFrame([(1, "a▁b"), (2, None), (3, ""), (None, "a")], "doc_id long, text string")
     found = {r["doc_id"]: r for r in alignment.aligned(docs.withColumn("chunk", F.lit(0))).collect()}

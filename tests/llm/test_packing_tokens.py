@@ -25,6 +25,21 @@ def test_ids_equal_the_tokenizer(encoder):
         assert encoder.ids(t).tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids + [1], repr(t)
 
 
+def test_ids_of_another_vocabulary():
+    """Its settings aren't the known ones, so whole texts go through the library."""
+    other = tokens.Encoder(tokens.vocabulary("byte_bpe_50k.json"))
+    assert not other.by_word
+    for t in ["Hello World, two  spaces", "naïve\n\n x", "", None, X.LONG]:
+        assert other.ids(t).tolist() == other.tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
+
+
+def test_memory_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY", 10)
+    own = tokens.Encoder(tokens.vocabulary())
+    assert own.ids(X.LONG).tolist() == own.tokenizer.encode(X.LONG, add_special_tokens=False).ids + [1]
+    assert len(own.words) <= 10
+
+
 @pytest.mark.parametrize("histogram", [
     {}, {1: 1}, {4096: 5, 1: 3}, {3000: 10}, {1: 5000}, {2049: 7, 2047: 9},
     dict(Counter(np.clip(np.random.default_rng(1).lognormal(6.4, 1, 3000).astype(int), 1, 4096).tolist()))])
