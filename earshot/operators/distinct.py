@@ -16,19 +16,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import input_bytes
+
 HOT_ROWS, HOT_SHARE = 100_000, 1000
 SKETCH_KEYS, SKETCH_ITEMS = 1000, 10_000       # keys reported; keys followed (errors below rows / items)
 ONE_TASK = 64 << 20                            # bytes of input that a single task may well read
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the tables that ``df`` reads, as the planner knows it."""
-    leaves, total = df._jdf.queryExecution().optimizedPlan().collectLeaves(), 0
-    for i in range(leaves.size()):
-        total += int(str(leaves.apply(i).stats().sizeInBytes()))
-    return total
-
-
 def hot_keys(df: DataFrame, keys: list[str]) -> list[int]:
     """Hashes of the keys that may hold many rows: at most ``SKETCH_KEYS``, none in a small input."""
     if input_bytes(df) <= ONE_TASK:

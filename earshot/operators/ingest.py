@@ -11,12 +11,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import ingest as X
 from ..schemas import STATE_SCHEMA
+from ..session import input_bytes
 
 PARSED_COLUMNS = ["decoded", "parsed", "missing_field", "user_id", "timestamp", "session_id",
                   "track_id", "track_title", "artist", "action", "device_type",
                   "listen_duration_ms", "event_time", "ttl", "error"]
 
 
+TASK_BYTES = 64 << 20
+
+
+def dealt(records: DataFrame, tasks: int) -> DataFrame:
+    """``records`` over ``tasks`` tasks at least; unchanged where they have as many splits."""
+    if records._jdf.queryExecution().toRdd().getNumPartitions() >= tasks:
+        return records
+    return records.repartition(max(tasks, -(-input_bytes(records) // TASK_BYTES)))
+
+
 def parse_records(records: DataFrame, data: str = "data",
                   partitions: int | None = None, payload: str | None = None) -> DataFrame:
     """Decode and validate every record; the input columns are kept.
@@ -29,13 +40,15 @@ def parse_records(records: DataFrame, data: str = "data",
     field stays above it instead of being pushed down with the whole decode chain
     substituted into it (which would parse every record twice).
 
-    ``partitions`` deals the records out over so many tasks first (parsing is CPU work per
-    record, and a small batch may arrive as one split); without it they stay where they are.
+    ``partitions``: an input of fewer splits is dealt out over so many tasks first (parsing is CPU
+    work per record, and a small batch may arrive as one split), or over more where they would
+    read over ``TASK_BYTES`` each. An input of more splits, or without the parameter, stays where
+    it is: a large batch isn't shuffled.
 
     ``payload`` names a binary column of raw bytes instead (sources such as Kafka
     deliver the JSON bytes themselves); the base64 step is then skipped.
     """
-    df = records.repartition(int(partitions)) if partitions else records
+    df = dealt(records, int(partitions)) if partitions else records
     if payload is None:
         df = df.withColumn("_c", X.b64_clean(F.col(data)))
         df = df.withColumn("_payload", X.decode_clean_base64(F.col("_c")))

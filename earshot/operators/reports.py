@@ -35,15 +35,28 @@ def most_skipped_tracks(fact: DataFrame, dim_tracks: DataFrame, dim_date: DataFr
     cutoff = months_back(as_of_column(as_of), 1)
     skips = fact.where((F.col("action") == F.lit("SKIP")) & (F.col("date_key") >= date_key(cutoff)))
     days = dim_date_side(dim_date.where(F.col("full_date") >= cutoff), ["date_key"])
-    per = (skips.join(days, "date_key")
-           .groupBy("track_key", "user_key")
-           .agg(F.count(F.lit(1)).alias("_n"), F.sum("duration_ms").alias("_dur"),
-                F.count("duration_ms").alias("_n_dur")))
+    return top_skipped(skips.join(days, "date_key").groupBy("track_key", "user_key").agg(*skip_totals()), dim_tracks, top)
+
+
+def skip_totals() -> list[Column]:
+    """The additive numbers of a group of skips."""
+    return [F.count(F.lit(1)).alias("skips"), F.sum("duration_ms").alias("duration"),
+            F.count("duration_ms").alias("n_duration")]
+
+
+def daily_skips(fact: DataFrame) -> DataFrame:
+    """Per (date_key, track_key, user_key): the skips, from which the report of any days follows."""
+    return (fact.where((F.col("action") == F.lit("SKIP")) & F.col("date_key").isNotNull() & F.col("track_key").isNotNull())
+            .groupBy("date_key", "track_key", "user_key").agg(*skip_totals()))
+
+
+def top_skipped(per: DataFrame, dim_tracks: DataFrame, top: int) -> DataFrame:
+    """The report from totals per (track, user)."""
     tracks = dim_tracks.select("track_key", "title", "artist")
     report = (per.join(tracks, "track_key")
               .groupBy("title", "artist")
-              .agg(F.sum("_n").alias("skip_count"),
-                   F.round(safe_ratio(F.sum("_dur"), F.sum("_n_dur")) / F.lit(1000.0), 1)
+              .agg(F.sum("skips").alias("skip_count"),
+                   F.round(safe_ratio(F.sum("duration"), F.sum("n_duration")) / F.lit(1000.0), 1)
                    .alias("avg_sec_before_skip"),
                    F.count_distinct("user_key").alias("unique_skippers")))
     return report.orderBy(F.desc("skip_count"), F.asc("title"), F.asc("artist")).limit(top)

@@ -38,6 +38,7 @@ from ..schemas import Column as ContractColumn
 from ..session import ensure_conf, guard_checkpoint, path_exists
 from ..sinks import parts
 from ..sinks.files import latest_version, write_batch_partitions, write_fact, write_snapshot
+from ..sources.files import is_table
 from .fact import read_fact
 
 TABLES = ["dim_date", "dim_tracks", "dim_users", "fact_listens"]
@@ -218,7 +219,8 @@ def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, ch
                     dedupe: bool = False, every: str | None = None,
                     cluster_partitions: int | None = None, max_files: int | None = None,
                     max_bytes: int | None = None):
-    """Incremental load of every Parquet file under ``source`` not yet processed.
+    """Incremental load of every Parquet file under ``source`` (a path, or a table of the catalog) not yet
+    processed.
 
     By default one run takes what is new and stops (``availableNow``: a scheduled
     job); ``every="1 hour"`` keeps the query running with that trigger instead.
@@ -229,8 +231,8 @@ def start_star_load(spark: SparkSession, source: str, schema, warehouse: str, ch
     ensure_conf(spark)
     guard_checkpoint(spark, checkpoint, [table_path(warehouse, t) for t in TABLES])
     limits = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
-    stream = (spark.readStream.schema(schema).options(**{k: v for k, v in limits.items() if v is not None})
-              .parquet(source))
+    reader = spark.readStream.options(**{k: v for k, v in limits.items() if v is not None})
+    stream = reader.table(source) if is_table(spark, source) else reader.schema(schema).parquet(source)
     if arrival == FILE_ROW:
         # the row's place in its (immutable) file: unique and stable across retries
         stream = stream.withColumn(FILE_ROW, F.concat_ws(

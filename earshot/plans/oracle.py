@@ -226,6 +226,8 @@ def more_sql() -> dict[str, str]:
     star = STAR
     q = {}
     q["scan_events"] = with_(OVERLAY, "SELECT * FROM ev")
+    q["scan_catalog"] = with_(OVERLAY, """
+        SELECT * FROM ev WHERE CAST(event_timestamp AS DATE) BETWEEN DATE '2024-01-12' AND DATE '2024-01-18'""")
     q["source_count"] = with_(OVERLAY, "SELECT count(*) AS rows FROM ev")
     q["project_events"] = with_(OVERLAY, """
         SELECT event_id, user_id, track_id, action, listen_duration_ms AS duration_ms,
@@ -426,6 +428,15 @@ def io_sql() -> dict[str, str]:
     q["fact_layout"] = q["append_table"]
     q["star_load"] = q["append_table"]
     q["compact_fact"] = q["append_table"]
+    q["load_catalog"] = q["append_table"]
+    q["most_skipped_rolling"] = with_(STAR, " UNION ALL ".join(f"""
+        SELECT * FROM (
+          SELECT DATE '{day}' AS as_of, t.title, t.artist, count(*) AS skip_count,
+                 round(avg(f.duration_ms) / 1000.0, 1) AS avg_sec_before_skip, count(DISTINCT f.user_key) AS unique_skippers
+          FROM fact f JOIN dim_tracks t ON f.track_key = t.track_key JOIN dim_date d ON f.date_key = d.date_key
+          WHERE f.action = 'SKIP' AND d.full_date >= DATE '{day}' - INTERVAL 1 MONTH
+          GROUP BY t.title, t.artist ORDER BY skip_count DESC, t.title, t.artist LIMIT 10) r"""
+        for day in ("2024-01-31", "2024-02-10", "2024-02-20")))
     q["load_summary"] = with_(STAR, """
         SELECT 'dim_date' AS table_name, count(*) AS rows FROM dim_date
         UNION ALL SELECT 'dim_tracks', count(*) FROM dim_tracks

@@ -1,12 +1,13 @@
-"""Incremental refresh of the two marts: what the batches since the last refresh change.
+"""Incremental refresh of the marts and of the report's totals: what newer batches change.
 
-Both marts are kept in parts (``sinks.parts``) whose version is the newest batch they cover, so a
+They are kept in parts (``sinks.parts``) whose version is the newest batch they cover, so a
 refresh reads only the fact's newer batches, a failed refresh shows nothing, and any number of
 loads may lie between two refreshes. They hold keys and numbers; the dimensions' attributes are
 joined when a mart is read, so they are always the current ones.
 
 * Daily mart: a part per day. Distinct counts of a day can't be added up, so the days that newer
   batches have events of are counted anew from all of the day's events; other days stay.
+* Skips of the report: a part per day, a row per (track, user); kept as the daily mart is.
 * Track mart: a part per hash bucket of the track. Counts and sums of the newer batches are added to
   the stored ones. Listeners are exact: the pairs (track, user) met so far are a bucketed table, a
   refresh counts the pairs of the newer batches that it doesn't hold, and adds them. That table is
@@ -16,12 +17,15 @@ joined when a mart is read, so they are always the current ones.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..operators import marts
+from ..functions.dates import date_key, months_back
+from ..operators import marts, reports
 from ..schemas import DIM_DATE, DIM_TRACKS, DIM_USERS
 from ..session import hadoop_fs
 from ..sinks import parts
@@ -29,18 +33,21 @@ from . import load as L
 from .fact import read_fact
 
 DAILY, TRACKS, LISTENERS = "mv_daily_user_summary", "mv_track_performance", "track_listeners"
+SKIPS = "daily_skips"
 TRACK_BUCKETS = 16              # parts of the track mart
 PAIR_BUCKETS = 64               # of the (track, user) table: files of a bucket are one task's
 
 _DAILY_SCHEMA = T.StructType([T.StructField("date_key", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in (
     "user_key", "unique_tracks", "sessions", "total_events", "plays", "skips", "completes", "duration"))])
+_SKIPS_SCHEMA = T.StructType([T.StructField("date_key", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in (
+    "track_key", "user_key", "skips", "duration", "n_duration"))])
 _TRACK_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in (
     "track_key", "total_events", "completions", "skips", "duration", "n_duration", "unique_listeners")])
 _ADDED = _TRACK_SCHEMA.fieldNames()[1:]
 
 
 def covered(spark: SparkSession, warehouse: str, mart: str) -> int | None:
-    """The newest batch that a mart (``DAILY`` or ``TRACKS``) covers."""
+    """The newest batch that a mart (``DAILY``, ``TRACKS`` or ``SKIPS``) covers."""
     return parts.newest(spark, L.table_path(warehouse, mart))
 
 
@@ -52,28 +59,52 @@ def newer_events(spark: SparkSession, warehouse: str, mart: str) -> DataFrame |
     return read_fact(spark, warehouse, last, above=done)
 
 
-def stale_days(spark: SparkSession, warehouse: str) -> list[int]:
-    """Days (as date keys) whose rows in the daily mart lack events that have been loaded."""
-    new = newer_events(spark, warehouse, DAILY)
+def stale_days(spark: SparkSession, warehouse: str, mart: str = DAILY) -> list[int]:
+    """Days (as date keys) whose rows in a mart kept by day lack events that have been loaded."""
+    new = newer_events(spark, warehouse, mart)
     if new is None:
         return []
     days = new.where(F.col("date_key").isNotNull()).select("date_key").distinct()
     return sorted(r[0] for r in days.collect())                 # a row per day
 
 
-def refresh_daily(spark: SparkSession, warehouse: str, keep: int = 3) -> int:
-    """Bring the daily mart up to the newest committed batch. Returns its rows (user days)."""
-    root, last = L.table_path(warehouse, DAILY), L.committed_batch(spark, warehouse)
-    days = stale_days(spark, warehouse)
-    if last is None or covered(spark, warehouse, DAILY) == last:
+def _refresh_days(spark: SparkSession, warehouse: str, name: str, totals: Callable[[DataFrame], DataFrame],
+                  schema: T.StructType, sort_by: list[str], keep: int) -> int:
+    """Recompute the days that batches since the last refresh have events of. Returns the table's rows."""
+    root, last = L.table_path(warehouse, name), L.committed_batch(spark, warehouse)
+    days = stale_days(spark, warehouse, name)
+    if last is None or covered(spark, warehouse, name) == last:
         return sum(n for _, n in parts.manifest(spark, root).values())
-    fact = read_fact(spark, warehouse, last).where(F.col("date_key").isin(days))    # prunes folders
-    rows = marts.daily_totals(fact).select(*(F.col(f.name).cast(f.dataType) for f in _DAILY_SCHEMA))
-    total = parts.replace_parts(rows, F.col("date_key").cast("bigint"), days, root, last, ["user_key"])
+    fact = read_fact(spark, warehouse, last).where(F.col("date_key").isin(days))        # prunes folders
+    rows = totals(fact).select(*(F.col(f.name).cast(f.dataType) for f in schema))
+    total = parts.replace_parts(rows, F.col("date_key").cast("bigint"), days, root, last, sort_by)
     parts.drop_unused(spark, root, keep)
     return total
 
 
+def refresh_daily(spark: SparkSession, warehouse: str, keep: int = 3) -> int:
+    """Bring the daily mart up to the newest committed batch. Returns its rows (user days)."""
+    return _refresh_days(spark, warehouse, DAILY, marts.daily_totals, _DAILY_SCHEMA, ["user_key"], keep)
+
+
+def refresh_skips(spark: SparkSession, warehouse: str, keep: int = 3) -> int:
+    """Bring the skips per (day, track, user) up to the newest committed batch. Returns their rows."""
+    return _refresh_days(spark, warehouse, SKIPS, reports.daily_skips, _SKIPS_SCHEMA, ["track_key", "user_key"], keep)
+
+
+def rolling_report(spark: SparkSession, warehouse: str, as_of: dt.date | str | None = None, top: int = 10) -> DataFrame:
+    """The report of the most-skipped tracks of the month before ``as_of`` (today if None), as of the last
+    refresh of the skips. As the date moves on, days leave and enter what is read: only the folders
+    of the month's days, never the fact."""
+    date = dt.datetime.now(dt.timezone.utc).date() if as_of is None else as_of
+    first = spark.range(1).select(date_key(months_back(reports.as_of_column(date), 1))).first()[0]
+    root = L.table_path(warehouse, SKIPS)
+    days = [d for d in parts.manifest(spark, root) if d >= first]
+    per = parts.read_parts(spark, root, _SKIPS_SCHEMA, only=days).groupBy("track_key", "user_key").agg(
+        *(F.sum(c).alias(c) for c in ("skips", "duration", "n_duration")))
+    return reports.top_skipped(per, L.current_dim(spark, warehouse, "dim_tracks", DIM_TRACKS), top)
+
+
 def read_daily(spark: SparkSession, warehouse: str) -> DataFrame:
     """The daily mart as of its last refresh, with the dimensions' present attributes."""
     per = parts.read_parts(spark, L.table_path(warehouse, DAILY), _DAILY_SCHEMA)

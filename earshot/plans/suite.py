@@ -7,6 +7,7 @@ over the whole tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -115,6 +116,30 @@ def scan_events(spark, sf_dir):
     return _events(spark, sf_dir)
 
 
+def scan_catalog(spark, sf_dir):
+    """Events of a partitioned table in the catalog, half of its days added after it was named."""
+    root, name = _run_dir(spark, "catalog"), f"events_{uuid.uuid4().hex[:12]}"
+    ev = _events(spark, sf_dir).withColumn("arrival_day", F.to_date("event_timestamp"))
+    for i, part in enumerate((_before(ev, HALF), _from(ev, HALF))):
+        part.repartition("arrival_day").write.partitionBy("arrival_day").mode("append").parquet(root)
+        if i == 0:
+            R.register_events(spark, name, root, ev.schema, ["arrival_day"])
+    R.refresh_events(spark, name)
+    week = F.col("arrival_day").between(F.lit(HALF.date() - dt.timedelta(days=3)), F.lit(HALF.date() + dt.timedelta(days=3)))
+    return R.read_events(spark, name).where(week).drop("arrival_day")
+
+
+def load_catalog(spark, sf_dir):
+    """The fact loaded from a table of the catalog instead of a path."""
+    root, name = _run_dir(spark, "catalog-load"), f"events_{uuid.uuid4().hex[:12]}"
+    ev = _events(spark, sf_dir)
+    _write_source(ev, root, 0)
+    R.register_events(spark, name, f"{root}/src/part=0", ev.schema)
+    L.start_star_load(spark, name, None, f"{root}/warehouse", f"{root}/ckpt", arrival="event_id", loaded_at=LOADED_AT,
+                      tie=["event_id"]).awaitTermination()
+    return L.read_star(spark, f"{root}/warehouse")["fact_listens"].select(*facts.FACT_COLUMNS)
+
+
 def source_count(spark, sf_dir):
     return _events(spark, sf_dir).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -597,6 +622,19 @@ def refresh_track_performance(spark, sf_dir):
     return RF.read_tracks(spark, wh)
 
 
+ROLLING = [dt.date(2024, 1, 31), AS_OF, dt.date(2024, 2, 20)]
+
+
+def most_skipped_rolling(spark, sf_dir):
+    """The report at three dates from the daily skips, kept up to date over two loads."""
+    wh = _loaded_star(spark, sf_dir, refreshes=[RF.refresh_skips])
+    out = None
+    for day in ROLLING:
+        found = RF.rolling_report(spark, wh, day).withColumn("as_of", F.lit(day))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def compact_fact(spark, sf_dir):
     """Five loads, compacted after the third and the last: the fact as it was."""
     ev = _events(spark, sf_dir)
@@ -620,7 +658,7 @@ def compact_state(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and scans
-    "scan_events": scan_events, "source_count": source_count, "incremental_scan": incremental_scan,
+    "scan_events": scan_events, "scan_catalog": scan_catalog, "load_catalog": load_catalog, "source_count": source_count, "incremental_scan": incremental_scan,
     "explode_envelopes": explode_envelopes, "read_jsonl": read_jsonl,
     "read_json_array": read_json_array, "json_rejects": json_rejects,
     # ingest
@@ -648,7 +686,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_load_empty": star_load_empty, "check_pk_load": check_pk_load, "dedupe_load": dedupe_load,
     "load_rejects": load_rejects, "publish_counts": publish_counts,
     "refresh_daily_by_date": refresh_daily_by_date,
-    "refresh_track_performance": refresh_track_performance, "append_table": append_table,
+    "refresh_track_performance": refresh_track_performance, "most_skipped_rolling": most_skipped_rolling, "append_table": append_table,
     "upsert_dimension": upsert_dimension, "conform_users": conform_users,
     "publish_keyed": publish_keyed, "write_jsonl": write_jsonl, "fact_layout": fact_layout, "compact_fact": compact_fact,
     # quality

@@ -97,6 +97,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def input_bytes(df) -> int:
+    """Size of the tables that ``df`` reads, as the planner knows it."""
+    leaves, total = df._jdf.queryExecution().optimizedPlan().collectLeaves(), 0
+    for i in range(leaves.size()):
+        total += int(str(leaves.apply(i).stats().sizeInBytes()))
+    return total
+
+
 def guard_checkpoint(spark: SparkSession, checkpoint: str, outputs: list[str]) -> None:
     """Refuse to start a stream without its checkpoint when its outputs already hold
     data: batch ids would restart at 0 and overwrite committed batches."""
@@ -119,4 +127,4 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 __all__ = ["build_session", "ensure_conf", "shared_dir", "path_exists",
-           "list_dirs", "guard_checkpoint", "REQUIRED_CONF", "SCALE_CONF"]
+           "list_dirs", "guard_checkpoint", "input_bytes", "REQUIRED_CONF", "SCALE_CONF"]

@@ -13,10 +13,38 @@ EVENT_JSON_SCHEMA = T.StructType(
      for f in EVENT_SCHEMA.fields])
 
 
-def read_events(spark: SparkSession, path: str, arrival: bool = False) -> DataFrame:
-    """Scan Parquet event files. With ``arrival`` an ``_arrival`` id (file and row
-    index) is added: unique per input row, stable across re-reads."""
-    df = spark.read.parquet(path)
+def register_events(spark: SparkSession, name: str, path: str, schema: T.StructType = EVENT_SCHEMA,
+                    partitioned_by: list[str] | None = None) -> None:
+    """Name a folder of Parquet event files in Spark's catalog, with its schema and partition columns
+    (the last ones of ``schema``). Files and partitions added later are found when it is read."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partitioned_by)})" if partitioned_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET {by} LOCATION '{path}'")
+    refresh_events(spark, name)
+
+
+def refresh_events(spark: SparkSession, name: str) -> None:
+    """Find partitions and files that were added to a named table's folder."""
+    state = spark._jsparkSession.sessionState()
+    held = state.catalog().getTableMetadata(state.sqlParser().parseTableIdentifier(name))
+    if held.tracksPartitionsInCatalog():            # a metastore's; else they are listed from the folder
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
+def is_table(spark: SparkSession, source: str) -> bool:
+    """Is ``source`` the name of a table (and not a path)?"""
+    return "/" not in source and spark.catalog.tableExists(source)
+
+
+def read_events(spark: SparkSession, source: str, arrival: bool = False, schema: T.StructType | None = None) -> DataFrame:
+    """Scan Parquet event files, by a table's name or a path (then with ``schema``, if given, instead of
+    one inferred from a file). With ``arrival`` an ``_arrival`` id (file and row index) is added: unique
+    per input row, stable across re-reads."""
+    if is_table(spark, source):
+        df = spark.table(source)
+    else:
+        df = (spark.read.schema(schema) if schema else spark.read).parquet(source)
     if arrival:
         df = df.withColumn("_arrival", F.concat_ws(
             ":", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")))

@@ -17,7 +17,8 @@ def test_flagship_is_top_k_with_broadcast_dates(spark):
 def test_no_python_in_any_query(spark):
     for name, fn in suite.queries().items():
         if name in {"incremental_scan", "stream_ingest", "latest_state", "live_state",
-                    "late_events_kept", "star_load", "load_summary", "refresh_daily_by_date", "refresh_track_performance", "compact_fact",
+                    "late_events_kept", "star_load", "load_summary", "refresh_daily_by_date", "refresh_track_performance", "compact_fact", "scan_catalog",
+                    "load_catalog", "most_skipped_rolling",
                     "append_table", "fact_layout", "explode_envelopes", "read_jsonl",
                     "read_json_array", "write_jsonl", "json_rejects", "compact_state", "star_load_dims",
                     "star_load_empty", "check_pk_load", "dedupe_load", "load_rejects", "publish_counts"}:
@@ -76,3 +77,28 @@ def test_stored_dimensions_are_sorted(spark, tmp_path):
     assert sorted(p.name for p in (root / "data").glob("v=*")) == ["v=2", "v=3", "v=4"]
     for p in (root / "data" / "v=4").glob("part=*/*.parquet"):
         assert spark.read.parquet(str(p)).toPandas().user_key.is_monotonic_increasing
+
+
+def test_catalog_scan_prunes_partitions(spark):
+    df = suite.scan_catalog(spark, SF_SMALL)
+    scan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(arrival_day" in scan and "2024-01-12" in scan
+    assert df.inputFiles() and "arrival_day" not in df.columns
+
+
+def test_rolling_report_reads_only_its_days(spark, tmp_path):
+    from earshot.plans import load as L
+    from earshot.plans import refresh as RF
+    wh = str(tmp_path / "wh")
+    L.load_batch(suite._events(spark, SF_SMALL), 0, wh, arrival="event_id", tie=["event_id"], refreshes=[RF.refresh_skips])
+    days = {f.split("part=")[1].split("/")[0] for f in RF.rolling_report(spark, wh, "2024-02-25").inputFiles() if "daily_skips" in f}
+    assert days and min(days) >= "20240125"
+    assert not [f for f in RF.rolling_report(spark, wh, "2024-02-25").inputFiles() if "fact_listens" in f]
+
+
+def test_large_inputs_are_not_dealt_out_again(spark, tmp_path):
+    from earshot.operators import ingest
+    spark.range(1000).repartition(6).write.parquet(str(tmp_path / "many"))
+    one, many = spark.range(1000).coalesce(1), spark.range(1000).repartition(6)
+    assert ingest.dealt(one, 4).rdd.getNumPartitions() == 4
+    assert ingest.dealt(many, 4) is many
