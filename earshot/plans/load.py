@@ -71,14 +71,6 @@ def current_dim(spark: SparkSession, warehouse: str, name: str, contract, below:
     return parts.read_parts(spark, table_path(warehouse, name), schema, 0 if last is None else last + 1, only)
 
 
-def buckets_of(spark: SparkSession, warehouse: str, name: str, default: int) -> int:
-    """How many hash buckets a dimension has: written beside it by its first load."""
-    path = f"{table_path(warehouse, name)}/buckets"
-    if latest_version(spark, path) is None:
-        write_snapshot(spark.createDataFrame([(int(default),)], "buckets int").coalesce(1), path, 0)
-    return spark.read.schema("buckets int").parquet(f"{path}/v=0").first()[0]
-
-
 def drop_redelivered(events: DataFrame, batch_id: int, warehouse: str,
                      arrival: str | None = None) -> DataFrame:
     """Events whose content (the nine fields, arrival ignored) was not loaded before.
@@ -174,7 +166,7 @@ def load_batch(events: DataFrame, batch_id: int, warehouse: str, arrival: str |
 
         def write_dim(name, contract, new, rules):
             stored, key = C.with_columns(contract, EXTRA.get(name, [])), SORT_KEYS[name]
-            place = parts.bucket(key, buckets_of(spark, warehouse, name, (dim_buckets or DIM_BUCKETS)[name]))
+            place = parts.bucket(key, parts.buckets_of(spark, table_path(warehouse, name), (dim_buckets or DIM_BUCKETS)[name]))
             touched = [r[0] for r in new.select(place).distinct().collect()]        # a row per bucket at most
             cur = current_dim(spark, warehouse, name, stored, below=batch_id, only=touched)
             merged = merge.upsert(cur, new, stored, rules, loaded_at=loaded_at)

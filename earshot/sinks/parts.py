@@ -25,6 +25,14 @@ def bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("bigint")
 
 
+def buckets_of(spark: SparkSession, root: str, default: int) -> int:
+    """How many hash buckets a table has: written beside it when it is first asked for."""
+    path = f"{root}/buckets"
+    if latest_version(spark, path) is None:
+        write_snapshot(spark.createDataFrame([(int(default),)], "buckets int").coalesce(1), path, 0)
+    return spark.read.schema("buckets int").parquet(f"{path}/v=0").first()[0]
+
+
 def newest(spark: SparkSession, root: str, below: int | None = None) -> int | None:
     """The newest committed version (under ``below``)."""
     return latest_version(spark, f"{root}/manifest", below)
@@ -48,7 +56,8 @@ def read_parts(spark: SparkSession, root: str, schema: T.StructType, below: int
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def replace_parts(df: DataFrame, part: Column, touched: list[int], root: str, version: int, sort_by: list[str]) -> int:
+def replace_parts(df: DataFrame, part: Column, touched: list[int], root: str, version: int, sort_by: list[str],
+                  options: dict[str, str] | None = None) -> int:
     """Write ``df``, which holds all rows of the parts ``touched``, as ``version``; other parts stay as
     the version before has them. Files hold sorted ranges of (part, ``sort_by``). A touched part
     without rows is gone. Returns the rows of the whole table."""
@@ -56,7 +65,7 @@ def replace_parts(df: DataFrame, part: Column, touched: list[int], root: str, ve
     held = manifest(spark, root, version)
     if touched:
         (df.withColumn(PART, part).repartitionByRange(PART, *sort_by).sortWithinPartitions(PART, *sort_by)
-         .write.mode("overwrite").partitionBy(PART).parquet(data))
+         .write.mode("overwrite").options(**(options or {})).partitionBy(PART).parquet(data))
         written = {}
         if any(n.startswith(f"{PART}=") for n in list_dirs(spark, data)):
             schema = T.StructType([*df.schema.fields, T.StructField(PART, T.LongType())])

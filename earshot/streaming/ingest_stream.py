@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import ingest
 from ..schemas import ENVELOPE_SCHEMA
 from ..session import ensure_conf, guard_checkpoint, hadoop_fs, list_dirs, path_exists
+from ..sinks import parts
 from ..sinks.files import write_batch_partitions
 from ..sources.files import explode_envelopes, with_line_order
-from .state import ITEM_COLUMNS, LOG_SCHEMA, write_order
+from .state import ITEM_COLUMNS, LOG_SCHEMA, compact_state, epoch_seconds, latest_state, live_state, write_order
 
 
 def state_paths(root: str) -> dict[str, str]:
@@ -121,47 +122,75 @@ def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
                       available_now, processing_time)
 
 
+STATE_BUCKETS = 16          # of a store's first compaction: hash buckets of the user
+#: A lookup of one user skips the files and row groups that surely don't hold them.
+_BLOOM = {"parquet.bloom.filter.enabled#user_id": "true", "parquet.bloom.filter.expected.ndv#user_id": "100000"}
+
+
+def _newer(spark: SparkSession, root: str, done: int | None) -> DataFrame:
+    """Log batches after the last compaction (pruned by ``batch_id``)."""
+    path = state_paths(root)["log"]
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LOG_SCHEMA)
+    log = spark.read.schema(LOG_SCHEMA).parquet(path)
+    return log if done is None else log.where(F.col("batch_id") > F.lit(int(done)))
+
+
 def read_log(spark: SparkSession, root: str) -> DataFrame:
     """The state log to read: the newest committed compaction (covering batches up to
-    its version) plus only the log batches after it (pruned by ``batch_id``)."""
-    from ..sinks.files import committed_versions
-    log = (spark.read.schema(LOG_SCHEMA).parquet(state_paths(root)["log"])
-           if path_exists(spark, state_paths(root)["log"]) else spark.createDataFrame([], LOG_SCHEMA))
-    versions = committed_versions(spark, state_paths(root)["compacted"])
-    if not versions:
-        return log
-    upto = versions[-1]
-    compacted = spark.read.schema(LOG_SCHEMA).parquet(f"{state_paths(root)['compacted']}/v={upto}")
-    return compacted.unionByName(log.where(F.col("batch_id") > F.lit(upto)), allowMissingColumns=True)
-
-
-def compact(spark: SparkSession, root: str, as_of, trim: bool = True) -> int:
-    """Fold the log batches written since the last compaction into a new compaction
-    version ``v=<last batch>`` holding only the live latest items; later reads skip the
-    log up to that batch. Returns the rows kept. With no new batch since the last
-    compaction nothing is rewritten (expired items are already hidden when read) and
-    the live rows of the current version are counted. ``trim`` removes the log batches that
-    an earlier compaction covers, and all but the two newest compactions."""
-    from ..sinks.files import committed_versions, drop_versions, write_snapshot
-    from .state import compact_state, ITEM_COLUMNS as ITEMS
+    its version) plus only the log batches after it."""
+    store = state_paths(root)["compacted"]
+    done = parts.newest(spark, store)
+    log = _newer(spark, root, done)
+    return log if done is None else parts.read_parts(spark, store, LOG_SCHEMA, done + 1).unionByName(log)
+
+
+def lookup(spark: SparkSession, root: str, user_id: str, timestamp: str | None = None, as_of=None) -> DataFrame:
+    """The latest items of one user (at one time, if given; live at ``as_of``, if given): reads the user's
+    bucket of the compacted state, with the filters pushed to its sorted files, and the newer batches."""
+    store = state_paths(root)["compacted"]
+    done = parts.newest(spark, store)
+    log = _newer(spark, root, done)
+    if done is not None:
+        n = parts.buckets_of(spark, store, STATE_BUCKETS)
+        own = spark.createDataFrame([(user_id,)], "user_id string").select(parts.bucket("user_id", n)).first()[0]
+        log = parts.read_parts(spark, store, LOG_SCHEMA, done + 1, only=[own]).unionByName(log)
+    log = log.where(F.col("user_id") == F.lit(user_id))
+    if timestamp is not None:
+        log = log.where(F.col("timestamp") == F.lit(timestamp))
+    found = latest_state(log)
+    return found if as_of is None else live_state(found, as_of)
+
+
+def compact(spark: SparkSession, root: str, as_of, trim: bool = True, buckets: int = STATE_BUCKETS) -> int:
+    """Fold the log batches written since the last compaction into the compacted state, which holds the
+    latest items in hash buckets of the user (``sinks.parts``), sorted by key. Only buckets that new
+    items fall into are rewritten, without what has expired; a bucket whose items have all expired
+    is dropped. Later reads skip the log up to that batch. Returns the items live at ``as_of``. With
+    no new batch nothing is rewritten. ``trim`` removes the log batches that an earlier compaction
+    covers, and files that neither of the two newest compactions uses."""
     paths = state_paths(root)
+    store = paths["compacted"]
     batches = [int(n.split("=")[1]) for n in list_dirs(spark, paths["log"]) if n.startswith("batch_id=")]
-    upto = max(batches, default=None)
-    if upto is None:
+    upto, done = max(batches, default=None), parts.newest(spark, store)
+    if upto is None and done is None:
         return 0
-    kept = compact_state(read_log(spark, root), as_of).select(
-        *ITEMS, F.lit(-1).cast("bigint").alias("batch_id"), F.lit(0).alias("seq_len"),
-        F.lit("").alias("seq"), F.lit(0).cast("bigint").alias("file_time"), F.lit("").alias("source_file"),
-        F.lit(0).cast("bigint").alias("line"), F.lit(0).alias("pos"))
-    versions = committed_versions(spark, paths["compacted"])
-    if versions and versions[-1] >= int(upto):
-        return kept.count()
-    rows = write_snapshot(kept, paths["compacted"], int(upto))
-    if trim:
-        done = versions[-1] if versions else -1
-        for b in batches:           # the version before this one has long replaced these batches
-            if b <= done:
-                fs, p = hadoop_fs(spark, f"{paths['log']}/batch_id={b}")
-                fs.delete(p, True)
-        drop_versions(spark, paths["compacted"], 2)
-    return rows
+    if upto is not None and (done is None or upto > done):
+        place = parts.bucket("user_id", parts.buckets_of(spark, store, buckets))
+        new = _newer(spark, root, done)
+        touched = [r[0] for r in new.select(place).distinct().collect()]           # a row per bucket at most
+        held = parts.read_parts(spark, store, LOG_SCHEMA, only=touched)
+        kept = compact_state(held.unionByName(new), as_of).select(
+            *ITEM_COLUMNS, F.lit(-1).cast("int").alias("seq_len"), F.lit("").alias("seq"), F.lit(0).cast("bigint").alias("file_time"),
+            F.lit("").alias("source_file"), F.lit(0).cast("bigint").alias("line"), F.lit(0).alias("pos"), F.lit(-1).cast("bigint").alias("batch_id"))
+        rest = [p for p in parts.manifest(spark, store) if p not in set(touched)]
+        ends = parts.read_parts(spark, store, LOG_SCHEMA, only=rest).groupBy(place.alias("part")).agg(F.max("ttl").alias("ttl"))
+        gone = [r["part"] for r in ends.where(F.coalesce("ttl", F.lit(0)) <= F.lit(epoch_seconds(as_of))).collect()]
+        parts.replace_parts(kept, place, touched + gone, store, int(upto), ["user_id", "timestamp"], _BLOOM)
+        if trim:
+            for b in batches:           # the version before this one has long replaced these batches
+                if done is not None and b <= done:
+                    fs, p = hadoop_fs(spark, f"{paths['log']}/batch_id={b}")
+                    fs.delete(p, True)
+            parts.drop_unused(spark, store, 2)
+    return live_state(parts.read_parts(spark, store, LOG_SCHEMA), as_of).count()

@@ -65,7 +65,7 @@ def test_compaction_versions_advance(spark, tmp_path):
         (d / "a.json").write_text(env(u, ts))
         main(["ingest", "--source", str(tmp_path / "in" / "*"), "--root", root, "--checkpoint", ck])
         main(["compact", "--root", root, "--as-of", "2024-01-16T00:00:00"])
-    assert committed_versions(spark, S.state_paths(root)["compacted"]) == [0, 1]
+    assert committed_versions(spark, S.state_paths(root)["compacted"] + "/manifest") == [0, 1]
     assert {r.user_id for r in ST.latest_state(S.read_log(spark, root)).collect()} == {"u1", "u2"}
 
 
