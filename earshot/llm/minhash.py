@@ -9,8 +9,8 @@ Links are found in three steps, each of which only looks at buckets (documents t
 whose documents are not yet connected:
 
 1. every member with its bucket's first node, a star;
-2. members not connected by that, with a node drawn per bucket;
-3. what is left, all against all that are not connected, exactly. Rows of a bucket that already
+2. members not in one group by that, with a node drawn per bucket;
+3. what is left of buckets that still hold several groups, all against all that are not connected, exactly. Rows of a bucket that already
    form its largest connected group are never compared with each other. Tiles of bounded size
    keep a task's rows bounded. Nodes whose signatures are near any not connected node are flagged,
    only these bring their sets, and a tile writes a spanning forest of its links, never all pairs.
@@ -32,7 +32,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from .common import map_arrow, small_batches, written
@@ -247,12 +247,23 @@ def _forest(percent: int) -> Callable:
     return run
 
 
-def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (with their root) of the buckets whose nodes ``links`` do not connect."""
-    roots = components(links).hint("merge")
-    placed = written(members.join(roots, "node", "left").select(*members.columns, F.coalesce("root", "node").alias("root")), "placed")
-    keys = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-    return written(placed.join(keys.hint("merge"), "key"), "mixed")
+def _groups_so_far(links: DataFrame) -> DataFrame:
+    """(node, root): each node's least neighbour's least neighbour. Nodes of one root are connected; not
+    all that are connected have one root, which costs comparisons but loses none."""
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = written(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("least")), "least")
+    up = least.select(F.col("node").alias("least"), F.col("least").alias("up")).hint("merge")
+    return least.join(up, "least", "left").select("node", F.coalesce("up", "least").alias("root"))
+
+
+def _mixed(members: DataFrame, links: DataFrame, *more: Column) -> DataFrame:
+    """Members, with their root, of the buckets that hold several roots; without each bucket's first
+    node, which was compared with all others."""
+    rest = members.where("node <> first").join(_groups_so_far(links).hint("merge"), "node", "left").select(
+        *members.columns, F.coalesce("root", "node").alias("root"))
+    placed = written(rest, "placed")
+    keys = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), *more).where("a <> b").drop("a", "b")
+    return placed.join(keys.hint("merge"), "key").drop("first")
 
 
 def _tiled(mixed: DataFrame) -> DataFrame:
@@ -287,16 +298,13 @@ def links_of(docs: DataFrame, nodes: DataFrame, text: str, key: str, shingle: in
 
     star = written(members.where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct(), "pairs")
     links = confirmed(star, known, sets, percent)
-    members = members.drop("first")
 
-    mixed = _mixed(members, links)
-    drawn = mixed.groupBy("key").agg(F.min_by(F.struct("node", "root"), F.xxhash64("key", "node")).alias("one"))
-    again = (mixed.join(drawn.hint("merge"), "key").where("root <> one.root")
-             .select(F.greatest("node", "one.node").alias("u"), F.least("node", "one.node").alias("v")).distinct()
-             .join(star.hint("merge"), ["u", "v"], "left_anti"))
-    links = links.unionByName(confirmed(written(again, "pairs"), known, sets, percent))
+    one = F.min_by(F.struct("node", "root"), F.xxhash64("key", "node")).alias("one")
+    drawn = (_mixed(members, links, one).where("root <> one.root")
+             .select(F.greatest("node", "one.node").alias("u"), F.least("node", "one.node").alias("v")).distinct())
+    links = links.unionByName(confirmed(written(drawn, "pairs"), known, sets, percent))
 
-    tiles = written(_tiled(_mixed(members, links)), "tiles")
+    tiles = written(_tiled(written(_mixed(members, links), "mixed")), "tiles")
     signed = tiles.join(known.select("node", "sig").hint("merge"), "node")
     fields = "key long, i int, j int, band int, own int, node long, root long, n long"
     flagged = written(_grouped(signed).mapInArrow(_flagged(percent), fields), "flagged")

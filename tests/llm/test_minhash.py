@@ -107,11 +107,17 @@ def test_signature_agrees_with_similarity():
     assert minhash.linked(base[:20], base[:17]) and not minhash.linked(base[:20], base[:16])
 
 
-def test_last_step_alone_finds_all_links(spark, monkeypatch):
-    """Without the stars of the first two steps, every link comes from the tiles."""
+def test_last_step_alone_finds_what_the_stars_leave(spark, monkeypatch):
+    """With no node drawn and no groups known after the first star, all other links come from the tiles."""
+    real, calls = minhash.confirmed, []
+
+    def only_first(pairs, *rest):
+        calls.append(1)
+        return real(pairs if len(calls) == 1 else pairs.where("false"), *rest)
     monkeypatch.setattr(minhash, "TILE", 16)
-    monkeypatch.setattr(minhash, "confirmed", lambda pairs, *_: pairs.where("false"))
+    monkeypatch.setattr(minhash, "confirmed", only_first)
+    monkeypatch.setattr(minhash, "_groups_so_far", lambda links: links.selectExpr("u as node", "u as root").where("false"))
     rng = random.Random(11)
     bases = [[f"{b}w{rng.randrange(400)}" for _ in range(n)] for b, n in enumerate((40, 120, 300))]
     rows = [(i, edited(rng, rng.choice(bases), rng.randint(0, 8))) for i in range(150)]
-    assert found(spark, rows) == wanted(rows)
+    assert found(spark, rows) == wanted(rows) and len(calls) == 2
