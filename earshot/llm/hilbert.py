@@ -1,9 +1,10 @@
 """Sharding along a Hilbert curve over several metadata columns.
 
-Each dimension is quantised at its quantiles (strings by their first bytes, which keeps their
-order), the cell's index on the Hilbert curve is computed with column expressions, rows are
-ranked by it, and the ranking is cut into runs of equal row counts. A shard then covers a
-compact region, so filters on any of the columns prune files.
+Each dimension is quantised at its quantiles (numbers and times by their values; strings, compared
+whole, by the row counts of their distinct values), the cell's index on the Hilbert curve is computed
+with column expressions, rows are ranked by it, and the ranking is cut into runs of equal row
+counts. A shard then covers a compact region, so filters on any of the columns prune files:
+``write_shards`` writes each as sorted files.
 
 Law ``rows``: shards differ by at most one row. Skew: ties on the curve are broken by the key
 and the content, so a cell with a third of all rows is cut like any other run.
@@ -14,32 +15,70 @@ take neighbouring slots. Extra columns are ignored; an empty table gives no rows
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-from .common import ranked
+from .common import free_name, ranked, written
 
 BITS = 5
 SHARDS = 24
 
 
-def ordinal(df: DataFrame, name: str) -> Column:
-    """A long that grows with the column: numbers as they are, others by their first 7 bytes; null -1."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.coalesce(F.col(name).cast("long"), F.lit(-1))
-    head = F.rpad(F.hex(F.substring(F.col(name).cast("string").cast("binary"), 1, 7)), 14, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1))
+def measure(df: DataFrame, name: str) -> Column | None:
+    """A number that grows with the column's values; None for kinds that are compared as text."""
+    kind, value = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return value.cast("long")
+    if isinstance(kind, T.NumericType):
+        return value.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(value.cast("timestamp"))
+    return None
+
+
+def number_cuts(df: DataFrame, dims: list[str], bits: int) -> dict[str, list]:
+    """2 ** bits - 1 quantiles of each of the columns, in one pass."""
+    if not dims:
+        return {}
+    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    row = df.agg(*(F.percentile_approx(d, F.array(*map(F.lit, shares)), 10_000).alias(d) for d in dims)).first()
+    return {d: row[d] or [] for d in dims}
+
+
+def text_cuts(df: DataFrame, name: str, bits: int) -> list[str]:
+    """At most 2 ** bits - 1 of the column's values (one may stand more than once), at which the rows' order
+    by it is cut into about equal parts. Distinct values are counted (combined map side), range-partitioned and counted up within
+    their partitions; partitions meet as one row each."""
+    counted = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    placed = written(counted.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "values")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("part").agg(F.sum("n").alias("rows")).select(             # a row per partition
+        "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"), F.sum("rows").over(Window.partitionBy()).alias("total"))
+    inside = F.sum("n").over(Window.partitionBy("part").orderBy("v")) - F.col("n")
+    cell = F.floor((F.col("start") + F.col("inside")) * (1 << bits) / F.col("total"))
+    rows = (placed.withColumn("inside", inside).join(F.broadcast(starts), "part").select("v", cell.alias("cell"))
+            .where("cell > 0").groupBy("cell").agg(F.min("v").alias("v")))
+    cuts, cell = [], 0
+    for r in sorted(rows.collect(), key=lambda r: r["cell"]):                          # < 2 ** bits rows
+        cuts += [r["v"]] * (r["cell"] - cell)                                           # a cut for each cell that ends there
+        cell = r["cell"]
+    return cuts
 
 
 def cells(df: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
-    """``df`` (columns ``dims`` hold longs) with coordinates 0 .. 2 ** bits - 1 in their place: the
-    number of quantile cuts at or below the value. The cuts are 2 ** bits - 1 numbers a dimension."""
-    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = df.agg(*(F.percentile_approx(d, F.array(*map(F.lit, shares)), 10_000).alias(d) for d in dims)).first()
+    """``df`` with coordinates 0 .. 2 ** bits - 1 in place of ``dims`` (numbers or strings): the number of
+    cuts at or below the value; null 0."""
+    texts = [d for d in dims if isinstance(df.schema[d].dataType, T.StringType)]
+    cuts = number_cuts(df, [d for d in dims if d not in texts], bits) | {d: text_cuts(df, d, bits) for d in texts}
 
     def below(d: str) -> Column:
-        return F.size(F.filter(F.array(*map(F.lit, cuts[d] or [0])), lambda c: c <= F.col(d))).cast("long")
+        if not cuts[d]:
+            return F.lit(0).cast("long")
+        return F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts[d])), lambda c: c <= F.col(d))), F.lit(0)).cast("long")
     return df.withColumns({d: below(d) for d in dims})
 
 
@@ -71,23 +110,42 @@ def curve_index(df: DataFrame, dims: list[str], name: str, bits: int = BITS) ->
     return df.withColumn(name, index).drop(*x, "_t")
 
 
-def shards(docs: DataFrame, dims: list[str], text: str = "text", key: str = "doc_id", n: int = SHARDS) -> DataFrame:
-    """Per row: key, size, text_crc32, law, shard, slot, grown_shard, and its index on the curve."""
+def _placed(docs: DataFrame, dims: list[str], text: str, key: str, n: int, keep: list[str]) -> DataFrame:
+    """Per row: _key, _size, _crc, curve, _shard, _slot, and the columns ``keep`` (as _c0, _c1, ...)."""
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
     crc = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
     own = [f"_d{i}" for i in range(len(dims))]
     # the row's size stands for its text among the dimensions
-    values = {o: size if d == text else ordinal(docs, d) for o, d in zip(own, dims, strict=True)}
-    rows = docs.select(F.col(key).alias("_key"), size.alias("_size"), crc.alias("_crc"),
-                       *(v.alias(o) for o, v in values.items()))
+    values = {o: size if d == text else measure(docs, d) for o, d in zip(own, dims, strict=True)}
+    values = {o: F.col(f"`{d}`").cast("string") if v is None else v for (o, v), d in zip(values.items(), dims, strict=True)}
+    kept = [f"_c{i}" for i in range(len(keep))]
+    rows = docs.select(F.col(key).alias("_key"), size.alias("_size"), crc.alias("_crc"), *(v.alias(o) for o, v in values.items()),
+                       *(F.col(f"`{c}`").alias(o) for o, c in zip(kept, keep, strict=True)))
     placed = curve_index(cells(rows, own), own, "curve")
     order = [F.col(c) for c in ("curve", "_key", "_crc", "_size")]
-    placed = ranked(placed.select("_key", "_size", "_crc", "curve"), order, "_rank")
+    placed = ranked(placed.select("_key", "_size", "_crc", "curve", *kept), order, "_rank")
     total = placed.agg(F.count(F.lit(1)).alias("_total"))                      # one row
     at = placed.join(F.broadcast(total), F.lit(True))
-    shard = F.expr(f"(_rank * {n}) div _total")
-    first = F.expr(f"(shard * _total + {n - 1}) div {n}")                      # least rank of the shard
-    return at.withColumn("shard", shard).select(
+    first = F.expr(f"(_shard * _total + {n - 1}) div {n}")                     # least rank of the shard
+    return at.withColumn("_shard", F.expr(f"(_rank * {n}) div _total")).withColumn("_slot", F.col("_rank") - first)
+
+
+def shards(docs: DataFrame, dims: list[str], text: str = "text", key: str = "doc_id", n: int = SHARDS) -> DataFrame:
+    """Per row: key, size, text_crc32, law, shard, slot, grown_shard, and its index on the curve."""
+    return _placed(docs, dims, text, key, n, []).select(
         F.col("_key").alias(key), F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"),
-        F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
-        (F.col("_rank") - first).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve")
+        F.lit("rows").alias("law"), F.col("_shard").cast("int").alias("shard"),
+        F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+def write_shards(docs: DataFrame, dims: list[str], path: str, text: str = "text", key: str = "doc_id", n: int = SHARDS,
+                 file_rows: int = 1_000_000) -> None:
+    """Write ``docs`` in folders shard=<k>: files of at most ``file_rows`` rows along the curve, whose
+    column statistics cover few values of each dimension, so a filter on any of them skips most."""
+    rows = _placed(docs, dims, text, key, n, docs.columns)
+    out = free_name(docs, "shard")
+    placed = rows.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)), F.col("_shard").cast("int").alias(out),
+                         F.floor(F.col("_slot") / file_rows).alias("_file"), F.col("_slot").alias("_at"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (placed.repartitionByRange(parts, out, "_file").sortWithinPartitions(out, "_at").drop("_file", "_at")
+     .write.option("maxRecordsPerFile", file_rows).partitionBy(out).parquet(path))

@@ -6,9 +6,11 @@ with their back-off weights. Languages are joined in blocks: one sorted hash arr
 for the block, with a row of log probabilities by language, so that a position is looked up
 once for all of them. The language of lowest cross-entropy per character wins.
 
-Fitting is classifier training on a bounded sample: ``TRAIN_DOCS`` documents per language to
-count, ``CALIBRATE_DOCS`` others to calibrate, both chosen by a hash of their key from all
-eligible rows. Calibration gives the temperature of the score (a softmax over languages) and
+Fitting is classifier training on a bounded sample: of each language's different eligible texts
+the ``TRAIN_DOCS`` + ``CALIBRATE_DOCS`` of smallest hash (of the text, so ids, shared or missing ones
+too, and copies have no say), ``SAMPLE_BYTES`` at most, texts over ``LONG_BYTES`` only after all
+others. Every third of them calibrates, the rest counts; a language with any eligible row has a text
+to count. Calibration gives the temperature of the score (a softmax over languages) and
 the cross-entropy beyond which a text is rejected.
 
 Null text, or one without a letter: language ``und``, score 0, rejected. Null languages teach
@@ -23,13 +25,14 @@ import unicodedata
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from .common import free_name, map_arrow, small_batches, written
 
 ORDER = 5
 TRAIN_DOCS, CALIBRATE_DOCS = 500, 250
+SAMPLE_BYTES, LONG_BYTES = 32 << 20, 4 << 20
 #: Characters a model may give a probability to that it has never seen.
 ALPHABET = 4096
 #: A text is rejected if its best model takes it for foreign: beyond this share of the way from
@@ -262,19 +265,35 @@ def fold(key: str = "doc_id") -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % 4
 
 
+def drawn(able: DataFrame, train_docs: int, calibrate_docs: int) -> DataFrame:
+    """(lang, text, fit): the sample of each language's texts. Copies meet in an aggregate that combines
+    map side; about one and a half times the sample remains by its hash, and only this is ranked."""
+    size = train_docs + calibrate_docs
+    hashed = able.select("lang", "text", F.xxhash64("text").alias("h"))
+    share = (F.col("h").bitwiseAND((1 << 53) - 1) / float(1 << 53)).alias("draw")
+    hashed = hashed.select("*", share, (F.octet_length("text") > LONG_BYTES).alias("long"))
+    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct(F.when(~F.col("long"), F.col("h"))).alias("n"),
+                                       F.approx_count_distinct("h").alias("all"))
+    cut = F.when(F.col("long"), F.when(F.col("n") < 2 * size, 1.5 * size / F.greatest("all", F.lit(1))).otherwise(0.0)).otherwise(
+        1.5 * size / F.greatest("n", F.lit(1)))
+    near = (hashed.join(F.broadcast(sizes), "lang").where(F.col("draw") < cut)
+            .groupBy("lang", "long", "h", "draw").agg(F.first("text").alias("text")))
+    order = Window.partitionBy("lang").orderBy("long", "draw", "h")          # of a bounded number of texts
+    ranked = near.select("lang", "text", (F.row_number().over(order) - 1).alias("rank"),
+                         F.sum(F.octet_length("text").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("bytes"))
+    chosen = ranked.where((F.col("rank") < size) & ((F.col("bytes") <= SAMPLE_BYTES) | (F.col("rank") == 0)))
+    third = max(round(size / max(calibrate_docs, 1)), 2)
+    return chosen.select("lang", "text", (F.col("rank") % third != third - 1).alias("fit"))
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
         train_docs: int = TRAIN_DOCS, calibrate_docs: int = CALIBRATE_DOCS) -> Models:
     """Models from the rows of ``docs`` outside the held-out fold that have a text and a language."""
     spark = docs.sparkSession
     small_batches(spark)
     able = docs.where((F.coalesce(fold(key), F.lit(0)) != 2) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = able.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    draw = (F.xxhash64(F.lit("sample"), F.col(key)).bitwiseAND((1 << 53) - 1) / float(1 << 53))
-    share = F.least(F.lit(1.0), F.lit(float(train_docs + calibrate_docs)) / F.col("n"))
-    sample = (able.select(F.col(lang).alias("lang"), F.col(text).alias("text"), draw.alias("draw"))
-              .join(F.broadcast(sizes), "lang").where(F.col("draw") < share)
-              .withColumn("fit", F.col("draw") < share * train_docs / (train_docs + calibrate_docs)))
-    sample = written(sample.select("lang", "text", "fit"), "langid_sample")
+    sample = written(drawn(able.select(F.col(lang).alias("lang"), F.col(text).alias("text")), train_docs, calibrate_docs),
+                     "langid_sample")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         model = train(pdf["text"])

@@ -93,3 +93,32 @@ def test_a_language_that_is_not_learned_is_rejected():
         own = np.array([k != out for k, _ in held])
         assert rejected[own].mean() <= 0.02, out
         assert rejected[~own].mean() >= 0.9, out
+
+
+def test_sample_holds_where_rows_share_an_id(spark):
+    """A third of all rows under one id, no ids at all, a language of copies, a rare one: each language is
+    learned, from no more texts than stated, all of them eligible."""
+    say = {"a": "the cat sat on number {} of the mats", "b": "die katze sass auf matte {} von allen", "c": "le chat sur le tapis {} la"}
+    rows = [(5, say["a"].format(i), "a") for i in range(1500)] + [(None, say["b"].format(i % 7), "b") for i in range(1500)]
+    rows += [(i, say["c"].format(i), "c") for i in range(1499)] + [(7, "ein einziger satz", "d"), (8, "", "e"), (9, None, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    able = docs.where("text is not null").select("lang", "text")
+    sample = L.drawn(able, 500, 250).toPandas()
+    assert len(sample) == len(sample.drop_duplicates())
+    n = sample.groupby("lang").fit.agg(["sum", "size"])
+    assert n.loc["a", "size"] == n.loc["c", "size"] == 750 and n.loc["a", "sum"] == 500 and n.loc["b", "size"] == 7
+    assert list(n.loc["d"]) == [1, 1] and "f" not in n.index
+    rows, names = L.identified(docs, L.fit(docs))
+    found = Counter((r["lang"], r[names["lang_pred"]]) for r in rows.where("text <> ''").collect())
+    assert {k: v for k, v in found.items() if k[0] in "abc"} == {("a", "a"): 1500, ("b", "b"): 1500, ("c", "c"): 1499}
+    kept = L.accepted(docs).groupBy("lang").count().toPandas().set_index("lang")["count"]
+    assert kept["a"] > 1450 and kept["b"] > 1450 and kept["c"] > 1450
+
+
+def test_sample_is_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(L, "SAMPLE_BYTES", 5000)
+    monkeypatch.setattr(L, "LONG_BYTES", 1000)
+    rows = [("a", f"{i} " + "x" * 100) for i in range(300)] + [("a", f"{i} " + "y" * 2000) for i in range(50)] + [("b", "z" * 9000)]
+    sample = L.drawn(spark.createDataFrame(rows, "lang string, text string"), 500, 250).toPandas()
+    sizes = sample.text.str.len().groupby(sample.lang).sum()
+    assert 4000 < sizes["a"] <= 5000 and sizes["b"] == 9000 and sample[sample.lang == "a"].text.str.len().max() < 1000

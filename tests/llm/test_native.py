@@ -180,6 +180,48 @@ def test_shards_are_even_runs(spark):
     assert langs < docs.select("lang").distinct().count()      # a shard holds few of a dimension's values
 
 
+def test_a_common_prefix_is_no_matter(spark):
+    """Names that begin alike are kept apart as well as names that differ at the front."""
+    import random as r
+    rng = r.Random(12)
+    rows = [(i, rng.randrange(20), rng.choice("abcd"), "x" * rng.randint(0, 400)) for i in range(3000)]
+    per = []
+    for form in ("https://www.site{:02d}.org", "{:02d}.site"):
+        docs = spark.createDataFrame([(i, form.format(s), lang, t) for i, s, lang, t in rows], "doc_id long, source string, lang string, text string")
+        found = hilbert.shards(docs, ["source", "lang", "text"]).toPandas().merge(docs.toPandas(), on="doc_id")
+        per.append(found.groupby("shard").source.nunique().mean())
+    assert per[0] == per[1] < 9
+
+
+def test_kinds_of_dimensions(spark):
+    rows = spark.range(400).selectExpr("id as doc_id", "cast(id * 1.5 - 300 as double) as d", "date_add(date'2024-01-01', int(id)) as day",
+                                       "cast(id - 200 as decimal(12,3)) as m", "timestamp_micros(id * 1000000007) as t", "'x' as text",
+                                       "if(id % 3 = 0, null, cast(id as string)) as s", "id % 2 = 0 as b")
+    for d in ("d", "day", "m", "t"):
+        found = hilbert.shards(rows, [d], n=8).toPandas().sort_values("doc_id")
+        assert list(found.shard) == [i * 8 // 400 for i in range(400)], d
+    assert hilbert.shards(rows, ["s", "b", "d"], n=8).count() == 400
+    assert hilbert.text_cuts(rows.selectExpr("cast(null as string) as v"), "v", 3) == []
+
+
+def test_files_are_pruned_by_each_dimension(spark, tmp_path):
+    import pyarrow.parquet as pq
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("shard", F.lit("clash"))
+    hilbert.write_shards(docs, ["source", "lang", "text"], str(tmp_path / "s"), n=24)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted(map(str, back.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "s").rglob("*.parquet")]
+    assert len(files) == 24
+
+    def read(column, value):
+        at = files[0].schema.names.index(column)
+        groups = [(m.row_group(g).column(at).statistics, m) for m in files for g in range(m.num_row_groups)]
+        return sum(st.min <= value <= st.max for st, _ in groups) / len(groups)
+    shares = {c: sum(read(c, v[c]) for v in docs.select(c).distinct().collect()) / docs.select(c).distinct().count() for c in ("source", "lang")}
+    assert shares["source"] < 0.5 and shares["lang"] < 0.75, shares
+    assert read("n_chars", 30_000) < 0.35
+
+
 def test_nearest_directory(spark):
     mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
     files = [("LICENSE", mit), ("a/x.txt", "plain prose"), ("a/b/LICENSE.md", apache), ("a/b/c/y.txt", None), ("a/b/z.txt", mit + "\nmore"),
