@@ -5,19 +5,19 @@ from __future__ import annotations
 import json
 import re
 import sys
+from array import array
 from collections.abc import Callable
 from types import ModuleType
 
 import numpy as np
 
 END_ID = 1
-MEMORY = 300_000        # words that a worker remembers (twice)
+MEMORY = 300_000        # words, and pieces of them, that a worker remembers (each twice)
 WORD = 64               # longest one
 
 #: Words whose normal form and pieces are plain: printable ASCII and Latin letters with marks.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*").fullmatch
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
-_SPACES = re.compile("[ \n]+").split
 #: Such vocabularies write the bytes of a character as these characters.
 _AS_BYTES = {c: "".join(chr(b) if b >= 161 and b != 173 else chr(256 + (b - 127 + 33 if b < 161 else 67))
                         for b in chr(c).encode()) for c in range(0xC0, 0x100)}
@@ -44,22 +44,21 @@ def kept(name: str, make: Callable):
     return memory[name]
 
 
-class _Words(dict):
-    """Packed ids (little-endian uint32) of a word between spaces. Words not met since the memory was
-    last full are forgotten."""
+class _Memory(dict):
+    """``make(word)`` by word, remembered. Words not met since the memory was last full are forgotten."""
 
-    def __init__(self, encoder: Encoder) -> None:
+    def __init__(self, make: Callable[[str], bytes]) -> None:
         super().__init__()
-        self.encoder, self.before = encoder, {}
+        self.make, self.before = make, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.before[word] if word in self.before else self.encoder.word(word)
+        found = self.before[word] if word in self.before else self.make(word)
         if len(word) <= WORD:
             if len(self) >= MEMORY:
                 self.before = dict(self)
                 self.clear()
-            self[word] = ids
-        return ids
+            self[word] = found
+        return found
 
 
 class Encoder:
@@ -76,7 +75,7 @@ class Encoder:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.by_word = _drops_spaces(json.loads(self.tokenizer.to_str()))
         self.merge = self.tokenizer.model.tokenize
-        self.words = _Words(self)
+        self.pieces, self.words = _Memory(self.piece), _Memory(self.word)
 
     @classmethod
     def shared(cls, name: str) -> Encoder:
@@ -84,26 +83,35 @@ class Encoder:
         path = vocabulary(name)
         return kept(f"encoder {path}", lambda: cls(path))
 
+    def piece(self, piece: str) -> bytes:
+        """Packed ids (little-endian uint32) of a plain lower-case piece, by the vocabulary's merges."""
+        return _packed([t.id for t in self.merge(piece if piece.isascii() else piece.translate(_AS_BYTES))])
+
     def word(self, word: str) -> bytes:
+        """Packed ids of a word between spaces."""
         if _PLAIN(word) and "<|" not in word:
-            pieces = _PIECES(word.lower())
-            ids = [t.id for p in pieces for t in self.merge(p if p.isascii() else p.translate(_AS_BYTES))]
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+            return b"".join(map(self.pieces.__getitem__, _PIECES(word.lower())))
+        return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def packed(self, text: str | None) -> bytes:
         """The ids of a whole text (null: like an empty one) as little-endian uint32."""
         text = text or ""
         if self.by_word:
-            return b"".join(map(self.words.__getitem__, _SPACES(text))) + _END
-        return np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, END_ID], "<u4").tobytes()
+            return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" "))) + _END
+        return _packed([*self.tokenizer.encode(text, add_special_tokens=False).ids, END_ID])
 
     def ids(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.packed(text), "<u4")
 
 
-_END = np.array([END_ID], "<u4").tobytes()
+def _packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+_END = _packed([END_ID])
 
 
 def _drops_spaces(how: dict) -> bool:
