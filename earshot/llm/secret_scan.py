@@ -47,6 +47,17 @@ BASE = ("assign", "access", "hex")
 KINDS = [r[0] for r in RULES]
 
 
+_LAST_LINE = re.compile(rb"(?s).*[A-Za-z0-9+/=]{16}")
+
+
+def _key_end(data: bytes, start: int, end: int) -> int:
+    """End of a private key's match: the shorter run behind its last base64 line counts only where it ends
+    its line, otherwise it is the prose that goes on behind the key."""
+    whole = data[end - 5:end] == b"-----" or data[end:end + 1] in (b"", b"\n", b"\r", b"\\", b'"', b"'")
+    last = None if whole else _LAST_LINE.match(data, start, end)
+    return end if last is None else last.end()
+
+
 def find_spans(scanner: RuleScanner, text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points."""
     data = text.encode("utf-8", "surrogatepass")
@@ -55,7 +66,7 @@ def find_spans(scanner: RuleScanner, text: str) -> list[tuple[str, int, int]]:
         name, rule, least = RULES[r]
         size = len(re.fullmatch(rule.encode(), data[s:e])[2]) if name == "assign" else e - s
         if size >= least:
-            found.append((name, s, e))
+            found.append((name, s, _key_end(data, s, e) if name == "private_key" else e))
     if found and len(data) != len(text):
         points = {0: 0}
         at = 0

@@ -9,7 +9,11 @@ def brute(text):
     for kind, rule, least in secret_scan.RULES:
         for m in re.finditer(rule, text):
             if (len(m[2]) if kind == "assign" else len(m[0])) >= least:
-                out.append((kind, m.start(), m.end()))
+                end = m.end()
+                runs = [r.end() for r in re.finditer("[A-Za-z0-9+/=]{16,}", m[0])]
+                if kind == "private_key" and runs and not m[0].endswith("-----") and text[end:end + 1] not in ("", "\n", "\r", "\\", '"', "'"):
+                    end = m.start() + runs[-1]          # what follows on the line is prose
+                out.append((kind, m.start(), end))
     return sorted(out)
 
 
@@ -61,3 +65,20 @@ def test_private_keys_are_found_whole(spark):
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
     found = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
     assert [found[i] for i in range(len(texts))] == [w for _, w in texts]
+
+
+def test_prose_behind_an_unterminated_key_stays():
+    rng = random.Random(6)
+    line = lambda n=64: "".join(rng.choices("ABCDEFXYZabcdefxyz0123456789+/", k=n))
+    scanner = automaton.RuleScanner(automaton.RuleScanner.tables([r[:2] for r in secret_scan.RULES]))
+    begin = "-----BEGIN RSA PRIVATE KEY-----"
+    for key, after in [("\n".join([begin, line(), line()]), "\nPlease rotate it."), ("\n".join([begin, line(), line(20)]), " Please rotate it."),
+                       ("\n".join([begin, line(), line(9) + "="]), "\nPlease, do"), ("\n".join([begin, line(), line(9) + "="]), ""),
+                       ("\n".join([begin, *heads_and(line)]), "\n\nPlease rotate"), (begin, " Please")]:
+        text = "é " + key + after
+        spans = [s for s in secret_scan.find_spans(scanner, text) if s[0] == "private_key"]
+        assert spans == [("private_key", 2, 2 + len(key))], text
+
+
+def heads_and(line):
+    return ["Proc-Type: 4,ENCRYPTED", "", line(), line(30)]
