@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import shared_dir
+from ..session import hadoop_fs, shared_dir
 
 #: Rows and bytes of one Arrow batch to a Python worker: bounds a worker's memory, also for long texts.
 BATCH_ROWS = "1000"
@@ -26,15 +27,44 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+_made: list[str] = []           # scratch folders of this driver, in the order they were made
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the cluster's shared folder and read again: its
-    lineage ends there, and a lost executor costs no recomputation of what came before."""
+    lineage ends there, and a lost executor costs no recomputation of what came before. The
+    folder is the caller's: ``scratch`` removes it when what it served has been written itself."""
     spark = df.sparkSession
     path = shared_dir(spark, "llm", name, unique=True)
+    _made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession, keep: list[str] | None = None) -> Iterator[list[str]]:
+    """Remove, at the end, the folders that ``written`` has made inside, but those added to the list
+    that this gives. What reads them must have been written or collected inside."""
+    first, kept = len(_made), [] if keep is None else keep
+    try:
+        yield kept
+    finally:
+        for path in _made[first:]:
+            if path not in kept:
+                remove(spark, path)
+        _made[first:] = [path for path in _made[first:] if path in kept]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_fs(spark, path)
+    fs.delete(p, True)
+
+
+def last_written() -> str:
+    """The folder that ``written`` made last."""
+    return _made[-1]
+
+
 def map_arrow(df: DataFrame, columns: list[str], fields: list[T.StructField], make: Callable,
               keep: list[str] | None = None) -> DataFrame:
     """Append ``fields`` to the columns ``keep`` (default: all) of ``df``, batch by batch.
