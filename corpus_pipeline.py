@@ -1,6 +1,7 @@
 """Training-corpus pipeline over ``documents``: each stage filters, edits or packs what the one
 before it kept. Stages are (name, function(spark, docs, sf_dir)); ``run`` applies them all,
-writing every stage's result as Parquet in the shared folder and reading it again.
+writing every stage's result as Parquet in the shared folder and reading it again. Only the last
+result stays there.
 
 Nulls, empty texts, repeated rows, empty tables and extra columns have the results that the
 called operators define.
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from earshot.llm import decontam, langid, packing, secret_scan, simhash
-from earshot.llm.common import table, written
+from earshot.llm.common import last_written, remove, scratch, table, written
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scratch(spark) as keep:                # what a stage wrote on its way goes
+            docs = written(stage(spark, docs, sf_dir), name)
+            keep.append(last_written())
+        if before:                                  # and the result that it read
+            remove(spark, before)
+        before = keep[-1]
     return docs
