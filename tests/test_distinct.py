@@ -74,7 +74,7 @@ def shuffled(spark, df):
 
 
 def test_daily_mart_shuffles_each_event_once(spark):
-    fact = suite._fact(spark, SF_MID).cache()
+    fact = suite._fact(spark, SF_MID).repartition(8).cache()
     try:
         n = fact.count()
         new = marts.daily_totals(fact)
