@@ -99,7 +99,7 @@ def test_sample_holds_where_rows_share_an_id(spark):
     """A third of all rows under one id, no ids at all, a language of copies, a rare one: each language is
     learned, from no more texts than stated, all of them eligible."""
     say = {"a": "the cat sat on number {} of the mats", "b": "die katze sass auf matte {} von allen", "c": "le chat sur le tapis {} la"}
-    rows = [(5, say["a"].format(i), "a") for i in range(1500)] + [(None, say["b"].format(i % 7), "b") for i in range(1500)]
+    rows = [(6, say["a"].format(i), "a") for i in range(1500)] + [(None, say["b"].format(i % 7), "b") for i in range(1500)]
     rows += [(i, say["c"].format(i), "c") for i in range(1499)] + [(7, "ein einziger satz", "d"), (8, "", "e"), (9, None, "f")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
     able = docs.where("text is not null").select("lang", "text")
