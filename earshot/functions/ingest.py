@@ -28,6 +28,8 @@ B64_LENIENT = r"^=*+(?:C=*+C=?CC=*+)*+(?:\z|C=*+C(?:==|=?C=))".replace("C", "[A-
 ISO_SHAPE = (r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{8})"
              r"(?:[T ][0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?|[0-9]{2}(?:[0-9]{2}(?:[.,][0-9]+)?)?)?"
              r"(?:Z|[+-][0-9]{2}(?::?[0-9]{2})?)?)?\z")
+# What a cast reads as it is: extended form, to the second at least, with a zone.
+ISO_FULL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?(?:Z|[+-][0-9]{2}:[0-9]{2})\z"
 # End marker appended after the payload: text after a complete JSON value is refused.
 SENTINEL = "earshot:end-of-payload:4d9b2f7e1a6c"
 BOM = "\ufeff"
@@ -130,7 +132,8 @@ def iso_normalised(s: Column) -> Column:
 
 def parse_event_time(s: Column) -> Column:
     """Instant of an ISO-8601 string (offset honoured, none = UTC); NULL if invalid."""
-    return F.when(s.rlike(ISO_SHAPE), iso_normalised(s).try_cast("timestamp"))
+    return F.when(s.rlike(ISO_FULL), s.try_cast("timestamp")) \
+        .when(s.rlike(ISO_SHAPE), iso_normalised(s).try_cast("timestamp"))
 
 
 def ttl_epoch(event_time: Column, hours: int = TTL_HOURS) -> Column:

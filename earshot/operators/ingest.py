@@ -19,6 +19,15 @@ PARSED_COLUMNS = ["decoded", "parsed", "missing_field", "user_id", "timestamp",
 
 
 TASK_BYTES = 64 << 20
+#: Of a table's compressed files, where a row costs some hundred times its reading: rendered or parsed records.
+COSTLY_BYTES = 1 << 20
+
+
+def spread(rows: DataFrame, tasks: int) -> DataFrame:
+    """``rows`` dealt out evenly over ``tasks`` tasks, or over more where they would read over
+    ``COSTLY_BYTES`` each, so that no task grows with the table. How many partitions ``rows`` has doesn't
+    count: splits of a Parquet file hold whole row groups or nothing, and a join leaves one partition per key at most."""
+    return rows.repartition(max(tasks, -(-input_bytes(rows) // COSTLY_BYTES)))
 
 
 def dealt(records: DataFrame, tasks: int) -> DataFrame:
@@ -43,7 +52,7 @@ def parse_records(records: DataFrame, data: str = "data",
     ``partitions``: an input of fewer splits is dealt out over so many tasks first (parsing is CPU
     work per record, and a small batch may arrive as one split), or over more where they would
     read over ``TASK_BYTES`` each. An input of more splits, or without the parameter, stays where
-    it is: a large batch isn't shuffled.
+    it is: a large batch isn't shuffled. Tables whose splits may be uneven go through ``spread`` first.
 
     ``payload`` names a binary column of raw bytes instead (sources such as Kafka
     deliver the JSON bytes themselves); the base64 step is then skipped.

@@ -297,8 +297,9 @@ def check_action_domain(spark, sf_dir):
 
 
 def _parsed(spark, sf_dir):
-    return ingest.parse_records(test_records(_events(spark, sf_dir)),
-                                partitions=spark.sparkContext.defaultParallelism)
+    """The events are dealt out before they are rendered: writing and parsing a record is the work."""
+    ev = ingest.spread(_events(spark, sf_dir), spark.sparkContext.defaultParallelism)
+    return ingest.parse_records(test_records(ev))
 
 
 def decode_payload(spark, sf_dir):

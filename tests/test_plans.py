@@ -102,3 +102,38 @@ def test_large_inputs_are_not_dealt_out_again(spark, tmp_path):
     one, many = spark.range(1000).coalesce(1), spark.range(1000).repartition(6)
     assert ingest.dealt(one, 4).rdd.getNumPartitions() == 4
     assert ingest.dealt(many, 4) is many
+
+
+def test_parsed_records_are_dealt_out_by_size(spark, tmp_path, monkeypatch):
+    """One row group in more splits than there are cores: no task renders and parses them all."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+    from earshot.operators import ingest
+    n = 4000
+    pd.DataFrame({"event_id": range(n), "ts": pd.Timestamp("2024-01-01").as_unit("us"), "user_id": 1, "event_type": "click",
+                  "value": 1.5, "props": '{"k": 7}'}).to_parquet(tmp_path / "events.parquet")
+    pd.DataFrame({"p_partkey": [7], "p_name": ["n"], "p_brand": ["b"]}).to_parquet(tmp_path / "part.parquet")
+    size = (tmp_path / "events.parquet").stat().st_size
+    monkeypatch.setattr(ingest, "COSTLY_BYTES", size // 10, raising=False)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 6))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        rows = suite.validate_required(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sum(r["count"] for r in rows) > 0.8 * n
+    assert len(rows) >= 10 and max(r["count"] for r in rows) < 0.2 * n
+
+
+def test_whole_event_times_need_no_normal_form(spark):
+    from pyspark.sql import functions as F
+    from earshot.functions import ingest as X
+    texts = ["2024-01-01T00:00:11.172425Z", "2024-01-01 00:00:11Z", "2024-01-01T02:00:11+02:00", "2024-13-01T00:00:11Z",
+             "2024-01-01T24:00:00Z", "2024-01-01T00:00:60Z", "2024-01-01T00:00:11.1234567891Z", "2024-01-01T00:00:11+19:00",
+             "2024-01-01T00:00:11.Z", "2024-01-01T00:00:11", "20240101T000011Z", "2024-01-01T00:00:11Z\n"]
+    both = spark.createDataFrame([(t,) for t in texts], "s string").select(
+        F.unix_micros(X.parse_event_time(F.col("s"))).alias("a"),
+        F.unix_micros(F.when(F.col("s").rlike(X.ISO_SHAPE), X.iso_normalised(F.col("s")).try_cast("timestamp"))).alias("b")).collect()
+    assert [r.a for r in both] == [r.b for r in both] and sum(r.a is not None for r in both) >= 5
