@@ -45,7 +45,7 @@ BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK_ROWS, CHUNK_BYTES = 512, 1 << 20
 _A_BITS = 32                                       # a pair of ids is a * 2^32 + b
 
-WORD, MEMORY = 64, 400_000                         # longest remembered part of a text, and how many (twice)
+WORD, MEMORY = 64, 200_000                         # longest remembered part of a text, and how many (twice)
 #: A single space between two characters that are surely no white space.
 _BETWEEN = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
 #: Words of printable ASCII and Latin letters, which every version of Unicode cuts alike, and the
@@ -145,14 +145,15 @@ def grouped(a: list[int], b: list[int], tokens_a: list[bytes], tokens_b: list[by
 
 
 def groups_text(groups: Groups) -> str:
-    """``a1,a2|b1;a3|b2,b3``"""
-    return ";".join([f"{a[0]}|{b[0]}" if len(a) == len(b) == 1 else f"{','.join(map(str, a))}|{','.join(map(str, b))}"
+    """``a1,a2|b1;a3|b2.b3``: a point between the B ids, so that separators tell how many ids of either there are."""
+    return ";".join([f"{a[0]}|{b[0]}" if len(a) == len(b) == 1 else f"{','.join(map(str, a))}|{'.'.join(map(str, b))}"
                      for a, b in groups])
 
 
 class _Words(dict):
-    """(n_a, n_b, n_groups, groups, packed pairs) of a part of a text with a space before it; None if
-    a tokenizer doesn't give it back. Parts not met since the memory was last full are forgotten."""
+    """A part of a text with a space before it: how many pairs it has (4 bytes), the pairs and the
+    groups' text in one string of bytes, which takes half the memory of a tuple of them; None if a
+    tokenizer doesn't give it back. Parts not met since the memory was last full are forgotten."""
 
     def __init__(self, a: ByteTokens, b: PieceTokens) -> None:
         super().__init__()
@@ -167,13 +168,13 @@ class _Words(dict):
             self[part] = found
         return found
 
-    def aligned(self, part: str):
+    def aligned(self, part: str) -> bytes | None:
         a, b = self.a.ids(" " + part), self.b.ids(part)
         raw = f" {part}".encode()
         if b"".join(map(self.a.tokens.__getitem__, a)) != raw or b"".join(map(self.b.tokens.__getitem__, b)) != raw:
             return None
         groups, pairs = grouped(a, b, self.a.tokens, self.b.tokens)
-        return len(a), len(b), len(groups), groups_text(groups), array("q", pairs).tobytes()
+        return len(pairs).to_bytes(4, "little") + array("q", pairs).tobytes() + groups_text(groups).encode()
 
 
 class Aligner:
@@ -192,10 +193,11 @@ class Aligner:
             return _NO_TOKENS
         if None in parts:
             return _NO_TOKENS
-        n_a, n_b, n_groups, groups, pairs = zip(*parts, strict=True)
-        text = ";".join(groups)
-        return (sum(n_a), sum(n_b), sum(n_groups), hashlib.sha256(text.encode()).hexdigest(),
-                np.frombuffer(b"".join(pairs), np.int64))
+        ends = [4 + 8 * int.from_bytes(p[:4], "little") for p in parts]
+        groups = b";".join([p[e:] for p, e in zip(parts, ends)])
+        n = groups.count(b";") + 1
+        return (n + groups.count(b","), n + groups.count(b"."), n, hashlib.sha256(groups.replace(b".", b",")).hexdigest(),
+                np.frombuffer(b"".join([p[4:e] for p, e in zip(parts, ends)]), np.int64))
 
 
 # A row of the first pass is either a document (pair and n null) or a pair of its chunk (id null).

@@ -127,3 +127,17 @@ def test_groups_of_random_cuts():
         assert sorted((p >> 32, p & (1 << 32) - 1) for p in pairs) == want
         assert [x for g, _ in groups for x in g] == list(range(len(spans[0])))
         assert len(groups) == len(set(cuts[0]) & set(cuts[1]))
+
+
+def test_memory_of_words_is_small():
+    """A full memory takes at most 128 MB of a worker."""
+    import tracemalloc
+    align = alignment.Aligner(vocabulary(alignment.BYTE_VOCABULARY), vocabulary(alignment.PIECE_VOCABULARY))
+    align("warm up")
+    words = [f"{random.Random(i).choice(['ka', 'lo', 'Te'])}{i * 7919 % 99991}x" for i in range(4000)]
+    tracemalloc.start()
+    align(" ".join(words))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(align.words) >= 4000
+    assert held / len(align.words) * 2 * alignment.MEMORY <= 128 << 20
