@@ -7,6 +7,8 @@ events can be rebuilt in SQL for the oracle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import DEVICE_TYPES
@@ -41,10 +43,12 @@ def _action(event_type: Column) -> Column:
     return expr
 
 
-def listening_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listening_events(spark: SparkSession, sf_dir: str,
+                     deal: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``event_id`` (arrival order) plus the nine event fields.
 
-    ``event_timestamp`` keeps the table's ``timestamp_ntz`` (UTC wall clock).
+    ``event_timestamp`` keeps the table's ``timestamp_ntz`` (UTC wall clock). ``deal`` may move the joined
+    rows to other tasks before their fields are written: one split of ``events`` may hold them all.
     """
     ev = table(spark, sf_dir, "events")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
@@ -55,6 +59,8 @@ def listening_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k + F.lit(PART_STRIDE) * (F.col("event_id") % 2)).alias("part_key"),
     )
     joined = base.join(part, base["part_key"] == part["p_partkey"], "left")
+    if deal:
+        joined = deal(joined)
     action = _action(F.col("event_type"))
     devices = F.array(*[F.lit(d) for d in DEVICE_TYPES])
     return joined.select(

@@ -127,6 +127,20 @@ def test_parsed_records_are_dealt_out_by_size(spark, tmp_path, monkeypatch):
     assert len(rows) >= 10 and max(r["count"] for r in rows) < 0.2 * n
 
 
+def test_event_fields_are_written_after_dealing_out(spark, tmp_path):
+    """One split may hold all events: its task reads and deals them out, others write their fields."""
+    import pandas as pd
+    pd.DataFrame({"event_id": range(19, 28), "ts": pd.Timestamp("2024-01-01").as_unit("us"), "user_id": 1, "event_type": "click",
+                  "value": 1.5, "props": '{"k": 7}'}).to_parquet(tmp_path / "events.parquet")
+    pd.DataFrame({"p_partkey": [7], "p_name": ["n"], "p_brand": ["b"]}).to_parquet(tmp_path / "part.parquet")
+    for name in ("decode_payload", "parse_payload", "duration_decimal"):
+        df = suite.queries()[name](spark, str(tmp_path))
+        above, below = df._jdf.queryExecution().optimizedPlan().toString().split("Repartition", 1)
+        assert "date_format" in above and "user_" in above
+        assert "date_format" not in below and "user_" not in below.replace("user_id", "")
+        assert df.count() == 9
+
+
 def test_whole_event_times_need_no_normal_form(spark):
     from pyspark.sql import functions as F
     from earshot.functions import ingest as X
