@@ -40,6 +40,33 @@ def test_memory_of_words_is_bounded(monkeypatch):
     assert len(own.words) <= 10
 
 
+def test_vocabulary_read_as_ranks(encoder):
+    """New plain words take one call, and have the ids of the vocabulary's own merges."""
+    rng = random.Random(6)
+    letters = [*map(chr, range(33, 127)), *"àéîõüßÿÀÉ"]
+    words = ["".join(rng.choices(letters[64:90] + letters[94:] if k % 3 else letters, k=rng.randint(1, 12))) for k in range(3000)]
+    for w in (w for w in words if "<|" not in w):
+        merged = b"".join(encoder.piece(p) for p in tokens._PIECES(w.lower()))
+        assert encoder.word(w) == merged, w
+    asked = len(encoder.pieces)
+    encoder.ids("Brandneue Worte xqzzv, qqjjxw!")
+    assert encoder.plain_ids and len(encoder.pieces) == asked
+
+
+def test_vocabulary_that_ranks_differ_from():
+    """``a bc`` would be merged by ranks as ``ab c``, which these merges leave apart."""
+    import json
+    how = json.loads(tokens.Encoder(tokens.vocabulary()).tokenizer.to_str())["model"]
+    from tokenizers import models
+    base = {t: i for t, i in how["vocab"].items() if i < 512}
+    def read(merges):
+        vocab = base | {"".join(m): 512 + i for i, m in enumerate(merges)}
+        model = models.BPE(vocab=vocab, merges=merges, end_of_word_suffix="</w>")
+        return tokens._ranked(model, how | {"vocab": vocab, "merges": merges})
+    assert read([("a", "b"), ("ab", "c")])
+    assert read([("b", "c"), ("a", "b"), ("ab", "c")]) is None
+
+
 @pytest.mark.parametrize("histogram", [
     {}, {1: 1}, {4096: 5, 1: 3}, {3000: 10}, {1: 5000}, {2049: 7, 2047: 9},
     dict(Counter(np.clip(np.random.default_rng(1).lognormal(6.4, 1, 3000).astype(int), 1, 4096).tolist()))])
