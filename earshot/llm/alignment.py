@@ -46,12 +46,17 @@ CHUNK_ROWS, CHUNK_BYTES = 512, 1 << 20
 _A_BITS = 32                                       # a pair of ids is a * 2^32 + b
 
 WORD, MEMORY = 64, 200_000                         # longest remembered part of a text, and how many (twice)
+MARKS = 10_000                                     # remembered marks behind words
 #: A single space between two characters that are surely no white space.
 _BETWEEN = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
 #: Words of printable ASCII and Latin letters, which every version of Unicode cuts alike, and the
 #: cut that a byte-level vocabulary stands for.
 _PLAIN = re.compile("[ !-~À-ÖØ-öø-ÿ]{1,64}").fullmatch
+#: A word and marks behind it: a byte-level cut parts them, and a sentence-piece vocabulary without pieces of both.
+_MARKED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]+)").fullmatch
+_MIXED = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ][!-/:-@\[-`{-~]").search
 _CUT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_BEFORE = "a"
 _NO_TOKENS = 0, 0, 0, "", np.zeros(0, np.int64)
 
 Groups = list[tuple[tuple[int, ...], tuple[int, ...]]]
@@ -109,10 +114,17 @@ class PieceTokens:
                        for i, p in enumerate(pieces)]
         #: Spaces stand at the beginning of a piece alone, so no merge reaches over one.
         self.by_word = not any("▁" in p.lstrip("▁") for p in pieces)
+        #: Nor over the end of a word's letters, before marks; what stands before marks alone is one piece.
+        self.by_marks = (self.by_word and len(model.encode(_BEFORE)) == 1 and not any(
+            _MIXED(p) for i, p in enumerate(pieces) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))))
 
     def ids(self, text: str) -> list[int]:
         return self.model.encode(text, num_threads=1)
 
+    def mark_ids(self, marks: str) -> list[int]:
+        """Ids of marks behind a word."""
+        return self.ids(_BEFORE + marks)[1:]
+
 
 def grouped(a: list[int], b: list[int], tokens_a: list[bytes], tokens_b: list[bytes]) -> tuple[Groups, list[int]]:
     """Groups of ids between the byte offsets where both lists end a token, and the linked pairs
@@ -144,6 +156,34 @@ def grouped(a: list[int], b: list[int], tokens_a: list[bytes], tokens_b: list[by
     return groups, pairs
 
 
+def joined(a: list[int], b: list[int], long_a: list[int], long_b: list[int]) -> tuple[str, list[int]]:
+    """The text of the groups and the linked pairs of ``grouped``, for tokens of the same bytes that all have some:
+    the token that ends first makes way for the next one."""
+    i = j = 0
+    x, y = a[0], b[0]
+    end_a, end_b, own_a, own_b = long_a[x], long_b[y], str(x), str(y)
+    groups, pairs = [], [x << _A_BITS | y]
+    while True:
+        if end_a < end_b:
+            i += 1
+            x = a[i]
+            end_a += long_a[x]
+            own_a = f"{own_a},{x}"
+        elif end_b < end_a:
+            j += 1
+            y = b[j]
+            end_b += long_b[y]
+            own_b = f"{own_b}.{y}"
+        else:
+            groups.append(f"{own_a}|{own_b}")
+            i, j = i + 1, j + 1
+            if i == len(a):
+                return ";".join(groups), pairs
+            x, y = a[i], b[j]
+            end_a, end_b, own_a, own_b = end_a + long_a[x], end_b + long_b[y], str(x), str(y)
+        pairs.append(x << _A_BITS | y)
+
+
 def groups_text(groups: Groups) -> str:
     """``a1,a2|b1;a3|b2.b3``: a point between the B ids, so that separators tell how many ids of either there are."""
     return ";".join([f"{a[0]}|{b[0]}" if len(a) == len(b) == 1 else f"{','.join(map(str, a))}|{'.'.join(map(str, b))}"
@@ -158,6 +198,9 @@ class _Words(dict):
     def __init__(self, a: ByteTokens, b: PieceTokens) -> None:
         super().__init__()
         self.a, self.b, self.before = a, b, {}
+        self.long_a, self.long_b = ([*map(len, t.tokens)] for t in (a, b))
+        self.empty = [{i for i, n in enumerate(long) if not n} for long in (self.long_a, self.long_b)]
+        self.by_marks, self.marks = a.by_word and b.by_marks, {}
 
     def __missing__(self, part: str):
         found = self.before[part] if part in self.before else self.aligned(part)
@@ -169,12 +212,31 @@ class _Words(dict):
         return found
 
     def aligned(self, part: str) -> bytes | None:
-        a, b = self.a.ids(" " + part), self.b.ids(part)
-        raw = f" {part}".encode()
+        marked = self.by_marks and _MARKED(part)
+        if not marked:
+            return self.linked(f" {part}", self.a.ids(" " + part), self.b.ids(part))
+        word, marks = marked.groups()              # many words meet few marks, so either is aligned alone
+        head, tail = self[word], self.marks.get(marks)
+        if tail is None:
+            tail = self.linked(marks, self.a.ids(marks), self.b.mark_ids(marks))
+            if len(self.marks) < MARKS and len(marks) <= WORD:
+                self.marks[marks] = tail
+        if head is None or tail is None:
+            return None
+        n, m = (int.from_bytes(p[:4], "little") for p in (head, tail))
+        return b"".join(((n + m).to_bytes(4, "little"), head[4:4 + 8 * n], tail[4:4 + 8 * m], head[4 + 8 * n:], b";",
+                         tail[4 + 8 * m:]))
+
+    def linked(self, text: str, a: list[int], b: list[int]) -> bytes | None:
+        raw = text.encode()
         if b"".join(map(self.a.tokens.__getitem__, a)) != raw or b"".join(map(self.b.tokens.__getitem__, b)) != raw:
             return None
-        groups, pairs = grouped(a, b, self.a.tokens, self.b.tokens)
-        return len(pairs).to_bytes(4, "little") + array("q", pairs).tobytes() + groups_text(groups).encode()
+        if self.empty[0].isdisjoint(a) and self.empty[1].isdisjoint(b):
+            shown, pairs = joined(a, b, self.long_a, self.long_b)
+        else:
+            groups, pairs = grouped(a, b, self.a.tokens, self.b.tokens)
+            shown = groups_text(groups)
+        return len(pairs).to_bytes(4, "little") + array("q", pairs).tobytes() + shown.encode()
 
 
 class Aligner:

@@ -141,3 +141,34 @@ def test_memory_of_words_is_small():
     tracemalloc.stop()
     assert len(align.words) >= 4000
     assert held / len(align.words) * 2 * alignment.MEMORY <= 128 << 20
+
+
+def test_joined_equals_grouped():
+    rng = random.Random(8)
+    tokens_of = [b"x" * n for n in (1, 1, 2, 3, 4)]
+    sizes = [len(t) for t in tokens_of]
+    for _ in range(300):
+        total = rng.randint(1, 15)
+        def cut():
+            out = []
+            while (rest := total - sum(sizes[i] for i in out)):
+                out.append(rng.choice([i for i, n in enumerate(sizes) if n <= rest]))
+            return out
+        a, b = cut(), cut()
+        groups, pairs = alignment.grouped(a, b, tokens_of, tokens_of)
+        assert alignment.joined(a, b, sizes, sizes) == (alignment.groups_text(groups), pairs)
+
+
+def test_marks_behind_a_word_are_aligned_alone(monkeypatch):
+    """A known word with other marks behind it isn't encoded again."""
+    paths = vocabulary(alignment.BYTE_VOCABULARY), vocabulary(alignment.PIECE_VOCABULARY)
+    own, rng = alignment.Aligner(*paths), random.Random(9)
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    words = ["".join(rng.choices("abcdenrstàéßÖ", k=rng.randint(1, 9))) + "".join(rng.choices(marks, k=rng.randint(1, 4)))
+             for _ in range(2000)]
+    for w in words:
+        whole = own.words.linked(f" {w}", own.words.a.ids(" " + w), own.words.b.ids(w))
+        assert own.words[w] == whole, w
+    own("Straße und! Haus.")
+    monkeypatch.setattr(own.words.b, "ids", lambda text: pytest.fail(f"{text} is encoded again"))
+    assert own("Straße. Haus! und.")[2] > 0
