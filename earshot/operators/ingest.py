@@ -23,11 +23,13 @@ TASK_BYTES = 64 << 20
 COSTLY_BYTES = 1 << 20
 
 
-def spread(rows: DataFrame, tasks: int) -> DataFrame:
+def spread(rows: DataFrame, tasks: int, key: str) -> DataFrame:
     """``rows`` dealt out evenly over ``tasks`` tasks, or over more where they would read over
     ``COSTLY_BYTES`` each, so that no task grows with the table. How many partitions ``rows`` has doesn't
-    count: splits of a Parquet file hold whole row groups or nothing, and a join leaves one partition per key at most."""
-    return rows.repartition(max(tasks, -(-input_bytes(rows) // COSTLY_BYTES)))
+    count: splits of a Parquet file hold whole row groups or nothing, and a join leaves one partition per key at most.
+    ``key`` is a column that differs from row to row: rows dealt in turn would be sorted first, by the one task
+    that holds them, so that a retry deals them alike."""
+    return rows.repartition(max(tasks, -(-input_bytes(rows) // COSTLY_BYTES)), key)
 
 
 def dealt(records: DataFrame, tasks: int) -> DataFrame:

@@ -299,7 +299,8 @@ def check_action_domain(spark, sf_dir):
 def _parsed(spark, sf_dir):
     """The events are dealt out before their fields are written and rendered: writing and parsing a record is the work."""
     ensure_conf(spark)
-    ev = listening_events(spark, sf_dir, lambda rows: ingest.spread(rows, spark.sparkContext.defaultParallelism))
+    ev = listening_events(spark, sf_dir,
+                          lambda rows, key: ingest.spread(rows, spark.sparkContext.defaultParallelism, key))
     return ingest.parse_records(test_records(ev))
 
 

@@ -105,6 +105,12 @@ def input_bytes(df) -> int:
     return total
 
 
+def is_broadcast(df) -> bool:
+    """Is ``df`` small enough, as the planner knows it, to be broadcast in a join?"""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def guard_checkpoint(spark: SparkSession, checkpoint: str, outputs: list[str]) -> None:
     """Refuse to start a stream without its checkpoint when its outputs already hold
     data: batch ids would restart at 0 and overwrite committed batches."""
@@ -127,4 +133,4 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 __all__ = ["build_session", "ensure_conf", "shared_dir", "path_exists",
-           "list_dirs", "guard_checkpoint", "input_bytes", "REQUIRED_CONF", "SCALE_CONF"]
+           "list_dirs", "guard_checkpoint", "input_bytes", "is_broadcast", "REQUIRED_CONF", "SCALE_CONF"]

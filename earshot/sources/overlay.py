@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import DEVICE_TYPES
+from ..session import is_broadcast
 
 # ---- fixed values: test-table mapping ----------------------------------------------
 # event_type -> action
@@ -21,6 +22,8 @@ ACTION_OF_TYPE = {"view": "PLAY", "signup": "PLAY", "click": "PAUSE", "error": "
 PART_STRIDE = 100
 # -------------------------------------------------------------------------------------
 
+ROW = "_row"      # the column by which rows are dealt out
+
 
 _READ: dict[tuple[int, str], DataFrame] = {}
 
@@ -44,23 +47,32 @@ def _action(event_type: Column) -> Column:
 
 
 def listening_events(spark: SparkSession, sf_dir: str,
-                     deal: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                     deal: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """``event_id`` (arrival order) plus the nine event fields.
 
-    ``event_timestamp`` keeps the table's ``timestamp_ntz`` (UTC wall clock). ``deal`` may move the joined
-    rows to other tasks before their fields are written: one split of ``events`` may hold them all.
+    ``event_timestamp`` keeps the table's ``timestamp_ntz`` (UTC wall clock). ``deal`` may move rows to other
+    tasks by a column that differs from row to row (a hash of file and row index): one split of ``events`` may
+    hold them all. They are dealt as they are read where ``part`` is broadcast, else after the join, which
+    moves them by track; their fields are written after that in any case.
     """
     ev = table(spark, sf_dir, "events")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    if deal:
+        row = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(ROW)
+        ev = ev.select("event_id", "ts", "event_type", "value", "user_id", "props", row)
+    early = deal and is_broadcast(part)
+    if early:
+        ev = deal(ev, ROW)
     k = F.get_json_object("props", "$.k").cast("bigint")
     base = ev.select(
         "event_id", "ts", "event_type", "value",
         F.col("user_id").alias("uid"), k.alias("k"),
         (k + F.lit(PART_STRIDE) * (F.col("event_id") % 2)).alias("part_key"),
+        *([ROW] if deal and not early else []),
     )
     joined = base.join(part, base["part_key"] == part["p_partkey"], "left")
-    if deal:
-        joined = deal(joined)
+    if deal and not early:
+        joined = deal(joined, ROW)
     action = _action(F.col("event_type"))
     devices = F.array(*[F.lit(d) for d in DEVICE_TYPES])
     return joined.select(

@@ -141,6 +141,36 @@ def test_event_fields_are_written_after_dealing_out(spark, tmp_path):
         assert df.count() == 9
 
 
+def test_events_are_dealt_out_as_they_are_read(spark, tmp_path):
+    """The task that reads all events neither sorts, joins nor reads their props; small files deal evenly too."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+    (tmp_path / "events.parquet").mkdir()
+    n = 300
+    for i in range(n // 3):         # repeated and null keys; the rows of a file differ in their place only
+        pd.DataFrame({"event_id": pd.array([20, 20, None], "Int64"), "ts": pd.Timestamp("2024-01-01").as_unit("us"), "user_id": 1,
+                      "event_type": "click", "value": 1.5, "props": '{"k": 7}'}).to_parquet(tmp_path / f"events.parquet/{i}.parquet")
+    pd.DataFrame({"p_partkey": [7, 7], "p_name": ["n", "m"], "p_brand": ["b", "c"]}).to_parquet(tmp_path / "part.parquet")
+    limit, found = "spark.sql.autoBroadcastJoinThreshold", []
+    before = spark.conf.get(limit)
+    try:
+        for size in (before, "-1"):             # part is broadcast, or both sides are moved by track first
+            spark.conf.set(limit, size)
+            df = suite.queries()["parse_payload"](spark, str(tmp_path))
+            above, below = df._jdf.queryExecution().optimizedPlan().toString().split("Repartition", 1)
+            assert ("Join" in above, "Join" in below) == ((True, False) if size == before else (False, True))
+            assert ("get_json_object" in below) == (size != before) and "date_format" not in below
+            assert "RoundRobin" not in df._jdf.queryExecution().toString()
+            assert df.columns == ["event_id", "parsed", "user_id"]
+            rows = df.groupBy(F.spark_partition_id()).count().collect()
+            total = 2 * n - n // 3         # an event without id has no track title
+            assert sum(r["count"] for r in rows) == total and max(r["count"] for r in rows) < 0.9 * total
+            found.append(sorted(map(str, df.collect())))
+    finally:
+        spark.conf.set(limit, before)
+    assert found[0] == found[1]
+
+
 def test_whole_event_times_need_no_normal_form(spark):
     from pyspark.sql import functions as F
     from earshot.functions import ingest as X
